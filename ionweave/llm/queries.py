@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontam, records
+from .common import shared_dir
 
 
 def _vocabulary(name: str) -> str:
@@ -28,5 +29,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op10_bpe": op10_bpe}
+def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "records")
+    records.write_records(documents(spark, sf_dir), folder, _vocabulary("word_bpe_49k.json"), end_id=2)
+    return records.read_records(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontam.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        decontam.items_digest().alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"),
+    )
+
+
+QUERIES = {"op3_records": op3_records, "op5_decontaminate": op5_decontaminate, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
