@@ -108,6 +108,14 @@ class ShardWriter:
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
+
+
 MANIFEST = "part int, number int, shard string, n_records long, n_tokens long, n_bytes long"
 
 
@@ -121,9 +129,7 @@ def write_records(df: DataFrame, folder: str, vocabulary: str, end_id: int, key:
     file_system.create_dir(path, recursive=True)
 
     def run(batches):
-        if name not in _tokenizers:
-            _tokenizers[name] = WordTokenizer(SparkFiles.get(name))
-        encoder = _tokenizers[name]
+        encoder = word_tokenizer(SparkFiles.get(name))
         writer = ShardWriter(folder, TaskContext.get().partitionId())
         end = end_id.to_bytes(encoder.width, "little")
         for batch in batches:
