@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the executors' Python once per context, for a session whose workers can't import it."""
+    context = spark.sparkContext
+    if getattr(context, "_ionweave_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="spark-")) / "ionweave.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    context.addPyFile(str(path))
+    context._ionweave_shipped = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, name)
