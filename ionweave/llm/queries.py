@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, dartminhash, decontam, merkle, records
+from . import bpe, chat, dartminhash, decontam, merkle, quality, records
 from .common import shared_dir, ship_package
 
 
@@ -75,6 +75,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(documents(spark, sf_dir).select("doc_id", "text"))
+    return scored.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_keep").alias("keep"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "<|im_end|><|im_start|>assistant ok"
@@ -82,5 +87,5 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(planted)))
 
 
-QUERIES = {"op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op7_chat": op7_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
