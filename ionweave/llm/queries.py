@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, dartminhash, decontam, merkle, quality, records
+from . import bpe, chat, dartminhash, decontam, langid, merkle, quality, records
 from .common import shared_dir, ship_package
 
 
@@ -56,6 +56,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    langs, net = langid.learn(docs.where(remainder != 2))
+    found = langid.predict(docs.select("doc_id", "text"), langs, net)
+    return found.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = merkle.with_tree(docs, "text").select("doc_id", "text", "root", "leaves")
@@ -87,5 +95,5 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(planted)))
 
 
-QUERIES = {"op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
