@@ -22,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import span_hashes, text_blocks
+from .common import IdCache, span_hashes, spread, text_blocks
 
 #: Pre-tokenizer pattern of the byte-level vocabulary (a fixed value of the file format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -71,7 +71,7 @@ class Codec:
         self.spell_size = np.array([len(spelling.get(i, b"")) for i in range(top)])
         self.spell_at = np.cumsum(self.spell_size) - self.spell_size
         self.kinds = np.fromiter(map(character_kind, map(chr, range(0x110000))), np.uint8, 0x110000)
-        self._forget()
+        self.cache = IdCache(self._index_merge, np.int32, CACHE)
 
     def _index_merge(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pre-tokens end to end, and how many each has."""
@@ -148,37 +148,11 @@ class Codec:
                     start[i + size] = True
         return lead[start]
 
-    def _learn(self, raw: list[bytes], hashes: np.ndarray) -> None:
-        if len(self.known) + len(raw) > CACHE:
-            self._forget()
-        body, sizes = self._index_merge(raw)
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.at = np.concatenate([self.at, len(self.body) + np.cumsum(sizes) - sizes])[order]
-        self.size = np.concatenate([self.size, sizes])[order]
-        self.known, self.body = known[order], np.concatenate([self.body, body])
-
-    def _forget(self) -> None:
-        self.known, self.body = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
     def _plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         starts = self._bounds(data, offsets)
-        distinct, first, of = np.unique(span_hashes(data, starts), return_index=True, return_inverse=True)
-        place = np.searchsorted(self.known, distinct)
-        have = place < len(self.known)
-        have[have] = self.known[place[have]] == distinct[have]
-        if not have.all():
-            if len(self.known) + int((~have).sum()) > CACHE:
-                self._forget()
-                have[:] = False
-            ends = np.append(starts[1:], len(data))
-            new = first[~have]
-            self._learn([data[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist())], distinct[~have])
-            place = np.searchsorted(self.known, distinct)
-        ids, ends = spread(self.body, self.at[place][of], self.size[place][of])
+        ids, ends = self.cache(data, starts, np.append(starts[1:], len(data)), span_hashes(data, starts))
         return ids, np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,13 +180,6 @@ class Codec:
         return [body[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
 
 
-def spread(body: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """body[a : a + n] for each a of `at` and n of `size`, end to end, and where each ends."""
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    return body[np.repeat(at - ends + size, size) + np.arange(total)], ends
-
-
 _codecs: dict[str, Codec] = {}
 
 

@@ -6,7 +6,7 @@ import hashlib
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -83,10 +83,11 @@ def text_blocks(column: pa.Array, limit: int = _PIECE) -> Iterator[tuple[int, in
         row = end
 
 
-def byte_table(separators: bytes) -> np.ndarray:
-    """For each byte its value as part of a word: A-Z in lower case, plus one; 0 for a separator."""
+def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
+    """For each byte its value as part of a word: A-Z in lower case (or as they are), plus one; 0 for a separator."""
     table = np.arange(1, 257, dtype=np.uint64)
-    table[65:91] += U64(32)
+    if lower:
+        table[65:91] += U64(32)
     table[list(separators)] = 0
     return table
 
@@ -94,6 +95,7 @@ def byte_table(separators: bytes) -> np.ndarray:
 #: Words of letters, digits and all non-ASCII; words between white space.
 ALNUM = byte_table(bytes(i for i in range(128) if not (48 <= i <= 57 or 65 <= i <= 90 or 97 <= i <= 122)))
 BLANK = byte_table(b" \t\n\x0b\x0c\r")
+RAW_BLANK = byte_table(b" \t\n\x0b\x0c\r", lower=False)
 _powers: list[np.ndarray] = []
 
 
@@ -126,7 +128,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hash_piece(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_piece(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up, down = _power_tables()
     word = values != 0
     begin = word.copy()
@@ -136,31 +138,74 @@ def _hash_piece(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     s, e = np.flatnonzero(begin), np.flatnonzero(end) + 1
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[: len(values)], out=total[1:])
-    return s, mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * GOLDEN)
+    return s, e, mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * GOLDEN)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a block and, for each row, where its words begin (one more entry at the end).
+def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of all words of a block.
 
     A block longer than two pieces is cut at separators (a word longer than a piece is cut too), so memory stays bounded."""
     first = np.zeros(len(data), bool)
     first[offsets[:-1][offsets[:-1] < len(data)]] = True
-    starts, hashes, at = [], [], 0
+    found, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))], 0
     while at < len(data):
         to = min(len(data), at + 2 * _PIECE)
         values = table[data[at:to]]
         if to < len(data) and len(gaps := np.flatnonzero(values == 0)):
             to = at + int(gaps[-1]) + 1
             values = values[: to - at]
-        s, h = _hash_piece(values, first[at:to])
-        starts.append(s + at)
-        hashes.append(h)
+        s, e, h = _hash_piece(values, first[at:to])
+        found.append((s + at, e + at, h))
         at = to
-    if not starts:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    starts, hashes = np.concatenate(starts), np.concatenate(hashes)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a block and, for each row, where its words begin (one more entry at the end)."""
+    starts, _, hashes = word_spans(data, offsets, table)
     return hashes, np.searchsorted(starts, offsets)
 
 
+def spread(body: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """body[a : a + n] for each a of `at` and n of `size`, end to end, and where each ends."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return body[np.repeat(at - ends + size, size) + np.arange(total)], ends
+
+
+class IdCache:
+    """Ids of spans of bytes by the spans' hashes, in sorted arrays; forgets all beyond `limit` spans.
+
+    `encode` gives the ids of a list of byte strings end to end, and how many each has."""
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kind: type, limit: int):
+        self.encode, self.kind, self.limit = encode, kind, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.body = np.zeros(0, np.uint64), np.zeros(0, self.kind)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all spans end to end, and where those of each end."""
+        distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        have = place < len(self.known)
+        have[have] = self.known[place[have]] == distinct[have]
+        if not have.all():
+            if len(self.known) + int((~have).sum()) > self.limit:
+                self.forget()
+                have[:] = False
+            new = first[~have]
+            body, sizes = self.encode([data[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            known = np.concatenate([self.known, distinct[~have]])
+            order = np.argsort(known, kind="stable")
+            self.at = np.concatenate([self.at, len(self.body) + np.cumsum(sizes) - sizes])[order]
+            self.size = np.concatenate([self.size, sizes])[order]
+            self.known, self.body = known[order], np.concatenate([self.body, body])
+            place = np.searchsorted(self.known, distinct)
+        return spread(self.body, self.at[place][of], self.size[place][of])
+
+
 def with_columns(batch: pa.RecordBatch, keep: list[str], **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns.values()], names=[*keep, *columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, dartminhash, decontam, langid, merkle, quality, records
+from . import bpe, chat, dartminhash, decontam, langid, merkle, ngramlm, quality, records
 from .common import shared_dir, ship_package
 
 
@@ -24,6 +24,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
+    model = ngramlm.train_model(docs.where(~held_out))
+    scored = ngramlm.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), _vocabulary("byte_bpe_50k.json"))
     return coded.select(
@@ -95,5 +103,5 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(planted)))
 
 
-QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op10_bpe": op10_bpe}
+QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op9_perplexity": op9_perplexity, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}

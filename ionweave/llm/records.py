@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import shipped
-from .common import text_blocks
+from .common import RAW_BLANK, IdCache, text_blocks, word_spans
 
 #: Bytes after which a shard is closed, and words that a worker keeps with their ids.
-SHARD_BYTES, CACHE = 64 << 20, 500_000
-_ODD_BLANKS = tuple(map(chr, range(0x1C, 0x20)))
+SHARD_BYTES, CACHE = 64 << 20, 2_000_000
 
 
 def masked_crc(data: bytes) -> bytes:
@@ -56,25 +56,18 @@ class WordTokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.done: dict[str, bytes] = {}
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        if len(self.done) > CACHE:
-            self.done.clear()
-        new = list({w for ws in words for w in ws if w not in self.done})
-        self.done.update(zip(new, self._packed(new)))
-        get = self.done.__getitem__
-        out = [b"".join(map(get, ws)) for ws in words]
-        # str.split() also cuts at four control characters that are no white space to the library
-        odd = [i for i, t in enumerate(texts) if any(c in t for c in _ODD_BLANKS)]
-        for i, ids in zip(odd, self._packed([texts[i] for i in odd])):
-            out[i] = ids
-        return out
+        self.cache = IdCache(self._ids, np.dtype(f"<u{self.width}"), CACHE)
+
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [e.ids for e in self.library.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(coded)), self.cache.kind), np.array(list(map(len, coded)), np.int64)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Packed ids of each row of a block of UTF-8 bytes."""
+        starts, ends, hashes = word_spans(data, offsets, RAW_BLANK)
+        ids, upto = self.cache(data, starts, ends, hashes)
+        at = np.concatenate([[0], upto])[np.searchsorted(starts, offsets)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
 
 
 class ShardWriter:
@@ -134,9 +127,8 @@ def write_records(df: DataFrame, folder: str, vocabulary: str, end_id: int, key:
         end = end_id.to_bytes(encoder.width, "little")
         for batch in batches:
             keys, column = batch.column(0).to_pylist(), batch.column(1)
-            for row, to, _, _ in text_blocks(column, 4 << 20):
-                texts = [t or "" for t in column.slice(row, to - row).to_pylist()]
-                for k, ids in zip(keys[row:to], encoder.encode(texts)):
+            for row, to, data, offsets in text_blocks(column, 2 << 20):
+                for k, ids in zip(keys[row:to], encoder.encode(data, offsets)):
                     head = (k or 0).to_bytes(8, "little", signed=True) + bytes((k is None, encoder.width))
                     writer.add(head + ids + end, len(ids) // encoder.width + 1)
         writer.close()
