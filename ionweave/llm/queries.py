@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, dartminhash, decontam, langid, merkle, ngramlm, quality, records
+from . import bpe, chat, dartminhash, decontam, htmlx, langid, merkle, ngramlm, quality, records
 from .common import shared_dir, ship_package
 
 
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmlx.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
@@ -103,5 +108,5 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(planted)))
 
 
-QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op9_perplexity": op9_perplexity, "op10_bpe": op10_bpe}
+QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op8_main_text": op8_main_text, "op9_perplexity": op9_perplexity, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
