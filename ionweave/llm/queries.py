@@ -54,7 +54,7 @@ def op3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dartminhash.near_duplicates(documents(spark, sf_dir)).drop("node")
+    return dartminhash.near_duplicates(documents(spark, sf_dir)).drop("node", "component")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
