@@ -92,11 +92,13 @@ def assigned_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def cosine_match(assigned: DataFrame, scan_peaks: DataFrame, ref_peaks: DataFrame) -> DataFrame:
-    """(scan, ref, score, num_matches): sum of assigned products over the norms of both whole spectra."""
+    """(scan, ref, score, num_matches): sum of assigned products over the norms of both whole spectra.
+
+    Nine digits are kept, so that scores which differ by the order of their sums alone are ties."""
     norm = lambda peaks, key, x, out: peaks.groupBy(key).agg(F.sqrt(F.sum(F.col(x).cast("double") * F.col(x).cast("double"))).alias(out), F.count("*").alias(f"{out}_peaks"))
     sums = assigned.groupBy(*PAIR).agg(F.sum("w").alias("dot"), F.count("*").alias("num_matches"))
     sums = sums.join(norm(scan_peaks, "scan_id", "frag_int", "q"), "scan_id").join(norm(ref_peaks, "ref_id", "ref_int", "r"), "ref_id")
-    return sums.select(*PAIR, (F.col("dot") / (F.col("q") * F.col("r"))).alias("score"), "num_matches", F.col("q_peaks").alias("data_frags"), F.col("r_peaks").alias("ref_frags"))
+    return sums.select(*PAIR, F.round(F.col("dot") / (F.col("q") * F.col("r")), 9).alias("score"), "num_matches", F.col("q_peaks").alias("data_frags"), F.col("r_peaks").alias("ref_frags"))
 
 
 def hit_threshold(scored: DataFrame, min_score: float = MIN_SCORE, min_fragments: int = MIN_FRAGMENTS) -> DataFrame:

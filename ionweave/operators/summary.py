@@ -92,8 +92,8 @@ def impute_global_min(heights: DataFrame, keys: list[str]) -> DataFrame:
     """All (keys, file) cells, missing ones at the lowest value of the whole table. The few files multiply the keys."""
     low = heights.agg(F.min("peak_height").alias("low"))
     cells = heights.select(*keys).distinct().crossJoin(F.broadcast(heights.select("filename").distinct()))
-    same = [cells[k].eqNullSafe(heights[k]) for k in keys] + [cells["filename"] == heights["filename"]]
-    full = cells.join(heights, same, "left").select(*(cells[k] for k in keys), cells["filename"], heights["peak_height"])
+    known = heights.select(*(F.col(k).alias(f"__{k}") for k in (*keys, "filename")), "peak_height")
+    full = cells.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in (*keys, "filename")], "left")
     return full.crossJoin(F.broadcast(low)).select(*keys, "filename", F.coalesce("peak_height", "low").alias("peak_height"))
 
 

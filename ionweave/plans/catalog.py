@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from ..operators import curation as cu
 from ..operators import extract as ex
 from ..operators import joins, results, rtmodel, spectra, summary
 from ..sources import library, points, runs
+from ..sources.scratch import scratch
+from ..streaming import streams
 from .views import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +51,11 @@ def metrics(v) -> DataFrame:
     return ex.per_file_peak_metrics(pairs(v))
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """df kept in memory, or on disk, for a query that reads it more than once."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 # Scans and points
 
 
@@ -263,7 +271,7 @@ def short_filename(v):
     return named(v).select("filename", names.short_filename(F.col("filename")).alias("short"))
 
 
-@query("run_paths", f"select filename, array_to_string(list_transform(regexp_extract_all(p[16], '\\d+|\\D+'), x -> case when regexp_matches(x, '^\\d') then lpad(x, 20, '0') else x end), '') as sort_key from {_PARSED} where len(p) = 16")
+@query("run_paths", f"select filename, array_to_string(list_transform(regexp_extract_all(p[16], '\\d+|\\D+'), lambda x: case when regexp_matches(x, '^\\d') then lpad(x, 20, '0') else x end), '') as sort_key from {_PARSED} where len(p) = 16")
 def natural_sort(v):
     p = F.split(F.regexp_replace("filename", r"\.[^.]*$", ""), "_")
     return named(v).where("filename like '2024%'").select("filename", names.natural_key(p[15]).alias("sort_key")).orderBy("sort_key")
@@ -461,9 +469,9 @@ _STATS = """(select mz_rt_uid, max(rt_peak) as atlas_rt_peak, count(*) as observ
     max(cast(i as double)) as intensity_max, median(cast(i as double)) as intensity_median, avg((cast(mz as double) - atlas_mz) / atlas_mz * 1e6) as ppm_mean from pairs where in_feature group by 1) s"""
 
 
-@query("pairs", f"select mz_rt_uid, observation_count, round(rt_mean, 4) as rt_mean, round(rt_median, 4) as rt_median, round(rt_std, 4) as rt_std, round(intensity_max, 4) as intensity_max, round(intensity_median, 4) as intensity_median, round(ppm_mean, 3) as ppm_mean from {_STATS}")
+@query("pairs", f"select mz_rt_uid, observation_count, round(rt_mean, 4) as rt_mean, round(rt_median, 4) as rt_median, round(rt_std, 4) as rt_std, round(intensity_max, 4) as intensity_max, round(intensity_median, 4) as intensity_median, round(ppm_mean, 3) + 0.0 as ppm_mean from {_STATS}")
 def rt_stats(v):
-    s = rtmodel.rt_stats(pairs(v)).withColumn("ppm_mean", F.round("ppm_mean", 3))
+    s = rtmodel.rt_stats(pairs(v)).withColumn("ppm_mean", F.round("ppm_mean", 3) + 0.0)
     return rounded(s.select("mz_rt_uid", "observation_count", "rt_mean", "rt_median", "rt_std", "intensity_max", "intensity_median", "ppm_mean"))
 
 
@@ -511,6 +519,697 @@ def apply_polynomial(v):
     return rounded(v("atlas").select("mz_rt_uid", scores.polynomial(F.col("rt_peak"), [0.1, 1.02, -0.003]).alias("rt")))
 
 
-@query("atlas", "select mz_rt_uid, printf('RT_aligned = %.6f + %.6f * RT_atlas', rt_min, rt_peak) as equation from atlas")
+@query("pairs", f"select printf('RT_aligned = %.6f + %.6f * RT_atlas', a, b) as equation from {_LINE}")
 def format_equation(v):
-    return v("atlas").select("mz_rt_uid", F.format_string("RT_aligned = %.6f + %.6f * RT_atlas", "rt_min", "rt_peak").alias("equation"))
+    stats, model = model_of(v)
+    return rtmodel.rt_model_record(stats.sparkSession, model, 1, "atlas-1").select("equation")
+
+
+# Spectral matching
+
+
+def ms2(v) -> DataFrame:
+    """Scans with their targets, as extraction leaves them; scan_id is the scan and target."""
+    joined = joins.join_ms2_to_atlas(v("scans").join(v("runs").select("f", "filename"), "f"), windows(v))
+    return joined.withColumn("scan_id", F.concat_ws("/", "scan_id", "mz_rt_uid")).withColumn("own", F.split("scan_id", "/")[0].cast("long"))
+
+
+def scan_peaks(v) -> DataFrame:
+    p = v("ms2_peaks").select(F.col("scan_id").alias("own"), "frag_mz", "frag_int")
+    return ms2(v).select("scan_id", "own").join(p, "own").drop("own")
+
+
+def assigned(v) -> DataFrame:
+    return spectra.assigned_pairs(reused_pairs(v))
+
+
+def reused_pairs(v) -> DataFrame:
+    return reused(spectra.peak_pair_join(candidates(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int")))
+
+
+def candidates(v) -> DataFrame:
+    return spectra.ms2_candidates(ms2(v).select("scan_id", "inchi_key", "precursor_mz", "precursor_intensity"), v("refs").select("ref_id", "inchi_key", "ref_precursor_mz"))
+
+
+def scored(v) -> DataFrame:
+    return spectra.cosine_match(assigned(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int"))
+
+
+_CANDIDATES = """(select concat(s.scan_id, '/', s.mz_rt_uid) as scan_id, s.scan_id as own, s.mz_rt_uid, s.filename, s.scan_rt, s.in_feature, s.collision_energy, r.ref_id, s.precursor_mz, r.ref_precursor_mz
+    from ms2_pairs s join refs r on s.inchi_key = r.inchi_key and abs(cast(s.precursor_mz as double) - r.ref_precursor_mz) <= r.ref_precursor_mz * 2e-5) c"""
+_NORMS = "(select scan_id as id, sqrt(sum(cast(frag_int as double) * cast(frag_int as double))) as norm, count(*) as peaks from ms2_peaks group by 1)"
+_SCORED = f"""(select c.scan_id, c.own, c.mz_rt_uid, c.filename, c.scan_rt, c.in_feature, c.collision_energy, c.ref_id, round(sum(cast(q.frag_int as double) * cast(r.ref_int as double)) / (any_value(a.norm) * any_value(b.norm)), 9) as score,
+    count(*) as num_matches, any_value(a.peaks) as data_frags, any_value(b.peaks) as ref_frags, any_value(c.precursor_mz) as precursor_mz, any_value(c.ref_precursor_mz) as ref_precursor_mz
+    from {_CANDIDATES} join ms2_peaks q on q.scan_id = c.own join ref_peaks r on r.ref_id = c.ref_id and abs(q.frag_mz - r.ref_mz) <= 0.05
+    join {_NORMS} a on a.id = c.own join {_NORMS} b on b.id = c.ref_id group by all) m"""
+_MS2 = "ms2_pairs refs ref_peaks"
+_HITS = f"(select *, row_number() over (partition by scan_id order by score desc, ref_id) as rank from {_SCORED} where score >= 0.25 and num_matches >= 1) h"
+
+
+@query(_MS2, f"select scan_id, ref_id from {_CANDIDATES}")
+def ms2_candidates(v):
+    return candidates(v).select("scan_id", "ref_id")
+
+
+@query(_MS2, f"select c.scan_id, c.ref_id, count(*) as n from {_CANDIDATES} join ms2_peaks q on q.scan_id = c.own join ref_peaks r on r.ref_id = c.ref_id and abs(q.frag_mz - r.ref_mz) <= 0.05 group by 1, 2")
+def peak_pair_join(v):
+    return spectra.peak_pair_join(candidates(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int")).groupBy("scan_id", "ref_id").agg(F.count("*").alias("n"))
+
+
+@query(_MS2, f"select scan_id, ref_id, round(score, 4) as score, num_matches, data_frags, ref_frags from {_SCORED}")
+def cosine_match(v):
+    return rounded(scored(v))
+
+
+@query(_MS2, f"select scan_id, ref_id, num_matches from {_SCORED} where score >= 0.5 and num_matches >= 6")
+def hit_threshold(v):
+    return spectra.hit_threshold(scored(v), 0.5, 6).select("scan_id", "ref_id", "num_matches")
+
+
+@query(_MS2, f"select scan_id, ref_id, rank from {_HITS} where rank <= 2")
+def top_hits(v):
+    return spectra.top_hits(spectra.hit_threshold(scored(v)), 2).select("scan_id", "ref_id", F.col("rank").cast("long").alias("rank"))
+
+
+def with_hits(v) -> DataFrame:
+    hits = spectra.top_hits(spectra.hit_threshold(scored(v)))
+    return reused(spectra.assign_hits(ms2(v), spectra.hit_record(hits, candidates(v), v("refs"))))
+
+
+@query(_MS2, f"select scan_id, rank, 'db' || cast(ref_id % 2 as string) as database, cast(ref_id as string) as ref_id, round((cast(precursor_mz as double) - ref_precursor_mz) / ref_precursor_mz * 1e6, 4) + 0.0 as ppm_error, num_matches from {_HITS} where rank <= 20")
+def hit_record(v):
+    rows = spectra.hit_record(spectra.top_hits(spectra.hit_threshold(scored(v))), candidates(v), v("refs"))
+    return rows.select("scan_id", F.col("rank").cast("long").alias("rank"), "hit.database", "hit.ref_id", (F.round("hit.ppm_error", 4) + 0.0).alias("ppm_error"), "hit.num_matches")
+
+
+@query(_MS2, f"select s.scan_id || '/' || s.mz_rt_uid as scan_id, coalesce(h.n, 0) as n_hits from ms2_pairs s left join (select scan_id, count(*) as n from {_HITS} where rank <= 20 group by 1) h on h.scan_id = s.scan_id || '/' || s.mz_rt_uid")
+def assign_hits(v):
+    return with_hits(v).select("scan_id", F.size("hits").cast("long").alias("n_hits"))
+
+
+@query(_MS2 + " pairs", f"select mz_rt_uid, count(*) as n from pairs where mz_rt_uid in (select mz_rt_uid from {_HITS} where in_feature) group by 1")
+def filter_ms2_by_hits(v):
+    _, ms1 = spectra.filter_ms2_by_hits(with_hits(v), pairs(v))
+    return ms1.groupBy("mz_rt_uid").agg(F.count("*").alias("n"))
+
+
+@query(_MS2, f"select c.scan_id, c.ref_id, count(*) as num_matched, string_agg(cast(cast(q.frag_mz as bigint) as string), ',' order by q.frag_mz) as matched from {_CANDIDATES} join ms2_peaks q on q.scan_id = c.own join ref_peaks r on r.ref_id = c.ref_id and abs(q.frag_mz - r.ref_mz) <= 0.05 group by 1, 2")
+def align_spectra(v):
+    aligned = spectra.align_spectra(assigned(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int"))
+    return aligned.select("scan_id", "ref_id", F.col("num_matched").cast("long").alias("num_matched"), F.array_join(F.transform("matched_fragments", lambda m: m.cast("long").cast("string")), ",").alias("matched"))
+
+
+_BEST = f"(select * from (select *, row_number() over (partition by mz_rt_uid order by score desc, filename, scan_rt) as place from {_HITS} where rank = 1) t where place = 1) b"
+
+
+@query(_MS2, f"select mz_rt_uid, filename, cast(ref_id as string) as best_ref_id, round(score, 4) as best_score, cast(num_matches as string) || '/' || cast(ref_frags as string) as best_ions from {_BEST}")
+def best_ms2_hit(v):
+    return rounded(spectra.best_ms2_hit(with_hits(v)).select("mz_rt_uid", "filename", "best_ref_id", "best_score", "best_ions"))
+
+
+@query(_MS2, f"select b.mz_rt_uid, string_agg(cast(h.ref_id as string), ',' order by h.rank) as refs from {_BEST} join {_HITS} on h.scan_id = b.scan_id and h.rank <= 3 group by 1")
+def top3_hits_of_best_scan(v):
+    return spectra.top3_hits_of_best_scan(spectra.best_ms2_hit(with_hits(v))).select("mz_rt_uid", F.array_join("hits.ref_id", ",").alias("refs"))
+
+
+@query(_MS2, f"select b.mz_rt_uid, '[[' || string_agg(printf('%.1f', cast(p.frag_mz as double)), ',' order by p.frag_mz) filter (p.frag_int > 1e4) || ']' as mzs from {_BEST} join ms2_peaks p on p.scan_id = b.own group by 1")
+def best_hit_fragments(v):
+    lists = scan_peaks(v).groupBy("scan_id").agg(F.array_sort(F.collect_list(F.struct("frag_mz", "frag_int"))).alias("p"))
+    lists = lists.select("scan_id", F.col("p.frag_mz").alias("frag_mzs"), F.col("p.frag_int").alias("frag_ints"))
+    best = spectra.best_ms2_hit(with_hits(v)).join(lists, "scan_id")
+    return spectra.best_hit_fragments(best).select("mz_rt_uid", F.concat(F.substring_index("fragments", "]", 1), F.lit("]")).alias("mzs"))
+
+
+@query(_MS2, f"select mz_rt_uid, collision_energy, scan_id, place from (select s.mz_rt_uid, cast(s.collision_energy as double) as collision_energy, s.scan_id || '/' || s.mz_rt_uid as scan_id, row_number() over (partition by s.mz_rt_uid, s.collision_energy order by h.score desc nulls last, s.scan_rt, s.filename) as place from ms2_pairs s left join {_HITS} on h.rank = 1 and h.scan_id = s.scan_id || '/' || s.mz_rt_uid where s.scan_rt between s.rt_min and s.rt_max) t where place <= 2")
+def scans_by_collision_energy(v):
+    found = spectra.scans_by_collision_energy(with_hits(v), 2)
+    return found.select("mz_rt_uid", F.col("collision_energy").cast("double").alias("collision_energy"), "scan_id", F.col("place").cast("long").alias("place"))
+
+
+@query("scans", "select scan_id, case when scan_id % 3 <> 0 then '' when scan_id % 2 = 0 then 'single matched ion is the precursor' else 'single matched ion is not the precursor' end as identification_notes from scans")
+def single_ion_check(v):
+    ion = F.col("precursor_mz") + F.when(F.col("scan_id") % 2 == 0, 0.0).otherwise(1.0)
+    rows = v("scans").withColumns({"matched_fragments": F.array(ion), "ms2_notes": F.when(F.col("scan_id") % 3 == 0, "1.0, single ion match, ISTD/ref evidence").otherwise("1.0, good match"), "identification_notes": F.lit("")})
+    return spectra.single_ion_check(rows).select("scan_id", "identification_notes")
+
+
+@query("ms2_pairs refs", "select distinct inchi_key from ms2_pairs where inchi_key not in (select inchi_key from refs)")
+def keys_without_refs(v):
+    return spectra.keys_without_refs(ms2(v), v("refs"))
+
+
+@query("ref_peaks", "select ref_id as id, count(*) as n, round(min(cast(ref_mz as double)), 4) as low from ref_peaks where ref_id % 2 = 0 and ref_mz < ref_precursor_mz + 2.5 group by 1")
+def scan_reference_spectra(v):
+    raw = v("ref_peaks").groupBy("ref_id", "inchi_key", "ref_precursor_mz").agg(F.collect_list(F.struct("ref_mz", "ref_int")).alias("p"))
+    raw = raw.select(F.col("ref_id").alias("id"), "inchi_key", F.concat(F.lit("db"), (F.col("ref_id") % 2).cast("string")).alias("database"), F.col("ref_precursor_mz").alias("precursor_mz"), F.col("p.ref_mz").alias("mz"), F.col("p.ref_int").alias("intensities"))
+    clean = library.clean_spectra(raw, database="db0")
+    return rounded(clean.select("id", F.size("mz").cast("long").alias("n"), F.get("mz", F.lit(0)).alias("low")))
+
+
+@query("", "select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as id, round(l_extendedprice / 7, 4) as first_mz, case when l_linenumber % 2 = 0 then null else l_quantity end as precursor_mz, case when l_linenumber % 3 = 0 then null else 'x' end as database from lineitem")
+def convert_reference_spectra(v):
+    rows = v("lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.when(F.col("l_linenumber") % 3 == 0, "  ").otherwise(" x ").alias("database"),
+        F.when(F.col("l_linenumber") % 2 == 0, "none").otherwise(F.col("l_quantity").cast("string")).alias("precursor_mz"),
+        F.format_string("[[%.9f, 2.0], [1.0, 2.0]]", F.col("l_extendedprice").cast("double") / 7).alias("spectrum"),
+    )
+    made = library.converted_spectra(rows)
+    return made.select("id", F.get("mz", F.lit(0)).alias("first_mz"), "precursor_mz", "database")
+
+
+@query("compounds", "select inchi_key, compound_name, case when formula = '' then null else formula end as compound_name_input from compounds")
+def scan_compound_table(v):
+    rows = v("compounds").select("inchi_key", F.nullif("formula", F.lit("")).alias("compound_name"), F.col("compound_name").alias("label"))
+    return library.compound_columns(rows).select("inchi_key", "compound_name", "compound_name_input")
+
+
+@query("atlas", "select inchi_key, round(rt_peak - 0.5, 4) as rt_min, round(rt_peak + 0.5, 4) as rt_max, 5.0::double as mz_tolerance from atlas")
+def scan_atlas_table(v):
+    rows = v("atlas").select("inchi_key", "compound_name", "adduct", F.col("rt_peak").cast("string").alias("rt_peak"), F.col("mz").cast("string").alias("mz"))
+    return rounded(library.atlas_columns(rows).select("inchi_key", "rt_min", "rt_max", "mz_tolerance"))
+
+
+@query("", "select 'K' || cast(p_partkey % 50 as varchar) as inchi_key, string_agg('cpd' || cast(p_partkey as varchar), ';' order by 'cpd' || cast(p_partkey as varchar)) as cpd_ids from part group by 1")
+def scan_id_map(v):
+    return library.id_map(v("part").select(F.concat(F.lit("cpd"), "p_partkey").alias("id"), F.concat(F.lit("K"), F.col("p_partkey") % 50).alias("inchi_key")))
+
+
+# Curation
+
+_APEX = "(select mz_rt_uid, filename, max(case when n = 1 then cast(rt as double) end) as apex, sum(cast(i as double)) as total, sum(cast(mz as double)) as mz_sum, count(*) as k, max(atlas_mz) as atlas_mz, max(rt_peak) as atlas_rt_peak, max(rt_min) as lo, max(rt_max) as hi from (select *, row_number() over (partition by mz_rt_uid, filename order by i desc, rt, mz) as n from pairs where in_feature) t group by 1, 2) f"
+_WINDOW = f"(select mz_rt_uid, avg(apex) as rt_peak, sum(mz_sum) / sum(k) as mz, max(atlas_mz) as atlas_mz, max(atlas_rt_peak) as atlas_rt_peak, max(lo) as lo, max(hi) as hi from {_APEX} group by 1) w"
+
+
+@query("pairs", f"select mz_rt_uid, round(rt_peak, 4) as rt_peak, round(mz, 4) as mz, round(rt_peak - atlas_rt_peak, 4) + 0.0 as rt_error, round((mz - atlas_mz) / atlas_mz * 1e6, 3) + 0.0 as mz_error from {_WINDOW}")
+def ms1_window_metrics(v):
+    m = cu.ms1_window_metrics(pairs(v))
+    return m.select("mz_rt_uid", F.round("rt_peak", 4).alias("rt_peak"), F.round("mz", 4).alias("mz"), (F.round("rt_error", 4) + 0.0).alias("rt_error"), (F.round("mz_error", 3) + 0.0).alias("mz_error"))
+
+
+@query("pairs", f"select mz_rt_uid, round(greatest(0, rt_peak - (atlas_rt_peak - lo)), 4) as rt_min, round(rt_peak + (hi - atlas_rt_peak), 4) as rt_max from {_WINDOW}")
+def rt_window_shift(v):
+    return rounded(cu.rt_window_shift(cu.ms1_window_metrics(pairs(v)), v("atlas")).select("mz_rt_uid", "rt_min", "rt_max"))
+
+
+@query("pairs", """select mz_rt_uid, round(cast(rt as double), 4) as rt, round(max(val), 2) as max_i, round(avg(val), 2) as mean_i from (
+    select mz_rt_uid, filename, rt, coalesce(i, bi + (ai - bi) / nullif(art - brt, 0) * (cast(rt as double) - brt), 0) as val from (
+        select *, last_value(case when i is not null then cast(rt as double) end ignore nulls) over w as brt, last_value(i ignore nulls) over w as bi,
+               first_value(case when i is not null then cast(rt as double) end ignore nulls) over (partition by mz_rt_uid, filename order by rt rows between current row and unbounded following) as art,
+               first_value(i ignore nulls) over (partition by mz_rt_uid, filename order by rt rows between current row and unbounded following) as ai
+        from (select g.mz_rt_uid, f.filename, g.rt, p.i from (select distinct mz_rt_uid, rt from pairs where place % 20 = 0) g join (select distinct mz_rt_uid, filename from pairs where place % 20 = 0) f on g.mz_rt_uid = f.mz_rt_uid
+              left join (select mz_rt_uid, filename, rt, max(cast(i as double)) as i from pairs where place % 20 = 0 group by 1, 2, 3) p on p.mz_rt_uid = g.mz_rt_uid and p.filename = f.filename and p.rt = g.rt) t
+        window w as (partition by mz_rt_uid, filename order by rt rows between unbounded preceding and current row)) u) x group by mz_rt_uid, rt""".replace(" where place % 20 = 0", ""))
+def eic_traces(v):
+    t = cu.eic_traces(pairs(v))
+    return t.select("mz_rt_uid", F.round(F.col("rt").cast("double"), 4).alias("rt"), F.round("max_i", 2).alias("max_i"), F.round("mean_i", 2).alias("mean_i"))
+
+
+@query()
+def suggest_rt_bounds(v):
+    return rounded(cu.suggest_rt_bounds(cu.eic_traces(pairs(v)), v("atlas")))
+
+
+def curated(v) -> DataFrame:
+    """The curation table of what was found, with notes by place and an index."""
+    a = v("atlas").withColumns({"formula": F.lit(""), "polarity": F.lit("positive")})
+    table = cu.curation_table(a, cu.rt_window_shift(cu.ms1_window_metrics(pairs(v)), a), at.isomer_pairs(a))
+    notes = F.when(F.col("place") % 4 == 1, "1.0, good match").when(F.col("place") % 4 == 2, "-1.0, poor match, should remove").otherwise("0.5, single ion match, no evidence")
+    table = table.withColumns({"ms2_notes": notes, "isomer_details": F.to_json("isomers")})
+    return summary.compound_index(table, ["place"])
+
+
+@query("pairs atlas", f"select a.mz_rt_uid, w.mz is not null as passed_autoid, round(coalesce(w.rt_peak, a.rt_peak), 4) as rt_peak, round(a.rt_peak, 4) as atlas_rt_peak, round(case when w.mz is null then a.rt_min else greatest(0, w.rt_peak - (w.atlas_rt_peak - lo)) end, 4) as rt_min from atlas a left join {_WINDOW} on a.mz_rt_uid = w.mz_rt_uid")
+def curation_table(v):
+    return rounded(curated(v).select("mz_rt_uid", "passed_autoid", "rt_peak", "atlas_rt_peak", "rt_min"))
+
+
+# Summaries
+
+_GROUP = "string_split(filename, '_')[13]"
+_TOP = "(select *, row_number() over (partition by mz_rt_uid order by peak_height desc nulls last, filename) as n from metrics) t"
+
+
+@query("metrics atlas", f"select t.mz_rt_uid, filename as best_ms1_file, round(peak_height, 4) as best_ms1_intensity, round((mz_centroid - a.mz) / a.mz * 1e6, 3) + 0.0 as best_ms1_ppm_error, round(t.rt_peak - a.rt_peak, 4) + 0.0 as best_ms1_rt_error from {_TOP} join atlas a on a.mz_rt_uid = t.mz_rt_uid where n = 1")
+def best_ms1_file(v):
+    b = summary.best_ms1_file(metrics(v), v("atlas"))
+    return b.select("mz_rt_uid", "best_ms1_file", F.round("best_ms1_intensity", 4).alias("best_ms1_intensity"), (F.round("best_ms1_ppm_error", 3) + 0.0).alias("best_ms1_ppm_error"), (F.round("best_ms1_rt_error", 4) + 0.0).alias("best_ms1_rt_error"))
+
+
+@query("metrics atlas", f"select a.mz_rt_uid, t.filename as best_ms1_file from atlas a left join (select * from {_TOP} where n = 1) t on a.mz_rt_uid = t.mz_rt_uid")
+def merge_best_ms1(v):
+    return summary.merge_best_ms1(v("atlas").drop("mz", "rt_peak"), summary.best_ms1_file(metrics(v), v("atlas"))).select("mz_rt_uid", "best_ms1_file")
+
+
+@query("metrics", f"select mz_rt_uid, round(avg(mz_centroid), 4) as top3_mz from {_TOP} where n <= 3 group by 1")
+def top3_mz_average(v):
+    return rounded(summary.top3_mz_average(metrics(v)))
+
+
+@query(_MS2 + " pairs atlas", f"select a.mz_rt_uid, coalesce(p.n, 0) as ms1_points, coalesce(s.n, 0) as ms2_scans, coalesce(h.n, 0) as ms2_hits from atlas a left join (select mz_rt_uid, count(*) as n from pairs group by 1) p on p.mz_rt_uid = a.mz_rt_uid left join (select mz_rt_uid, count(*) as n from ms2_pairs group by 1) s on s.mz_rt_uid = a.mz_rt_uid left join (select mz_rt_uid, count(*) as n from {_HITS} where rank <= 20 group by 1) h on h.mz_rt_uid = a.mz_rt_uid")
+def identification_summary(v):
+    return summary.identification_summary(pairs(v), with_hits(v), v("atlas"))
+
+
+@query("atlas", "select mz_rt_uid, row_number() over (order by place desc) as compound_index from atlas")
+def compound_index(v):
+    return summary.compound_index(v("atlas"), [F.desc("place")]).select("mz_rt_uid", F.col("compound_index").cast("long").alias("compound_index"))
+
+
+@query("metrics", f"select mz_rt_uid, filename from {_TOP} where n = 1")
+def dedup_first(v):
+    return at.dedup_first(metrics(v), ["mz_rt_uid"], [F.desc("peak_height"), "filename"]).select("mz_rt_uid", "filename")
+
+
+@query("metrics", "select mz_rt_uid, regexp_replace(filename, '\\.[^.]*$', '') as stem, round(peak_height, 4) as height from metrics")
+def pivot_metric(v):
+    index = summary.compound_index(v("atlas"), ["place"])
+    wide = summary.pivot_metric(metrics(v), index, "peak_height")
+    keys = ["compound_index", "mz_rt_uid", "compound_name", "inchi_key", "adduct"]
+    return rounded(wide.unpivot(keys, [c for c in wide.columns if c not in keys], "stem", "height").where("height is not null").select("mz_rt_uid", "stem", "height"))
+
+
+_SAMPLE = "(filename not like '%ExCtrl%' and filename not like '%InjBL%')"
+_FILTER = f"(select mz_rt_uid, case when s is not null and (c is null or s >= 3 * c) then 'keep' else 'remove' end as control_filter, s from (select mz_rt_uid, max(case when {_SAMPLE} then peak_height end) as s, max(case when not {_SAMPLE} then peak_height end) as c from metrics group by 1) t) k"
+
+
+@query("metrics", f"select mz_rt_uid, control_filter from {_FILTER}")
+def control_filter(v):
+    return summary.control_filter(metrics(v))
+
+
+_COLLAPSED = f"(select a.inchi_key, a.compound_name, k.control_filter, m.filename, max(m.peak_height) as peak_height from metrics m join atlas a on a.mz_rt_uid = m.mz_rt_uid join {_FILTER} on k.mz_rt_uid = m.mz_rt_uid group by 1, 2, 3, 4) h"
+_CHOSEN = f"(select a.inchi_key, a.compound_name, k.control_filter, first(a.mz_rt_uid order by k.s desc nulls last, a.place) as mz_rt_uid from atlas a join {_FILTER} on k.mz_rt_uid = a.mz_rt_uid group by 1, 2, 3) c"
+
+
+def indexed(v) -> DataFrame:
+    """The atlas as a curation table in which both adducts of a compound share an InChIKey."""
+    return summary.compound_index(v("atlas").withColumn("inchi_key", F.col("compound_name")), ["place"])
+
+
+_BY_NAME = lambda sql: sql.replace("a.inchi_key", "a.compound_name as inchi_key")
+
+
+@query("metrics atlas", f"select h.inchi_key, h.control_filter, h.filename, round(h.peak_height, 4) as peak_height, c.mz_rt_uid from {_BY_NAME(_COLLAPSED)} join {_BY_NAME(_CHOSEN)} on c.inchi_key = h.inchi_key and c.control_filter = h.control_filter")
+def collapse_adducts(v):
+    m = reused(metrics(v))
+    return rounded(summary.collapse_adducts(m, indexed(v), summary.control_filter(m)).select("inchi_key", "control_filter", "filename", "peak_height", "mz_rt_uid"))
+
+
+@query("metrics", "select k.mz_rt_uid, f.filename, round(coalesce(m.peak_height, (select min(peak_height) from metrics)), 4) as peak_height from (select distinct mz_rt_uid from metrics) k cross join (select distinct filename from metrics) f left join metrics m on m.mz_rt_uid = k.mz_rt_uid and m.filename = f.filename")
+def impute_global_min(v):
+    return rounded(summary.impute_global_min(reused(metrics(v)).select("mz_rt_uid", "filename", "peak_height"), ["mz_rt_uid"]))
+
+
+_FILTERED = f"(select c.inchi_key, c.compound_name, c.control_filter, c.mz_rt_uid, f.filename, coalesce(h.peak_height, (select min(peak_height) from {_BY_NAME(_COLLAPSED)})) as peak_height from {_BY_NAME(_CHOSEN)} cross join (select distinct filename from metrics) f left join {_BY_NAME(_COLLAPSED)} on h.inchi_key = c.inchi_key and h.control_filter = c.control_filter and h.filename = f.filename) z"
+
+
+@query("metrics atlas", f"select mz_rt_uid, inchi_key, control_filter, filename, round(peak_height, 4) as peak_height from {_FILTERED}")
+def filtered_peak_heights(v):
+    return rounded(summary.filtered_peak_heights(reused(metrics(v)), indexed(v)).select("mz_rt_uid", "inchi_key", "control_filter", "filename", "peak_height"))
+
+
+_MEANS = f"(select mz_rt_uid, {_GROUP} as g, avg(peak_height) as m from metrics group by 1, 2)"
+
+
+@query("metrics", f"select mz_rt_uid, g as file_group, round(m, 4) as mean_height from {_MEANS}")
+def group_means(v):
+    return rounded(summary.group_means(metrics(v), ["mz_rt_uid"]))
+
+
+_LFC = f"(select a.mz_rt_uid, a.g as condition_1, b.g as condition_2, case when a.m > 0 and b.m > 0 then log2(a.m / b.m) end as log2_fold_change from {_MEANS} a join {_MEANS} b on a.mz_rt_uid = b.mz_rt_uid and a.g < b.g) l"
+
+
+def fold_changes(v) -> DataFrame:
+    return summary.log_fold_change(summary.group_means(metrics(v), ["mz_rt_uid"]), ["mz_rt_uid"])
+
+
+@query("metrics", f"select mz_rt_uid, condition_1, condition_2, round(log2_fold_change, 4) + 0.0 as log2_fold_change from {_LFC}")
+def log_fold_change(v):
+    return fold_changes(v).withColumn("log2_fold_change", F.round("log2_fold_change", 4) + 0.0)
+
+
+@query("metrics", f"select mz_rt_uid, condition_1, condition_2, round(log2_fold_change, 4) + 0.0 as log2_fold_change from {_LFC} where condition_2 = 'groupB'")
+def melt_lfc(v):
+    long = fold_changes(v).where("condition_2 = 'groupB'").withColumn("pair", F.concat_ws("_vs_", "condition_1", "condition_2"))
+    wide = long.groupBy("mz_rt_uid").pivot("pair", ["ExCtrl_vs_groupB", "InjBL_vs_groupB", "QC_vs_groupB", "groupA_vs_groupB"]).agg(F.first("log2_fold_change"))
+    return summary.melt_lfc(wide, ["mz_rt_uid"]).where("log2_fold_change is not null").withColumn("log2_fold_change", F.round("log2_fold_change", 4) + 0.0)
+
+
+def both_polarities(v) -> DataFrame:
+    """Filtered heights of either polarity's points."""
+    sides = []
+    for p in (1, 0):
+        m = reused(ex.per_file_peak_metrics(joins.join_ms1_to_atlas(v("points").where(F.col("polarity") == p), windows(v))))
+        sides.append(summary.filtered_peak_heights(m, indexed(v)))
+    return reused(summary.union_polarities(*sides))
+
+
+@query()
+def union_polarities(v):
+    return both_polarities(v).groupBy("polarity", "filename").agg(F.count("*").alias("n"), F.round(F.sum("peak_height"), 2).alias("total"))
+
+
+@query()
+def best_polarity_row(v):
+    return rounded(summary.best_polarity_row(both_polarities(v)))
+
+
+@query()
+def merged_polarity_table(v):
+    ids = library.id_map(v("part").select(F.concat(F.lit("cpd"), "p_partkey").alias("id"), F.concat(F.lit("cmp"), F.col("p_partkey") % 100).alias("inchi_key")))
+    return rounded(summary.merged_polarity_table(both_polarities(v), ids))
+
+
+@query()
+def merged_polarity_lfc(v):
+    merged = summary.merged_polarity_table(both_polarities(v), library.id_map(v("part").select(F.concat(F.lit("cpd"), "p_partkey").alias("id"), F.concat(F.lit("cmp"), F.col("p_partkey") % 100).alias("inchi_key"))))
+    return rounded(summary.merged_polarity_lfc(merged))
+
+
+_BOX = f"(select mz_rt_uid, {_GROUP} as file_group, count(*) as n, quantile_cont(peak_height, 0.25) as q1, median(peak_height) as med, quantile_cont(peak_height, 0.75) as q3 from metrics group by 1, 2) b"
+
+
+@query("metrics", f"select b.mz_rt_uid, b.file_group, any_value(b.n) as n, round(any_value(q1), 3) as q1, round(any_value(med), 3) as median, round(any_value(q3), 3) as q3, round(min(m.peak_height), 3) as whisker_low, round(max(m.peak_height), 3) as whisker_high from {_BOX} join metrics m on m.mz_rt_uid = b.mz_rt_uid and {_GROUP.replace('filename', 'm.filename')} = b.file_group and m.peak_height between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) group by 1, 2")
+def boxplot_stats(v):
+    return rounded(summary.boxplot_stats(metrics(v)), 3)
+
+
+# Scores
+
+_ERR = "(select t.mz_rt_uid, t.filename, (mz_centroid - a.mz) / a.mz * 1e6 as ppm, mz_centroid - a.mz as da, t.rt_peak - a.rt_peak as rt from metrics t join atlas a on a.mz_rt_uid = t.mz_rt_uid) e"
+
+
+def errors(v) -> DataFrame:
+    m = metrics(v).join(v("atlas").select("mz_rt_uid", F.col("mz").alias("t_mz"), F.col("rt_peak").alias("t_rt")), "mz_rt_uid")
+    return m.select("mz_rt_uid", "filename", scores.ppm_error(F.col("mz_centroid"), F.col("t_mz"), True).alias("ppm"), scores.da_error(F.col("mz_centroid"), F.col("t_mz"), True).alias("da"), scores.rt_error(F.col("rt_peak"), F.col("t_rt"), True).alias("rt"))
+
+
+@query("metrics atlas", f"select mz_rt_uid, filename, round(ppm, 3) + 0.0 as ppm, round(da, 4) + 0.0 as da, round(rt, 4) + 0.0 as rt from {_ERR}")
+def ppm_error(v):
+    return errors(v).select("mz_rt_uid", "filename", (F.round("ppm", 3) + 0.0).alias("ppm"), (F.round("da", 4) + 0.0).alias("da"), (F.round("rt", 4) + 0.0).alias("rt"))
+
+
+@query("metrics atlas", f"select q as mz_quality, count(*) as n from (select case when abs(3 * ppm) <= 5 or abs(3 * da) <= 0.0015 then 1.0 when abs(3 * ppm) <= 10 then 0.5 else 0.0 end::double as q from {_ERR}) group by 1")
+def mz_quality(v):
+    return errors(v).groupBy(scores.mz_quality(3 * F.col("ppm"), 3 * F.col("da")).alias("mz_quality")).agg(F.count("*").alias("n"))
+
+
+@query("metrics atlas", f"select chrom, q as rt_quality, count(*) as n from (select 'c18' as chrom, case when abs(rt) <= 0.25 then 1.0 when abs(rt) <= 0.5 then 0.5 else 0.0 end::double as q from {_ERR} union all select 'c18-lipid', case when abs(rt) <= 0.5 then 1.0 when abs(rt) <= 2 then 0.5 else 0.0 end::double from {_ERR}) group by 1, 2")
+def rt_quality(v):
+    both = errors(v).withColumn("chrom", F.explode(F.array(F.lit("c18"), F.lit("c18-lipid"))))
+    return both.groupBy("chrom", scores.rt_quality(F.col("rt"), F.col("chrom")).alias("rt_quality")).agg(F.count("*").alias("n"))
+
+
+@query("curation", "select mz_rt_uid, try_cast(split_part(ms2_notes, ',', 1) as double) as msms_quality from curation")
+def msms_quality(v):
+    return v("curation").select("mz_rt_uid", scores.msms_quality(F.col("ms2_notes")).alias("msms_quality"))
+
+
+_THREE = "(select mz_rt_uid, try_cast(split_part(ms2_notes, ',', 1) as double) as s, case when place % 3 = 0 then 1.0 when place % 3 = 1 then 0.5 end::double as m, case when place % 2 = 0 then 1.0 else 0.5 end::double as r from curation) q"
+
+
+@query("curation", f"select mz_rt_uid, coalesce(s, 0) + coalesce(m, 0) + coalesce(r, 0) as total_score, case when s = -1 then 'REMOVE, INVALIDATED BY BAD MSMS MATCH' when list_median < 1 then 'putative' when coalesce(s, 0) + coalesce(m, 0) + coalesce(r, 0) = 3 then 'Exceeds Level 1' else 'Level 1' end as msi_level from (select *, list_aggregate(list_filter([s, m, r], lambda x: x is not null), 'median') as list_median from {_THREE})")
+def total_score_msi(v):
+    s, m = scores.msms_quality(F.col("ms2_notes")), F.when(F.col("place") % 3 == 0, 1.0).when(F.col("place") % 3 == 1, 0.5)
+    r = F.when(F.col("place") % 2 == 0, 1.0).otherwise(0.5)
+    return v("curation").select("mz_rt_uid", scores.total_score(s, m, r).alias("total_score"), scores.msi_level(m, r, s).alias("msi_level"))
+
+
+# Scalar functions over table rows
+
+
+@query("", "select p_partkey, case when p_partkey % 3 = 0 then p_name when p_partkey % 3 = 1 then 'Undefined' else p_brand end as synonym from part")
+def pick_synonym(v):
+    lists = F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit("CHEMBL12"), F.concat(F.lit("a much longer name than "), "p_name"), "p_name")).when(F.col("p_partkey") % 3 == 1, F.array(F.lit("ZINC001"), F.lit("Hand Cream"), F.lit("12-34"))).otherwise(F.array("p_brand"))
+    return v("part").select("p_partkey", values.pick_synonym(lists).alias("synonym"))
+
+
+@query("", "select p_partkey, case when p_partkey % 2 = 0 then cast(p_partkey as varchar) || '-10-5' end as cas from part")
+def find_cas(v):
+    key = F.col("p_partkey").cast("string")
+    lists = F.when(F.col("p_partkey") % 2 == 0, F.array(F.col("p_name"), F.concat(key, F.lit("-10-5")), F.lit("1-2-3"))).otherwise(F.array(F.col("p_name"), F.lit("a-b")))
+    return v("part").select("p_partkey", values.find_cas(lists).alias("cas"))
+
+
+@query("ms2_peaks", "select scan_id, string_agg(printf('%.3f', cast(frag_mz as double)), ',' order by frag_mz) as ions from ms2_peaks group by 1")
+def format_ions(v):
+    return v("ms2_peaks").groupBy("scan_id").agg(values.format_ions(F.array_sort(F.collect_list("frag_mz"))).alias("ions"))
+
+
+@query("atlas", "select mz_rt_uid, '[[' || cast(place as varchar) || '],[' || cast(place + 1 as varchar) || ']]' as spectrum from atlas")
+def spectrum_json(v):
+    return v("atlas").select("mz_rt_uid", values.spectrum_json(F.array("place"), F.array(F.col("place") + 1)).alias("spectrum"))
+
+
+@query("", "select o_orderkey, case when o_orderkey % 4 in (0, 1) then 1 else 0 end::bigint as n, case when o_orderkey % 4 in (0, 1) then cast(o_custkey as double) end as score from orders")
+def hits_json_decode(v):
+    one = F.format_string('{"ref_id":"r","score":%d}', "o_custkey")
+    k = F.col("o_orderkey") % 4
+    text = F.when(k == 0, one).when(k == 1, F.concat(F.lit("["), one, F.lit("]"))).when(k == 2, "None").otherwise("[{bad")
+    hits = values.hits_json_decode(text)
+    good = F.filter(hits, lambda h: h.score.isNotNull())
+    return v("orders").select("o_orderkey", F.size(good).cast("long").alias("n"), F.get(good, F.lit(0))["score"].alias("score"))
+
+
+@query("", "select o_orderkey, case when o_orderkey % 3 > 0 then null else cast(o_custkey as double) end as x from orders")
+def json_safe(v):
+    k = F.col("o_orderkey") % 3
+    x = F.when(k == 1, F.lit(float("nan"))).when(k == 2, F.lit(float("inf"))).otherwise(F.col("o_custkey").cast("double"))
+    return v("orders").select("o_orderkey", values.json_safe(x).alias("x"))
+
+
+@query("", "select l_orderkey, l_linenumber, case when l_linenumber = 1 then 'CE102040' when l_linenumber = 2 then 'CE205060' else 'CE' || cast(cast(l_quantity as integer) as varchar) end as label from lineitem")
+def collision_energy_label(v):
+    e = F.when(F.col("l_linenumber") == 1, 23.3333).when(F.col("l_linenumber") == 2, 43.3333).otherwise(F.col("l_quantity").cast("double"))
+    return v("lineitem").select("l_orderkey", "l_linenumber", values.collision_energy_label(e).alias("label"))
+
+
+@query("", "select p_partkey, p_name from part")
+def strip_nonchars(v):
+    return v("part").select("p_partkey", values.strip_nonchars(F.concat(F.lit("\ufdd0"), "p_name", F.lit("\ufffe"), F.lit("\U0001ffff"))).alias("p_name"))
+
+
+@query("points", "select filename, round(sum(round(cast(mz as double), 1)), 1) as total from points group by 1")
+def round_mz(v):
+    return v("points").groupBy("filename").agg(F.round(F.sum(F.get(values.round_list(F.array(F.col("mz").cast("double")), 1), F.lit(0))), 1).alias("total"))
+
+
+@query("", "select p_partkey, case when p_partkey % 3 = 0 then cast(p_size as double) end as x, p_partkey % 3 <> 0 as missing, case when p_partkey % 2 = 0 then 1 else 0 end::bigint as n from part")
+def safe_float(v):
+    k = F.col("p_partkey")
+    text = F.when(k % 3 == 0, F.col("p_size").cast("string")).when(k % 3 == 1, "NaN").otherwise(F.col("p_name"))
+    listed = values.as_list(F.when(k % 2 == 0, F.array("p_size")), "int")
+    return v("part").select("p_partkey", values.safe_float(text).alias("x"), values.safe_isnan(text).alias("missing"), F.size(listed).cast("long").alias("n"))
+
+
+# Result datasets
+
+VALUES = {"project_name": "20240101_JGI_PI_505162_Proj_final_IDX_HILICZ_USX1", "chromatography": "HILICZ", "polarity": "POS", "analysis_type": "EMA", "analysis_name": "main"}
+
+
+def best_ms2(v) -> DataFrame:
+    best = spectra.best_ms2_hit(with_hits(v))
+    return best.select("mz_rt_uid", F.col("filename").alias("msms_file"), F.col("scan_rt").cast("double").alias("msms_rt"), F.col("best_score").alias("msms_score"), F.col("best_ions").alias("msms_numberofions"), F.lit("").alias("msms_matchingions"))
+
+
+def quality(v) -> DataFrame:
+    table = curated(v)
+    overlaps = at.overlapping_compounds(table, order="place")
+    return summary.final_identifications(table, summary.best_ms1_file(metrics(v), v("atlas")), best_ms2(v), overlaps, "HILICZ")
+
+
+@query("pairs metrics atlas", f"""select a.mz_rt_uid, round(w.rt_peak, 2) as x, t.filename as max_intensity_file, round(a.mz, 4) as mz_theoretical, round(t.rt_peak, 2) as rt_measured,
+    case a.place % 4 when 1 then 1.0 when 2 then -1.0 else 0.5 end::double as msms_quality from atlas a left join {_WINDOW} on w.mz_rt_uid = a.mz_rt_uid left join (select * from {_TOP} where n = 1) t on t.mz_rt_uid = a.mz_rt_uid""".replace("round(w.rt_peak, 2) as x, ", ""))
+def final_identifications(v):
+    return quality(v).select("mz_rt_uid", "max_intensity_file", "mz_theoretical", "rt_measured", "msms_quality")
+
+
+def file_table(v) -> DataFrame:
+    best = summary.best_ms1_file(metrics(v), v("atlas"))
+    q = quality(v).drop("rt_error", "mz_error").join(best, "mz_rt_uid", "left").join(v("atlas").select("mz_rt_uid", F.col("mz").alias("atlas_mz"), F.col("rt_peak").alias("atlas_rt_peak")), "mz_rt_uid")
+    return results.compound_file_table(summary.with_file_group(metrics(v)), q, best_ms2(v))
+
+
+def lfc_table(v) -> DataFrame:
+    m = reused(metrics(v))
+    changes = summary.log_fold_change(summary.group_means(m, ["mz_rt_uid"]), ["mz_rt_uid"])
+    best = summary.best_ms1_file(m, v("atlas"))
+    q = v("atlas").select("mz_rt_uid", "inchi_key", "compound_name", "adduct", F.col("mz").alias("atlas_mz"), F.col("rt_peak").alias("atlas_rt_peak"), F.lit("keep").alias("ms1_notes")).join(best, "mz_rt_uid", "left")
+    return results.compound_lfc_table(changes, q, best_ms2(v))
+
+
+@query("metrics atlas", f"select t.mz_rt_uid, t.filename, {_GROUP.replace('filename', 't.filename')} as file_group, round(t.peak_height, 4) as peak_height, a.mz as atlas_mz, round(abs(t.mz_centroid - a.mz) / a.mz * 1e6, 3) as mz_ppmerror, round(abs(t.rt_peak - a.rt_peak), 4) as rt_error from metrics t join atlas a on a.mz_rt_uid = t.mz_rt_uid")
+def compound_file_table(v):
+    return file_table(v).select("mz_rt_uid", "filename", "file_group", F.round("peak_height", 4).alias("peak_height"), "atlas_mz", F.round("mz_ppmerror", 3).alias("mz_ppmerror"), F.round("rt_error", 4).alias("rt_error"))
+
+
+@query("metrics atlas", f"select l.mz_rt_uid, condition_1, condition_2, round(log2_fold_change, 4) + 0.0 as log2_fold_change, a.inchi_key, a.mz as atlas_mz from {_LFC} join atlas a on a.mz_rt_uid = l.mz_rt_uid")
+def compound_lfc_table(v):
+    return lfc_table(v).select("mz_rt_uid", "condition_1", "condition_2", (F.round("log2_fold_change", 4) + 0.0).alias("log2_fold_change"), "inchi_key", "atlas_mz")
+
+
+_WIDE = f"(select l.mz_rt_uid, condition_1, condition_2, log2_fold_change, a.mz as atlas_mz, a.adduct from {_LFC} join atlas a on a.mz_rt_uid = l.mz_rt_uid) d"
+_KEPT = ("mz_rt_uid", "condition_1", "condition_2")
+
+
+@query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where (log2_fold_change >= 0.5 or log2_fold_change <= -0.5) and atlas_mz >= 300 and atlas_mz <= 700 and adduct in ('[M+H]+') and condition_1 = 'groupA'")
+def param_query(v):
+    return results.param_query(lfc_table(v), {"grain": "compound_lfc", "log2_fold_change_abs_min": 0.5, "atlas_mz_min": 300, "atlas_mz_max": 700, "adduct_in": "[M+H]+", "condition_1": "groupA", "no_such_column": 1}).select(*_KEPT)
+
+
+@query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where condition_1 = 'groupA' and condition_2 = 'groupB'")
+def param_query_pair(v):
+    return results.param_query(lfc_table(v), {"condition_pair": ["groupB", "groupA"]}).select(*_KEPT)
+
+
+@query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where condition_1 = 'groupA' and condition_2 = 'groupB' and log2_fold_change <= -0.3")
+def param_query_directional(v):
+    return results.param_query(lfc_table(v), {"lfc_directional_min": {"treatment": "groupB", "control": "groupA", "threshold": 0.3}}).select(*_KEPT)
+
+
+@query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where log2_fold_change > -0.4 and log2_fold_change < 0.4 and condition_2 in ('groupB', 'groupC')")
+def param_query_sql(v):
+    table = lfc_table(v)
+    table.createOrReplaceTempView("compound_lfc")
+    return table.sparkSession.sql(results.param_query_sql(table.columns, {"log2_fold_change_abs_lt": 0.4, "condition_2_in": ["groupB", "groupC"]})).select(*_KEPT)
+
+
+@query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where log2_fold_change > 1 or log2_fold_change < -1")
+def param_query_named(v):
+    text = "queries:\n  strong:\n    log2_fold_change_abs_gt: 1.0\n"
+    return results.param_query_named({"compound_lfc": lfc_table(v)}, text, "strong").select(*_KEPT)
+
+
+@query("metrics atlas", f"select a.compound_name as inchi_key, last(k.control_filter order by a.place) as control_filter from {_FILTER} join atlas a on a.mz_rt_uid = k.mz_rt_uid group by 1")
+def control_filter_lookup(v):
+    rows = summary.control_filter(metrics(v)).join(indexed(v).select("mz_rt_uid", "inchi_key", "compound_index"), "mz_rt_uid")
+    return results.control_filter_lookup(rows)
+
+
+@query("metrics", "select mz_rt_uid, filename, 'HILICZ' as chromatography, 'main' as analysis_name from metrics")
+def with_partition_columns(v):
+    return results.with_partition_columns(metrics(v).select("mz_rt_uid", "filename"), VALUES).select("mz_rt_uid", "filename", "chromatography", "analysis_name")
+
+
+@query("metrics atlas", f"select condition_1, condition_2, 'POS' as polarity, count(*) as n from {_LFC} group by 1, 2")
+def write_result_datasets(v):
+    table = reused(lfc_table(v))
+    base = scratch(table.sparkSession, "results")
+    for _ in range(2):  # the second run replaces the same partitions
+        results.write_result_datasets({"compound_lfc": table}, base, VALUES)
+    return results.read_result_dataset(table.sparkSession, base, "compound_lfc").groupBy("condition_1", "condition_2", "polarity").agg(F.count("*").alias("n"))
+
+
+@query()
+def schema_map(v):
+    lfc = lfc_table(v)
+    return results.schema_map(lfc.sparkSession, {"compound_lfc": results.with_partition_columns(lfc.drop("polarity"), VALUES)})
+
+
+@query("metrics", "select 'POS' as polarity, count(*) as n from metrics")
+def result_footer_fields(v):
+    m = metrics(v)
+    return results.result_footer_fields(m.sparkSession, VALUES).select("polarity").crossJoin(m.agg(F.count("*").alias("n")))
+
+
+@query("metrics atlas", "select mz_rt_uid, filename from metrics")
+def sort_for_pruning(v):
+    return results.sort_for_pruning(metrics(v).join(v("atlas").select("mz_rt_uid", F.col("mz").alias("atlas_mz")), "mz_rt_uid"), ["atlas_mz"]).select("mz_rt_uid", "filename")
+
+
+# Stored tables
+
+_RUN = {"project_name": "p", "rt_alignment_number": 1, "analysis_number": 2}
+
+
+def stored_tables(v) -> tuple[dict[str, DataFrame], str]:
+    hits = with_hits(v).select("mz_rt_uid", "filename", "scan_rt", "in_feature", "hits")
+    spark = hits.sparkSession
+    base = scratch(spark, "tables")
+    points.write_analysis_tables({"ms1": pairs(v).select("mz_rt_uid", "filename", "rt", "mz", "i", "in_feature"), "ms2": hits, "curation": v("curation")}, base, _RUN)
+    return {t: spark.read.parquet(f"{base}/{t}") for t in ("ms1", "ms2", "curation")}, base
+
+
+@query("ms2_pairs pairs curation", "select 'ms1' as name, count(*) as n from pairs union all select 'ms2', count(*) from ms2_pairs union all select 'curation', count(*) from curation")
+def write_analysis_tables(v):
+    tables, _ = stored_tables(v)
+    counts = [df.agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t, df in tables.items()]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+@query("pairs", "select filename, count(*) as n from pairs where in_feature group by 1")
+def replace_analysis_points(v):
+    tables, base = stored_tables(v)
+    kept = tables["ms1"].where("in_feature")
+    other = scratch(kept.sparkSession, "replaced")
+    kept.write.parquet(other)
+    points.replace_analysis_points(kept.sparkSession.read.schema(kept.schema).parquet(other), base, "ms1")
+    return kept.sparkSession.read.schema(kept.schema).parquet(f"{base}/ms1").groupBy("filename").agg(F.count("*").alias("n"))
+
+
+@query(_MS2 + " curation", f"select s.mz_rt_uid, count(*) as scans, cast(coalesce(sum(h.n), 0) as bigint) as hits from ms2_pairs s left join (select scan_id, count(*) as n from {_HITS} where rank <= 20 group by 1) h on h.scan_id = s.scan_id || '/' || s.mz_rt_uid where s.mz_rt_uid in (select mz_rt_uid from curation where balance > 0) group by 1")
+def load_analysis_data(v):
+    tables, _ = stored_tables(v)
+    data = points.load_analysis_data(tables, 1, 2, v("curation").where("balance > 0").select("mz_rt_uid"))
+    return data["ms2"].groupBy("mz_rt_uid").agg(F.count("*").alias("scans"), F.sum(F.size("hits")).alias("hits"))
+
+
+@query(_MS2 + " pairs", f"select mz_rt_uid, count(*) as n from pairs where mz_rt_uid in (select mz_rt_uid from pairs group by 1 having count(*) >= 40 and max(i) >= 95000) or mz_rt_uid in (select mz_rt_uid from {_HITS} group by 1 having max(score) >= 0.9 and max(num_matches) >= 20) group by 1")
+def apply_override_filters(v):
+    ms1, _, _ = points.apply_override_filters(pairs(v), with_hits(v), v("curation"), 40, 95000.0, 0.9, 20)
+    return ms1.groupBy("mz_rt_uid").agg(F.count("*").alias("n"))
+
+
+@query("atlas", "select mz_rt_uid, compound_name, round(rt_peak, 4) as rt_peak from atlas")
+def export_atlas(v):
+    flat = v("atlas").withColumn("atlas_uid", F.concat(F.lit("atlas-"), (F.col("place") % 3).cast("string")))
+    path = scratch(flat.sparkSession, "atlas")
+    library.export_atlas(flat, path)
+    return rounded(library.read_exported_atlas(flat.sparkSession, path).select("mz_rt_uid", "compound_name", "rt_peak"))
+
+
+@query("curation", "select mz_rt_uid, ms2_notes from curation where ms2_notes <> ''")
+def export_curation(v):
+    path = scratch(v("curation").sparkSession, "curation")
+    library.export_curation(v("curation").withColumn("isomers", F.array(F.struct("mz_rt_uid"))), path)
+    return v("curation").sparkSession.read.csv(path, header=True).where("ms2_notes is not null").select("mz_rt_uid", "ms2_notes")
+
+
+@query("metrics", "select count(distinct mz_rt_uid) as compounds from metrics")
+def write_data_sheets(v):
+    wide = summary.pivot_metric(metrics(v), summary.compound_index(v("atlas"), ["place"]), "peak_area")
+    base = scratch(wide.sparkSession, "sheets")
+    library.write_data_sheets({"peak_area": wide}, base)
+    return wide.sparkSession.read.csv(f"{base}/peak_area", header=True).agg(F.count("*").alias("compounds"))
+
+
+# Streams
+
+
+@query("pairs", "select mz_rt_uid, count(*) as n, count(*) filter (in_feature) as inside from pairs group by 1")
+def stream_extract(v):
+    p = v("points").select("filename", "mz", "rt", "i", "polarity")
+    spark = p.sparkSession
+    source, target = scratch(spark, "stream-in"), scratch(spark, "stream-out")
+    p.repartition(4).write.parquet(source)
+    streams.stream_extract(spark, source, windows(v), target, scratch(spark, "stream-check")).awaitTermination()
+    return spark.read.parquet(target).groupBy("mz_rt_uid").agg(F.count("*").alias("n"), F.count_if("in_feature").alias("inside"))
+
+
+@query("curation", "select mz_rt_uid, coalesce(e.note, c.ms1_notes) as ms1_notes from curation c left join (select user_id % 200 as place, arg_max(event_type, event_id) as note from events group by 1) e on e.place = c.place")
+def stream_curation_updates(v):
+    spark = v("curation").sparkSession
+    edits, table = scratch(spark, "edits"), scratch(spark, "table")
+    rows = v("events").select(F.concat(F.lit("mzrt-"), (F.col("user_id") % 200).cast("string")).alias("mz_rt_uid"), F.col("event_type").alias("ms1_notes"), F.col("event_id").cast("long").alias("edit_seq"))
+    rows.repartition(3).write.parquet(edits)
+    v("curation").withColumn("edit_seq", F.lit(-1).cast("long")).write.parquet(f"{table}/v=0")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(edits)
+    streams.stream_curation_updates(stream, table, ("ms1_notes",), scratch(spark, "edits-check")).awaitTermination()
+    last = spark.read.parquet(table)
+    return last.where(F.col("v") == last.agg(F.max("v")).first()[0]).select("mz_rt_uid", "ms1_notes")
+
+
+@query("pairs", "select distinct filename, polarity from pairs where filename not like '%QC%'")
+def skip_done(v):
+    wanted = pairs(v).select("filename", "polarity").distinct()
+    return points.skip_done(wanted, wanted.where(F.contains("filename", F.lit("QC"))), ["filename", "polarity"])
