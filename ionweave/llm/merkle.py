@@ -82,7 +82,7 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
 
 
 def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """df with `bucket`: ranges of the key, about equally full, higher for higher keys."""
+    """df with `__bucket`: ranges of the key, about equally full, higher for higher keys."""
     q = min(QUANTILES, buckets)
     inner = max(1, -(-buckets // q))
     cuts = df.agg(F.percentile_approx(key, [i / q for i in range(1, q)] or [0.5], 10_000).alias("c"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
@@ -90,10 +90,10 @@ def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     edges = F.array(*(F.lit(b).cast("long") for b in bounds))
     at = F.size(F.filter(edges, lambda b: b <= F.col(key)))
     if inner == 1:
-        return df.withColumn("bucket", at)
+        return df.withColumn("__bucket", at)
     low, high = F.get(edges, at - 1).cast("double"), F.coalesce(F.get(edges, at), F.get(edges, at - 1) + 1).cast("double")
     part = F.least(F.lit(inner - 1), F.floor((F.col(key) - low) / F.greatest(high - low, F.lit(1.0)) * inner))
-    return df.withColumn("bucket", (at * inner + part).cast("int"))
+    return df.withColumn("__bucket", (at * inner + part).cast("int"))
 
 
 def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None = None) -> DataFrame:
@@ -104,13 +104,13 @@ def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None =
     buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _bucketed(df.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST))), "__key", buckets)
     # one short row for each range
-    heads = rows.groupBy("bucket").agg(F.max("__key").alias("__key"))
-    above = F.lag("bucket").over(Window.orderBy(F.desc("bucket")))
-    last = F.min("bucket").over(Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = rows.groupBy("__bucket").agg(F.max("__key").alias("__key"))
+    above = F.lag("__bucket").over(Window.orderBy(F.desc("__bucket")))
+    last = F.min("__bucket").over(Window.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("__key", F.coalesce(above, last).alias("above"), above.isNull().alias("wraps"))
-    ghosts = rows.join(F.broadcast(heads), "__key").withColumn("bucket", F.col("above")).drop("above")
+    ghosts = rows.join(F.broadcast(heads), "__key").withColumn("__bucket", F.col("above")).drop("above")
     ghosts = ghosts.withColumn("__ghost", F.when(F.col("wraps"), 2).otherwise(1)).drop("wraps")
     both = rows.withColumn("__ghost", F.lit(0)).unionByName(ghosts)
-    order = Window.partitionBy("bucket").orderBy("__ghost", F.desc("__key"), F.xxhash64(*carried))
+    order = Window.partitionBy("__bucket").orderBy("__ghost", F.desc("__key"), F.xxhash64(*carried))
     both = both.withColumn("__next", F.lead(F.struct(*carried)).over(order)).where("__ghost = 0")
-    return both.withColumns({f"next_{c}": F.col(f"__next.{c}") for c in carried}).drop("__next", "__ghost", "__key", "bucket")
+    return both.withColumns({f"next_{c}": F.col(f"__next.{c}") for c in carried}).drop("__next", "__ghost", "__key", "__bucket")
