@@ -109,4 +109,41 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op8_main_text": op8_main_text, "op9_perplexity": op9_perplexity, "op10_bpe": op10_bpe}
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_CONTROL = r"regexp_replace({t}, '<(\\*)\|', '<\\\1|', 'g')"
+_LEAVES = f"""list_transform(string_split(coalesce({{t}}, ''), chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: list_transform(
+    flatten(list_transform(list_filter(string_split(regexp_replace(p, '([.!?]) ', '\\1' || chr(0) || ' ', 'g'), chr(0)), lambda x: true), lambda x: case when length(x) > {merkle.LONG} then regexp_extract_all(x, '(?s).{{{{1,{merkle.PIECE}}}}}') else [x] end)), lambda x: sha256(x))))"""
+_ROOT = "sha256('r' || array_to_string(list_transform({l}, lambda s: sha256('s' || array_to_string(list_transform(s, lambda p: sha256('p' || array_to_string(p, ''))), ''))), ''))"
+_NEAR = "cast(len(list_intersect({a}, {b})) as double) / (len(list_distinct({a})) + len(list_distinct({b})) - len(list_intersect({a}, {b})))"
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_fingerprints": f"""
+        with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n_chars from documents),
+        n as (select *, coalesce(lead(text) over (order by doc_id desc), first_value(text) over (order by doc_id desc)) as next from d),
+        e as (select *, left(text, n_chars - n_chars // 3) || left(next, n_chars // 3) as edited from n),
+        t as (select *, {_LEAVES.format(t='text')} as l, {_LEAVES.format(t='edited')} as el, {_LEAVES.format(t='next')} as nl from e),
+        f as (select *, flatten(flatten(l)) as a, flatten(flatten(el)) as b, flatten(flatten(nl)) as c from t)
+        select doc_id, n_chars, sha256(edited) as edited_sha256, {_ROOT.format(l='l')} as fingerprint, {_ROOT.format(l='el')} as edited_fingerprint,
+               {_NEAR.format(a='a', b='b')} as near_edited, {_NEAR.format(a='a', b='c')} as near_next from f""",
+    "op5_decontaminate": f"""
+        with w as (select doc_id, {_WORDS.format(t="coalesce(text, '')")} as words from documents),
+        b as (select item_id, {_WORDS.format(t="coalesce(text, '')")} as words from benchmark),
+        p as (select distinct item_id, array_to_string(words[i : i + 12], ' ') as p, least(len(words), {decontam.WINDOW}) as n from (select *, unnest(range(1, greatest(2, len(words) - 11))) as i from b where len(words) > 0) x),
+        g as (select distinct n from p),
+        o as (select doc_id, i, g.n, array_to_string(words[i : i + g.n - 1], ' ') as p from (select doc_id, words, unnest(range(1, len(words) + 1)) as i from w) x cross join g where i + g.n - 1 <= len(words)),
+        h as (select o.doc_id, o.i, o.n, p.item_id from o join p on o.p = p.p and o.n = p.n),
+        c as (select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + n)) as k from h) x group by 1),
+        t as (select doc_id, count(*) as n_items, string_agg(k, ',' order by k) as items from (select distinct doc_id, cast(item_id as varchar) as k from h) x group by 1)
+        select w.doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+        from w left join c on c.doc_id = w.doc_id left join t on t.doc_id = w.doc_id""",
+    "op7_chat": f"""
+        with c as (select conv_id, turn, role, coalesce(text, '') as text from conversations union all
+                   select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+        o as (select *, lag(role) over (partition by conv_id order by turn) as before from c)
+        select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars, sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+               cast(sum(length(role) + length({_CONTROL.format(t='text')}) + {len("<|im_start|>") + len("<|im_end|>") + 2}) as bigint) as formatted_chars,
+               bool_and(case role when 'system' then before is null when 'user' then before is null or before in ('system', 'assistant') when 'assistant' then before = 'user' else false end) as valid
+        from o group by conv_id""",
+}
