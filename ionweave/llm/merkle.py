@@ -99,9 +99,9 @@ def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None = None) -> DataFrame:
     """df with next_<c> for each carried column: its value in the row of the next lower key; after the lowest comes the highest.
 
-    Rows are dealt to ranges of the key, so one shuffle does; the first row of each range also goes, as a ghost, to the
+    Rows are dealt to ranges of the key, a few for each shuffle partition, so one shuffle does; the first row of each range also goes, as a ghost, to the
     range above it. Null keys are lowest; rows of one key stand in the order of their hashes."""
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = _bucketed(df.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST))), "__key", buckets)
     # one short row for each range
     heads = rows.groupBy("__bucket").agg(F.max("__key").alias("__key"))
