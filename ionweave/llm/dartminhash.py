@@ -9,10 +9,12 @@ of 3e-6.
 Equal texts are one node. In each bucket of a band the nodes stand in the order of the coordinates after the band, so
 that similar ones are near. A node's signature is compared, a byte per coordinate, with those of up to REACH nodes before
 it; the NEAREST of them, if their signatures agree in more than LEAST of the coordinates, are candidates, and so is the
-lowest node of a bucket that is longer than that. Never are all pairs of a bucket made, and its cost grows with its rows.
-Exact Jaccard similarity of the shingle sets confirms a link, and connected components make classes. Apart stays only a
-node for which, in all bands that it shares with its partners, over NEAREST others seem nearer than each of them and
-none of these is linked, or which is over REACH away in a bucket of thousands.
+lowest node of a bucket that is longer than that. Exact Jaccard similarity of the shingle sets confirms a link, and
+connected components make first classes. This first pass sees all pairs of a bucket of NEAREST + 1 nodes. In a longer
+bucket with nodes of several first classes all pairs of different classes are then compared by signature, block against
+block, and those that agree in more than LEAST are confirmed as well, unless they have been joined. So a pair is found whenever
+it shares a band, however many others seem nearer; the cost grows with a bucket's rows where one class holds nearly all of
+them, and with their square only where they are that alike and still not linked.
 
 Null texts count as empty; texts without words have only exact copies. Ties go to the lowest doc_id. Repeated rows are
 copies of each other. Other columns aren't read."""
@@ -35,6 +37,8 @@ COORDINATES, BANDS = 96, 24
 #: Nodes of a bucket before it with which a node's signature is compared, the most that become candidates, and the share
 #: of coordinates that has to agree for that (six standard deviations below 0.8).
 REACH, NEAREST, LEAST = 512, 6, 0.55
+#: Nodes of a block, about, where the blocks of a bucket are compared with each other.
+BLOCK = 256
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 _C = [mix64(np.array([i], np.uint64))[0] for i in range(101, 108)]
 
@@ -170,10 +174,11 @@ def nearest_before(bucket: np.ndarray, signature: np.ndarray, first: int) -> tup
 
 
 def _neighbours(member: DataFrame) -> DataFrame:
-    """(id, other): the nearest of those before it for each member (bucket, order, id, signature) of a bucket.
+    """(id, other): the nearest of those before it for each member (bucket, order, id, n, signature) of a bucket of n.
 
-    Rows are sorted by ranges over all partitions, so no bucket is one task's; a partition streams its rows with the last
-    REACH in hand, and gives the outermost ones away too, to be compared across the boundary."""
+    Rows are sorted by ranges over all partitions, so no long bucket is one task's, and one of NEAREST + 1 rows or less is
+    never cut; a partition streams its rows with the last REACH in hand, and gives the outermost ones away too, to be
+    compared across the boundary. What is missed there is left to `_blocks`."""
     parts = int(member.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["bucket", "order", "id"]
 
@@ -203,7 +208,9 @@ def _neighbours(member: DataFrame) -> DataFrame:
         if len(ids):
             yield out(ids[-NEAREST:], ids[-NEAREST:], 2, bucket[-NEAREST:], signature[-NEAREST:])
 
-    ordered = member.select(*order, "signature").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    long = F.col("n") > NEAREST + 1
+    ranges = member.repartitionByRange(parts, "bucket", F.when(long, F.col("order")), F.when(long, F.col("id")))
+    ordered = ranges.select(*order, "signature").sortWithinPartitions(*order)
     found = stored(ordered.mapInArrow(run, "id long, other long, part long, place long, bucket long, signature binary"), "neighbours")
     # a few rows for each partition
     ends = found.where("place > 0").withColumn("part", F.dense_rank().over(Window.orderBy("part")))
@@ -212,6 +219,84 @@ def _neighbours(member: DataFrame) -> DataFrame:
     return found.where("place = 0").select("id", "other").unionByName(heads.join(tails, ["part", "bucket"]).select("id", "other"))
 
 
+def _blocks(member: DataFrame, label: DataFrame) -> DataFrame:
+    """(id, bucket, component, block, x, y): the nodes of each two blocks x <= y that are to be compared, in buckets of over
+    NEAREST + 1 nodes and several components.
+
+    member: id, bucket, n. label: id, component. The largest component of a bucket has blocks of its own, which are compared
+    with those of all others but not with each other; the others are compared among themselves too."""
+    member = member.where(F.col("n") > NEAREST + 1).select("id", "bucket").join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    counts = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    most = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n")).where("n > most.n")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    most = stored(most.select("bucket", F.col("most.component").alias("largest"), blocks(F.col("most.n")).alias("inner"), blocks(F.col("n") - F.col("most.n")).alias("outer")), "buckets")
+
+    mine = F.col("component") == F.col("largest")
+    rows = member.join(most, "bucket").withColumn("block", F.when(mine, F.pmod(F.xxhash64("id"), "inner")).otherwise(F.col("inner") + F.pmod(F.xxhash64("id"), "outer")).cast("int"))
+    met = F.sequence(F.when(mine, F.col("inner")).otherwise(F.lit(0)), F.col("inner") + F.col("outer") - 1)
+    return rows.withColumn("met", F.explode(met)).select("id", "bucket", "component", "block", F.least("block", "met").alias("x"), F.greatest("block", "met").alias("y"))
+
+
+def _pairs_apart(table: pa.Table):
+    """(row, other rows) of two blocks: nodes of different components that agree in more than LEAST of the coordinates, in the
+    first bucket that they share."""
+    bucket, x, y = (table.column(c)[0].as_py() for c in ("bucket", "x", "y"))
+    block, ids, component = (table.column(c).to_numpy() for c in ("block", "id", "component"))
+    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+    bands = np.array(table.column("bands").to_pylist(), np.int64)
+    right = np.flatnonzero(block == y)
+    for i in np.flatnonzero(block == x):
+        j = right[(component[right] != component[i]) & ((ids[right] < ids[i]) | (x != y))]
+        j = j[(signature[j] == signature[i]).sum(1) > int(LEAST * signature.shape[1])]
+        if len(j):
+            j = j[bands[i][(bands[j] == bands[i]).argmax(1)] == bucket]
+        if len(j):
+            yield i, j
+
+
+def _rest(blocks: DataFrame) -> DataFrame:
+    """The rows of `blocks` (with bands and signature) that have a pair to be confirmed, once each."""
+
+    def run(table: pa.Table) -> pa.Table:
+        has = np.zeros(len(table), bool)
+        for i, j in _pairs_apart(table):
+            has[i] = has[j] = True
+        return table.filter(pa.array(has))
+
+    return blocks.groupBy("bucket", "x", "y").applyInArrow(run, blocks.schema)
+
+
+def _confirmed_blocks(rest: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) among the pairs of `rest` (with text), but those that join what its block pair has joined already.
+
+    Pairs are made within a task and never are rows, and a block pair gets the text of a node once."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sets: list[np.ndarray] = []
+        for row, end, data, offsets in text_blocks(table.column("text"), 512 << 10):
+            element, at = shingles(data, offsets)
+            sets += [np.unique(element[at[i] : at[i + 1]]) for i in range(end - row)]
+        words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        sets = np.split(flat, np.cumsum([len(s) for s in sets])[:-1])
+        sizes = np.array([len(s) for s in sets])
+        ids, group = table.column("id").to_numpy(), table.column("component").to_numpy().copy()
+        have, found = np.zeros(len(words), bool), []
+        for i, others in _pairs_apart(table):
+            have[:] = False
+            have[sets[i]] = True
+            for j in others:
+                if group[i] != group[j]:
+                    common = np.count_nonzero(have[sets[j]])
+                    near = common / (sizes[i] + sizes[j] - common)
+                    if near >= threshold:
+                        found.append((max(ids[i], ids[j]), min(ids[i], ids[j]), near))
+                        group[group == group[j]] = group[i]
+        a, b, near = list(zip(*found)) or [()] * 3
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(near, pa.float64())], names=["a", "b", "similarity"])
+
+    return rest.groupBy("bucket", "x", "y").applyInArrow(run, "a long, b long, similarity double")
+
+
 def _confirmed(pairs: DataFrame, threshold: float) -> DataFrame:
     """The rows (a, b, text_a, text_b) whose shingle sets are similar enough, with `similarity`."""
 
@@ -241,7 +326,8 @@ def text_key(text: str):
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, node (key of the text), component (key of its class), class_id (its
     lowest doc_id),
-    class_size (rows), n_links (confirmed links of its text to other texts that it was compared with), keep (true for the rows with the lowest doc_id of a class)."""
+    class_size (rows), n_links (confirmed links of its text to other texts that it was compared with; a lower bound, as links
+    within a class are not all looked for), keep (true for the rows with the lowest doc_id of a class)."""
     keyed = docs.select(F.col("doc_id").cast("long"), text_key("text").alias("node"), "text")
     rows = stored(_signed(keyed, BANDS), "signed")
     first = F.first(F.struct("bands", "orders", "signature")).alias("s")
@@ -255,15 +341,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pairs = _neighbours(member.join(signature, "id")).unionByName(member.where(F.col("n") > REACH).select("id", F.col("lowest").alias("other")))
     pairs = stored(pairs.where("other <> id").select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct(), "pairs")
 
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(wanted, "id", "left_semi").select("id", "node", F.col("doc_id").alias("first"))
-    texts = keyed.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("first")))
-    texts = stored(texts.dropDuplicates(["id"]).select("id", "text"), "texts")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        wanted = nodes.join(wanted, "id", "left_semi").select("id", "node", F.col("doc_id").alias("first"))
+        texts = keyed.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("first")))
+        return stored(texts.dropDuplicates(["id"]).select("id", "text"), "texts")
+
+    texts = texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
     links = stored(_confirmed(both, threshold), "links")
+    label = stored(components(links), "labels")
+    rest = stored(_rest(_blocks(member, label).join(nodes.select("id", "s.bands", "s.signature"), "id")), "rest")
+    if not rest.isEmpty():
+        more = _confirmed_blocks(rest.join(texts_of(rest.select("id").distinct()), "id"), threshold)
+        links = links.unionByName(stored(more, "more-links"))
+        label = components(links)
 
     ends = links.select("a").union(links.select("b")).toDF("id").groupBy("id").agg(F.count("*").alias("n_links"))
-    class_of = nodes.select("id", "node", "doc_id", "n").join(components(links), "id", "left").join(ends, "id", "left")
+    class_of = nodes.select("id", "node", "doc_id", "n").join(label, "id", "left").join(ends, "id", "left")
     class_of = stored(class_of.select("node", "doc_id", "n", F.coalesce("component", "id").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
     total = class_of.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
     class_of = class_of.join(total, "component").select("node", "component", "class_id", "class_size", "n_links")

@@ -205,6 +205,24 @@ def test_near_duplicates_equal_brute_force(spark, shape):
     assert sorted(r.doc_id for r in dartminhash.deduplicated(df).collect()) == sorted(set(want))
 
 
+def test_near_duplicates_among_many_that_are_nearly_as_near(spark, monkeypatch):
+    """Pairs at 0.805 to 0.82 among hundreds of texts at 0.79, which share one long passage."""
+    monkeypatch.setattr(dartminhash, "BLOCK", 50)
+    rng = random.Random(16)
+    word = lambda: "w" + str(rng.randrange(10**9))
+    passage = [word() for _ in range(304)]
+    texts = []
+    for i in range(30):
+        shared = [word() for _ in range(4 + i % 4)]
+        texts += [" ".join([*passage, *shared, *(word() for _ in range(40 - len(shared)))]) for _ in range(2)]
+    texts += [" ".join([*passage, *(word() for _ in range(40))]) for _ in range(340)]
+    rng.shuffle(texts)
+    got = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = brute_classes(texts)
+    assert len(set(want)) == 370
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_deduplication_leaves_one_row_of_odd_ones(spark, odd):
     left = dartminhash.deduplicated(odd.select("doc_id", "text", "lang", "source"))
     texts = [r.text for r in left.collect()]
