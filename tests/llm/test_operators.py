@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ionweave.llm import bpe, chat, common, dartminhash, decontam, graph, htmlx, langid, merkle, ngramlm, quality, records
+from ionweave.llm import bpe, chat, common, dartminhash, decontam, graph, langid, merkle, ngramlm, quality, records
 from ionweave.llm import queries as q
 
 SF = "/root/testdata/sf0.001"
@@ -364,23 +364,6 @@ def test_chat_digests_and_machine(spark):
     assert chat.digests(chat.format_turns(df.limit(0))).count() == 0
 
 
-PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var x="</p>";</script></head><body class="page"><header>Site</header><nav><ul><li><a href="/">Home</a></li></ul></nav>
-<div class="ad">Buy</div><{box}><h1>Head {n}</h1><p>First&nbsp;&amp; <b>bold</b>   text {n}.<p>Second<br>line<!-- no --><div class="comments"><p>Nice</p></div><form><p>Mail</p></form></{box}>
-<aside>Other</aside><footer>&copy; x</footer></body></html>"""
-
-
-@pytest.mark.parametrize("box", ["article", 'div class="story"'])
-def test_main_text(spark, box):
-    page = PAGE.replace("</{box}>", "</" + box.split()[0] + ">").replace("<{box}>", f"<{box}>")
-    more = " ".join(["word"] * 60)
-    rows = [(i, f"http://h.example/{i}", page.format(n=f"{i} {more}", box=box)) for i in range(6)] + [(10, None, None), (11, "::bad", ""), (12, "http://one.example/", "<p>Only <i>this</i>"), (12, "http://one.example/", "<p>Only <i>this</i>")]
-    got = [(r.page_id, r.text) for r in htmlx.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))).collect()]
-    assert len(got) == len(rows)
-    texts = dict(got)
-    assert texts[3] == f"Head 3 {more}\nFirst & bold text 3 {more}.\nSecond line"
-    assert texts[10] == texts[11] == "" and texts[12] == "Only this"
-
-
 def test_language_model_equals_brute_force(spark, docs):
     import math
 
