@@ -25,9 +25,11 @@ _PIECE = 1 << 20
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the session's spark.checkpoint.dir, which driver and executors share.
 
-    Only where that is unset (a local session, as in tests) a temporary folder of this machine takes its place."""
+    Where that is unset, a local session takes a temporary folder of this machine; on a cluster it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
@@ -141,20 +143,42 @@ def _hash_piece(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return s, e, mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * GOLDEN)
 
 
+def _long_hash(data: np.ndarray, table: np.ndarray) -> int:
+    """Hash of one word of more than a piece, a piece at a time."""
+    digest = hashlib.sha256()
+    for at in range(0, len(data), _PIECE):
+        digest.update(table[data[at : at + _PIECE]].astype("<u2").tobytes())
+    return int.from_bytes(digest.digest()[:8], "little")
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and 64-bit hashes of all words of a block.
 
-    A block longer than two pieces is cut at separators (a word longer than a piece is cut too), so memory stays bounded."""
+    A block longer than two pieces is cut at separators and where rows begin, so memory stays bounded; a word without any in
+    two pieces stays whole, and every word of more than a piece has a hash of its own kind, wherever it stands."""
     first = np.zeros(len(data), bool)
     first[offsets[:-1][offsets[:-1] < len(data)]] = True
     found, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))], 0
     while at < len(data):
         to = min(len(data), at + 2 * _PIECE)
         values = table[data[at:to]]
-        if to < len(data) and len(gaps := np.flatnonzero(values == 0)):
-            to = at + int(gaps[-1]) + 1
-            values = values[: to - at]
+        if to < len(data):
+            cut = max((int(x[-1]) + at + more for x, more in ((np.flatnonzero(values == 0), 1), (np.flatnonzero(first[at + 1 : to]) + 1, 0)) if len(x)), default=0)
+            if not cut:
+                # one word; it goes on to the next separator or row
+                while to < len(data):
+                    stop = np.flatnonzero((table[data[to : to + _PIECE]] == 0) | first[to : to + _PIECE])
+                    if len(stop):
+                        to += int(stop[0])
+                        break
+                    to = min(len(data), to + _PIECE)
+                found.append((np.array([at]), np.array([to]), np.array([_long_hash(data[at:to], table)], np.uint64)))
+                at = to
+                continue
+            to, values = cut, values[: cut - at]
         s, e, h = _hash_piece(values, first[at:to])
+        for i in np.flatnonzero(e - s > _PIECE):
+            h[i] = _long_hash(data[at + s[i] : at + e[i]], table)
         found.append((s + at, e + at, h))
         at = to
     return tuple(np.concatenate(c) for c in zip(*found))

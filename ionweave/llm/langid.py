@@ -38,13 +38,11 @@ def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     sizes = np.diff(offsets)
     counts = -(-sizes // WINDOW)
     row = np.repeat(np.arange(len(sizes)), counts)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    begin = offsets[:-1][row] + nth * WINDOW
-    padded = np.concatenate([folded(data), np.zeros(WINDOW, np.uint8)])
-    out = padded[begin[:, None] + np.arange(WINDOW)]
-    left = offsets[1:][row] - begin
-    out[np.arange(WINDOW) >= left[:, None]] = 0
-    return out, row
+    out = np.zeros(len(row) * WINDOW, np.uint8)
+    lower = folded(data)
+    for to, a, b in zip(((np.cumsum(counts) - counts) * WINDOW).tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+        out[to : to + b - a] = lower[a:b]
+    return out.reshape(-1, WINDOW), row
 
 
 class Network:
@@ -122,13 +120,18 @@ class Network:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> tuple[list[str], Network | None]:
-    """Languages and a network trained on windows of at most about `sample` texts of each; null labels and texts are left out."""
-    usable = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and length(text) > 0")
-    counts = sorted((r.lang, r.n) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect())
+    """Languages and a network trained on windows of at most about `sample` different texts of each; null labels and texts are left out.
+
+    Copies count as one text of a language, so neither the sample nor its languages depend on how often a text is repeated.
+    A language always keeps the text of its lowest hash."""
+    usable = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and length(text) > 0").withColumn("h", F.xxhash64("text"))
+    different = F.approx_count_distinct("h", 0.02)
+    counts = sorted((r.lang, r.n, r.low) for r in usable.groupBy("lang").agg(different.alias("n"), F.min("h").alias("low")).collect())
     if not counts:
         return [], None
-    share = F.create_map(*(F.lit(x) for k, n in counts for x in (k, int(min(1.0, sample / n) * (1 << 20)) + 1)))
-    chosen = usable.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")])
+    share = F.create_map(*(F.lit(x) for k, n, _ in counts for x in (k, int(min(1.0, sample / n) * (1 << 20)) + 1)))
+    low = F.create_map(*(F.lit(x) for k, _, h in counts for x in (k, h)))
+    chosen = usable.where((F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")]) | (F.col("h") == low[F.col("lang")])).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def cut(batches):
         for batch in batches:
@@ -159,8 +162,10 @@ def classify_block(langs: list[str], net: Network, data: np.ndarray, offsets: np
     p = np.exp(mean - mean.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
     best = p.argmax(1)
-    letters = np.diff(np.concatenate([[0], np.cumsum(_LETTER[data])])[offsets])
-    blank = [i for i in np.flatnonzero(letters == 0).tolist() if not any(c.isalpha() for c in texts[i].as_py() or "")]
+    filled, letters = np.flatnonzero(np.diff(offsets)), np.zeros(rows, bool)
+    if len(filled):
+        letters[filled] = np.logical_or.reduceat(_LETTER[data], offsets[filled])
+    blank = [i for i in np.flatnonzero(~letters).tolist() if not any(c.isalpha() for c in texts[i].as_py() or "")]
     names, score = [langs[i] for i in best], p[np.arange(rows), best]
     for i in blank:
         names[i] = UNKNOWN

@@ -67,6 +67,38 @@ def test_long_blocks_are_hashed_as_short_ones(monkeypatch):
     assert (common.word_hashes(data, offsets, common.ALNUM)[0] == whole).all()
 
 
+@pytest.mark.parametrize("unit", ["abcdefg1", "\u6f22\u5b57\u4eec\u3042"])
+def test_long_words_stay_whole(unit):
+    """3 MB without a blank, between short words and across rows, as the library and a plain split have them."""
+    from tokenizers import Tokenizer
+
+    long = unit * (3_000_000 // len(unit.encode()))
+    texts = ["one " + long + " two", long, long[: len(long) // 2], "two", long + "x"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    h, at = common.word_hashes(data, offsets, common.BLANK)
+    assert np.diff(at).tolist() == [len(t.split()) for t in texts]
+    assert h[1] == h[3] and h[2] == h[5] and len(set(h.tolist())) == 5
+    path = tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    got = records.WordTokenizer(path).encode(data, offsets)
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_at_every_cut(monkeypatch):
+    rng = random.Random(20)
+    texts = ["".join(rng.choice(["a", "b", " ", "\u00e9"]) * rng.choice([1, 1, 1, 30]) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    monkeypatch.setattr(common, "_PIECE", 16)
+    monkeypatch.setattr(common, "_powers", [])
+    (_, _, data, offsets), = common.text_blocks(pa.array(texts), 1 << 20)
+    h, at = common.word_hashes(data, offsets, common.BLANK)
+    want = [t.split(" ") for t in texts]
+    want = [[w for w in ws if w] for ws in want]
+    assert np.diff(at).tolist() == [len(w) for w in want]
+    flat = [w for ws in want for w in ws]
+    assert len(set(zip(flat, h.tolist()))) == len(set(flat)) == len(set(h.tolist()))
+
+
 def test_bpe_equals_the_library(spark, odd):
     from tokenizers import Tokenizer
 
@@ -291,6 +323,21 @@ def test_language_on_held_out_texts(spark):
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97 and all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_sample_counts_copies_once(spark):
+    rows = [(prose(random.Random(1), "en", 30), "en")] * 900 + [(prose(random.Random(i), "fr", 30), "fr") for i in range(40)] + [("solo", "xx")] * 500
+    df = spark.createDataFrame(rows, "text string, lang string")
+    langs, _ = langid.learn(df, sample=5)
+    assert langs == ["en", "fr", "xx"]
+
+
+def test_language_of_the_documents(spark, docs):
+    """Held-out accuracy on the given documents."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    langs, net = langid.learn(docs.where(~held))
+    got = langid.predict(docs.where(held & F.col("lang").isNotNull()), langs, net).select("lang", "lang_pred").collect()
+    assert len(got) > 20 and np.mean([r.lang == r.lang_pred for r in got]) > 0.95
+
+
 def test_language_of_odd_rows(spark, odd):
     langs, net = langid.learn(odd)
     rows = langid.predict(odd, langs, net).collect()
