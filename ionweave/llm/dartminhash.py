@@ -9,7 +9,7 @@ of 3e-6.
 Equal texts are one node. In each bucket of a band the nodes stand in the order of the coordinates after the band, so
 that similar ones are near. A node's signature is compared, a byte per coordinate, with those of up to REACH nodes before
 it; the NEAREST of them, if their signatures agree in more than LEAST of the coordinates, are candidates, and so is the
-lowest node of a bucket that is longer than that. Exact Jaccard similarity of the shingle sets confirms a link, and
+lowest node of a bucket that is longer than that. Exact Jaccard similarity of the (weighted) shingle sets confirms a link, and
 connected components make first classes. This first pass sees all pairs of a bucket of NEAREST + 1 nodes. In a longer
 bucket with nodes of several first classes all pairs of different classes are then compared by signature, block against
 block, and those that agree in more than LEAST are confirmed as well, unless they have been joined. So a pair is found whenever
@@ -131,20 +131,34 @@ def band_orders(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return np.ascontiguousarray(parts[:, :, 0::2] << 4 | parts[:, :, 1::2]).view(">i8").reshape(rows, bands).astype(np.int64)
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    total = len(a) + len(b) - common
+def counted(element: np.ndarray, at: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different shingles of each row in order, where each row's begin, and their weights: how often they occur, or 1."""
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    order = np.lexsort((element, row))
+    element, row = element[order], row[order]
+    fresh = np.ones(len(element), bool)
+    fresh[1:] = (element[1:] != element[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(fresh)
+    weight = np.diff(np.append(first, len(element))) if weighted else np.ones(len(first), np.int64)
+    return element[first], np.searchsorted(row[first], np.arange(len(at))), weight.astype(np.float64)
+
+
+def jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
+    """Sum of lower over sum of higher weights of two sets in order."""
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    common = float(np.minimum(wa[i], wb[j]).sum())
+    total = float(wa.sum() + wb.sum()) - common
     return common / total if total else 0.0
 
 
-def _signed(df: DataFrame, bands: int) -> DataFrame:
+def _signed(df: DataFrame, bands: int, weighted: bool) -> DataFrame:
     """(doc_id, node, bands, orders, signature) of (doc_id, node, text); the signature has a byte per coordinate."""
 
     def run(batches):
         for batch in batches:
             for row, end, data, offsets in text_blocks(batch.column(2)):
-                element, at = shingles(data, offsets)
-                signature = signatures(element, at)
+                element, at, weight = counted(*shingles(data, offsets), weighted)
+                signature = signatures(element, at, weight if weighted else None)
                 has = np.diff(at) > 0
                 ends = pa.array(np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(x[has].reshape(-1))) for x in (band_keys(signature, bands), band_orders(signature, bands))]
@@ -266,27 +280,29 @@ def _rest(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("bucket", "x", "y").applyInArrow(run, blocks.schema)
 
 
-def _confirmed_blocks(rest: DataFrame, threshold: float) -> DataFrame:
+def _confirmed_blocks(rest: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     """Links (a, b, similarity) among the pairs of `rest` (with text), but those that join what its block pair has joined already.
 
     Pairs are made within a task and never are rows, and a block pair gets the text of a node once."""
 
     def run(table: pa.Table) -> pa.Table:
         sets: list[np.ndarray] = []
-        for row, end, data, offsets in text_blocks(table.column("text"), 512 << 10):
-            element, at = shingles(data, offsets)
-            sets += [np.unique(element[at[i] : at[i + 1]]) for i in range(end - row)]
+        weights: list[np.ndarray] = []
+        for _, _, data, offsets in text_blocks(table.column("text"), 512 << 10):
+            element, at, weight = counted(*shingles(data, offsets), weighted)
+            sets += np.split(element, at[1:-1])
+            weights += np.split(weight, at[1:-1])
         words, flat = np.unique(np.concatenate(sets), return_inverse=True)
         sets = np.split(flat, np.cumsum([len(s) for s in sets])[:-1])
-        sizes = np.array([len(s) for s in sets])
+        sizes = np.array([w.sum() for w in weights])
         ids, group = table.column("id").to_numpy(), table.column("component").to_numpy().copy()
-        have, found = np.zeros(len(words), bool), []
+        have, found = np.zeros(len(words)), []
         for i, others in _pairs_apart(table):
-            have[:] = False
-            have[sets[i]] = True
+            have[:] = 0
+            have[sets[i]] = weights[i]
             for j in others:
                 if group[i] != group[j]:
-                    common = np.count_nonzero(have[sets[j]])
+                    common = np.minimum(have[sets[j]], weights[j]).sum()
                     near = common / (sizes[i] + sizes[j] - common)
                     if near >= threshold:
                         found.append((max(ids[i], ids[j]), min(ids[i], ids[j]), near))
@@ -297,20 +313,21 @@ def _confirmed_blocks(rest: DataFrame, threshold: float) -> DataFrame:
     return rest.groupBy("bucket", "x", "y").applyInArrow(run, "a long, b long, similarity double")
 
 
-def _confirmed(pairs: DataFrame, threshold: float) -> DataFrame:
+def _confirmed(pairs: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     """The rows (a, b, text_a, text_b) whose shingle sets are similar enough, with `similarity`."""
 
     def run(batches):
         for batch in batches:
             for row, end, data, offsets in text_blocks(batch.column(2), 512 << 10):
                 part = batch.slice(row, end - row)
-                left, at = shingles(data, offsets)
+                left, at, weight = counted(*shingles(data, offsets), weighted)
                 near = []
                 for row_b, end_b, data_b, offsets_b in text_blocks(part.column(3), 512 << 10):
-                    right, bt = shingles(data_b, offsets_b)
+                    right, bt, weight_b = counted(*shingles(data_b, offsets_b), weighted)
                     for i in range(row_b, end_b):
                         j = i - row_b
-                        near.append(jaccard(np.unique(left[at[i] : at[i + 1]]), np.unique(right[bt[j] : bt[j + 1]])))
+                        x, y = slice(at[i], at[i + 1]), slice(bt[j], bt[j + 1])
+                        near.append(jaccard(left[x], weight[x], right[y], weight_b[y]))
                 near = np.array(near)
                 good = pa.array(np.flatnonzero(near >= threshold))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(good), part.column(1).take(good), pa.array(near).take(good)], names=["a", "b", "similarity"])
@@ -323,13 +340,13 @@ def text_key(text: str):
     return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, node (key of the text), component (key of its class), class_id (its
-    lowest doc_id),
-    class_size (rows), n_links (confirmed links of its text to other texts that it was compared with; a lower bound, as links
-    within a class are not all looked for), keep (true for the rows with the lowest doc_id of a class)."""
+    lowest doc_id), class_size (rows), keep (true for the rows with the lowest doc_id of a class).
+
+    weighted: a shingle weighs as much as it has occurrences, in the signatures and in the similarity that confirms a link."""
     keyed = docs.select(F.col("doc_id").cast("long"), text_key("text").alias("node"), "text")
-    rows = stored(_signed(keyed, BANDS), "signed")
+    rows = stored(_signed(keyed, BANDS, weighted), "signed")
     first = F.first(F.struct("bands", "orders", "signature")).alias("s")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), first)
     nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
@@ -348,27 +365,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     texts = texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
-    links = stored(_confirmed(both, threshold), "links")
+    links = stored(_confirmed(both, threshold, weighted), "links")
     label = stored(components(links), "labels")
     rest = stored(_rest(_blocks(member, label).join(nodes.select("id", "s.bands", "s.signature"), "id")), "rest")
     if not rest.isEmpty():
-        more = _confirmed_blocks(rest.join(texts_of(rest.select("id").distinct()), "id"), threshold)
-        links = links.unionByName(stored(more, "more-links"))
-        label = components(links)
+        more = _confirmed_blocks(rest.join(texts_of(rest.select("id").distinct()), "id"), threshold, weighted)
+        label = components(links.unionByName(stored(more, "more-links")))
 
-    ends = links.select("a").union(links.select("b")).toDF("id").groupBy("id").agg(F.count("*").alias("n_links"))
-    class_of = nodes.select("id", "node", "doc_id", "n").join(label, "id", "left").join(ends, "id", "left")
-    class_of = stored(class_of.select("node", "doc_id", "n", F.coalesce("component", "id").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
+    class_of = nodes.select("id", "node", "doc_id", "n").join(label, "id", "left")
+    class_of = stored(class_of.select("node", "doc_id", "n", F.coalesce("component", "id").alias("component")), "classes")
     total = class_of.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
-    class_of = class_of.join(total, "component").select("node", "component", "class_id", "class_size", "n_links")
+    class_of = class_of.join(total, "component").select("node", "component", "class_id", "class_size")
     return rows.select("doc_id", "node").join(class_of, "node").select(
-        "doc_id", "node", "component", "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("keep")
+        "doc_id", "node", "component", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("keep")
     )
 
 
-def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
     """docs with one row left of each class, one with its lowest doc_id."""
-    found = near_duplicates(docs, threshold).where("keep")
+    found = near_duplicates(docs, threshold, weighted).where("keep")
     same = found.groupBy("component", "node").agg(F.count("*").alias("__rows"), F.min("class_id").alias("__lowest"))
     chosen = same.groupBy("component").agg(F.min(F.struct("node", "__rows", "__lowest")).alias("c")).select("c.*")
     chosen = stored(chosen.withColumnRenamed("node", "__node"), "chosen")

@@ -196,8 +196,11 @@ def shingle_sets(texts):
     return out
 
 
-def brute_classes(texts):
+def brute_classes(texts, weighted=False):
     sets, parent = shingle_sets(texts), list(range(len(texts)))
+    if weighted:
+        counts = [Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := real_words(t)) else Counter() for t in texts]
+        sets = [{(s, i) for s, n in c.items() for i in range(n)} for c in counts]
 
     def root(i):
         while parent[i] != i:
@@ -237,6 +240,38 @@ def test_near_duplicates_equal_brute_force(spark, shape):
     assert sorted(r.doc_id for r in dartminhash.deduplicated(df).collect()) == sorted(set(want))
 
 
+def test_weighted_near_duplicates_equal_brute_force(spark):
+    """Repeated lines: classes by weighted similarity differ from those by sets."""
+    rng, texts = random.Random(17), []
+    for _ in range(30):
+        a, b = prose(rng, "en", 40).split(), prose(rng, "en", 12).split()
+        texts += [" ".join(a + b * rng.randint(1, 12)) for _ in range(5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(df, weighted=True).collect()}
+    want = brute_classes(texts, weighted=True)
+    assert [got[i] for i in range(len(texts))] == want != brute_classes(texts)
+
+
+@pytest.mark.parametrize("parts", ["2", "23"])
+def test_near_duplicates_of_one_template_at_any_partitioning(spark, parts):
+    """Chains of pairs just above the threshold in texts of one template: all links are found, however rows are dealt."""
+    rng, groups = random.Random(18), 4
+    word = lambda: "w" + str(rng.randrange(10**9))
+    template, texts = [word() for _ in range(100)], []
+    for i in range(800):
+        g, k = i % groups, i // groups
+        t = list(template)
+        t[10], t[20], t[30], t[45], t[60], t[75] = f"g{g}x", f"g{g}y", f"g{g}z", f"a{g}x{(k + 1) // 2}", f"b{g}x{k // 2}", f"c{g}x{k}"
+        texts.append(" ".join(t))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert [got[i] for i in range(len(texts))] == [i % groups for i in range(len(texts))]
+
+
 def test_near_duplicates_among_many_that_are_nearly_as_near(spark, monkeypatch):
     """Pairs at 0.805 to 0.82 among hundreds of texts at 0.79, which share one long passage."""
     monkeypatch.setattr(dartminhash, "BLOCK", 50)
