@@ -74,13 +74,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), offsets
 
 
-def text_blocks(column: pa.Array, limit: int = _PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets from 0) of runs of whole rows of about `limit` bytes each."""
+def text_blocks(column: pa.Array, limit: int = _PIECE, rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets from 0) of runs of whole rows of about `limit` bytes and at most `rows` rows each."""
     data, offsets = text_bytes(column)
     row, n = 0, len(offsets) - 1
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
-        end = min(end, n)
+        end = min(end, n, row + rows)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
