@@ -25,6 +25,11 @@ def as_list(c: Column, element: str) -> Column:
     return F.coalesce(c, F.array().cast(f"array<{element}>"))
 
 
+def jsonable_list(c: Column) -> Column:
+    """Numbers of a list as doubles, which JSON can hold; [] for NULL."""
+    return F.transform(as_list(c, "double"), lambda x: x.cast("double"))
+
+
 def json_safe(c: Column) -> Column:
     """NULL for NaN and infinities."""
     return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)

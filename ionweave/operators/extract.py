@@ -19,6 +19,14 @@ def extract_all_runs(points: DataFrame, runs: DataFrame, targets: DataFrame, pol
     return join_ms1_to_atlas(points.join(runs, "filename", "left_semi"), targets)
 
 
+def union_files(parts: list[DataFrame]) -> DataFrame:
+    """Extracted tables of single runs, or of groups of them, as one; columns that a part lacks are NULL."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
 def attach_target_metadata(rows: DataFrame, atlas: DataFrame) -> DataFrame:
     rows = rows.drop("inchi_key", "adduct")
     return rows.join(atlas.select("mz_rt_uid", "inchi_key", "adduct"), "mz_rt_uid", "left")

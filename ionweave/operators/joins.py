@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of targets up to which they are broadcast; more are shuffled by bin.
-BROADCAST_ROWS = 500_000
+#: Bytes of targets, all columns and both bins counted, up to which they are broadcast; more are shuffled by bin.
+BROADCAST_BYTES = 64 << 20
+
+
+def _sizes(targets: DataFrame, low: str, high: str):
+    """One pass over the targets: their bytes about, the widest interval, and the outermost bounds."""
+    texts = [c for c, k in targets.dtypes if k == "string"]
+    length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(24 * len(targets.columns)))
+    wide = F.max(F.col(high).cast("double") - F.col(low).cast("double"))
+    return targets.agg(F.coalesce(2 * F.sum(length), F.lit(0)).alias("bytes"), wide.alias("w"), F.min(low).alias("lo"), F.max(high).alias("hi")).first()
 
 
 def expand_atlas_windows(atlas: DataFrame, ppm: float = 5.0, extra_time: float = 0.0) -> DataFrame:
@@ -24,14 +32,20 @@ def interval_join(points: DataFrame, targets: DataFrame, value: str, low: str, h
     """All (point, target) with low <= value <= high; NULL and NaN never match. how: inner or left_semi.
 
     Both sides are dealt to bins as wide as the widest interval, so a target has two bins at most and a point one: an
-    equi-join with a residual predicate. Targets are broadcast while they are few; the count is taken first."""
-    size = targets.agg(F.count("*").alias("n"), F.max(F.col(high).cast("double") - F.col(low).cast("double")).alias("w")).first()
+    equi-join with a residual predicate. The targets' size is taken first: they are broadcast while they are small, and
+    their outermost bounds go to the points as literals, which reach a Parquet scan."""
+    size = _sizes(targets, low, high)
     width = max(size.w or 0.0, 1e-9)
     at = lambda c: F.floor(F.col(c).cast("double") / width)
     binned = targets.where(F.col(low) <= F.col(high)).withColumn("__bin", F.explode(F.sequence(at(low), at(high))))
-    if size.n <= BROADCAST_ROWS:
+    if size.bytes <= BROADCAST_BYTES:
         binned = F.broadcast(binned)
-    usable = points.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("__bin", at(value))
+    usable = points.where(F.col(value).isNotNull() & ~F.isnan(value))
+    if size.lo is not None:
+        kind = dict(points.dtypes)[value]
+        # a bound that this type can't hold would cut too much, so only a bound of the same type is used
+        usable = usable.where(F.col(value).between(F.lit(size.lo).cast(kind), F.lit(size.hi).cast(kind))) if dict(targets.dtypes)[low] == kind else usable
+    usable = usable.withColumn("__bin", at(value))
     hit = (usable["__bin"] == binned["__bin"]) & (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))
     return usable.join(binned, hit, how).drop("__bin")
 
@@ -63,11 +77,11 @@ def join_ms2_to_atlas(points: DataFrame, targets: DataFrame, only_in_feature: bo
 
 def subset_points_to_windows(points: DataFrame, targets: DataFrame) -> DataFrame:
     """Points in at least one (m/z, rt) window."""
-    size = targets.agg(F.count("*").alias("n"), F.max(F.col("mz_max").cast("double") - F.col("mz_min").cast("double")).alias("w")).first()
+    size = _sizes(targets.select("mz_min", "mz_max", "rt_min_pad", "rt_max_pad"), "mz_min", "mz_max")
     width = max(size.w or 0.0, 1e-9)
     at = lambda c: F.floor(F.col(c).cast("double") / width)
     windows = targets.select("mz_min", "mz_max", "rt_min_pad", "rt_max_pad", F.explode(F.sequence(at("mz_min"), at("mz_max"))).alias("__target_bin"))
-    if size.n <= BROADCAST_ROWS:
+    if size.bytes <= BROADCAST_BYTES:
         windows = F.broadcast(windows)
     inside = (at("mz") == F.col("__target_bin")) & F.col("mz").between(F.col("mz_min"), F.col("mz_max")) & F.col("rt").between(F.col("rt_min_pad"), F.col("rt_max_pad"))
     return points.where(~F.isnan("mz")).join(windows, inside, "left_semi")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import spectrum_json
+
+LOG = logging.getLogger(__name__)
+
 # Columns of the two datasets and their partitions, in order.
 FILE_TEXT = (
     "mz_rt_uid compound_name identified_metabolite label inchi_key formula smiles inchi pubchem_cid iupac_name adduct best_ms1_file filename file_group ms1_notes "
@@ -44,10 +49,20 @@ def _errors(mz: Column, mz_t: Column, rt: Column, rt_t: Column) -> dict[str, Col
     return {"mz_theoretical": mz_t, "mz_measured": mz, "mz_error": F.abs(mz - mz_t), "mz_ppmerror": F.abs(ppm), "rt_theoretical": rt_t, "rt_error": F.abs(rt - rt_t)}
 
 
-def compound_file_table(metrics: DataFrame, quality: DataFrame, best_ms2: DataFrame) -> DataFrame:
-    """One row per compound and file: metrics with the compound's quality table and best MS2, in order of atlas_mz (NULL last)."""
+def _best_ms2_columns() -> dict[str, Column]:
+    """Signed errors of the best MS2 against the atlas, and its columns under the names of the identification table."""
+    mz, mz_t = F.col("best_ms2_mz"), F.col("atlas_mz")
+    errors = {"best_ms2_mz_ppm_error": (mz - mz_t) / F.nullif(mz_t, F.lit(0.0)) * 1e6, "best_ms2_mz_error_da": F.abs(mz - mz_t), "best_ms2_rt_error": F.col("best_ms2_rt") - F.col("atlas_rt_peak")}
+    names = {"msms_file": "best_ms2_file", "msms_rt": "best_ms2_rt", "msms_score": "best_ms2_score", "msms_numberofions": "best_ms2_num_ions", "msms_matchingions": "best_ms2_matching_ions"}
+    return errors | {k: F.col(c) for k, c in names.items()}
+
+
+def compound_file_table(metrics: DataFrame, quality: DataFrame, best_ms2: DataFrame, ms1_wide: DataFrame) -> DataFrame:
+    """One row per compound and file: metrics with the compound's quality table, best MS2 and MS1 spectrum, in order of atlas_mz (NULL last)."""
     rows = metrics.join(quality.drop(*(c for c in quality.columns if c in metrics.columns and c != "mz_rt_uid")), "mz_rt_uid", "left")
     rows = rows.join(best_ms2.drop(*(c for c in best_ms2.columns if c in rows.columns and c != "mz_rt_uid")), "mz_rt_uid", "left")
+    spectrum = ms1_wide.select("mz_rt_uid", "filename", spectrum_json(F.col("points.rt"), F.col("points.i")).alias("ms1_spectrum_rt_i"))
+    rows = rows.join(spectrum, ["mz_rt_uid", "filename"], "left").withColumns(_best_ms2_columns())
     rows = rows.withColumns(_errors(F.col("mz_centroid"), F.col("atlas_mz"), F.col("rt_peak"), F.col("atlas_rt_peak")))
     return sort_for_pruning(conform(rows.withColumns({"measured_mz": F.col("mz_centroid"), "measured_rt": F.col("rt_peak")}), "compound_file"), ["atlas_mz"])
 
@@ -56,7 +71,7 @@ def compound_lfc_table(lfc: DataFrame, quality: DataFrame, best_ms2: DataFrame)
     """One row per compound and pair of conditions, in order of the conditions and atlas_mz (NULL last)."""
     rows = lfc.join(quality.drop(*(c for c in quality.columns if c in lfc.columns and c != "mz_rt_uid")), "mz_rt_uid", "left")
     rows = rows.join(best_ms2.drop(*(c for c in best_ms2.columns if c in rows.columns and c != "mz_rt_uid")), "mz_rt_uid", "left")
-    rows = rows.withColumns(_errors(F.col("best_ms1_mz"), F.col("atlas_mz"), F.col("best_ms1_rt"), F.col("atlas_rt_peak")))
+    rows = rows.withColumns(_best_ms2_columns()).withColumns(_errors(F.col("best_ms1_mz"), F.col("atlas_mz"), F.col("best_ms1_rt"), F.col("atlas_rt_peak")))
     return sort_for_pruning(conform(rows, "compound_lfc"), ["condition_1", "condition_2", "atlas_mz"])
 
 
@@ -77,8 +92,10 @@ def with_partition_columns(df: DataFrame, values: dict[str, str]) -> DataFrame:
     return df.withColumns({p: F.lit(values[p]) for p in PARTITIONS})
 
 
-def write_result_datasets(tables: dict[str, DataFrame], base: str, values: dict[str, str], overwrite: bool = True) -> None:
-    """Each grain below base in Hive layout; only the partitions of these values are replaced. Empty tables aren't written."""
+def write_result_datasets(tables: dict[str, DataFrame], base: str, values: dict[str, str], overwrite: bool = True, provenance: dict[str, str] | None = None) -> None:
+    """Each grain below base in Hive layout; only the partitions of these values are replaced. Empty tables aren't written.
+
+    Beside the data stand schema_maps/ and, if given, provenance/, both by project and grain."""
     for grain, df in tables.items():
         if df.isEmpty():
             continue
@@ -87,6 +104,10 @@ def write_result_datasets(tables: dict[str, DataFrame], base: str, values: dict[
             continue
         out = with_partition_columns(df, values).write.mode("overwrite").partitionBy(*PARTITIONS)
         out.option("compression", "zstd").option("partitionOverwriteMode", "dynamic").parquet(f"{base}/{grain}")
+        spark, project = df.sparkSession, values["project_name"]
+        schema_map(spark, {grain: with_partition_columns(df, values)}).coalesce(1).write.mode("overwrite").json(f"{base}/schema_maps/{project}-{grain}")
+        if provenance:
+            result_footer_fields(df, values | provenance).write.mode("overwrite").json(f"{base}/provenance/{project}-{grain}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -100,9 +121,9 @@ def read_result_dataset(spark: SparkSession, base: str, grain: str) -> DataFrame
     return spark.read.schema(schema).parquet(f"{base}/{grain}")
 
 
-def result_footer_fields(spark: SparkSession, fields: dict[str, str]) -> DataFrame:
-    """Provenance as one row, to be written beside the data."""
-    return spark.createDataFrame([tuple(map(str, fields.values()))], ", ".join(f"{k} string" for k in fields))
+def result_footer_fields(df: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Provenance of a table as one row: the fields, and the table's number of rows."""
+    return df.agg(*(F.lit(str(v)).alias(k) for k, v in fields.items()), F.count("*").alias("n_rows"))
 
 
 def schema_map(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -152,7 +173,7 @@ def _terms(columns: list[str], params: dict) -> list[tuple[Column, str]]:
         suffix = "" if name in columns else next((s for s in _COMPARE if s and name.endswith(s)), "")
         column = name.removesuffix(suffix) if suffix else name
         if column not in columns:
-            print(f"skipped: no column {column}")
+            LOG.warning("skipped: no column %s", column)
             continue
         if suffix == "_in" and not isinstance(value, (list, tuple, set)):
             value = [value]
@@ -160,7 +181,7 @@ def _terms(columns: list[str], params: dict) -> list[tuple[Column, str]]:
             test, text = _COMPARE[suffix]
             out.append((test(F.col(column), list(value) if isinstance(value, (tuple, set)) else value), text.format(c=column, v=_quoted(value))))
         except (TypeError, ValueError) as e:
-            print(f"skipped: {name}: {e}")
+            LOG.warning("skipped: %s: %s", name, e)
     return out
 
 

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import format_ions, spectrum_json
+
 PAIR = ("scan_id", "ref_id")
 #: Best hits kept of a scan, and the defaults of the thresholds.
 TOP, MIN_SCORE, MIN_FRAGMENTS, PRECURSOR_PPM, FRAGMENT_TOLERANCE = 20, 0.25, 1, 20.0, 0.05
@@ -30,9 +32,10 @@ def keys_without_refs(scans: DataFrame, refs: DataFrame) -> DataFrame:
 def peak_pair_join(candidates: DataFrame, scan_peaks: DataFrame, ref_peaks: DataFrame, tolerance: float = FRAGMENT_TOLERANCE) -> DataFrame:
     """(scan, ref, query peak, ref peak) with m/z no more than the tolerance apart and a positive product of intensities."""
     width = tolerance * 1.000001
-    q = candidates.select(*PAIR).join(scan_peaks, "scan_id")
-    q = q.withColumn("bin", F.explode(F.array(*(F.floor(F.col("frag_mz").cast("double") / width) + d for d in (-1, 0, 1)))))
-    r = ref_peaks.withColumn("bin", F.floor(F.col("ref_mz").cast("double") / width))
+    at = lambda c: F.floor(F.col(c).cast("double") / width)
+    q = candidates.select(*PAIR).join(scan_peaks, "scan_id").withColumn("bin", at("frag_mz"))
+    # the library is multiplied by its neighbouring bins, not the far larger scan side
+    r = ref_peaks.withColumn("bin", F.explode(F.array(*(at("ref_mz") + d for d in (-1, 0, 1)))))
     pairs = q.join(r, ["ref_id", "bin"]).where(F.abs(F.col("frag_mz") - F.col("ref_mz")) <= tolerance)
     return pairs.withColumn("w", F.col("frag_int").cast("double") * F.col("ref_int").cast("double")).where("w > 0").drop("bin")
 
@@ -153,13 +156,24 @@ def align_spectra(assigned: DataFrame, scan_peaks: DataFrame, ref_peaks: DataFra
 
 
 def best_ms2_hit(scans: DataFrame) -> DataFrame:
-    """Per compound the scan whose first hit has the highest score; ties by file and rt. Scans without hits don't count."""
+    """Per compound the scan whose first hit has the highest score; ties by file, rt and scan. Scans without hits don't count."""
     first = F.get("hits", F.lit(0))
-    w = Window.partitionBy("mz_rt_uid").orderBy(F.desc(first["score"]), "filename", "scan_rt")
+    w = Window.partitionBy("mz_rt_uid").orderBy(F.desc(first["score"]), "filename", "scan_rt", "scan_id")
     best = scans.where(F.size("hits") > 0).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
     return best.withColumns({"best_score": first["score"], "best_ref_id": first["ref_id"], "best_ions": F.concat_ws("/", first["num_matches"].cast("string"), first["ref_frags"].cast("string"))})
 
 
+def best_ms2_summary(best: DataFrame, aligned: DataFrame) -> DataFrame:
+    """The best_ms2_* columns of the result tables, one row per compound, from its best scan and that scan's aligned first hit."""
+    hit = F.get("hits", F.lit(0))
+    spectra = aligned.select("scan_id", F.col("ref_id").cast("string").alias("best_ref_id"), "matched_fragments", F.array_compact(F.transform("aligned", lambda p: p.frag_mz)).alias("mzs"))
+    return best.join(spectra, ["scan_id", "best_ref_id"], "left").select(
+        "mz_rt_uid", F.col("filename").alias("best_ms2_file"), F.col("scan_rt").cast("double").alias("best_ms2_rt"), F.col("best_score").alias("best_ms2_score"),
+        hit["mz_measured"].alias("best_ms2_mz"), F.col("best_ions").alias("best_ms2_num_ions"), F.coalesce(format_ions(F.col("matched_fragments")), F.lit("")).alias("best_ms2_matching_ions"),
+        spectrum_json(F.transform("mzs", lambda _: F.col("scan_rt")), F.col("mzs")).alias("best_ms2_spectrum_rt_mz"),
+    )
+
+
 def top3_hits_of_best_scan(best: DataFrame) -> DataFrame:
     return best.select("mz_rt_uid", F.slice("hits", 1, 3).alias("hits"))
 
@@ -173,7 +187,7 @@ def best_hit_fragments(best: DataFrame, least: float = 1e4) -> DataFrame:
 def scans_by_collision_energy(scans: DataFrame, n: int = 10) -> DataFrame:
     """The best n scans of each compound and energy in rt_min..rt_max, by their best score (none last), then rt."""
     best = F.array_max(F.transform("hits", lambda h: h.score))
-    w = Window.partitionBy("mz_rt_uid", "collision_energy").orderBy(F.desc_nulls_last("best_score"), "scan_rt", "filename")
+    w = Window.partitionBy("mz_rt_uid", "collision_energy").orderBy(F.desc_nulls_last("best_score"), "scan_rt", "filename", "scan_id")
     inside = scans.where(F.col("scan_rt").between(F.col("rt_min"), F.col("rt_max"))).withColumn("best_score", best)
     return inside.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
 

@@ -22,11 +22,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+class Views:
+    """v(name) gives a table or view of one folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.made = spark, sf_dir, {}
+
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """What a query reads several times, written once to the shared folder: its plan isn't repeated in those above it."""
+        if name not in self.made:
+            path, df = scratch(self.spark, name), make()
+            df.write.parquet(path)
+            self.made[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self.made[name]
+
+    def __call__(self, name: str) -> DataFrame:
+        return view(self.spark, self.sf_dir, name)
+
+
 def query(views: str = "", sql: str | None = None):
-    """Registers fn(v) under its name; v(name) gives a view. sql runs over the named views."""
+    """Registers fn(v) under its name. sql runs over the named views."""
 
     def wrap(fn):
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(lambda name: view(spark, sf_dir, name))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # what earlier queries kept is let go; where one of them is still to run, Spark computes it anew
+            while _kept:
+                _kept.pop().unpersist()
+            return fn(Views(spark, sf_dir))
+
+        QUERIES[fn.__name__] = run
         if sql:
             ORACLE_SQL[fn.__name__] = with_views(views, sql)
         return fn
@@ -51,9 +75,13 @@ def metrics(v) -> DataFrame:
     return ex.per_file_peak_metrics(pairs(v))
 
 
+_kept: list[DataFrame] = []
+
+
 def reused(df: DataFrame) -> DataFrame:
-    """df kept in memory, or on disk, for a query that reads it more than once."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """df kept in memory, or on disk, for a query that reads it more than once; the next query lets it go."""
+    _kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
 
 
 # Scans and points
@@ -107,9 +135,9 @@ def valid_precursor(v):
     return rounded(joins.valid_precursor(broken).select("scan_id", "precursor_mz"))
 
 
-@query("points windows", "select filename, count(*) as n from points p where exists (select 1 from windows w where w.place % 7 = 0 and p.mz between w.mz_min and w.mz_max and p.rt between w.rt_min_pad and w.rt_max_pad) group by filename")
+@query("points windows", "select filename, count(*) as n from points p where exists (select 1 from windows w where p.mz between w.mz_min and w.mz_max and p.rt between w.rt_min_pad and w.rt_max_pad) group by filename")
 def subset_points_to_windows(v):
-    return joins.subset_points_to_windows(v("points"), windows(v).where("place % 7 = 0")).groupBy("filename").agg(F.count("*").alias("n"))
+    return joins.subset_points_to_windows(v("points"), windows(v)).groupBy("filename").agg(F.count("*").alias("n"))
 
 
 @query("pairs", "select filename, count(*) as n, count(distinct mz_rt_uid) as compounds from pairs where filename not like '%QC%' group by filename")
@@ -476,7 +504,7 @@ def rt_stats(v):
 
 
 def model_of(v) -> tuple[DataFrame, dict]:
-    stats = rtmodel.rt_stats(pairs(v))
+    stats = reused(rtmodel.rt_stats(pairs(v)))
     return stats, rtmodel.fit_rt_model(stats, degree=1)
 
 
@@ -540,7 +568,7 @@ def scan_peaks(v) -> DataFrame:
 
 
 def assigned(v) -> DataFrame:
-    return spectra.assigned_pairs(reused_pairs(v))
+    return v.stored("assigned", lambda: spectra.assigned_pairs(reused_pairs(v)))
 
 
 def reused_pairs(v) -> DataFrame:
@@ -592,8 +620,8 @@ def top_hits(v):
 
 
 def with_hits(v) -> DataFrame:
-    hits = spectra.top_hits(spectra.hit_threshold(scored(v)))
-    return reused(spectra.assign_hits(ms2(v), spectra.hit_record(hits, candidates(v), v("refs"))))
+    best = lambda: spectra.top_hits(spectra.hit_threshold(scored(v)))
+    return v.stored("hits", lambda: spectra.assign_hits(ms2(v), spectra.hit_record(best(), candidates(v), v("refs"))))
 
 
 @query(_MS2, f"select scan_id, rank, 'db' || cast(ref_id % 2 as string) as database, cast(ref_id as string) as ref_id, round((cast(precursor_mz as double) - ref_precursor_mz) / ref_precursor_mz * 1e6, 4) + 0.0 as ppm_error, num_matches from {_HITS} where rank <= 20")
@@ -619,7 +647,7 @@ def align_spectra(v):
     return aligned.select("scan_id", "ref_id", F.col("num_matched").cast("long").alias("num_matched"), F.array_join(F.transform("matched_fragments", lambda m: m.cast("long").cast("string")), ",").alias("matched"))
 
 
-_BEST = f"(select * from (select *, row_number() over (partition by mz_rt_uid order by score desc, filename, scan_rt) as place from {_HITS} where rank = 1) t where place = 1) b"
+_BEST = f"(select * from (select *, row_number() over (partition by mz_rt_uid order by score desc, filename, scan_rt, scan_id) as place from {_HITS} where rank = 1) t where place = 1) b"
 
 
 @query(_MS2, f"select mz_rt_uid, filename, cast(ref_id as string) as best_ref_id, round(score, 4) as best_score, cast(num_matches as string) || '/' || cast(ref_frags as string) as best_ions from {_BEST}")
@@ -640,7 +668,7 @@ def best_hit_fragments(v):
     return spectra.best_hit_fragments(best).select("mz_rt_uid", F.concat(F.substring_index("fragments", "]", 1), F.lit("]")).alias("mzs"))
 
 
-@query(_MS2, f"select mz_rt_uid, collision_energy, scan_id, place from (select s.mz_rt_uid, cast(s.collision_energy as double) as collision_energy, s.scan_id || '/' || s.mz_rt_uid as scan_id, row_number() over (partition by s.mz_rt_uid, s.collision_energy order by h.score desc nulls last, s.scan_rt, s.filename) as place from ms2_pairs s left join {_HITS} on h.rank = 1 and h.scan_id = s.scan_id || '/' || s.mz_rt_uid where s.scan_rt between s.rt_min and s.rt_max) t where place <= 2")
+@query(_MS2, f"select mz_rt_uid, collision_energy, scan_id, place from (select s.mz_rt_uid, cast(s.collision_energy as double) as collision_energy, s.scan_id || '/' || s.mz_rt_uid as scan_id, row_number() over (partition by s.mz_rt_uid, s.collision_energy order by h.score desc nulls last, s.scan_rt, s.filename, s.scan_id || '/' || s.mz_rt_uid) as place from ms2_pairs s left join {_HITS} on h.rank = 1 and h.scan_id = s.scan_id || '/' || s.mz_rt_uid where s.scan_rt between s.rt_min and s.rt_max) t where place <= 2")
 def scans_by_collision_energy(v):
     found = spectra.scans_by_collision_energy(with_hits(v), 2)
     return found.select("mz_rt_uid", F.col("collision_energy").cast("double").alias("collision_energy"), "scan_id", F.col("place").cast("long").alias("place"))
@@ -653,9 +681,9 @@ def single_ion_check(v):
     return spectra.single_ion_check(rows).select("scan_id", "identification_notes")
 
 
-@query("ms2_pairs refs", "select distinct inchi_key from ms2_pairs where inchi_key not in (select inchi_key from refs)")
+@query("ms2_pairs refs", "select distinct inchi_key from ms2_pairs where inchi_key not in (select inchi_key from refs where database = 'db0')")
 def keys_without_refs(v):
-    return spectra.keys_without_refs(ms2(v), v("refs"))
+    return spectra.keys_without_refs(ms2(v), v("refs").where("database = 'db0'"))
 
 
 @query("ref_peaks", "select ref_id as id, count(*) as n, round(min(cast(ref_mz as double)), 4) as low from ref_peaks where ref_id % 2 = 0 and ref_mz < ref_precursor_mz + 2.5 group by 1")
@@ -711,8 +739,14 @@ def rt_window_shift(v):
     return rounded(cu.rt_window_shift(cu.ms1_window_metrics(pairs(v)), v("atlas")).select("mz_rt_uid", "rt_min", "rt_max"))
 
 
-# SQL for this one takes minutes on whole tables; a test has a small case
-@query()
+_TRACE = "(select mz_rt_uid, filename, cast(rt as double) as rt, max(cast(i as double)) as i from pairs group by 1, 2, 3)"
+
+
+@query("pairs", f"""select mz_rt_uid, round(rt, 4) as rt, round(max(v), 2) as max_i, round(avg(v), 2) as mean_i from (
+    select g.mz_rt_uid, g.rt, case when b.i is null or a.i is null then 0 when a.rt = b.rt then b.i else b.i + (a.i - b.i) / (a.rt - b.rt) * (g.rt - b.rt) end as v
+    from (select t.mz_rt_uid, f.filename, t.rt from (select distinct mz_rt_uid, rt from {_TRACE}) t join (select distinct mz_rt_uid, filename from {_TRACE}) f on f.mz_rt_uid = t.mz_rt_uid) g
+    asof left join {_TRACE} b on g.mz_rt_uid = b.mz_rt_uid and g.filename = b.filename and g.rt >= b.rt
+    asof left join {_TRACE} a on g.mz_rt_uid = a.mz_rt_uid and g.filename = a.filename and g.rt <= a.rt) x group by mz_rt_uid, rt""")
 def eic_traces(v):
     t = cu.eic_traces(pairs(v))
     return t.select("mz_rt_uid", F.round(F.col("rt").cast("double"), 4).alias("rt"), F.round("max_i", 2).alias("max_i"), F.round("mean_i", 2).alias("mean_i"))
@@ -725,6 +759,10 @@ def suggest_rt_bounds(v):
 
 def curated(v) -> DataFrame:
     """The curation table of what was found, with notes by place and an index."""
+    return v.stored("curated", lambda: _curated(v))
+
+
+def _curated(v) -> DataFrame:
     a = v("atlas").withColumns({"formula": F.lit(""), "polarity": F.lit("positive")})
     table = cu.curation_table(a, cu.rt_window_shift(cu.ms1_window_metrics(pairs(v)), a), at.isomer_pairs(a))
     notes = F.when(F.col("place") % 4 == 1, "1.0, good match").when(F.col("place") % 4 == 2, "-1.0, poor match, should remove").otherwise("0.5, single ion match, no evidence")
@@ -851,33 +889,41 @@ def melt_lfc(v):
 
 def both_polarities(v) -> DataFrame:
     """Filtered heights of either polarity's points."""
-    sides = []
-    for p in (1, 0):
-        m = reused(ex.per_file_peak_metrics(joins.join_ms1_to_atlas(v("points").where(F.col("polarity") == p), windows(v))))
-        sides.append(summary.filtered_peak_heights(m, indexed(v)))
-    return reused(summary.union_polarities(*sides))
 
+    def side(p: int) -> DataFrame:
+        m = v.stored(f"metrics-{p}", lambda: ex.per_file_peak_metrics(joins.join_ms1_to_atlas(v("points").where(F.col("polarity") == p), windows(v))))
+        return summary.filtered_peak_heights(m, indexed(v))
 
-@query()
+    return v.stored("polarities", lambda: summary.union_polarities(side(1), side(0)))
+
+
+@query("polar_union", "select polarity, filename, count(*) as n, round(sum(peak_height), 2) as total from polar_union group by 1, 2")
 def union_polarities(v):
     return both_polarities(v).groupBy("polarity", "filename").agg(F.count("*").alias("n"), F.round(F.sum("peak_height"), 2).alias("total"))
 
 
-@query()
+@query("polar_best", "select compound_name as inchi_key, compound_name, mz_rt_uid, adduct, polarity, round(top, 4) as top from polar_best")
 def best_polarity_row(v):
     return rounded(summary.best_polarity_row(both_polarities(v)))
 
 
-@query()
+def merged(v) -> DataFrame:
+    ids = v("part").select(F.concat(F.lit("cpd"), "p_partkey").alias("id"), F.concat(F.lit("cmp"), F.expr("p_partkey div 2")).alias("inchi_key"))
+    return summary.merged_polarity_table(both_polarities(v), library.id_map(ids))
+
+
+@query("polar_merged", "select compound_name, mz_rt_uid, adduct, polarity, filename, round(peak_height, 4) as peak_height, cpd_ids from polar_merged")
 def merged_polarity_table(v):
-    ids = library.id_map(v("part").select(F.concat(F.lit("cpd"), "p_partkey").alias("id"), F.concat(F.lit("cmp"), F.col("p_partkey") % 100).alias("inchi_key")))
-    return rounded(summary.merged_polarity_table(both_polarities(v), ids))
+    return rounded(merged(v).select("compound_name", "mz_rt_uid", "adduct", "polarity", "filename", "peak_height", "cpd_ids"))
 
 
-@query()
+_POLAR = "(select compound_name, string_split(filename, '_')[13] as g, avg(peak_height) as m from polar_merged where string_split(filename, '_')[13] not in ('QC', 'ISTD') group by 1, 2)"
+
+
+@query("polar_merged", f"select a.compound_name, a.g as condition_1, b.g as condition_2, round(case when a.m > 0 and b.m > 0 then log2(a.m / b.m) end, 4) + 0.0 as log2_fold_change from {_POLAR} a join {_POLAR} b on a.compound_name = b.compound_name and a.g < b.g")
 def merged_polarity_lfc(v):
-    merged = summary.merged_polarity_table(both_polarities(v), library.id_map(v("part").select(F.concat(F.lit("cpd"), "p_partkey").alias("id"), F.concat(F.lit("cmp"), F.col("p_partkey") % 100).alias("inchi_key"))))
-    return rounded(summary.merged_polarity_lfc(merged))
+    changes = summary.merged_polarity_lfc(merged(v)).select("compound_name", "condition_1", "condition_2", "log2_fold_change")
+    return changes.withColumn("log2_fold_change", F.round("log2_fold_change", 4) + 0.0)
 
 
 _BOX = f"(select mz_rt_uid, {_GROUP} as file_group, count(*) as n, quantile_cont(peak_height, 0.25) as q1, median(peak_height) as med, quantile_cont(peak_height, 0.75) as q3 from metrics group by 1, 2) b"
@@ -996,20 +1042,42 @@ def safe_float(v):
     return v("part").select("p_partkey", values.safe_float(text).alias("x"), values.safe_isnan(text).alias("missing"), F.size(listed).cast("long").alias("n"))
 
 
+@query("ms2_peaks", "select scan_id, count(*) as n, round(sum(cast(frag_int as double)), 2) as total from ms2_peaks where scan_id % 3 > 0 group by 1 union all select distinct scan_id, 0, 0 from ms2_peaks where scan_id % 3 = 0")
+def jsonable_list(v):
+    lists = v("ms2_peaks").groupBy("scan_id").agg(F.collect_list("frag_int").alias("x"))
+    plain = values.jsonable_list(F.when(F.col("scan_id") % 3 > 0, F.col("x").cast("array<double>")))
+    return lists.select("scan_id", plain.alias("x")).select("scan_id", F.size("x").cast("long").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, b: a + b), 2).alias("total"))
+
+
 # Result datasets
 
 VALUES = {"project_name": "20240101_JGI_PI_505162_Proj_final_IDX_HILICZ_USX1", "chromatography": "HILICZ", "polarity": "POS", "analysis_type": "EMA", "analysis_name": "main"}
 
 
 def best_ms2(v) -> DataFrame:
-    best = spectra.best_ms2_hit(with_hits(v))
-    return best.select("mz_rt_uid", F.col("filename").alias("msms_file"), F.col("scan_rt").cast("double").alias("msms_rt"), F.col("best_score").alias("msms_score"), F.col("best_ions").alias("msms_numberofions"), F.lit("").alias("msms_matchingions"))
+    def make():
+        best = spectra.best_ms2_hit(with_hits(v))
+        wanted = best.select("scan_id", F.col("best_ref_id").cast("long").alias("ref_id"))
+        aligned = spectra.align_spectra(assigned(v).join(wanted, ["scan_id", "ref_id"], "left_semi"), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int"))
+        return spectra.best_ms2_summary(best, aligned)
+
+    return v.stored("best-ms2", make)
+
+
+def file_metrics(v) -> DataFrame:
+    return v.stored("metrics", lambda: metrics(v))
+
+
+def best_msms(v) -> DataFrame:
+    """The same under the names of the identification table."""
+    names = {"best_ms2_file": "msms_file", "best_ms2_rt": "msms_rt", "best_ms2_score": "msms_score", "best_ms2_num_ions": "msms_numberofions", "best_ms2_matching_ions": "msms_matchingions"}
+    return best_ms2(v).select("mz_rt_uid", *(F.col(c).alias(n) for c, n in names.items()))
 
 
 def quality(v) -> DataFrame:
     table = curated(v)
     overlaps = at.overlapping_compounds(table, order="place")
-    return summary.final_identifications(table, summary.best_ms1_file(metrics(v), v("atlas")), best_ms2(v), overlaps, "HILICZ")
+    return summary.final_identifications(table, summary.best_ms1_file(file_metrics(v), v("atlas")), best_msms(v), overlaps, "HILICZ")
 
 
 @query("pairs metrics atlas", f"""select a.mz_rt_uid, round(w.rt_peak, 2) as x, t.filename as max_intensity_file, round(a.mz, 4) as mz_theoretical, round(t.rt_peak, 2) as rt_measured,
@@ -1019,27 +1087,55 @@ def final_identifications(v):
 
 
 def file_table(v) -> DataFrame:
-    best = summary.best_ms1_file(metrics(v), v("atlas"))
-    q = quality(v).drop("rt_error", "mz_error").join(best, "mz_rt_uid", "left").join(v("atlas").select("mz_rt_uid", F.col("mz").alias("atlas_mz"), F.col("rt_peak").alias("atlas_rt_peak")), "mz_rt_uid")
-    return results.compound_file_table(summary.with_file_group(metrics(v)), q, best_ms2(v))
+    best = summary.best_ms1_file(file_metrics(v), v("atlas"))
+    q = quality(v).drop("rt_error", "mz_error", "msms_file", "msms_rt", "msms_score", "msms_numberofions", "msms_matchingions").join(best, "mz_rt_uid", "left").join(v("atlas").select("mz_rt_uid", F.col("mz").alias("atlas_mz"), F.col("rt_peak").alias("atlas_rt_peak")), "mz_rt_uid")
+    return results.compound_file_table(summary.with_file_group(file_metrics(v)), q, best_ms2(v), ex.widen_ms1(pairs(v)))
 
 
 def lfc_table(v) -> DataFrame:
-    m = reused(metrics(v))
+    m = file_metrics(v)
     changes = summary.log_fold_change(summary.group_means(m, ["mz_rt_uid"]), ["mz_rt_uid"])
     best = summary.best_ms1_file(m, v("atlas"))
     q = v("atlas").select("mz_rt_uid", "inchi_key", "compound_name", "adduct", F.col("mz").alias("atlas_mz"), F.col("rt_peak").alias("atlas_rt_peak"), F.lit("keep").alias("ms1_notes")).join(best, "mz_rt_uid", "left")
     return results.compound_lfc_table(changes, q, best_ms2(v))
 
 
-@query("metrics atlas", f"select t.mz_rt_uid, t.filename, {_GROUP.replace('filename', 't.filename')} as file_group, round(t.peak_height, 4) as peak_height, a.mz as atlas_mz, round(abs(t.mz_centroid - a.mz) / a.mz * 1e6, 3) as mz_ppmerror, round(abs(t.rt_peak - a.rt_peak), 4) as rt_error from metrics t join atlas a on a.mz_rt_uid = t.mz_rt_uid")
+_IONS = f"""(select b.mz_rt_uid, b.filename, b.scan_rt, b.score, b.num_matches, b.ref_frags, b.precursor_mz, string_agg(printf('%.3f', cast(q.frag_mz as double)), ',' order by q.frag_mz) as ions, any_value(p.peaks) as peaks
+    from {_BEST} join ms2_peaks q on q.scan_id = b.own join ref_peaks r on r.ref_id = b.ref_id and abs(q.frag_mz - r.ref_mz) <= 0.05 join (select scan_id, count(*) as peaks from ms2_peaks group by 1) p on p.scan_id = b.own group by all) z"""
+_MS2_COLUMNS = """z.filename as best_ms2_file, round(cast(z.scan_rt as double), 4) as best_ms2_rt, round(z.score, 4) as best_ms2_score, z.num_matches || '/' || z.ref_frags as best_ms2_num_ions, z.ions as best_ms2_matching_ions,
+    round((cast(z.precursor_mz as double) - a.mz) / a.mz * 1e6, 3) + 0.0 as best_ms2_mz_ppm_error, round(cast(z.scan_rt as double) - a.rt_peak, 4) + 0.0 as best_ms2_rt_error, coalesce(z.peaks, 0) as ms2_peaks, z.ions as msms_matchingions"""
+
+
+def ms2_columns() -> list:
+    plain = ["best_ms2_file", "best_ms2_num_ions", "best_ms2_matching_ions", "msms_matchingions"]
+    signed = {"best_ms2_rt": 4, "best_ms2_score": 4, "best_ms2_mz_ppm_error": 3, "best_ms2_rt_error": 4}
+    peaks = F.size(F.get(F.from_json("best_ms2_spectrum_rt_mz", "array<array<double>>"), F.lit(1)))
+    return [*plain, *((F.round(c, d) + 0.0).alias(c) for c, d in signed.items()), F.greatest(F.coalesce(peaks, F.lit(0)), F.lit(0)).cast("long").alias("ms2_peaks")]
+
+
+@query(_MS2 + " metrics atlas", f"select {_MS2_COLUMNS}, w.n as ms1_points, t.mz_rt_uid, t.filename, {_GROUP.replace('filename', 't.filename')} as file_group, round(t.peak_height, 4) as peak_height, a.mz as atlas_mz, round(abs(t.mz_centroid - a.mz) / a.mz * 1e6, 3) as mz_ppmerror, round(abs(t.rt_peak - a.rt_peak), 4) as rt_error from metrics t join atlas a on a.mz_rt_uid = t.mz_rt_uid left join {_IONS} on z.mz_rt_uid = t.mz_rt_uid join (select mz_rt_uid, filename, count(*) as n from pairs group by 1, 2) w on w.mz_rt_uid = t.mz_rt_uid and w.filename = t.filename")
 def compound_file_table(v):
-    return file_table(v).select("mz_rt_uid", "filename", "file_group", F.round("peak_height", 4).alias("peak_height"), "atlas_mz", F.round("mz_ppmerror", 3).alias("mz_ppmerror"), F.round("rt_error", 4).alias("rt_error"))
+    points = F.size(F.get(F.from_json("ms1_spectrum_rt_i", "array<array<double>>"), F.lit(1))).cast("long").alias("ms1_points")
+    return file_table(v).select(*ms2_columns(), points, "mz_rt_uid", "filename", "file_group", F.round("peak_height", 4).alias("peak_height"), "atlas_mz", F.round("mz_ppmerror", 3).alias("mz_ppmerror"), F.round("rt_error", 4).alias("rt_error"))
 
 
-@query("metrics atlas", f"select l.mz_rt_uid, condition_1, condition_2, round(log2_fold_change, 4) + 0.0 as log2_fold_change, a.inchi_key, a.mz as atlas_mz from {_LFC} join atlas a on a.mz_rt_uid = l.mz_rt_uid")
+@query(_MS2 + " metrics atlas", f"select {_MS2_COLUMNS}, l.mz_rt_uid, condition_1, condition_2, round(log2_fold_change, 4) + 0.0 as log2_fold_change, a.inchi_key, a.mz as atlas_mz from {_LFC} join atlas a on a.mz_rt_uid = l.mz_rt_uid left join {_IONS} on z.mz_rt_uid = l.mz_rt_uid")
 def compound_lfc_table(v):
-    return lfc_table(v).select("mz_rt_uid", "condition_1", "condition_2", (F.round("log2_fold_change", 4) + 0.0).alias("log2_fold_change"), "inchi_key", "atlas_mz")
+    return lfc_table(v).select(*ms2_columns(), "mz_rt_uid", "condition_1", "condition_2", (F.round("log2_fold_change", 4) + 0.0).alias("log2_fold_change"), "inchi_key", "atlas_mz")
+
+
+#: Written fold-change datasets by application and folder.
+_datasets: dict[tuple[str, str], str] = {}
+
+
+def lfc_dataset(v) -> DataFrame:
+    """The fold-change table as it lies on disk, written once for a folder; filters prune its partitions and row groups."""
+    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    if key not in _datasets:
+        base = scratch(v.spark, "lfc")
+        results.write_result_datasets({"compound_lfc": reused(lfc_table(v))}, base, VALUES)
+        _datasets[key] = base
+    return results.read_result_dataset(v.spark, _datasets[key], "compound_lfc").where(F.col("project_name") == VALUES["project_name"])
 
 
 _WIDE = f"(select l.mz_rt_uid, condition_1, condition_2, log2_fold_change, a.mz as atlas_mz, a.adduct from {_LFC} join atlas a on a.mz_rt_uid = l.mz_rt_uid) d"
@@ -1048,22 +1144,22 @@ _KEPT = ("mz_rt_uid", "condition_1", "condition_2")
 
 @query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where (log2_fold_change >= 0.5 or log2_fold_change <= -0.5) and atlas_mz >= 300 and atlas_mz <= 700 and adduct in ('[M+H]+') and condition_1 = 'groupA'")
 def param_query(v):
-    return results.param_query(lfc_table(v), {"grain": "compound_lfc", "log2_fold_change_abs_min": 0.5, "atlas_mz_min": 300, "atlas_mz_max": 700, "adduct_in": "[M+H]+", "condition_1": "groupA", "no_such_column": 1}).select(*_KEPT)
+    return results.param_query(lfc_dataset(v), {"grain": "compound_lfc", "log2_fold_change_abs_min": 0.5, "atlas_mz_min": 300, "atlas_mz_max": 700, "adduct_in": "[M+H]+", "condition_1": "groupA", "no_such_column": 1}).select(*_KEPT)
 
 
 @query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where condition_1 = 'groupA' and condition_2 = 'groupB'")
 def param_query_pair(v):
-    return results.param_query(lfc_table(v), {"condition_pair": ["groupB", "groupA"]}).select(*_KEPT)
+    return results.param_query(lfc_dataset(v), {"condition_pair": ["groupB", "groupA"]}).select(*_KEPT)
 
 
 @query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where condition_1 = 'groupA' and condition_2 = 'groupB' and log2_fold_change <= -0.3")
 def param_query_directional(v):
-    return results.param_query(lfc_table(v), {"lfc_directional_min": {"treatment": "groupB", "control": "groupA", "threshold": 0.3}}).select(*_KEPT)
+    return results.param_query(lfc_dataset(v), {"lfc_directional_min": {"treatment": "groupB", "control": "groupA", "threshold": 0.3}}).select(*_KEPT)
 
 
 @query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where log2_fold_change > -0.4 and log2_fold_change < 0.4 and condition_2 in ('groupB', 'groupC')")
 def param_query_sql(v):
-    table = lfc_table(v)
+    table = lfc_dataset(v)
     table.createOrReplaceTempView("compound_lfc")
     return table.sparkSession.sql(results.param_query_sql(table.columns, {"log2_fold_change_abs_lt": 0.4, "condition_2_in": ["groupB", "groupC"]})).select(*_KEPT)
 
@@ -1071,7 +1167,7 @@ def param_query_sql(v):
 @query("metrics atlas", f"select mz_rt_uid, condition_1, condition_2 from {_WIDE} where log2_fold_change > 1 or log2_fold_change < -1")
 def param_query_named(v):
     text = "queries:\n  strong:\n    log2_fold_change_abs_gt: 1.0\n"
-    return results.param_query_named({"compound_lfc": lfc_table(v)}, text, "strong").select(*_KEPT)
+    return results.param_query_named({"compound_lfc": lfc_dataset(v)}, text, "strong").select(*_KEPT)
 
 
 @query("metrics atlas", f"select a.compound_name as inchi_key, last(k.control_filter order by a.place) as control_filter from {_FILTER} join atlas a on a.mz_rt_uid = k.mz_rt_uid group by 1")
@@ -1094,16 +1190,31 @@ def write_result_datasets(v):
     return results.read_result_dataset(table.sparkSession, base, "compound_lfc").groupBy("condition_1", "condition_2", "polarity").agg(F.count("*").alias("n"))
 
 
-@query()
+_COLUMNS = {c: "string" if c in ("mz_rt_uid", "filename") else "double" for c in "mz_rt_uid filename peak_height peak_area rt_peak mz_peak rt_centroid mz_centroid".split()}
+
+
+@query("metrics", " union all ".join(f"select '{c}' as name, '{k}' as dtype, 'stored' as source, count({'coalesce(peak_area, 0)' if c == 'peak_area' else c}) as filled from metrics" for c, k in _COLUMNS.items()) + "".join(f" union all select '{p}', 'string', 'partition_directory', count(*) from metrics" for p in results.PARTITIONS))
 def schema_map(v):
-    lfc = lfc_table(v)
-    return results.schema_map(lfc.sparkSession, {"compound_lfc": results.with_partition_columns(lfc.drop("polarity"), VALUES)})
+    table = results.with_partition_columns(metrics(v), VALUES)
+    filled = table.agg(*(F.count(c).alias(c) for c in table.columns))
+    listed = results.schema_map(v.spark, {"metrics": table}).select("name", "dtype", "source")
+    return listed.join(filled.unpivot([], filled.columns, "name", "filled"), "name")
 
 
-@query("metrics", "select 'POS' as polarity, count(*) as n from metrics")
+@query("metrics", f"select '{VALUES['polarity']}' as polarity, '7' as analysis_number, count(*) as n_rows from metrics")
 def result_footer_fields(v):
-    m = metrics(v)
-    return results.result_footer_fields(m.sparkSession, VALUES).select("polarity").crossJoin(m.agg(F.count("*").alias("n")))
+    """Provenance as it stands beside the written data."""
+    base = scratch(v.spark, "footers")
+    table = results.conform(metrics(v), "compound_file")
+    results.write_result_datasets({"compound_file": table}, base, VALUES, provenance={"analysis_number": "7"})
+    return v.spark.read.json(f"{base}/provenance/{VALUES['project_name']}-compound_file").select("polarity", "analysis_number", "n_rows")
+
+
+@query("pairs", "select filename, count(*) as n from pairs group by 1")
+def union_files(v):
+    """Controls and samples, each extracted by itself, in one table."""
+    control = summary.any_in(F.col("filename"), summary.CONTROLS)
+    return ex.union_files([joins.join_ms1_to_atlas(v("points").where(c), windows(v)) for c in (control, ~control)]).groupBy("filename").agg(F.count("*").alias("n"))
 
 
 @query("metrics atlas", "select mz_rt_uid, filename from metrics")
@@ -1190,11 +1301,11 @@ def stream_extract(v):
     return spark.read.parquet(target).groupBy("mz_rt_uid").agg(F.count("*").alias("n"), F.count_if("in_feature").alias("inside"))
 
 
-@query("curation", "select mz_rt_uid, coalesce(e.note, c.ms1_notes) as ms1_notes from curation c left join (select user_id % 200 as place, arg_max(event_type, event_id) as note from events group by 1) e on e.place = c.place")
+@query("curation", "select mz_rt_uid, coalesce(e.note, c.ms1_notes) as ms1_notes from curation c left join (select user_id as place, arg_max(event_type, event_id) as note from events group by 1) e on e.place = c.place")
 def stream_curation_updates(v):
     spark = v("curation").sparkSession
     edits, table = scratch(spark, "edits"), scratch(spark, "table")
-    rows = v("events").select(F.concat(F.lit("mzrt-"), (F.col("user_id") % 200).cast("string")).alias("mz_rt_uid"), F.col("event_type").alias("ms1_notes"), F.col("event_id").cast("long").alias("edit_seq"))
+    rows = v("events").select(F.concat(F.lit("mzrt-"), F.col("user_id").cast("string")).alias("mz_rt_uid"), F.col("event_type").alias("ms1_notes"), F.col("event_id").cast("long").alias("edit_seq"))
     rows.repartition(3).write.parquet(edits)
     v("curation").withColumn("edit_seq", F.lit(-1).cast("long")).write.parquet(f"{table}/v=0")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(edits)

@@ -8,6 +8,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 _DAY = {"spark": "datediff(cast(l_shipdate as date), date '1992-01-01')", "duckdb": "date_diff('day', date '1992-01-01', cast(l_shipdate as date))"}
 _DIV = {"spark": "div", "duckdb": "//"}
 
+#: Rows of files that are no controls.
+SAMPLE = "(filename not like '%ExCtrl%' and filename not like '%InjBL%')"
+
 #: name: (what it reads, SQL)
 VIEWS = {
     "runs": ((), """
@@ -22,8 +25,8 @@ VIEWS = {
         from orders"""),
     "points": (("lineitem", "runs"), """
         select r.filename, m.c, m.mz, m.rt, m.i, m.polarity from (
-            select cast(l_suppkey % 8 as int) as f, cast(l_partkey % 200 as int) as c,
-                   cast((100 + 10 * ((l_partkey % 200) {D} 2)) * (1 + (l_linenumber - 4) * 2e-6) as float) as mz,
+            select cast(l_suppkey % 8 as int) as f, cast(l_partkey as int) as c,
+                   cast((100 + 10 * (l_partkey {D} 2)) * (1 + (l_linenumber - 4) * 2e-6) as float) as mz,
                    cast(1 + (l_partkey % 200) * 0.04e0 + ({DAY} % 201 - 100) / 100.0e0 as float) as rt,
                    cast(l_extendedprice * (case when l_suppkey % 8 in (5, 6) and l_partkey % 3 <> 0 then 0.05e0 else 1e0 end) as float) as i,
                    cast(case when l_returnflag = 'R' then 0 else 1 end as smallint) as polarity
@@ -31,9 +34,9 @@ VIEWS = {
     "atlas": (("part",), """
         select concat('mzrt-', cast(id as string)) as mz_rt_uid, concat('cid-', cast(id {D} 2 as string)) as compound_uid, concat('cmp', cast(id {D} 2 as string)) as compound_name,
                concat('KEY', cast(id {D} 2 as string), '-', cast(id % 2 as string)) as inchi_key, case when id % 2 = 0 then '[M+H]+' else '[M+Na]+' end as adduct,
-               cast(100 + 10 * (id {D} 2) as double) as mz, 1 + id * 0.04e0 as rt_peak, 0.5e0 + id * 0.04e0 as rt_min, 1.5e0 + id * 0.04e0 as rt_max, 99 + 10e0 * (id {D} 2) as mono_mass,
+               cast(100 + 10 * (id {D} 2) as double) as mz, 1 + (id % 200) * 0.04e0 as rt_peak, 0.5e0 + (id % 200) * 0.04e0 as rt_min, 1.5e0 + (id % 200) * 0.04e0 as rt_max, 99 + 10e0 * (id {D} 2) as mono_mass,
                cast(id as int) as place
-        from (select distinct p_partkey % 200 as id from part) t"""),
+        from (select p_partkey as id from part) t"""),
     "windows": (("atlas",), """
         select *, cast(mz - mz * 5e0 * 1e-6 as float) as mz_min, cast(mz + mz * 5e0 * 1e-6 as float) as mz_max, cast(rt_min as float) as rt_min_pad, cast(rt_max as float) as rt_max_pad from atlas"""),
     "pairs": (("points", "windows"), """
@@ -41,24 +44,44 @@ VIEWS = {
                p.rt between w.rt_min_pad and w.rt_max_pad as in_feature
         from points p join windows w on p.mz between w.mz_min and w.mz_max"""),
     "compounds": (("part",), """
-        select concat('KEY', cast(p_partkey % 120 as string), '-', cast(p_partkey % 2 as string)) as inchi_key, min(p_name) as compound_name,
-               case when p_partkey % 120 % 3 = 0 then '' else concat('C', cast(p_partkey % 120 as string), 'H', cast(p_partkey % 2 as string)) end as formula, cast(99 + 10 * (p_partkey % 120) as double) as mono_mass
-        from part group by p_partkey % 120, p_partkey % 2"""),
+        select concat('KEY', cast(k as string), '-', cast(p_partkey % 2 as string)) as inchi_key, p_name as compound_name,
+               case when k % 3 = 0 then '' else concat('C', cast(k as string), 'H', cast(p_partkey % 2 as string)) end as formula, cast(99 + 10 * k as double) as mono_mass
+        from (select p_partkey, p_name, 5 * (p_partkey {D} 2) {D} 3 as k from part) t"""),
     "curation": (("atlas", "customer"), """
         select a.mz_rt_uid, a.compound_name, a.inchi_key, a.adduct, a.mz as atlas_mz, a.mono_mass, a.place, case when c.c_custkey % 4 = 0 then 0e0 else a.rt_min end as rt_min, a.rt_max, a.rt_peak,
                case c.c_custkey % 3 when 0 then '' when 1 then 'keep' else 'remove, noise' end as ms1_notes,
                case c.c_custkey % 4 when 0 then '' when 1 then '1.0, good match' when 2 then '0.5, single ion match, no evidence' else '-1.0, poor match, should remove' end as ms2_notes,
                '' as analyst_notes, cast(c.c_acctbal as double) as balance
-        from atlas a join (select min(c_custkey) as c_custkey, min(c_acctbal) as c_acctbal, c_custkey % 200 as k from customer group by c_custkey % 200) c on a.place = c.k"""),
+        from atlas a join customer c on a.place = c.c_custkey"""),
     "ms2_peaks": (("embeddings",), None),
     "scans": (("ms2_peaks",), """
         select scan_id, max(f) as f, max(scan_rt) as scan_rt, max(precursor_mz) as precursor_mz, max(precursor_intensity) as precursor_intensity, max(collision_energy) as collision_energy
         from ms2_peaks group by scan_id"""),
-    "ref_peaks": (("ms2_peaks",), "select scan_id as ref_id, ref_key as inchi_key, cast(precursor_mz as double) as ref_precursor_mz, frag_mz as ref_mz, frag_int as ref_int from ms2_peaks where scan_id < 50"),
+    "ref_peaks": (("ms2_peaks",), "select scan_id as ref_id, ref_key as inchi_key, cast(precursor_mz as double) as ref_precursor_mz, frag_mz as ref_mz, frag_int as ref_int from ms2_peaks"),
     "refs": (("ref_peaks",), "select distinct ref_id, inchi_key, ref_precursor_mz, concat('db', cast(ref_id % 2 as string)) as database, concat('ref', cast(ref_id as string)) as ref_name from ref_peaks"),
     "ms2_pairs": (("scans", "windows", "runs"), """
         select s.scan_id, r.filename, s.scan_rt, s.precursor_mz, s.precursor_intensity, s.collision_energy, w.mz_rt_uid, w.inchi_key, w.rt_min, w.rt_max, s.scan_rt between w.rt_min_pad and w.rt_max_pad as in_feature
         from scans s join windows w on s.precursor_mz between w.mz_min and w.mz_max join runs r on s.f = r.f"""),
+    "polar_heights": (("pairs",), "select polarity, mz_rt_uid, filename, max(cast(i as double)) as peak_height from pairs where in_feature group by polarity, mz_rt_uid, filename"),
+    "polar_filter": (("polar_heights", "atlas"), f"""
+        select k.polarity, a.compound_name, a.mz_rt_uid, a.adduct, a.place, s, case when s is not null and (c is null or s >= 3 * c) then 'keep' else 'remove' end as control_filter
+        from (select polarity, mz_rt_uid, max(case when {SAMPLE} then peak_height end) as s, max(case when not {SAMPLE} then peak_height end) as c from polar_heights group by 1, 2) k join atlas a on a.mz_rt_uid = k.mz_rt_uid"""),
+    "polar_collapsed": (("polar_heights", "polar_filter"), """
+        select f.polarity, f.compound_name, f.control_filter, h.filename, max(h.peak_height) as peak_height
+        from polar_heights h join polar_filter f on f.polarity = h.polarity and f.mz_rt_uid = h.mz_rt_uid group by 1, 2, 3, 4"""),
+    "polar_union": (("polar_filter", "polar_collapsed"), """
+        select c.compound_name, c.mz_rt_uid, c.adduct, case c.polarity when 1 then 'POS' else 'NEG' end as polarity, f.filename, coalesce(h.peak_height, m.low) as peak_height
+        from (select polarity, compound_name, control_filter, first(mz_rt_uid order by s desc nulls last, place) as mz_rt_uid, first(adduct order by s desc nulls last, place) as adduct from polar_filter group by 1, 2, 3) c
+        join (select distinct polarity, filename from polar_collapsed) f on f.polarity = c.polarity
+        join (select polarity, min(peak_height) as low from polar_collapsed group by 1) m on m.polarity = c.polarity
+        left join polar_collapsed h on h.polarity = c.polarity and h.compound_name = c.compound_name and h.control_filter = c.control_filter and h.filename = f.filename
+        where c.control_filter = 'keep'"""),
+    "polar_best": (("polar_union",), f"""
+        select * from (select *, row_number() over (partition by compound_name order by top desc nulls last, polarity desc, mz_rt_uid) as n from (
+            select compound_name, mz_rt_uid, adduct, polarity, max(case when {SAMPLE} then peak_height end) as top from polar_union group by 1, 2, 3, 4) t) u where n = 1"""),
+    "polar_merged": (("polar_union", "polar_best", "part"), """
+        select u.*, coalesce(i.ids, '') as cpd_ids from polar_union u join polar_best b on b.compound_name = u.compound_name and b.mz_rt_uid = u.mz_rt_uid and b.adduct = u.adduct and b.polarity = u.polarity
+        left join (select concat('cmp', cast(p_partkey {D} 2 as string)) as k, string_agg('cpd' || cast(p_partkey as varchar), ';' order by 'cpd' || cast(p_partkey as varchar)) as ids from part group by 1) i on i.k = u.compound_name"""),
     "metrics": (("pairs",), """
         select mz_rt_uid, filename, max(x) as peak_height, sum((x + px) / 2 * (rt - prt)) as peak_area, max(case when n = 1 then rt end) as rt_peak, max(case when n = 1 then mz end) as mz_peak,
                sum(rt * x) / sum(x) as rt_centroid, sum(mz * x) / sum(x) as mz_centroid

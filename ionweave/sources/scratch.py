@@ -9,6 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under spark.checkpoint.dir; only where that is unset, as in tests, a temporary folder of this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """A new folder name under spark.checkpoint.dir. Where that is unset, a local session, as in tests, takes a temporary folder of
+    this machine; on a cluster it is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base}/{name}-{uuid.uuid4().hex}"

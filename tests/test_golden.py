@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ionweave.functions import names, scores, values
 from ionweave.operators import atlas, curation, extract, joins, results, rtmodel, spectra
 from ionweave.sources import library, runs
+from ionweave.streaming import streams
 
 
 def one(spark, column):
@@ -33,7 +34,9 @@ def test_interval_join_is_inclusive_and_ignores_nan(spark):
     assert joins.interval_join(p.limit(0), t, "mz", "lo", "hi").count() == 0
 
 
-def test_bin_join_equals_nested_loop(spark):
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
+def test_bin_join_equals_nested_loop(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     rng = np.random.default_rng(3)
     p = spark.createDataFrame([(float(x),) for x in rng.uniform(0, 50, 400)], "mz double")
     t = spark.createDataFrame([(i, float(a), float(a + w)) for i, (a, w) in enumerate(zip(rng.uniform(0, 50, 60), rng.uniform(0, 3, 60)))], "id int, lo double, hi double")
@@ -212,6 +215,30 @@ def test_param_query_equals_its_sql(spark):
         assert ours == sorted(map(tuple, spark.sql(results.param_query_sql(df.columns, params)).collect())), params
 
 
+def test_parametric_query_prunes_partitions_and_row_groups(spark, tmp_path):
+    df = results.conform(spark.createDataFrame([("a", float(i)) for i in range(50)], "mz_rt_uid string, atlas_mz double"), "compound_lfc")
+    values = dict.fromkeys(results.PARTITIONS, "v")
+    results.write_result_datasets({"compound_lfc": df}, str(tmp_path), values, provenance={"analysis_number": "3"})
+    found = results.param_query(results.read_result_dataset(spark, str(tmp_path), "compound_lfc"), {"project_name": "v", "atlas_mz_min": 40.0})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 10 and "GreaterThanOrEqual(atlas_mz,40.0)" in plan and "PartitionFilters: [isnotnull(project_name" in plan
+    assert spark.read.json(str(tmp_path / "provenance" / "v-compound_lfc")).first().n_rows == 50
+    assert spark.read.json(str(tmp_path / "schema_maps" / "v-compound_lfc")).count() == len(found.columns)
+
+
+def test_curation_stream_goes_on_from_the_highest_version(spark, tmp_path):
+    """A second stream with a new checkpoint on a table that has versions already."""
+    table = str(tmp_path / "table")
+    spark.createDataFrame([("a", "old", -1), ("b", "old", -1)], "mz_rt_uid string, ms1_notes string, edit_seq long").write.parquet(f"{table}/v=0")
+    for i, rows in enumerate(([("a", "one", 1)], [("a", "two", 2), ("b", "three", 3)], [("a", "stale", 0)])):
+        source = str(tmp_path / f"edits{i}")
+        spark.createDataFrame(rows, "mz_rt_uid string, ms1_notes string, edit_seq long").write.parquet(source)
+        stream = spark.readStream.schema("mz_rt_uid string, ms1_notes string, edit_seq long").parquet(source)
+        streams.stream_curation_updates(stream, table, ("ms1_notes",), str(tmp_path / f"check{i}")).awaitTermination()
+    last = spark.read.parquet(table)
+    assert {r.mz_rt_uid: r.ms1_notes for r in last.where(F.col("v") == last.agg(F.max("v")).first()[0]).collect()} == {"a": "two", "b": "three"}
+
+
 def test_partition_columns_clash(spark):
     with pytest.raises(ValueError):
         results.with_partition_columns(spark.range(1).withColumn("polarity", F.lit("x")), dict.fromkeys(results.PARTITIONS, "v"))
