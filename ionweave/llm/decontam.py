@@ -10,6 +10,8 @@ Repeated items or documents give repeated results; an empty benchmark finds noth
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,6 +93,9 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
+_built: dict[str, list[Machine]] = {}
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs with n_words, spans (start and end word of each hit stretch, flattened) and items (ids found, sorted as strings).
 
@@ -106,13 +111,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
     def scanned(df: DataFrame, block: DataFrame, schema: T.StructType, names: list[str]) -> DataFrame:
         shared = spark.sparkContext.broadcast([(r.item, r.t) for r in block.toLocalIterator()])
-        tables: list[list[Machine]] = []
+        name = uuid.uuid4().hex
 
         def run(batches):
-            if not tables:
-                tables.append(machines(shared.value))
+            # a worker builds the tables of a block once, whatever number of tasks it runs
+            if name not in _built:
+                _built.clear()
+                _built[name] = machines(shared.value)
             for batch in batches:
-                found = [scan(tables[0], t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                found = [scan(_built[name], t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
                 made = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([sorted(f[2]) for f in found], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *made], names=[*names, "n_words", "spans", "items"])
 

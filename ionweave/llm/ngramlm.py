@@ -24,6 +24,8 @@ from .common import BLANK, U64, mix64, shared_dir, stored, text_blocks, word_has
 
 #: Hash of the end token; words that a task counts before it hands them on; pairs and words in a shard, about.
 END, HELD, SHARD = U64(0xE5D0_7E5D_07E5_D07E), 3_000_000, 2_000_000
+#: Name of pair shards whose counts need 64 bits.
+WIDE = "wide-pairs"
 
 
 @dataclass
@@ -35,6 +37,7 @@ class Model:
     distinct: int = 0
     texts: int = 0
     words: list = field(default_factory=list)
+    firsts: list = field(default_factory=list)
     buckets: int = 1
     pairs: dict = field(default_factory=dict)
     sides: list = field(default_factory=list)
@@ -135,11 +138,12 @@ def _write_words(spark: SparkSession, counted: DataFrame, model: Model) -> None:
         n = table.column("n").to_numpy()
         order = np.argsort(h)
         name = _write(folder, "words", h[order], n[order].astype(np.uint64))
-        return pa.table({"part": table.column("part").slice(0, 1), "file": [name], "n": pa.array([len(h)], pa.int64())})
+        return pa.table({"part": table.column("part").slice(0, 1), "file": [name], "n": pa.array([len(h)], pa.int64()), "first": pa.array(h[order[:1]].view(np.int64))})
 
-    files = stored(counted.withColumn("part", part).groupBy("part").applyInArrow(write, "part int, file string, n long"), "words")
+    files = stored(counted.withColumn("part", part).groupBy("part").applyInArrow(write, "part int, file string, n long, first long"), "words")
     at = 0
     for r in sorted(files.collect()):
+        model.firsts.append(r.first & 0xFFFFFFFFFFFFFFFF)
         model.words.append((r.file, at, r.n))
         at += r.n
 
@@ -148,18 +152,24 @@ class Lookup:
     """A model's arrays as a worker sees them."""
 
     def __init__(self, model: Model):
-        self.model = model
-        self.words = [(lo, *_mapped(model.folder, f, ("<u8", n), ("<u8", n))) for f, lo, n in model.words]
-        self.firsts = np.array([w[1][0] for w in self.words], np.uint64)
-        self.pairs = {b: _mapped(model.folder, f, ("<u8", n), ("<u4", n)) for b, (f, n) in model.pairs.items()}
-        self.sides = [(lo, *_mapped(model.folder, f, ("<f8", n), ("<f8", n))) for f, lo, n in model.sides]
+        self.model, self.open = model, {}
+        self.firsts = np.array(model.firsts, np.uint64)
         self.heavy = model.tokens / (4 * model.buckets)
 
+    def shard(self, file: str, *kinds: tuple[str, int]) -> list[np.ndarray]:
+        """A shard's arrays; it is opened when it is first needed."""
+        if file not in self.open:
+            self.open[file] = _mapped(self.model.folder, file, *kinds)
+        return self.open[file]
+
     def ids(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (-1 if unseen) and training count of sorted distinct hashes."""
         ids, counts = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
-        cuts = [0, *np.searchsorted(distinct, self.firsts[1:]).tolist(), len(distinct)] if len(self.words) else [0]
-        for (lo, keys, n), a, b in zip(self.words, cuts, cuts[1:]):
+        cuts = [0, *np.searchsorted(distinct, self.firsts[1:]).tolist(), len(distinct)] if self.model.words else [0]
+        for (file, lo, size), a, b in zip(self.model.words, cuts, cuts[1:]):
+            if a == b:
+                continue
+            keys, n = self.shard(file, ("<u8", size), ("<u8", size))
             place = np.minimum(np.searchsorted(keys, distinct[a:b]), len(keys) - 1)
             hit = keys[place] == distinct[a:b]
             ids[a:b][hit], counts[a:b][hit] = lo + place[hit], n[place[hit]]
@@ -188,8 +198,9 @@ class Lookup:
         cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]])) if len(order) else []
         for a, b in zip(cuts, cuts[1:]):
             rows = order[a:b]
-            if (found := self.pairs.get(int(bucket[rows[0]]))) is not None:
-                keys, n = found
+            if (found := self.model.pairs.get(int(bucket[rows[0]]))) is not None:
+                file, size = found
+                keys, n = self.shard(file, ("<u8", size), ("<u8" if file.startswith(WIDE) else "<u4", size))
                 place = np.minimum(np.searchsorted(keys, key[rows]), len(keys) - 1)
                 out[seen[rows]] = np.where(keys[place] == key[rows], n[place], 0)
         return out
@@ -199,8 +210,11 @@ class Lookup:
         spare, low = np.zeros(len(ids)), np.full(len(ids), self.model.low_spare / (self.model.distinct + 1))
         distinct, of = np.unique(ids, return_inverse=True)
         a_spare, a_low = np.zeros(len(distinct)), np.full(len(distinct), low[0] if len(low) else 0.0)
-        for lo, s, p in self.sides:
-            a, b = np.searchsorted(distinct, [lo, lo + len(s)])
+        for file, lo, size in self.model.sides:
+            a, b = np.searchsorted(distinct, [lo, lo + size])
+            if a == b:
+                continue
+            s, p = self.shard(file, ("<f8", size), ("<f8", size))
             a_spare[a:b], a_low[a:b] = s[distinct[a:b] - lo], p[distinct[a:b] - lo]
         return a_spare[of], a_low[of]
 
@@ -217,12 +231,12 @@ def lookup(model: Model) -> Lookup:
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Bytes of uint32 by significance, so that compression finds the empty ones."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Bytes of uint64 by significance, so that compression finds the empty ones."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
 def _unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
 
 
 def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
@@ -263,7 +277,8 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
         keys, n = _folded(keys, counts)
         hashed = mix64(keys)
         order = np.argsort(hashed)
-        name = _write(m.folder, "pairs", hashed[order], n[order].astype(np.uint32))
+        wide = int(n.max()) >> 32 > 0
+        name = _write(m.folder, WIDE if wide else "pairs", hashed[order], n[order].astype(np.uint64 if wide else np.uint32))
         before, after = (keys >> U64(32)).astype(np.int64), (keys & U64(0xFFFFFFFF)).astype(np.int64)
         left, of = np.unique(before, return_inverse=True)
         follow = [np.bincount(of, hit, len(left)).astype(np.int64) for hit in (n == 1, n == 2, n >= 3)]
@@ -284,9 +299,10 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
 def own_counts(own: Lookup, ids: np.ndarray) -> np.ndarray:
     """Training counts of ids (texts for the start)."""
     out = np.full(len(ids), own.model.texts, np.int64)
-    for lo, _, n in own.words:
-        here = (ids >= lo) & (ids < lo + len(n))
-        out[here] = n[ids[here] - lo]
+    for file, lo, size in own.model.words:
+        here = (ids >= lo) & (ids < lo + size)
+        if here.any():
+            out[here] = own.shard(file, ("<u8", size), ("<u8", size))[1][ids[here] - lo]
     return out
 
 
@@ -316,6 +332,8 @@ def train_model(train: DataFrame, text: str = "text") -> Model:
     model.tokens, model.distinct, model.texts = sums.tokens, sums.v, sums.texts
     if not model.tokens:
         return model
+    if model.distinct >= (1 << 32) - 1:
+        raise OverflowError("a pair of word ids takes 64 bits: at most 2 ** 32 - 2 different words")
     _write_words(spark, counted, model)
     model.buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.tokens // (2 * SHARD)))
     rows = _count_pairs(train, model)
