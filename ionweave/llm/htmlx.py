@@ -238,7 +238,7 @@ _NAMES = [c.split()[0] for c in _OCCURRENCE.split(", ")]
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, name, kind, around, pages, total, mass, v1, v2) of all tokens of all hosts. pages: key, host, page."""
+    """(host, token, name, kind, around, pages, total, mass, v1, v2) of the tokens that can be in a template. pages: key, host, page."""
 
     def run(batches):
         found: dict[tuple[str, int], list] = {}
@@ -264,7 +264,9 @@ def occurrences(pages: DataFrame) -> DataFrame:
             yield flush()
 
     sums = [F.sum(c).alias(c) for c in ("pages", "total", "mass", "v1", "v2")]
-    return pages.mapInArrow(run, _OCCURRENCE).groupBy("host", "token").agg(*(F.min(c).alias(c) for c in ("name", "kind", "around")), *sums)
+    found = pages.mapInArrow(run, _OCCURRENCE).groupBy("host", "token").agg(*(F.min(c).alias(c) for c in ("name", "kind", "around")), *sums)
+    # a word or text of one page is on less than half of any host of MIN_PAGES pages
+    return found.where(f"kind = 'element' or 2 * pages >= {MIN_PAGES}")
 
 
 def classes(found: DataFrame) -> DataFrame:
