@@ -191,8 +191,8 @@ def _word(label: int, word: str, nth: int) -> int:
     return _path(label, f"{nth} {word}")
 
 
-def _whole(label: int, words: list[str]) -> int:
-    return _path(label, "= " + " ".join(words))
+def _whole(label: int, text: str) -> int:
+    return _path(label, "= " + text)
 
 
 def tokens(page: str) -> dict[int, list]:
@@ -208,21 +208,28 @@ def tokens(page: str) -> dict[int, list]:
             box.words += words
             if e[2] or e[0].out:
                 linked.update((box.label, w) for w in words)
+    partly = {label for label, _ in linked}
     # words that every instance of an element has, as often as the one that has them least
     common: dict[int, dict[str, int]] = {}
     for n in nodes[1:]:
         if n.block:
             words, have = n.words or [], common.get(n.label)
-            seen = Counter(words)
-            common[n.label] = seen if have is None else {w: min(c, seen[w]) for w, c in have.items() if w in seen}
+            if have is None:
+                common[n.label] = Counter(words)
+            elif have:
+                seen = Counter(words)
+                common[n.label] = {w: min(c, seen[w]) for w, c in have.items() if w in seen}
             row = out.setdefault(n.label, [n.name, "element", n.above.box.label, 0, 0])
             row[3] += 1
             row[4] += n.mass
             if words:
                 text = " ".join(words)
-                row = out.setdefault(_whole(n.label, words), [text if len(text) <= SHOWN else text[:SHOWN] + "...", "text", n.label, 0, 0])
+                token = _whole(n.label, text)
+                if token not in out:
+                    out[token] = [text if len(text) <= SHOWN else text[:SHOWN] + "...", "text", n.label, 0, 0]
+                row = out[token]
                 row[3] += 1
-                row[4] += sum(len(w) for w in words if (n.label, w) not in linked)
+                row[4] += sum(len(w) for w in words if (n.label, w) not in linked) if n.label in partly else len(text) - len(words) + 1
     for label, words in common.items():
         times = out[label][3]
         for w, c in words.items():
@@ -250,9 +257,12 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             for key, host, page in zip(*(c.to_pylist() for c in batch.columns)):
+                of_count: dict[int, int] = {}
                 for token, (name, kind, around, n, mass) in tokens(page or "").items():
-                    row = found.setdefault((host, token), [name, kind, around, 0, 0, 0, 0, 0])
-                    h = xxhash.xxh3_64_intdigest(b"%d %d" % (key, n))
+                    if (row := found.get((host, token))) is None:
+                        row = found[host, token] = [name, kind, around, 0, 0, 0, 0, 0]
+                    if (h := of_count.get(n)) is None:
+                        h = of_count[n] = xxhash.xxh3_64_intdigest(b"%d %d" % (key, n))
                     row[3] += 1
                     row[4] += n
                     row[5] += mass
@@ -381,7 +391,7 @@ def extract(page: str | None, slots: list[int] | None, fixed: frozenset[int] = f
             if e[0].box.words is None:
                 e[0].box.words = []
             e[0].box.words += e[1].split()
-    same_on_all = {b for b in held_by if _whole(b.label, b.words) in fixed or all(_word(b.label, w, i) in fixed for w, c in Counter(b.words).items() for i in range(c))}
+    same_on_all = {b for b in held_by if _whole(b.label, " ".join(b.words)) in fixed or all(_word(b.label, w, i) in fixed for w, c in Counter(b.words).items() for i in range(c))}
     varied: set[Node] = set()
     for e in kept:
         if e and e[0].box not in same_on_all and not e[1].isspace():
