@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from .common import BLANK, U64, mix64, shared_dir, stored, text_blocks, word_hashes
 
 #: Hash of the end token; words that a task counts before it hands them on; pairs and words in a shard, about.
-END, HELD, SHARD = U64(0xE5D0_7E5D_07E5_D07E), 3_000_000, 2_000_000
+END, HELD, SHARD = U64(0xE5D0_7E5D_07E5_D07E), 2_000_000, 2_000_000
 #: Name of pair shards whose counts need 64 bits.
 WIDE = "wide-pairs"
 
@@ -230,13 +230,14 @@ def lookup(model: Model) -> Lookup:
     return _lookups[key]
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Bytes of uint64 by significance, so that compression finds the empty ones."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def _planes(x: np.ndarray, kind: str = "<u4") -> bytes:
+    """Bytes of numbers by significance, so that compression finds the empty ones."""
+    return np.ascontiguousarray(x.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T).tobytes()
 
 
-def _unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").reshape(-1)
+def _unplanes(b: bytes, count: int) -> np.ndarray:
+    width = len(b) // count
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
 def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
@@ -257,7 +258,7 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
                 rows = order[a:b]
                 first = np.flatnonzero(np.concatenate([[True], np.diff(before[rows]) != 0]))
                 runs = np.diff(np.append(first, len(rows)))
-                body = [_planes(np.diff(before[rows][first], prepend=0)), _planes(runs), _planes(after[rows]), _planes(n[rows])]
+                body = [_planes(np.diff(before[rows][first], prepend=0)), _planes(runs), _planes(after[rows]), _planes(n[rows], "<u8" if int(n[rows].max()) >> 32 else "<u4")]
                 yield pa.RecordBatch.from_arrays([pa.array([bucket[rows[0]]], pa.int32()), *(pa.array([x], pa.binary()) for x in body)], names=["bucket", "v", "runs", "w", "n"])
 
         counter = Counter(flush)
@@ -271,9 +272,11 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         keys, counts = [], []
         for v, runs, w, n in zip(*(table.column(c).to_pylist() for c in ("v", "runs", "w", "n"))):
-            before = np.repeat(np.cumsum(_unplanes(v).astype(np.uint64)), _unplanes(runs))
-            keys.append(before << U64(32) | _unplanes(w).astype(np.uint64))
-            counts.append(_unplanes(n).astype(np.int64))
+            # ids and runs have four bytes each
+            many, firsts = len(w) // 4, len(v) // 4
+            before = np.repeat(np.cumsum(_unplanes(v, firsts)).astype(np.uint64), _unplanes(runs, firsts))
+            keys.append(before << U64(32) | _unplanes(w, many).astype(np.uint64))
+            counts.append(_unplanes(n, many))
         keys, n = _folded(keys, counts)
         hashed = mix64(keys)
         order = np.argsort(hashed)
