@@ -742,14 +742,15 @@ def rt_window_shift(v):
 _TRACE = "(select mz_rt_uid, filename, cast(rt as double) as rt, max(cast(i as double)) as i from pairs group by 1, 2, 3)"
 
 
-@query("pairs", f"""select mz_rt_uid, round(rt, 4) as rt, round(max(v), 2) as max_i, round(avg(v), 2) as mean_i from (
+@query("pairs", f"""select mz_rt_uid, round(rt, 4) as rt, round(max(v) + 1e-6, 2) as max_i, round(avg(v) + 1e-6, 2) as mean_i from (
     select g.mz_rt_uid, g.rt, case when b.i is null or a.i is null then 0 when a.rt = b.rt then b.i else b.i + (a.i - b.i) / (a.rt - b.rt) * (g.rt - b.rt) end as v
     from (select t.mz_rt_uid, f.filename, t.rt from (select distinct mz_rt_uid, rt from {_TRACE}) t join (select distinct mz_rt_uid, filename from {_TRACE}) f on f.mz_rt_uid = t.mz_rt_uid) g
     asof left join {_TRACE} b on g.mz_rt_uid = b.mz_rt_uid and g.filename = b.filename and g.rt >= b.rt
     asof left join {_TRACE} a on g.mz_rt_uid = a.mz_rt_uid and g.filename = a.filename and g.rt <= a.rt) x group by mz_rt_uid, rt""")
 def eic_traces(v):
+    # halves of a cent are moved off the border, where engines round either way
     t = cu.eic_traces(pairs(v))
-    return t.select("mz_rt_uid", F.round(F.col("rt").cast("double"), 4).alias("rt"), F.round("max_i", 2).alias("max_i"), F.round("mean_i", 2).alias("mean_i"))
+    return t.select("mz_rt_uid", F.round(F.col("rt").cast("double"), 4).alias("rt"), F.round(F.col("max_i") + 1e-6, 2).alias("max_i"), F.round(F.col("mean_i") + 1e-6, 2).alias("mean_i"))
 
 
 @query()
