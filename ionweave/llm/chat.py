@@ -85,15 +85,20 @@ def format_turns(df: DataFrame, template: dict = TEMPLATE) -> DataFrame:
 
 
 def digests(turns: DataFrame, template: dict = TEMPLATE) -> DataFrame:
-    """Per conversation, read back from formatted turns as format_turns() leaves them in their partitions."""
+    """Per conversation, read back from formatted turns as format_turns() leaves them in their partitions.
+
+    The pieces of a conversation are read as one text: a turn ends where the template's footer stands, so a control string
+    that had come through unescaped would show as another number of turns and other digests."""
     out = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+    footer = template["end"] + template["after_turn"]
 
     def run(batches):
         held: dict = {}
 
         def done():
-            return (held["conv"], held["n"], held["all"].hexdigest(), held["loss_chars"], held["loss"].hexdigest(), held["chars"], held["valid"])
+            # what no footer ends is no turn
+            return (held["conv"], held["n"], held["all"].hexdigest(), held["loss_chars"], held["loss"].hexdigest(), held["chars"], held["valid"] and not held["open"])
 
         def packed(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[p.split()[0] for p in out.split(", ")])
@@ -104,16 +109,18 @@ def digests(turns: DataFrame, template: dict = TEMPLATE) -> DataFrame:
                 if not held or held["conv"] != c:
                     if held:
                         rows.append(done())
-                    held.update(conv=c, n=0, all=hashlib.sha256(), loss_chars=0, loss=hashlib.sha256(), chars=0, valid=True)
+                    held.update(conv=c, n=0, all=hashlib.sha256(), loss_chars=0, loss=hashlib.sha256(), chars=0, valid=True, open="")
                 formatted = "".join(s["text"] for s in segments)
-                role, text = turn_of(formatted, template)
-                held["all"].update(f"{role}\n{text}\n".encode())
+                *turns, held["open"] = (held["open"] + formatted).split(footer)
+                for turn in turns:
+                    role, text = turn_of(turn + footer, template)
+                    held["all"].update(f"{role}\n{text}\n".encode())
+                held["n"] += len(turns)
                 for s in segments:
                     if s["loss"]:
                         plain = unescape(s["text"])
                         held["loss"].update(plain.encode())
                         held["loss_chars"] += len(plain)
-                held["n"] += 1
                 held["chars"] += len(formatted)
                 held["valid"] &= ok
             if rows:
