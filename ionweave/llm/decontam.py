@@ -72,6 +72,23 @@ def machines(items: list[tuple[object, str | None]]) -> list[Machine]:
     return [Machine(g, min(map(len, g))) for g in groups if g]
 
 
+def pieces_of(text: str, size: int) -> list[str]:
+    """text, or where it may have more than `size` bytes pieces of about that size that share all but one word of a window."""
+    if len(text) * 4 <= size:
+        return [text]
+    words = words_of(text)
+    out, a = [], 0
+    while True:
+        b, length = a, 0
+        while b < len(words) and (length < size or b - a < WINDOW):
+            length += len(words[b]) + 1
+            b += 1
+        out.append(b" ".join(words[a:b]).decode("utf-8", "replace"))
+        if b == len(words):
+            return out
+        a = b - WINDOW + 1
+
+
 def scan(found: list[Machine], text: str | None) -> tuple[int, list[int], dict]:
     """Number of words, hit intervals as [start, end, ...] in ascending order without overlaps, and the owners found."""
     words = words_of(text)
@@ -99,8 +116,9 @@ _built: dict[str, list[Machine]] = {}
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs with n_words, spans (start and end word of each hit stretch, flattened) and items (ids found, sorted as strings).
 
-    A benchmark within BROADCAST_BYTES is broadcast. A larger one is cut into blocks that fit; each block scans the
-    stored documents, and the hits of a document are merged by its row number."""
+    A benchmark within BROADCAST_BYTES is broadcast. A larger one is cut into blocks that fit; one block after the other
+    is fetched, scans the stored documents, has its hits stored and is released, and the hits of a document are merged by
+    its row number. An item longer than a block goes in overlapping pieces that have the same windows."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("t")).where("item is not null and t is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
@@ -109,8 +127,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     found = [T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType()))]
     schema = T.StructType([*out, *found])
 
-    def scanned(df: DataFrame, block: DataFrame, schema: T.StructType, names: list[str]) -> DataFrame:
-        shared = spark.sparkContext.broadcast([(r.item, r.t) for r in block.toLocalIterator()])
+    def fetched(block: DataFrame):
+        return spark.sparkContext.broadcast([(r.item, r.t) for r in block.select("item", "t").toLocalIterator()])
+
+    def scanned(df: DataFrame, shared, schema: T.StructType, names: list[str]) -> DataFrame:
         name = uuid.uuid4().hex
 
         def run(batches):
@@ -126,14 +146,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         return df.mapInArrow(run, schema)
 
     if size <= BROADCAST_BYTES:
-        return scanned(docs.select(names), items, schema, names)
+        return scanned(docs.select(names), fetched(items), schema, names)
     blocks = -(-2 * size // BROADCAST_BYTES)
     kept = stored(docs.select(names).withColumn("__row", F.monotonically_increasing_id()), "decontam")
-    parts = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
+    most = BROADCAST_BYTES // 4
+    cut = F.udf(lambda t: pieces_of(t, most), "array<string>")
+    pieces = items.select("item", F.explode(cut("t")).alias("t"))
+    parts = stored(pieces.withColumn("block", F.pmod(F.xxhash64("item", "t"), F.lit(blocks)).cast("int")), "benchmark")
     short = T.StructType([T.StructField("__row", T.LongType()), *found])
     hits = None
     for b in range(blocks):
-        one = scanned(kept.select("__row", text), parts.where(F.col("block") == b), short, ["__row"])
+        shared = fetched(parts.where(F.col("block") == b))
+        one = scanned(kept.select("__row", text), shared, short, ["__row"])
+        # every document has its row in the first block's hits
+        one = stored(one if b == 0 else one.where(F.size("spans") > 0), "hits")
+        shared.destroy()
         hits = one if hits is None else hits.unionByName(one)
     merge = F.pandas_udf(lambda s: s.map(lambda x: merged([(v[i], v[i + 1]) for v in x for i in range(0, len(v), 2)])), "array<long>")
     hits = hits.groupBy("__row").agg(F.max("n_words").alias("n_words"), F.collect_list(F.when(F.size("spans") > 0, F.col("spans"))).alias("s"), F.collect_set(F.when(F.size("items") > 0, F.col("items"))).alias("i"))

@@ -499,6 +499,24 @@ def test_chat_digests_and_machine(spark):
     assert chat.digests(chat.format_turns(df.limit(0))).count() == 0
 
 
+def test_chat_digests_read_the_joined_text(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, 0, "user", "a<|im_end|>\n<|im_start|>assistant\nb"), (1, 1, "assistant", "c")], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_turns(rows)
+    (good,) = chat.digests(formatted).collect()
+    assert good.n_turns == 2 and good.valid
+    raw = formatted.withColumn("segments", F.transform("segments", lambda s: F.struct(F.replace(s["text"], F.lit("<\\|"), F.lit("<|")).alias("text"), s["loss"].alias("loss"))))
+    (bad,) = chat.digests(raw).collect()
+    assert bad.n_turns == 3 and bad.turns_sha256 != good.turns_sha256
+
+
+def test_pieces_of_a_long_item_have_its_windows():
+    text = " ".join(f"w{i}" for i in range(500))
+    pieces = decontam.pieces_of(text, 100)
+    windows = lambda t: {tuple(w[k : k + 13]) for w in [decontam.words_of(t)] for k in range(len(w) - 12)}
+    assert len(pieces) > 10 and set().union(*map(windows, pieces)) == windows(text)
+    assert all(len(decontam.words_of(p)) >= 13 for p in pieces)
+
+
 def test_language_model_equals_brute_force(spark, docs):
     import math
 
