@@ -135,8 +135,10 @@ def query_atlases(atlases: DataFrame, **filters: str | None) -> DataFrame:
     return atlases.orderBy(F.desc("created_date"), "atlas_name")
 
 
-def isomer_pairs(targets: DataFrame, tolerance: float = 0.005) -> DataFrame:
-    """(mz_rt_uid, isomers): other targets of equal m/z or mass within the tolerance, or of the same first InChIKey block."""
+def isomer_pairs(targets: DataFrame, tolerance: float = 0.005, pair_blank_keys: bool = False) -> DataFrame:
+    """(mz_rt_uid, isomers): other targets of equal m/z or mass within the tolerance, or of the same first InChIKey block.
+
+    Blank keys name no structure, and all of them would be one block of all pairs; `pair_blank_keys` asks for that."""
     from .joins import near_pairs
 
     own = targets.select("mz_rt_uid", "mz", *(["mono_mass"] if "mono_mass" in targets.columns else []), F.split("inchi_key", "-")[0].alias("block"))
@@ -144,7 +146,8 @@ def isomer_pairs(targets: DataFrame, tolerance: float = 0.005) -> DataFrame:
     pairs = near_pairs(own, other, "mz", "o_mz", tolerance).select("mz_rt_uid", "o_mz_rt_uid")
     if "mono_mass" in own.columns:
         pairs = pairs.unionByName(near_pairs(own, other, "mono_mass", "o_mono_mass", tolerance).select("mz_rt_uid", "o_mz_rt_uid"))
-    pairs = pairs.unionByName(own.join(other, own["block"] == other["o_block"]).select("mz_rt_uid", "o_mz_rt_uid"))
+    keyed = own if pair_blank_keys else own.where(F.trim("block") != "")
+    pairs = pairs.unionByName(keyed.join(other, F.col("block") == F.col("o_block")).select("mz_rt_uid", "o_mz_rt_uid"))
     pairs = pairs.where("mz_rt_uid <> o_mz_rt_uid").distinct()
     details = targets.select(F.col("mz_rt_uid").alias("o_mz_rt_uid"), F.struct("mz_rt_uid", "compound_name", "inchi_key", "adduct").alias("isomer"))
     lists = pairs.join(details, "o_mz_rt_uid").groupBy("mz_rt_uid").agg(F.array_sort(F.collect_list("isomer")).alias("isomers"))

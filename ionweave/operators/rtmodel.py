@@ -11,29 +11,35 @@ from ..functions.scores import format_equation, polynomial
 MODEL_SCHEMA = "rt_alignment_number long, atlas_uid string, degree int, coefficients array<double>, r2 double, rmse double, n_compounds long, equation string"
 
 
-def rt_stats(rows: DataFrame, exclude: list[str] | None = None) -> DataFrame:
+def rt_stats(rows: DataFrame, exclude: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """Per target, over the points in the feature of all files: counts, moments and differences from the atlas.
 
-    rows: joined points with atlas_mz, rt_peak and inchi_key."""
+    rows: joined points with atlas_mz, rt_peak and inchi_key; a target has one rt_peak. Medians are exact, which holds all
+    different values of a target at once. Where a target has too many points for that, `accuracy` asks for percentile_approx's
+    sketch of that accuracy (the rank is off by one part in `accuracy` at most), whose size doesn't grow."""
     inside = rows.where("in_feature")
     if exclude:
         inside = inside.where(~F.col("inchi_key").isin(exclude))
     rt, mz, i = (F.col(c).cast("double") for c in ("rt", "mz", "i"))
     shift, ppm = rt - F.col("rt_peak"), (mz - F.col("atlas_mz")) / F.col("atlas_mz") * 1e6
-    return inside.groupBy("mz_rt_uid").agg(
+    median = F.median if accuracy is None else lambda c: F.percentile_approx(c, 0.5, accuracy)
+    stats = inside.groupBy("mz_rt_uid").agg(
         F.max("rt_peak").alias("atlas_rt_peak"), F.count("*").alias("observation_count"),
-        F.avg(rt).alias("rt_mean"), F.median(rt).alias("rt_median"), F.stddev_pop(rt).alias("rt_std"),
+        F.avg(rt).alias("rt_mean"), median(rt).alias("rt_median"), F.stddev_pop(rt).alias("rt_std"),
         F.avg(mz).alias("mz_mean"), F.stddev_pop(mz).alias("mz_std"),
-        F.avg(i).alias("intensity_mean"), F.median(i).alias("intensity_median"), F.max(i).alias("intensity_max"),
-        F.avg(shift).alias("rt_diff_mean"), F.median(shift).alias("rt_diff_median"), F.stddev_pop(shift).alias("rt_diff_std"),
+        F.avg(i).alias("intensity_mean"), median(i).alias("intensity_median"), F.max(i).alias("intensity_max"),
+        F.avg(shift).alias("rt_diff_mean"), F.stddev_pop(shift).alias("rt_diff_std"),
         F.avg(ppm).alias("ppm_mean"), F.stddev_pop(ppm).alias("ppm_std"),
     )
+    # rt_peak is the same for all points of a target, so the median of the differences needs no list of its own
+    return stats.withColumn("rt_diff_median", F.col("rt_median") - F.col("atlas_rt_peak"))
 
 
 def fit_rt_model(stats: DataFrame, degree: int = 2, min_compounds: int = 2, min_observations: int = 1) -> dict:
     """Least squares of the median observed rt on the atlas rt: coefficients from the constant up, r2, rmse, n.
 
-    Power sums of the centred and scaled rt come from one aggregate; only the small normal equations are solved here."""
+    Power sums of the centred and scaled rt come from one aggregate; only the small normal equations are solved here.
+    Three actions read stats, so it should be stored or persisted."""
     used = stats.where(F.col("observation_count") >= min_observations)
     first = used.agg(F.count("*").alias("n"), F.avg("atlas_rt_peak").alias("m"), F.stddev_pop("atlas_rt_peak").alias("s")).first()
     if first.n == 0:

@@ -145,6 +145,41 @@ def test_traces_interpolate(spark):
     assert {r.rt: (r.max_i, r.mean_i) for r in curation.eic_traces(rows).collect()} == {1.0: (10, 5), 2.0: (20, 12), 3.0: (30, 15)}
 
 
+def test_traces_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for t, files in (("a", 6), ("b", 1), ("c", 3)):
+        for f in range(files):
+            # unlike spans, gaps, repeated rt and files of one point
+            x = rng.choice(np.linspace(1, 3, 41) + f / 500 * (f % 2), 1 if f == 5 else int(rng.integers(4, 30)))
+            rows += [(t, f"f{f}", float(v), float(rng.integers(0, 1000))) for v in x]
+    df = spark.createDataFrame(rows, "mz_rt_uid string, filename string, rt float, i float")
+    got = {(r.mz_rt_uid, r.rt): (r.max_i, r.mean_i) for r in curation.eic_traces(df.repartition(5)).collect()}
+    want = {}
+    for t in "abc":
+        files: dict = {}
+        for u, f, x, i in rows:
+            if u == t:
+                own = files.setdefault(f, {})
+                own[float(np.float32(x))] = max(i, own.get(float(np.float32(x)), 0.0))
+        for g in {x for own in files.values() for x in own}:
+            v = [np.interp(g, sorted(own), [own[x] for x in sorted(own)], left=0, right=0) for own in files.values()]
+            want[t, g] = max(v), sum(v) / len(v)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-6)
+
+
+def test_rt_stats_with_a_sketch_are_near_the_exact_ones(spark):
+    rng = np.random.default_rng(6)
+    rows = [(u, 100.0, 2.0, "K", float(rng.normal(2, 0.1)), 100.0, float(rng.lognormal(8)), True) for u in ("a", "b") for _ in range(2001)]
+    df = spark.createDataFrame(rows, "mz_rt_uid string, atlas_mz double, rt_peak double, inchi_key string, rt float, mz double, i float, in_feature boolean")
+    exact, near = ({r.mz_rt_uid: r for r in rtmodel.rt_stats(df, accuracy=a).collect()} for a in (None, 1000))
+    for u in ("a", "b"):
+        assert near[u].rt_median == pytest.approx(exact[u].rt_median, abs=2e-3)
+        assert exact[u].rt_diff_median == pytest.approx(exact[u].rt_median - 2.0, abs=1e-9) and near[u].rt_mean == pytest.approx(exact[u].rt_mean)
+
+
 def test_quality_edges(spark):
     q = lambda p, d: one(spark, scores.mz_quality(F.lit(p).cast("double"), F.lit(d).cast("double")))
     assert [q(5.0, 1.0), q(-5.0, 1.0), q(50.0, 0.0015), q(10.0, 1.0), q(10.1, 1.0), q(None, 1.0)] == [1.0, 1.0, 1.0, 0.5, 0.0, None]
@@ -181,6 +216,9 @@ def test_isomers_both_ways_and_never_itself(spark):
     rows = [("l", 132.102, 9.0, 8.5, 10.5, "ROHF-1", "[M+H]+", "leucine", "1"), ("i", 132.1023, 10.0, 9.0, 11.0, "AGPK-1", "[M+H]+", "isoleucine", "2"), ("x", 300.0, 1.0, 0.5, 1.5, "ROHF-2", "[M+Na]+", "other", "3")]
     got = {r.mz_rt_uid: [x.mz_rt_uid for x in r.isomers] for r in atlas.isomer_pairs(targets(spark, rows)).collect()}
     assert got == {"l": ["i", "x"], "i": ["l"], "x": ["l"]}
+    blank = targets(spark, [("p", 100.0, 1.0, 0.5, 1.5, "", "", "p", "1"), ("q", 200.0, 1.0, 0.5, 1.5, "", "", "q", "2"), ("r", 300.0, 1.0, 0.5, 1.5, None, "", "r", "3")])
+    alone, block = ({r.mz_rt_uid: len(r.isomers) for r in atlas.isomer_pairs(blank, pair_blank_keys=b).collect()} for b in (False, True))
+    assert alone == {"p": 0, "q": 0, "r": 0} and block == {"p": 1, "q": 1, "r": 0}
 
 
 def test_overlaps_join_names(spark):
