@@ -1,10 +1,14 @@
-"""Scoring by an interpolated modified Kneser-Ney bigram model, counted in Spark and memory-mapped by the workers.
+"""Scoring by an interpolated modified Kneser-Ney model of any order from 2, counted in Spark and memory-mapped by the workers.
 
 Words are what stands between white space, A-Z in lower case; every text ends with an end token and begins in a context
 of its own. Spark counts words, then distinct pairs in buckets, then what follows and precedes each word. The model lies in
 the shared folder as sorted hash arrays, in shards whose number grows with the corpus; a worker maps them into memory and
 looks up the distinct words and pairs of a block in sorted order.
 
+Pairs, the default, are dealt and merged as compressed arrays. A higher order is counted by DataFrame aggregates: n-grams of
+the highest order from the texts, each lower level as the number of different words before its n-grams, and per level the
+total and the handed-down mass of its contexts. Texts begin with as many start marks as a context has places.
+
 Null texts count as empty and have the end token alone. Words unseen in training get the share of the uniform distribution
 over V+1 words. With no training text every score is that of the uniform distribution. Repeated rows score alike."""
 
@@ -36,6 +40,7 @@ class Model:
     tokens: int = 0
     distinct: int = 0
     texts: int = 0
+    order: int = 2
     words: list = field(default_factory=list)
     firsts: list = field(default_factory=list)
     buckets: int = 1
@@ -45,6 +50,8 @@ class Model:
     low_discount: tuple = ()
     low_total: int = 0
     low_spare: float = 1.0
+    #: for orders above 2: (n-gram shards, context shards, discounts) of each level from 2 on
+    levels: list = field(default_factory=list)
 
 
 def _write(folder: str, name: str, *arrays: np.ndarray) -> str:
@@ -126,26 +133,29 @@ def _count_words(train: DataFrame) -> DataFrame:
     return train.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def _write_words(spark: SparkSession, counted: DataFrame, model: Model) -> None:
-    """Sorted hash shards of the vocabulary; a word's id is its place in the order of all hashes."""
-    bits = max(0, int(np.ceil(np.log2(max(1, model.distinct / SHARD)))))
+def _write_sorted(rows: DataFrame, many: int, folder: str, name: str, **kinds: str) -> list[tuple[int, str, int]]:
+    """Shards of the columns `kinds` in the order of the column h, about SHARD of the `many` rows each: (first hash, file, length)."""
+    bits = max(0, int(np.ceil(np.log2(max(1, many / SHARD)))))
     # the top bits of the hash as an unsigned number
     part = F.lit(0) if bits == 0 else F.shiftrightunsigned("h", 64 - bits).cast("int")
-    folder = model.folder
 
     def write(table: pa.Table) -> pa.Table:
         h = table.column("h").to_numpy().view(np.uint64)
-        n = table.column("n").to_numpy()
         order = np.argsort(h)
-        name = _write(folder, "words", h[order], n[order].astype(np.uint64))
-        return pa.table({"part": table.column("part").slice(0, 1), "file": [name], "n": pa.array([len(h)], pa.int64()), "first": pa.array(h[order[:1]].view(np.int64))})
+        file = _write(folder, name, h[order], *(table.column(c).to_numpy()[order].astype(k) for c, k in kinds.items()))
+        return pa.table({"file": [file], "n": pa.array([len(h)], pa.int64()), "first": pa.array(h[order[:1]].view(np.int64))})
+
+    files = stored(rows.withColumn("part", part).groupBy("part").applyInArrow(write, "file string, n long, first long"), name)
+    return sorted((r.first & 0xFFFFFFFFFFFFFFFF, r.file, r.n) for r in files.collect())
+
 
-    files = stored(counted.withColumn("part", part).groupBy("part").applyInArrow(write, "part int, file string, n long, first long"), "words")
+def _write_words(counted: DataFrame, model: Model) -> None:
+    """Sorted hash shards of the vocabulary; a word's id is its place in the order of all hashes."""
     at = 0
-    for r in sorted(files.collect()):
-        model.firsts.append(r.first & 0xFFFFFFFFFFFFFFFF)
-        model.words.append((r.file, at, r.n))
-        at += r.n
+    for first, file, n in _write_sorted(counted, model.distinct, model.folder, "words", n="<u8"):
+        model.firsts.append(first)
+        model.words.append((file, at, n))
+        at += n
 
 
 class Lookup:
@@ -205,6 +215,34 @@ class Lookup:
                 out[seen[rows]] = np.where(keys[place] == key[rows], n[place], 0)
         return out
 
+    def values(self, table: list[tuple[int, str, int]], keys: np.ndarray, *kinds: str) -> list[np.ndarray]:
+        """The columns of sorted shards at each key, 0 where it is missing."""
+        out = [np.zeros(len(keys), k) for k in kinds]
+        order = np.argsort(keys)
+        cuts = [0, *np.searchsorted(keys[order], np.array([first for first, _, _ in table[1:]], np.uint64)).tolist(), len(keys)] if table else [0]
+        for (_, file, size), a, b in zip(table, cuts, cuts[1:]):
+            if a == b:
+                continue
+            rows = order[a:b]
+            have, *columns = self.shard(file, ("<u8", size), *((k, size) for k in kinds))
+            place = np.minimum(np.searchsorted(have, keys[rows]), size - 1)
+            hit = have[place] == keys[rows]
+            for o, c in zip(out, columns):
+                o[rows[hit]] = c[place[hit]]
+        return out
+
+    def interpolated(self, ids: np.ndarray, at: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """The probability of each token by all levels above the lowest, whose own is p."""
+        p, columns = p.copy(), _windows(ids, at, self.model.order, self.model.distinct)
+        for k, (grams, contexts, d) in enumerate(self.model.levels, 2):
+            own = columns[-k:]
+            rows = np.flatnonzero(np.all([c >= 0 for c in own[:-1]], axis=0))
+            total, spare = self.values(contexts, _chained([c[rows] for c in own[:-1]]), "<u8", "<f8")
+            rows, total, spare = rows[total > 0], total[total > 0], spare[total > 0]
+            (n,) = self.values(grams, _chained([c[rows] for c in own]), "<u8")
+            p[rows] = (discounted(n.astype(np.int64), d) + spare * p[rows]) / total
+        return p
+
     def side(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mass that a context hands down, and lower-order probability, of each id (0 and the uniform share where unseen)."""
         spare, low = np.zeros(len(ids)), np.full(len(ids), self.model.low_spare / (self.model.distinct + 1))
@@ -323,10 +361,75 @@ def discounted(c: np.ndarray, d: tuple) -> np.ndarray:
     return np.maximum(c - np.array([0.0, *d])[np.minimum(c, 3)], 0)
 
 
-def train_model(train: DataFrame, text: str = "text") -> Model:
+def _windows(ids: np.ndarray, at: np.ndarray, order: int, start: int) -> list[np.ndarray]:
+    """For each token the ids of the `order` tokens that end with it, a column for each place; `start` before a row's first."""
+    place = np.arange(len(ids)) - np.repeat(at[:-1], np.diff(at))
+    out = []
+    for back in range(order - 1, 0, -1):
+        inside = np.flatnonzero(place >= back)
+        column = np.full(len(ids), start, np.int64)
+        column[inside] = ids[inside - back]
+        out.append(column)
+    return [*out, ids]
+
+
+def _chained(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash of the ids at each row."""
+    h = np.full(len(columns[0]), len(columns), np.uint64)
+    for c in columns:
+        h = mix64(h ^ mix64(c.astype(np.uint64) + U64(1)))
+    return h
+
+
+def _hashed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with h, the hash of its id columns, in their place."""
+    rest = [f for f in df.schema.fields if f.name not in columns]
+
+    def run(batches):
+        for b in batches:
+            h = _chained([b.column(b.schema.get_field_index(c)).to_numpy() for c in columns])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(b.column(b.schema.get_field_index(f.name)) for f in rest)], names=["h", *(f.name for f in rest)])
+
+    return df.mapInArrow(run, T.StructType([T.StructField("h", T.LongType()), *rest]))
+
+
+def _count_levels(train: DataFrame, model: Model) -> None:
+    """Counts and writes all levels of an order above 2, from the highest down."""
+    shared = train.sparkSession.sparkContext.broadcast(model)
+    names = [f"w{k}" for k in range(model.order)]
+
+    def run(batches):
+        m = shared.value
+        own = lookup(m)
+        for batch in batches:
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                at, ids, *_ = own.block(data, offsets)
+                columns = _windows(ids, at, m.order, m.distinct)
+                for a in range(0, len(ids), 1 << 18):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[a : a + (1 << 18)]) for c in columns], names=names)
+
+    rows = train.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    ones = lambda c: [F.count_if(F.col(c) == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    for k in range(model.order, 1, -1):
+        own = names[-k:]
+        rows = stored(rows.groupBy(*own).agg(F.count("*").alias("n")), f"grams{k}")
+        sums = rows.agg(F.count("*").alias("many"), *ones("n")).first()
+        d = discounts([sums[f"n{j}"] for j in (1, 2, 3, 4)])
+        spare = sum(F.count_if(hit) * F.lit(x) for hit, x in zip((F.col("n") == 1, F.col("n") == 2, F.col("n") >= 3), d))
+        contexts = stored(rows.groupBy(*own[:-1]).agg(F.sum("n").alias("total"), spare.alias("spare")), f"contexts{k}")
+        grams = _write_sorted(_hashed(rows, own), sums.many, model.folder, f"grams{k}", n="<u8")
+        model.levels.insert(0, (grams, _write_sorted(_hashed(contexts, own[:-1]), contexts.count(), model.folder, f"contexts{k}", total="<u8", spare="<f8"), d))
+    none = F.lit(0).cast("long")
+    _write_sides(rows.groupBy(F.col(names[-1]).alias("id")).agg(none.alias("n1"), none.alias("n2"), none.alias("n3"), F.count("*").alias("before")), model)
+
+
+def train_model(train: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """The model of the given order (2 or more) learned from all rows of train."""
+    if order < 2:
+        raise ValueError("an order of 2 or more is needed")
     spark = train.sparkSession
     train = train.select(text)
-    model = Model(shared_dir(spark, "ngrams"))
+    model = Model(shared_dir(spark, "ngrams"), order=order)
     system, path = fs.FileSystem.from_uri(model.folder)
     system.create_dir(path, recursive=True)
     counted = stored(_count_words(train), "counted")
@@ -337,18 +440,26 @@ def train_model(train: DataFrame, text: str = "text") -> Model:
         return model
     if model.distinct >= (1 << 32) - 1:
         raise OverflowError("a pair of word ids takes 64 bits: at most 2 ** 32 - 2 different words")
-    _write_words(spark, counted, model)
+    _write_words(counted, model)
+    if order > 2:
+        _count_levels(train, model)
+        return model
     model.buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.tokens // (2 * SHARD)))
     rows = _count_pairs(train, model)
     files = rows.where("id = -1").collect()
     model.pairs = {r.bucket: (r.file, r.n) for r in files}
     model.discount = discounts([sum(getattr(r, c) for r in files) for c in ("n1", "n2", "n3", "before")])
-    sides = rows.where("id >= 0").groupBy("id").agg(*(F.sum(c).alias(c) for c in ("n1", "n2", "n3", "before")))
+    _write_sides(rows.where("id >= 0").groupBy("id").agg(*(F.sum(c).alias(c) for c in ("n1", "n2", "n3", "before"))), model)
+    return model
+
+
+def _write_sides(sides: DataFrame, model: Model) -> None:
+    """Arrays by id of the mass that a one-word context hands down and of the lowest order's probability, from (id, n1, n2, n3, before)."""
     sides = stored(sides, "sides")
     low = sides.where("before > 0").agg(F.sum("before").alias("total"), *(F.count_if(F.col("before") == k).alias(f"k{k}") for k in (1, 2, 3, 4)), F.count_if(F.col("before") >= 3).alias("many")).first()
     model.low_total, model.low_discount = low.total, discounts([low.k1, low.k2, low.k3, low.k4])
     model.low_spare = sum(d * n for d, n in zip(model.low_discount, (low.k1, low.k2, low.many))) / low.total
-    shared = spark.sparkContext.broadcast(model)
+    shared = sides.sparkSession.sparkContext.broadcast(model)
 
     def write(table: pa.Table) -> pa.Table:
         m = shared.value
@@ -363,7 +474,6 @@ def train_model(train: DataFrame, text: str = "text") -> Model:
 
     files = stored(sides.withColumn("part", F.floor(F.col("id") / SHARD)).groupBy("part").applyInArrow(write, "part long, file string, n long"), "side-files").collect()
     model.sides = [(r.file, r.part * SHARD, r.n) for r in sorted(files)]
-    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -383,10 +493,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 at, ids, counts, before, before_count = own.block(data, offsets)
                 owner = np.repeat(np.arange(end - row), np.diff(at))
                 low = own.side(ids)[1]
-                spare = own.side(before)[0]
                 p = low.copy()
                 known = (before >= 0) & (before_count > 0)
-                if known.any():
+                if m.order > 2:
+                    p = own.interpolated(ids, at, low)
+                elif known.any():
+                    spare = own.side(before)[0]
                     c = own.pair_counts(before, ids, before_count)
                     p[known] = ((discounted(c, m.discount) + spare * low)[known]) / before_count[known]
                 base = np.log10((counts + 0.1) / (m.tokens + 0.1 * (m.distinct + 1)))

@@ -552,10 +552,56 @@ def test_language_model_equals_brute_force(spark, docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_language_model_sums_to_one(spark):
+def plain_model(texts, order):
+    """Log10 probability of a text by an interpolated modified Kneser-Ney model of the order, learned from texts."""
+    import math
+
+    pad = lambda t: ["<s>"] * (order - 1) + t
+    level = Counter(tuple(pad(t)[i : i + order]) for t in texts for i in range(len(t)))
+    levels = []
+    for k in range(order, 0, -1):
+        d = (0, *ngramlm.discounts([sum(x == j for x in level.values()) for j in (1, 2, 3, 4)]))
+        total, spare = Counter(), Counter()
+        for g, n in level.items():
+            total[g[:-1]] += n
+            spare[g[:-1]] += d[min(n, 3)]
+        levels.insert(0, (level, d, total, spare))
+        level = Counter(g[1:] for g in level)
+    share = 1 / (len(levels[0][0]) + 1)
+
+    def score(t):
+        s = 0
+        for i in range(len(t)):
+            p = share
+            for k, (level, d, total, spare) in enumerate(levels, 1):
+                g = tuple(pad(t)[i + order - k : i + order])
+                if total[g[:-1]]:
+                    p = (max(level[g] - d[min(level[g], 3)], 0) + spare[g[:-1]] * p) / total[g[:-1]]
+            s += math.log10(p)
+        return s
+
+    return score
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_models_of_each_order_equal_brute_force(spark, docs, order, monkeypatch):
+    lower = str.maketrans({c: chr(ord(c) + 32) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    cut = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)), "</s>"]
+    # several shards of each table
+    monkeypatch.setattr(ngramlm, "SHARD", 3000)
+    train = docs.where("doc_id % 2 = 0")
+    plain = plain_model([cut(r.text) for r in train.collect()], order)
+    model = ngramlm.train_model(train, order=order)
+    assert len(model.words) > 1 and (order == 2 or all(len(grams) > 1 for grams, *_ in model.levels))
+    for r in ngramlm.score(docs, model).collect():
+        assert r.score == pytest.approx(plain(cut(r.text)), rel=1e-7)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_sums_to_one(spark, order):
     texts = ["a b a c", "b a", "a b b c a"]
     train = spark.createDataFrame([(t,) for t in texts], "text string")
-    model = ngramlm.train_model(train)
+    model = ngramlm.train_model(train, order=order)
     probe = spark.createDataFrame([(w,) for w in ("a", "b", "c", "", "zzz")], "text string")
     first = {}
     for r in ngramlm.score(probe, model).collect():
@@ -564,11 +610,12 @@ def test_language_model_sums_to_one(spark):
     assert sum(10 ** first[""] for _ in [0]) < 1 and all(np.isfinite(list(first.values())))
 
 
-def test_language_model_of_odd_rows(spark, odd):
-    model = ngramlm.train_model(odd)
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_of_odd_rows(spark, odd, order):
+    model = ngramlm.train_model(odd, order=order)
     rows = ngramlm.score(odd, model).collect()
     assert len(rows) == odd.count() and all(np.isfinite(r.score) for r in rows)
-    empty = ngramlm.score(odd, ngramlm.train_model(odd.limit(0)))
+    empty = ngramlm.score(odd, ngramlm.train_model(odd.limit(0), order=order))
     assert all(r.n_known == 0 and r.score == 0 for r in empty.collect())
 
 
