@@ -8,6 +8,8 @@ A null text counts as empty; the empty text has one empty leaf. Repeated texts h
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,36 +83,45 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
     return F.flatten(spots)
 
 
-def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """df with `__bucket`: ranges of the key, about equally full, higher for higher keys."""
+def _bucketed(df: DataFrame, key: str, tie: str, buckets: int) -> DataFrame:
+    """df with `__bucket`: ranges of the key, about equally full, higher for higher keys. A key that fills several quantiles has ranges
+    of `tie` instead, higher for lower ones."""
     q = min(QUANTILES, buckets)
     inner = max(1, -(-buckets // q))
     cuts = df.agg(F.percentile_approx(key, [i / q for i in range(1, q)] or [0.5], 10_000).alias("c"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     bounds = sorted({cuts.lo or 0, *(cuts.c or []), cuts.hi or 0})
     edges = F.array(*(F.lit(b).cast("long") for b in bounds))
-    at = F.size(F.filter(edges, lambda b: b <= F.col(key)))
-    if inner == 1:
-        return df.withColumn("__bucket", at)
-    low, high = F.get(edges, at - 1).cast("double"), F.coalesce(F.get(edges, at), F.get(edges, at - 1) + 1).cast("double")
+    at = F.size(F.filter(edges, lambda b: b <= F.col(key))).cast("long")
+    low, high = F.get(edges, (at - 1).cast("int")).cast("double"), F.coalesce(F.get(edges, at.cast("int")), F.get(edges, (at - 1).cast("int")) + 1).cast("double")
     part = F.least(F.lit(inner - 1), F.floor((F.col(key) - low) / F.greatest(high - low, F.lit(1.0)) * inner))
-    return df.withColumn("__bucket", (at * inner + part).cast("int"))
+    place = at if inner == 1 else (at * inner + part).cast("long")
+    heavy = {k: n * inner for k, n in Counter(cuts.c or []).items() if n > 1}
+    if heavy:
+        most = max(heavy.values())
+        pieces = F.try_element_at(F.create_map(*(F.lit(x).cast("long") for pair in heavy.items() for x in pair)), F.col(key))
+        piece = F.floor((F.col(tie).cast("double") / 2.0**64 + 0.5) * pieces)
+        place = place * (most + 1) + F.coalesce(most - 1 - F.least(piece, pieces - 1), F.lit(most))
+    return df.withColumn("__bucket", place)
 
 
 def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None = None) -> DataFrame:
     """df with next_<c> for each carried column: its value in the row of the next lower key; after the lowest comes the highest.
 
     Rows are dealt to ranges of the key, a few for each shuffle partition, so one shuffle does; the first row of each range also goes, as a ghost, to the
-    range above it. Null keys are lowest; rows of one key stand in the order of their hashes."""
+    range above it. Null keys are lowest; rows of one key stand in the order of their hashes, and a key of very many rows is dealt by these. Only rows of one
+    key that are alike in all carried columns can't be parted; their order among themselves changes nothing."""
     buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _bucketed(df.withColumn("__key", F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST))), "__key", buckets)
+    keyed = df.withColumns({"__key": F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST)), "__tie": F.xxhash64(*carried)})
+    rows = _bucketed(keyed, "__key", "__tie", buckets)
     # one short row for each range
     heads = rows.groupBy("__bucket").agg(F.max("__key").alias("__key"))
     above = F.lag("__bucket").over(Window.orderBy(F.desc("__bucket")))
     last = F.min("__bucket").over(Window.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    heads = heads.select("__key", F.coalesce(above, last).alias("above"), above.isNull().alias("wraps"))
-    ghosts = rows.join(F.broadcast(heads), "__key").withColumn("__bucket", F.col("above")).drop("above")
-    ghosts = ghosts.withColumn("__ghost", F.when(F.col("wraps"), 2).otherwise(1)).drop("wraps")
-    both = rows.withColumn("__ghost", F.lit(0)).unionByName(ghosts)
-    order = Window.partitionBy("__bucket").orderBy("__ghost", F.desc("__key"), F.xxhash64(*carried))
+    heads = heads.select("__bucket", "__key", F.coalesce(above, last).alias("above"))
+    ghosts = rows.select("__bucket", "__key", "__tie", *carried).join(F.broadcast(heads), ["__bucket", "__key"])
+    # several rows may have the highest key of a range
+    ghosts = ghosts.groupBy("above").agg(F.min_by(F.struct("__key", "__tie", *carried), "__tie").alias("g")).select(F.col("above").alias("__bucket"), "g.*", F.lit(1).alias("__ghost"))
+    both = rows.withColumn("__ghost", F.lit(0)).unionByName(ghosts, allowMissingColumns=True)
+    order = Window.partitionBy("__bucket").orderBy("__ghost", F.desc("__key"), "__tie")
     both = both.withColumn("__next", F.lead(F.struct(*carried)).over(order)).where("__ghost = 0")
-    return both.withColumns({f"next_{c}": F.col(f"__next.{c}") for c in carried}).drop("__next", "__ghost", "__key", "__bucket")
+    return both.withColumns({f"next_{c}": F.col(f"__next.{c}") for c in carried}).drop("__next", "__ghost", "__key", "__tie", "__bucket")

@@ -475,6 +475,20 @@ def test_next_rows_wrap_around(spark, buckets):
     assert merkle.with_next(df.limit(0), "doc_id", ["text"], buckets).count() == 0
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 40, 600])
+def test_next_rows_of_keys_that_many_rows_have(spark, buckets):
+    """A third of all rows without a key, a third with one key, the rest with ties and repeated rows: one ring in the stated order."""
+    rows = [(None, f"n{i}") for i in range(200)] + [(7, f"s{i}") for i in range(200)] + [(i // 3, f"t{i}") for i in range(200)] + [(50, "same")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = [r.text for r in sorted(hashed, key=lambda r: (1 << 63 if r.doc_id is None else -r.doc_id, r.h))]
+    got = sorted((r.text, r.next_text) for r in merkle.with_next(df, "doc_id", ["text"], buckets).collect())
+    assert got == sorted(zip(order, order[1:] + order[:1]))
+    if buckets == 40:
+        spread = merkle._bucketed(df.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("text").alias("h")), "k", "h", buckets)
+        assert spread.groupBy("__bucket").count().agg(F.max("count")).first()[0] < 80
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     both = merkle.with_next(merkle.with_tree(odd, "text").select("doc_id", "text", "leaves"), "doc_id", ["text", "leaves"])
     assert both.count() == odd.count()
