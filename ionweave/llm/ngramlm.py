@@ -334,7 +334,8 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
 
     blobs = train.mapInArrow(count, "bucket int, v binary, runs binary, w binary, n binary")
     out = "file string, bucket int, n long, id long, n1 long, n2 long, n3 long, before long"
-    return stored(blobs.groupBy("bucket").applyInArrow(merge, out), "pairs")
+    # as many tasks as buckets, whose number grows with the tokens; grouping needs no second shuffle
+    return stored(blobs.repartition(model.buckets, "bucket").groupBy("bucket").applyInArrow(merge, out), "pairs")
 
 
 def own_counts(own: Lookup, ids: np.ndarray) -> np.ndarray:
