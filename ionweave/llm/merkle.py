@@ -9,6 +9,7 @@ A null text counts as empty; the empty text has one empty leaf. Repeated texts h
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,24 +105,29 @@ def _bucketed(df: DataFrame, key: str, tie: str, buckets: int) -> DataFrame:
     return df.withColumn("__bucket", place)
 
 
-def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None = None) -> DataFrame:
+def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None = None, made: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """df with next_<c> for each carried column: its value in the row of the next lower key; after the lowest comes the highest.
 
+    `made` adds columns to rows, a row at a time, once they are dealt; they needn't be shuffled then, and may be carried too.
+
     Rows are dealt to ranges of the key, a few for each shuffle partition, so one shuffle does; the first row of each range also goes, as a ghost, to the
     range above it. Null keys are lowest; rows of one key stand in the order of their hashes, and a key of very many rows is dealt by these. Only rows of one
     key that are alike in all carried columns can't be parted; their order among themselves changes nothing."""
     buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumns({"__key": F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST)), "__tie": F.xxhash64(*carried)})
+    given = [c for c in carried if c in df.columns]
+    keyed = df.withColumns({"__key": F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST)), "__tie": F.xxhash64(*given)})
     rows = _bucketed(keyed, "__key", "__tie", buckets)
     # one short row for each range
     heads = rows.groupBy("__bucket").agg(F.max("__key").alias("__key"))
     above = F.lag("__bucket").over(Window.orderBy(F.desc("__bucket")))
     last = F.min("__bucket").over(Window.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = heads.select("__bucket", "__key", F.coalesce(above, last).alias("above"))
-    ghosts = rows.select("__bucket", "__key", "__tie", *carried).join(F.broadcast(heads), ["__bucket", "__key"])
+    ghosts = rows.select("__bucket", "__key", "__tie", *given).join(F.broadcast(heads), ["__bucket", "__key"])
     # several rows may have the highest key of a range
-    ghosts = ghosts.groupBy("above").agg(F.min_by(F.struct("__key", "__tie", *carried), "__tie").alias("g")).select(F.col("above").alias("__bucket"), "g.*", F.lit(1).alias("__ghost"))
+    ghosts = ghosts.groupBy("above").agg(F.min_by(F.struct("__key", "__tie", *given), "__tie").alias("g")).select(F.col("above").alias("__bucket"), "g.*", F.lit(1).alias("__ghost"))
     both = rows.withColumn("__ghost", F.lit(0)).unionByName(ghosts, allowMissingColumns=True)
+    if made is not None:
+        both = made(both.repartition("__bucket"))
     order = Window.partitionBy("__bucket").orderBy("__ghost", F.desc("__key"), "__tie")
     both = both.withColumn("__next", F.lead(F.struct(*carried)).over(order)).where("__ghost = 0")
     return both.withColumns({f"next_{c}": F.col(f"__next.{c}") for c in carried}).drop("__next", "__ghost", "__key", "__tie", "__bucket")

@@ -79,8 +79,7 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = merkle.with_tree(docs, "text").select("doc_id", "text", "root", "leaves")
-    both = merkle.with_next(own, "doc_id", ["text", "leaves"])
+    both = merkle.with_next(docs, "doc_id", ["text", "leaves"], made=lambda rows: merkle.with_tree(rows, "text").drop("sections", "paragraphs"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     both = both.withColumn("n_chars", F.length("text").cast("long"))
     both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), F.substring("next_text", F.lit(1), cut)))

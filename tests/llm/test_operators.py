@@ -492,6 +492,12 @@ def test_next_rows_of_keys_that_many_rows_have(spark, buckets):
 def test_fingerprints_of_odd_rows(spark, odd):
     both = merkle.with_next(merkle.with_tree(odd, "text").select("doc_id", "text", "leaves"), "doc_id", ["text", "leaves"])
     assert both.count() == odd.count()
+    late = merkle.with_next(odd.select("doc_id", "text"), "doc_id", ["text", "leaves"], made=lambda rows: merkle.with_tree(rows, "text"))
+    key = lambda r: (r.doc_id is None, r.doc_id, r.text or "")
+    for a, b in zip(sorted(both.collect(), key=key), sorted(late.collect(), key=key), strict=True):
+        assert a.leaves == b.leaves
+    for r in late.join(late.select(F.col("text").alias("next_text"), F.col("leaves").alias("want")).distinct(), "next_text").collect():
+        assert r.next_leaves == r.want
 
 
 def test_chat_escapes_and_reads_back():
