@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of targets, all columns and both bins counted, up to which they are broadcast; more are shuffled by bin.
 BROADCAST_BYTES = 64 << 20
+#: Parts of each bin where the targets are shuffled: a bin in which a third of all points lie goes to so many tasks at least.
+SALTS = 8
 
 
 def _sizes(targets: DataFrame, low: str, high: str):
@@ -17,6 +19,11 @@ def _sizes(targets: DataFrame, low: str, high: str):
     return targets.agg(F.coalesce(2 * F.sum(length), F.lit(0)).alias("bytes"), wide.alias("w"), F.min(low).alias("lo"), F.max(high).alias("hi")).first()
 
 
+def _salt(points: DataFrame, value: str):
+    """The part of its bin that a point belongs to, by its value and times; a point that runs again gets the same."""
+    return F.pmod(F.xxhash64(value, *(c for c in ("rt", "scan_rt") if c in points.columns and c != value)), F.lit(SALTS))
+
+
 def expand_atlas_windows(atlas: DataFrame, ppm: float = 5.0, extra_time: float = 0.0) -> DataFrame:
     """atlas with FLOAT windows mz_min, mz_max, rt_min_pad, rt_max_pad; membership is decided at that precision."""
     step = F.col("mz") * ppm * 1e-6
@@ -32,14 +39,15 @@ def interval_join(points: DataFrame, targets: DataFrame, value: str, low: str, h
     """All (point, target) with low <= value <= high; NULL and NaN never match. how: inner or left_semi.
 
     Both sides are dealt to bins as wide as the widest interval, so a target has two bins at most and a point one: an
-    equi-join with a residual predicate. The targets' size is taken first: they are broadcast while they are small, and
-    their outermost bounds go to the points as literals, which reach a Parquet scan."""
+    equi-join with a residual predicate. The targets' size is taken first: they are broadcast while they are small, else
+    shuffled, each to all SALTS parts of its bins, so that a bin with very many points is no single key. Their outermost
+    bounds go to the points as literals, which reach a Parquet scan."""
     size = _sizes(targets, low, high)
     width = max(size.w or 0.0, 1e-9)
     at = lambda c: F.floor(F.col(c).cast("double") / width)
     binned = targets.where(F.col(low) <= F.col(high)).withColumn("__bin", F.explode(F.sequence(at(low), at(high))))
-    if size.bytes <= BROADCAST_BYTES:
-        binned = F.broadcast(binned)
+    small = size.bytes <= BROADCAST_BYTES
+    binned = F.broadcast(binned) if small else binned.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     usable = points.where(F.col(value).isNotNull() & ~F.isnan(value))
     if size.lo is not None:
         kind = dict(points.dtypes)[value]
@@ -47,7 +55,10 @@ def interval_join(points: DataFrame, targets: DataFrame, value: str, low: str, h
         usable = usable.where(F.col(value).between(F.lit(size.lo).cast(kind), F.lit(size.hi).cast(kind))) if dict(targets.dtypes)[low] == kind else usable
     usable = usable.withColumn("__bin", at(value))
     hit = (usable["__bin"] == binned["__bin"]) & (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))
-    return usable.join(binned, hit, how).drop("__bin")
+    if not small:
+        usable = usable.withColumn("__part", _salt(points, value))
+        hit = hit & (F.col("__part") == F.col("__salt"))
+    return usable.join(binned, hit, how).drop("__bin", "__part", "__salt")
 
 
 def mz_bounds(targets: DataFrame) -> tuple[float, float] | None:
@@ -81,9 +92,11 @@ def subset_points_to_windows(points: DataFrame, targets: DataFrame) -> DataFrame
     width = max(size.w or 0.0, 1e-9)
     at = lambda c: F.floor(F.col(c).cast("double") / width)
     windows = targets.select("mz_min", "mz_max", "rt_min_pad", "rt_max_pad", F.explode(F.sequence(at("mz_min"), at("mz_max"))).alias("__target_bin"))
-    if size.bytes <= BROADCAST_BYTES:
-        windows = F.broadcast(windows)
+    small = size.bytes <= BROADCAST_BYTES
+    windows = F.broadcast(windows) if small else windows.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     inside = (at("mz") == F.col("__target_bin")) & F.col("mz").between(F.col("mz_min"), F.col("mz_max")) & F.col("rt").between(F.col("rt_min_pad"), F.col("rt_max_pad"))
+    if not small:
+        inside = inside & (_salt(points, "mz") == F.col("__salt"))
     return points.where(~F.isnan("mz")).join(windows, inside, "left_semi")
 
 

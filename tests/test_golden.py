@@ -44,6 +44,28 @@ def test_bin_join_equals_nested_loop(spark, monkeypatch, limit):
     assert sorted(joins.interval_join(p, t, "mz", "lo", "hi").select("mz", "id").collect()) == sorted(nested.select("mz", "id").collect())
 
 
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
+def test_joins_with_a_hot_bin_equal_nested_loops(spark, monkeypatch, limit):
+    """A third of all points have one m/z, and some rows are there twice."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    rng = np.random.default_rng(4)
+    mz = [*rng.uniform(100, 120, 200), *[110.0] * 100]
+    rows = [("f", float(m), float(r), 1.0) for m, r in zip(mz, rng.uniform(0, 9, 300))]
+    p = spark.createDataFrame(rows + rows[:3] + rows[-3:], "filename string, mz float, rt float, i float")
+    t = [(f"u{k}", float(m), float(m + w), float(r), float(r + 2)) for k, (m, w, r) in enumerate(zip([*rng.uniform(100, 120, 30), 109.9], [*rng.uniform(0, 1, 30), 0.2], rng.uniform(0, 7, 31)))]
+    w = spark.createDataFrame(t, "mz_rt_uid string, mz_min float, mz_max float, rt_min_pad float, rt_max_pad float")
+    nested = p.crossJoin(w).where("mz between mz_min and mz_max")
+    inside = nested.where("rt between rt_min_pad and rt_max_pad")
+    got = joins.join_ms1_to_atlas(p, w)
+    columns = ["mz_rt_uid", "mz", "rt"]
+    assert sorted(got.select(columns).collect()) == sorted(nested.select(columns).collect())
+    assert sorted(got.where("in_feature").select(columns).collect()) == sorted(inside.select(columns).collect())
+    semi = joins.interval_join(p, w, "mz", "mz_min", "mz_max", "left_semi")
+    assert semi.columns == p.columns and sorted(semi.collect()) == sorted(p.join(nested.select("mz", "rt").distinct(), ["mz", "rt"]).select(p.columns).collect())
+    kept = joins.subset_points_to_windows(p, w)
+    assert kept.columns == p.columns and sorted(kept.collect()) == sorted(p.join(inside.select("mz", "rt").distinct(), ["mz", "rt"]).select(p.columns).collect())
+
+
 def test_ms1_join_flags_and_drops(spark):
     w = joins.expand_atlas_windows(targets(spark, [ADENINE]))
     p = spark.createDataFrame([("f", 136.062, 2.7, 10.0), ("f", 136.062, 99.0, 10.0)], "filename string, mz float, rt float, i float")
