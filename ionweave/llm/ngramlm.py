@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import BLANK, U64, mix64, shared_dir, stored, text_blocks, word_hashes
 
 #: Hash of the end token; words that a task counts before it hands them on; pairs and words in a shard, about.
-END, HELD, SHARD = U64(0xE5D0_7E5D_07E5_D07E), 2_000_000, 2_000_000
+END, HELD, SHARD = U64(0xE5D0_7E5D_07E5_D07E), 1_000_000, 2_000_000
 #: Name of pair shards whose counts need 64 bits.
 WIDE = "wide-pairs"
 
