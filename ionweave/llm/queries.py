@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, dartminhash, decontam, htmlx, langid, merkle, ngramlm, quality, records
+from . import bpe, chat, dartminhash, decontam, hardneg, htmlx, langid, merkle, ngramlm, pivotindex, prefixtrie, quality, records
 from .common import shared_dir, ship_package
 
 
@@ -107,7 +107,29 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(turns.unionByName(planted)))
 
 
-QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op8_main_text": op8_main_text, "op9_perplexity": op9_perplexity, "op10_bpe": op10_bpe}
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = pivotindex.build_index(table(spark, sf_dir, "embeddings"))
+    return pivotindex.search(index, index.where("id % 20 = 0"), 20)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")), F.col("id") % 100 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = F.col("conv_id")
+    rows = prefixtrie.branched(turns, F.crc32(conv.cast("string").cast("binary")) % 6, conv - conv % 100, 5)
+    nodes, ends = prefixtrie.prefix_trie(rows)
+    out = nodes.join(prefixtrie.end_digests(ends), "node", "left")
+    return out.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_chars").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
+
+
+QUERIES = {"op1_language": op1_language, "op2_fingerprints": op2_fingerprints, "op3_records": op3_records, "op4_near_duplicates": op4_near_duplicates, "op5_decontaminate": op5_decontaminate, "op6_quality": op6_quality, "op7_chat": op7_chat, "op8_main_text": op8_main_text, "op9_perplexity": op9_perplexity, "op10_bpe": op10_bpe, "op11_nearest": op11_nearest, "op12_hard_negatives": op12_hard_negatives, "op13_prefix_trie": op13_prefix_trie}
 _WORDS = "regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _CONTROL = r"regexp_replace({t}, '<(\\*)\|', '<\\\1|', 'g')"
 _LEAVES = f"""list_transform(string_split(coalesce({{t}}, ''), chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: list_transform(
@@ -115,6 +137,10 @@ _LEAVES = f"""list_transform(string_split(coalesce({{t}}, ''), chr(10) || chr(10
 _ROOT = "sha256('r' || array_to_string(list_transform({l}, lambda s: sha256('s' || array_to_string(list_transform(s, lambda p: sha256('p' || array_to_string(p, ''))), ''))), ''))"
 _NEAR = "cast(len(list_intersect({a}, {b})) as double) / (len(list_distinct({a})) + len(list_distinct({b})) - len(list_intersect({a}, {b})))"
 
+#: crc32 of a number's decimal digits, bit by bit.
+_HEADS = """xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(conv_id::varchar, ''), lambda d: [ascii(d)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, b: case when b >= 0 then xor(c, b) when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end), 4294967295)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_fingerprints": f"""
         with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n_chars from documents),
@@ -145,4 +171,30 @@ ORACLE_SQL: dict[str, str] = {
                cast(sum(length(role) + length({_CONTROL.format(t='text')}) + {len("<|im_start|>") + len("<|im_end|>") + 2}) as bigint) as formatted_chars,
                bool_and(case role when 'system' then before is null when 'user' then before is null or before in ('system', 'assistant') when 'assistant' then before = 'user' else false end) as valid
         from o group by conv_id""",
+    "op12_hard_negatives": """
+        with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                          list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+                   where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        a as (select vec_id as a_id, label as a_label, v as a_v from e where vec_id % 100 = 0),
+        s as (select a_id, a_label, vec_id, label, cast(list_sum(list_transform(range(1, len(v) + 1), lambda i: v[i] * a_v[i])) as bigint) as score from a join e on vec_id <> a_id and len(v) = len(a_v)),
+        p as (select a_id, vec_id as p_id, score as p from s where label = a_label qualify row_number() over (partition by a_id order by score desc, vec_id) <= 5),
+        n as (select p.a_id, p_id, p, s.vec_id, s.score, row_number() over (partition by p.a_id, p_id order by s.score desc, s.vec_id) as k
+              from p join s on s.a_id = p.a_id and s.label <> s.a_label and 30 * p <= 100 * s.score and 100 * s.score <= 90 * p)
+        select a_id as anchor_id, p_id as positive_id, cast(k as integer) as rank, vec_id as negative_id, p as positive_score, score as negative_score from n where k <= 10""",
+    "op13_prefix_trie": f"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+        o as (select conv_id, sha256(length(role) || ':' || role || text) as id, length(text) as chars,
+                     row_number() over (partition by conv_id order by turn nulls first, sha256(length(role) || ':' || role || text)) as position from t),
+        c as (select conv_id, {_HEADS} % 6 as h from (select distinct conv_id from t) x),
+        r as (select c.conv_id, o.position, o.id, o.chars from c join o on o.conv_id = c.conv_id - c.conv_id % 100 and o.position <= c.h union all
+              select c.conv_id, o.position, o.id, o.chars from c join o on o.conv_id = c.conv_id and o.position > c.h),
+        q as (select conv_id, row_number() over (partition by conv_id order by position) as depth, id, chars from r),
+        m as (select conv_id, depth, chars, sha256(string_agg(id, ',') over (partition by conv_id order by depth)) as node from q union all select conv_id, 0, 0, 'root' from c),
+        u as (select *, lag(node) over (partition by conv_id order by depth) as up, lead(node) over (partition by conv_id order by depth) as down from m),
+        n as (select node, depth, any_value(up) as up, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs, count(distinct down) as n_children,
+                     string_agg(conv_id::varchar, ',' order by conv_id) filter (down is null) as ends from u group by node, depth),
+        b as (select distinct x.node as top, y.node from u x join u y on y.conv_id = x.conv_id and y.depth >= x.depth),
+        s as (select top, sum((n_convs - 1) * chars) as saved, count(*) filter (n_children = 0) as leaves from b join n on n.node = b.node group by top)
+        select n.conv_id, cast(n.depth as bigint) as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.leaves as n_leaves, cast(s.saved as bigint) as saved_tokens, sha256(coalesce(n.ends, '')) as ends_sha256
+        from n join s on s.top = n.node left join n p on p.node = n.up""",
 }
