@@ -24,8 +24,8 @@ def usable_vectors(df: DataFrame, id_column: str, vector: str, more: dict[str, C
     return one.withColumn("dim", F.size("vec"))
 
 
-def in_cells(rows: DataFrame, asking: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both with a column `cell`, so that each pair of one dim meets in exactly one (cell, dim).
+def in_cells(rows: DataFrame, asking: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Both with a column `cell`, so that each pair of one dim meets in exactly one (cell, dim); and the step that merged() takes.
 
     Rows are dealt to shards by the hash of their id, ROWS in each at most but for chance, and at least a shard for each shuffle
     partition; asking rows to blocks of about ASKING. A cell is a shard and a block: an asking row is copied to all shards, a
@@ -39,7 +39,18 @@ def in_cells(rows: DataFrame, asking: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("__shard", of(shards)).withColumn("__block", upto(blocks))
     asking = asking.withColumn("__block", of(blocks)).withColumn("__shard", upto(shards))
     cell = (F.col("__shard") * blocks + F.col("__block")).alias("cell")
-    return tuple(d.select(cell, *(c for c in d.columns if not c.startswith("__"))) for d in (rows, asking))
+    # under new names of their own: a cogroup of two sides that come from one table loses columns when Spark prunes it
+    rows, asking = (d.select(cell, *(F.col(c).alias(c) for c in d.columns if not c.startswith("__"))) for d in (rows, asking))
+    return rows, asking, blocks * math.ceil(math.sqrt(shards))
+
+
+def merged(found: DataFrame, keys: list[str], k: int, step: int) -> DataFrame:
+    """(keys..., found) with the k least elements of the sorted arrays `found` that the cells made for these keys.
+
+    Arrays of about the square root of all shards are merged at a time, in two rounds, and cut to k elements after each: an array
+    never holds what all cells have found."""
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k).alias("found")
+    return found.groupBy(*keys, F.floor(F.col("cell") / step).alias("part")).agg(best).groupBy(*keys).agg(best)
 
 
 def matrix(column: pa.ChunkedArray, kind: type = np.float64) -> np.ndarray:

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import in_cells, matrix, usable_vectors, vector
+from .cells import in_cells, matrix, merged, usable_vectors, vector
 from .common import stored
 
 #: Segments of each level.
@@ -28,7 +28,9 @@ SCALE = 256
 POSITIVES, NEGATIVES = 5, 10
 #: A negative's score is at least and at most so many tenths of its positive's.
 LEAST_TENTHS, MOST_TENTHS = 3, 9
-_FOUND = "array<struct<other:long,score:long>>"
+#: What a cell finds: scores upside down, so that the least comes first. The lowest score is -(2^63 - 1), which has a negative.
+_FOUND = "array<struct<minus:long,other:long>>"
+_PAIR = pa.struct([("minus", pa.int64()), ("other", pa.int64())])
 
 
 def _edges(dim: int, segments: int) -> np.ndarray:
@@ -105,7 +107,7 @@ def _kth(values: np.ndarray, k: int) -> float:
 
 
 def _long(score) -> int:
-    return max(-(1 << 63), min((1 << 63) - 1, int(score)))
+    return max(1 - (1 << 63), min((1 << 63) - 1, int(score)))
 
 
 def positives(rows: Rows, label: int, own: int, v: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> list[dict]:
@@ -117,10 +119,10 @@ def positives(rows: Rows, label: int, own: int, v: np.ndarray, mean: np.ndarray,
         low, high = rows.bounds(level, at, mean, deviation, norm)
         at = at[high >= _kth(low, POSITIVES)]
     score = rows.scores(at, v, norm)
-    return [{"other": int(rows.ids[at[i]]), "score": _long(score[i])} for i in _ranked(score, rows.ids[at], POSITIVES)]
+    return [{"minus": -_long(score[i]), "other": int(rows.ids[at[i]])} for i in _ranked(score, rows.ids[at], POSITIVES)]
 
 
-def negatives(rows: Rows, label: int, windows: list[tuple[int, int, int]], v: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> list[dict]:
+def negatives(rows: Rows, label: int, windows: list[tuple[int, int, int]], v: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> list[list[dict]]:
     """For each window (positive, lowest, highest score) the rows of other labels with the highest scores within."""
     at, norm = np.flatnonzero(rows.labels != label), float(np.sqrt(v @ v))
     for level in range(len(rows.levels)):
@@ -131,9 +133,9 @@ def negatives(rows: Rows, label: int, windows: list[tuple[int, int, int]], v: np
             needed |= (high >= max(least, _kth(surely, NEGATIVES))) & (low <= most)
         at = at[needed]
     score, out = rows.scores(at, v, norm), []
-    for positive, least, most in windows:
+    for _, least, most in windows:
         inside = np.flatnonzero((score >= least) & (score <= most))
-        out += [{"positive": positive, "other": int(rows.ids[at[inside[i]]]), "score": _long(score[inside[i]])} for i in _ranked(score[inside], rows.ids[at[inside]], NEGATIVES)]
+        out.append([{"minus": -_long(score[inside[i]]), "other": int(rows.ids[at[inside[i]]])} for i in _ranked(score[inside], rows.ids[at[inside]], NEGATIVES)])
     return out
 
 
@@ -141,19 +143,25 @@ def _window(positive: int, score: int) -> tuple[int, int, int]:
     return positive, -(-LEAST_TENTHS * score // 10), MOST_TENTHS * score // 10
 
 
-def _met(rows: DataFrame, anchors: DataFrame, each, found: str, kind: pa.DataType) -> DataFrame:
-    """(anchor_id, found) of every cell of rows and anchors: each(Rows, one anchor's fields) where it finds something."""
-    cells, asking = in_cells(rows, anchors)
+def _met(rows: DataFrame, anchors: DataFrame, each, k: int) -> DataFrame:
+    """(anchor_id, positive_id, found): the k best that each(Rows, an anchor's fields) finds in all cells, by the positive it is for."""
+    cells, asking, step = in_cells(rows, anchors)
+
+    schema = pa.schema([("anchor_id", pa.int64()), ("positive_id", pa.int64()), ("cell", pa.int64()), ("found", pa.list_(_PAIR))])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        near, ids, out = Rows(left), vector(right["id"]), []
-        more = right["positives"].to_pylist() if "positives" in right.column_names else [None] * len(ids)
-        for i, label, v, mean, deviation, given in zip(ids.tolist(), vector(right["label"]).tolist(), matrix(right["vec"]), matrix(right["means"]), matrix(right["deviations"]), more):
-            out.append(each(near, i, label, v, mean, deviation, given))
-        some = [k for k, x in enumerate(out) if x]
-        return pa.table({"anchor_id": pa.array(ids[some], pa.int64()), "found": pa.array([out[k] for k in some], pa.list_(kind))})
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        near, out = Rows(left), []
+        more = right["positives"].to_pylist() if "positives" in right.column_names else [None] * right.num_rows
+        fields = (vector(right[c]).tolist() for c in ("cell", "id", "label"))
+        for cell, i, label, *vectors, given in zip(*fields, *(matrix(right[c]) for c in ("vec", "means", "deviations")), more):
+            out += [(i, positive, cell, found) for positive, found in each(near, i, label, *vectors, given) if found]
+        columns = zip(*out) if out else [[]] * 4
+        return pa.table([pa.array(c, k) for c, k in zip(columns, schema.types)], schema=schema)
 
-    return cells.groupBy("cell", "dim").cogroup(asking.groupBy("cell", "dim")).applyInArrow(run, f"anchor_id long, found {found}")
+    met = cells.groupBy("cell", "dim").cogroup(asking.groupBy("cell", "dim")).applyInArrow(run, f"anchor_id long, positive_id long, cell long, found {_FOUND}")
+    return merged(met, ["anchor_id", "positive_id"], k, step)
 
 
 def mine(df: DataFrame, anchors, id_column: str = "vec_id", vec: str = "embedding", label: str = "label") -> DataFrame:
@@ -164,20 +172,14 @@ def mine(df: DataFrame, anchors, id_column: str = "vec_id", vec: str = "embeddin
     known = usable_vectors(df.where(F.col(label).isNotNull()), id_column, vec, {"label": F.col(label).cast("int")})
     rows = stored(with_summaries(known), "summaries")
     asking = rows.where(anchors)
-    pair = [("other", pa.int64()), ("score", pa.int64())]
-    first = _met(rows, asking, lambda near, i, own, v, m, d, _: positives(near, own, i, v, m, d), _FOUND, pa.struct(pair))
-    order = [F.desc("score"), F.col("other")]
-    place = F.row_number().over(Window.partitionBy("anchor_id").orderBy(*order))
-    best = first.select("anchor_id", F.inline("found")).withColumn("place", place).where(F.col("place") <= POSITIVES)
-    chosen = best.groupBy("anchor_id").agg(F.collect_list(F.struct("other", "score")).alias("positives"))
-    told = stored(asking.join(chosen.withColumnRenamed("anchor_id", "id"), "id"), "anchors")
+    first = _met(rows, asking, lambda near, i, own, v, m, d, _: [(None, positives(near, own, i, v, m, d))], POSITIVES)
+    told = stored(asking.join(first.select(F.col("anchor_id").alias("id"), F.col("found").alias("positives")), "id"), "anchors")
 
     def within(near, i, own, v, m, d, given):
-        windows = [_window(p["other"], p["score"]) for p in given]
-        return negatives(near, own, [w for w in windows if w[1] <= w[2]], v, m, d)
-
-    second = _met(rows, told, within, "array<struct<positive:long,other:long,score:long>>", pa.struct([("positive", pa.int64()), *pair]))
-    rank = F.row_number().over(Window.partitionBy("anchor_id", "positive").orderBy(*order))
-    ranked = second.select("anchor_id", F.inline("found")).withColumn("rank", rank).where(F.col("rank") <= NEGATIVES)
-    scores = told.select(F.col("id").alias("anchor_id"), F.inline("positives")).withColumnsRenamed({"other": "positive", "score": "positive_score"})
-    return ranked.join(scores, ["anchor_id", "positive"]).select("anchor_id", F.col("positive").alias("positive_id"), "rank", F.col("other").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
+        windows = [w for w in (_window(p["other"], -p["minus"]) for p in given) if w[1] <= w[2]]
+        return zip((w[0] for w in windows), negatives(near, own, windows, v, m, d))
+
+    second = _met(rows, told, within, NEGATIVES).select("anchor_id", "positive_id", F.posexplode("found").alias("place", "one"))
+    scores = told.select(F.col("id").alias("anchor_id"), F.inline("positives")).select("anchor_id", F.col("other").alias("positive_id"), (-F.col("minus")).alias("positive_score"))
+    ranked = second.join(scores, ["anchor_id", "positive_id"])
+    return ranked.select("anchor_id", "positive_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("one.other").alias("negative_id"), "positive_score", (-F.col("one.minus")).alias("negative_score"))

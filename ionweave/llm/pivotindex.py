@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cells import best, in_cells, matrix, usable_vectors, vector
+from .cells import best, in_cells, matrix, merged, usable_vectors, vector
 from .common import stored
 
 #: The index is fitted on this many different vectors: those of the lowest hashes are the pivots.
@@ -83,7 +83,11 @@ def build_index(df: DataFrame, id_column: str = "vec_id", vec: str = "embedding"
 
 
 def nearest_in_cell(rows: pa.Table, asking: pa.Table, k: int, radius: float) -> pa.Table:
-    """(query_id, found) of a cell: for each asking row its k nearest candidates among the rows."""
+    """(query_id, cell, found) of a cell: for each asking row its k nearest candidates among the rows, by score upside down."""
+    kind = pa.list_(pa.struct([("minus", pa.float64()), ("vec_id", pa.int64())]))
+    schema = pa.schema([("query_id", pa.int64()), ("cell", pa.int64()), ("found", kind)])
+    if not rows.num_rows or not asking.num_rows:
+        return schema.empty_table()
     ids, vecs, files = vector(rows["id"]), matrix(rows["vec"]), InvertedFiles(matrix(rows["order"], np.int16))
     out_ids, found = vector(asking["id"]), []
     least = radius * files.length * (files.length + 1) / 2
@@ -97,22 +101,20 @@ def nearest_in_cell(rows: pa.Table, asking: pa.Table, k: int, radius: float) ->
         # a sum along each row: the same for equal vectors, wherever they stand
         score = (vecs[within] * v).sum(axis=1)
         top = best(score, ids[within], k)
-        found.append([{"vec_id": i, "score": s} for i, s in zip(ids[within][top].tolist(), score[top].tolist())])
-    kind = pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())]))
-    return pa.table({"query_id": pa.array(out_ids, pa.int64()), "found": pa.array(found, kind)})
+        found.append([{"minus": -s, "vec_id": i} for i, s in zip(ids[within][top].tolist(), score[top].tolist())])
+    return pa.table([pa.array(out_ids, pa.int64()), asking["cell"], pa.array(found, kind)], schema=schema)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 20, radius: float = RADIUS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of queries, which has the index's columns, but itself.
 
-    Queries meet the shards in cells of bounded size; a cell gives k rows of a query at most, so what is ranked at last doesn't
-    grow with a group of copies."""
-    rows, asking = in_cells(index, queries)
+    Queries meet the shards in cells of bounded size; a cell gives k rows of a query at most, and these are merged in two rounds."""
+    rows, asking, step = in_cells(index, queries)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return nearest_in_cell(left, right, k, radius)
 
-    met = rows.groupBy("cell", "dim").cogroup(asking.groupBy("cell", "dim")).applyInArrow(run, "query_id long, found array<struct<vec_id:long,score:double>>")
-    flat = met.select("query_id", F.inline("found"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return flat.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    kind = "query_id long, cell long, found array<struct<minus:double,vec_id:long>>"
+    met = rows.groupBy("cell", "dim").cogroup(asking.groupBy("cell", "dim")).applyInArrow(run, kind)
+    ranked = merged(met, ["query_id"], k, step).select("query_id", F.posexplode("found").alias("place", "one"))
+    return ranked.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), "one.vec_id", (-F.col("one.minus")).alias("score"))
