@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import format_equation, polynomial
@@ -11,27 +11,59 @@ from ..functions.scores import format_equation, polynomial
 MODEL_SCHEMA = "rt_alignment_number long, atlas_uid string, degree int, coefficients array<double>, r2 double, rmse double, n_compounds long, equation string"
 
 
+#: Ranges of values for each doubling in which exact medians are looked for.
+RANGES = 2048
+
+
+def _range(value: Column) -> Column:
+    """The range of a value, by sign and logarithm: in the order of the values, NaN last."""
+    size = F.floor(F.log2(F.abs(value)) * RANGES) + (1 << 22)
+    return F.when(F.isnan(value), 1 << 40).when(value == 0, 0).when(F.abs(value) == float("inf"), F.signum(value) * (1 << 39)).otherwise(F.signum(value) * size).cast("long")
+
+
+def exact_medians(rows: DataFrame, key: str, values: dict[str, Column]) -> DataFrame:
+    """(key, a median for each of values) by counting, as F.median gives them; NULLs don't count.
+
+    Equal values are counted where they lie, then shuffled by key, measure and value, so a key with very many rows is no single
+    task. Counts of ranges (RANGES for each doubling) say in which one or two of them the middle ranks lie, and only the values in
+    these are put in order."""
+    measured = F.inline(F.array(*(F.struct(F.lit(n).alias("measure"), v.cast("double").alias("value")) for n, v in values.items())))
+    counts = rows.select(key, measured).where("value is not null").groupBy(key, "measure", _range(F.col("value")).alias("range"), "value").agg(F.count("*").alias("n"))
+    whole, upto = Window.partitionBy(key, "measure"), Window.partitionBy(key, "measure").orderBy("range")
+    ranges = counts.groupBy(key, "measure", "range").agg(F.sum("n").alias("n")).withColumns({"total": F.sum("n").over(whole), "end": F.sum("n").over(upto)})
+    ranges = ranges.withColumns({"low": F.expr("(total + 1) div 2"), "high": F.expr("(total + 2) div 2")})
+    ranges = ranges.where((F.col("end") >= F.col("low")) & (F.col("end") - F.col("n") < F.col("high"))).select(key, "measure", "range", "low", "high", (F.col("end") - F.col("n")).alias("before"))
+    near = counts.join(ranges, [key, "measure", "range"])
+    end = F.col("before") + F.sum("n").over(Window.partitionBy(key, "measure", "range").orderBy("value"))
+    near = near.withColumn("end", end)
+    hit = lambda rank: (F.col("end") >= F.col(rank)) & (F.col("end") - F.col("n") < F.col(rank))
+    middle = lambda n: F.avg(F.when(F.col("measure") == n, F.col("value")))
+    ends = near.select(key, "measure", F.explode(F.array_compact(F.array(F.when(hit("low"), F.col("value")), F.when(hit("high"), F.col("value"))))).alias("value"))
+    return ends.groupBy(key).agg(*(middle(n).alias(n) for n in values))
+
+
 def rt_stats(rows: DataFrame, exclude: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """Per target, over the points in the feature of all files: counts, moments and differences from the atlas.
 
-    rows: joined points with atlas_mz, rt_peak and inchi_key; a target has one rt_peak. Medians are exact, which holds all
-    different values of a target at once. Where a target has too many points for that, `accuracy` asks for percentile_approx's
-    sketch of that accuracy (the rank is off by one part in `accuracy` at most), whose size doesn't grow."""
+    rows: joined points with atlas_mz, rt_peak and inchi_key; a target has one rt_peak. Medians are exact, by exact_medians(), which
+    reads rows once more; `accuracy` asks for percentile_approx's sketch of that accuracy in the one pass instead (the rank is off by
+    one part in `accuracy` at most)."""
     inside = rows.where("in_feature")
     if exclude:
         inside = inside.where(~F.col("inchi_key").isin(exclude))
     rt, mz, i = (F.col(c).cast("double") for c in ("rt", "mz", "i"))
     shift, ppm = rt - F.col("rt_peak"), (mz - F.col("atlas_mz")) / F.col("atlas_mz") * 1e6
-    median = F.median if accuracy is None else lambda c: F.percentile_approx(c, 0.5, accuracy)
+    medians = {"rt_median": rt, "intensity_median": i}
+    sketches = [] if accuracy is None else [F.percentile_approx(c, 0.5, accuracy).alias(n) for n, c in medians.items()]
     stats = inside.groupBy("mz_rt_uid").agg(
         F.max("rt_peak").alias("atlas_rt_peak"), F.count("*").alias("observation_count"),
-        F.avg(rt).alias("rt_mean"), median(rt).alias("rt_median"), F.stddev_pop(rt).alias("rt_std"),
-        F.avg(mz).alias("mz_mean"), F.stddev_pop(mz).alias("mz_std"),
-        F.avg(i).alias("intensity_mean"), median(i).alias("intensity_median"), F.max(i).alias("intensity_max"),
-        F.avg(shift).alias("rt_diff_mean"), F.stddev_pop(shift).alias("rt_diff_std"),
-        F.avg(ppm).alias("ppm_mean"), F.stddev_pop(ppm).alias("ppm_std"),
+        F.avg(rt).alias("rt_mean"), F.stddev_pop(rt).alias("rt_std"), F.avg(mz).alias("mz_mean"), F.stddev_pop(mz).alias("mz_std"),
+        F.avg(i).alias("intensity_mean"), F.max(i).alias("intensity_max"), F.avg(shift).alias("rt_diff_mean"), F.stddev_pop(shift).alias("rt_diff_std"),
+        F.avg(ppm).alias("ppm_mean"), F.stddev_pop(ppm).alias("ppm_std"), *sketches,
     )
-    # rt_peak is the same for all points of a target, so the median of the differences needs no list of its own
+    if accuracy is None:
+        stats = stats.join(exact_medians(inside, "mz_rt_uid", medians), "mz_rt_uid", "left")
+    # rt_peak is the same for all points of a target, so the median of the differences needs no counts of its own
     return stats.withColumn("rt_diff_median", F.col("rt_median") - F.col("atlas_rt_peak"))
 
 
