@@ -742,20 +742,58 @@ def rt_window_shift(v):
 _TRACE = "(select mz_rt_uid, filename, cast(rt as double) as rt, max(cast(i as double)) as i from pairs group by 1, 2, 3)"
 
 
-@query("pairs", f"""select mz_rt_uid, round(rt, 4) as rt, round(max(v) + 1e-6, 2) as max_i, round(avg(v) + 1e-6, 2) as mean_i from (
+_EIC = f"""select mz_rt_uid, round(rt, 4) as rt, round(max(v) + 1e-6, 2) as max_i, round(avg(v) + 1e-6, 2) as mean_i from (
     select g.mz_rt_uid, g.rt, case when b.i is null or a.i is null then 0 when a.rt = b.rt then b.i else b.i + (a.i - b.i) / (a.rt - b.rt) * (g.rt - b.rt) end as v
     from (select t.mz_rt_uid, f.filename, t.rt from (select distinct mz_rt_uid, rt from {_TRACE}) t join (select distinct mz_rt_uid, filename from {_TRACE}) f on f.mz_rt_uid = t.mz_rt_uid) g
     asof left join {_TRACE} b on g.mz_rt_uid = b.mz_rt_uid and g.filename = b.filename and g.rt >= b.rt
-    asof left join {_TRACE} a on g.mz_rt_uid = a.mz_rt_uid and g.filename = a.filename and g.rt <= a.rt) x group by mz_rt_uid, rt""")
+    asof left join {_TRACE} a on g.mz_rt_uid = a.mz_rt_uid and g.filename = a.filename and g.rt <= a.rt) x group by mz_rt_uid, rt"""
+
+
+@query("pairs", _EIC)
 def eic_traces(v):
     # halves of a cent are moved off the border, where engines round either way
     t = cu.eic_traces(pairs(v))
     return t.select("mz_rt_uid", F.round(F.col("rt").cast("double"), 4).alias("rt"), F.round(F.col("max_i") + 1e-6, 2).alias("max_i"), F.round(F.col("mean_i") + 1e-6, 2).alias("mean_i"))
 
 
-@query()
+_MIRRORED = "case when k + {j} < 1 then 1 - k - {j} when k + {j} > n then 2 * n + 1 - k - {j} else k + {j} end"
+_SMOOTHED = " + ".join(f"{w!r}e0 * i[{_MIRRORED.format(j=j - 3)}]" for j, w in enumerate(cu.smoothing_weights()))
+#: Bounds by tables of points, peaks and their bases: trace points, runs of equal heights, a list of peaks kept by height and distance,
+#: and joins of each kept peak to the points up to the next higher ones.
+_BOUNDS = f"""(
+    with l as (select mz_rt_uid, list(rt order by rt) as rt, list(mean_i order by rt) as i, count(*) as n from ({_EIC}) where mean_i > 0 group by 1 having count(*) >= {cu.LEAST_POINTS}),
+    s as (select mz_rt_uid, k, n, rt[k] as rt, {_SMOOTHED} as x from (select *, unnest(range(1, n + 1)) as k from l) t),
+    m as (select mz_rt_uid, max(x) as top, arg_min(k, (-x, k)) as highest from s group by 1),
+    r as (select *, sum(new) over (partition by mz_rt_uid order by k) as run from (select *, case when x = lag(x) over (partition by mz_rt_uid order by k) then 0 else 1 end as new from s) t),
+    g as (select mz_rt_uid, x, min(k) as a, max(k) as b, lag(x) over (partition by mz_rt_uid order by run) as before, lead(x) over (partition by mz_rt_uid order by run) as after from r group by mz_rt_uid, run, x),
+    p as (select g.mz_rt_uid, list((a + b) // 2 order by g.x desc, (a + b) // 2 desc) as ps from g join m on m.mz_rt_uid = g.mz_rt_uid where before < g.x and after < g.x and g.x >= {cu.LEAST_HEIGHT}e0 * top group by 1),
+    c as (select mz_rt_uid, unnest(list_reduce(list_transform(ps, lambda p: [p]), lambda kept, p: case when len(list_filter(kept, lambda q: abs(q - p[1]) < {cu.LEAST_DISTANCE})) > 0 then kept else list_concat(kept, p) end)) as p, true as picked from p
+          union all select mz_rt_uid, highest, false from m),
+    h as (select c.mz_rt_uid, c.p, c.picked, q.x as height, q.rt, q.n, coalesce(max(s.k) filter (s.k < c.p and s.x > q.x), 0) as lo, coalesce(min(s.k) filter (s.k > c.p and s.x > q.x), max(q.n) + 1) as hi
+          from c join s q on q.mz_rt_uid = c.mz_rt_uid and q.k = c.p join s on s.mz_rt_uid = c.mz_rt_uid group by all),
+    f as (select h.mz_rt_uid, p, picked, height, h.rt, h.n, min(s.x) filter (s.k between lo + 1 and p) as lx, arg_min(s.k, (s.x, -s.k)) filter (s.k between lo + 1 and p) as lk,
+                 min(s.x) filter (s.k between p and hi - 1) as rx, arg_min(s.k, (s.x, s.k)) filter (s.k between p and hi - 1) as rk from h join s on s.mz_rt_uid = h.mz_rt_uid group by all),
+    e as (select f.*, top, height - greatest(lx, rx) as prominence, a.rt_peak as want, a.rt_min as want_min, a.rt_max as want_max from f join m on m.mz_rt_uid = f.mz_rt_uid join atlas a on a.mz_rt_uid = f.mz_rt_uid),
+    o as (select *, height - prominence / 2 as level from e where not picked or prominence >= {cu.LEAST_PROMINENCE}e0 * top qualify row_number() over (partition by mz_rt_uid order by picked desc, abs(rt - want), p) = 1),
+    w as (select o.*, max(s.k) filter (s.k between lk and p and s.x <= level) as lj, min(s.k) filter (s.k between p and rk and s.x <= level) as rj from o join s on s.mz_rt_uid = o.mz_rt_uid group by all),
+    y as (select w.*, lj + case when l.x < level then (level - l.x) / (ln.x - l.x) else 0 end as left_at, rj - case when r.x < level then (level - r.x) / (rn.x - r.x) else 0 end as right_at
+          from w join s l on l.mz_rt_uid = w.mz_rt_uid and l.k = lj join s r on r.mz_rt_uid = w.mz_rt_uid and r.k = rj left join s ln on ln.mz_rt_uid = w.mz_rt_uid and ln.k = lj + 1 left join s rn on rn.mz_rt_uid = w.mz_rt_uid and rn.k = rj - 1),
+    z as (select y.*, cast(greatest(1, floor(left_at)) as bigint) as a, cast(least(n, ceil(right_at)) as bigint) as b from y),
+    d as (select z.*, sa.rt as rt_a, sb.rt as rt_b, s1.rt as rt_1, sn.rt as rt_n, greatest({cu.PAD}e0, {cu.PAD}e0 * (sb.rt - sa.rt)) as pad, greatest(abs(want_max - want_min), {cu.LEAST_REACH}e0) as reach, abs(z.rt - want) as off, case when picked then prominence else 0.5e0 * top end as shown
+          from z join s sa on sa.mz_rt_uid = z.mz_rt_uid and sa.k = a join s sb on sb.mz_rt_uid = z.mz_rt_uid and sb.k = b join s s1 on s1.mz_rt_uid = z.mz_rt_uid and s1.k = 1 join s sn on sn.mz_rt_uid = z.mz_rt_uid and sn.k = z.n),
+    v as (select *, greatest(rt_a - pad, rt_1) as low, least(rt_b + pad, rt_n) as high, case when b > a then greatest(0, 1 - abs((p - a) - (b - p)) / (b - a)) else 0.5e0 end as even from d),
+    u as (select *, high - low as width, least(1, greatest(0, {cu.WEIGHTS[0]}e0 * least(1, height / greatest(top, {cu.LOW_SIGNAL!r}e0)) + {cu.WEIGHTS[1]}e0 * least(1, shown / greatest(height / 2, {cu.LOW_SIGNAL!r}e0))
+                 + {cu.WEIGHTS[2]}e0 * (1 - least(1, abs(high - low - {cu.USUAL_WIDTH}e0) / {cu.USUAL_WIDTH}e0)) + {cu.WEIGHTS[3]}e0 * greatest(0, 1 - off / reach) + {cu.WEIGHTS[4]}e0 * even)) as sure from v)
+    select mz_rt_uid, case when width < {cu.NARROWEST}e0 then rt - {cu.NARROWEST / 2}e0 when width > {cu.WIDEST}e0 then rt - {cu.WIDEST / 2}e0 else low end as rt_min,
+           case when width < {cu.NARROWEST}e0 then rt + {cu.NARROWEST / 2}e0 when width > {cu.WIDEST}e0 then rt + {cu.WIDEST / 2}e0 else high end as rt_max, rt as rt_peak,
+           sure * case when width > 1.5e0 * (want_max - want_min) then {cu.TOO_WIDE}e0 else 1 end * case when off > 1.5e0 * reach then {cu.TOO_FAR}e0 else 1 end as confidence
+    from u where sure >= {cu.LEAST_CONFIDENCE}e0) b"""
+
+
+@query("pairs atlas", f"select mz_rt_uid, round(rt_min, 4) as rt_min, round(rt_max, 4) as rt_max, round(rt_peak, 4) as rt_peak, round(confidence + 1e-9, 4) as confidence from {_BOUNDS}")
 def suggest_rt_bounds(v):
-    return rounded(cu.suggest_rt_bounds(cu.eic_traces(pairs(v)), v("atlas")))
+    found = cu.suggest_rt_bounds(eic_traces(v), v("atlas"))
+    return rounded(found.withColumn("confidence", F.col("confidence") + 1e-9))
 
 
 def curated(v) -> DataFrame:

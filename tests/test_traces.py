@@ -111,3 +111,105 @@ def test_a_median_holds_no_list(spark):
     df = spark.createDataFrame([("u", 1.0, 100.0, 1.0, 1.0, 100.0, "k", True)], "mz_rt_uid string, rt double, mz double, i double, rt_peak double, atlas_mz double, inchi_key string, in_feature boolean")
     plan = rtmodel.rt_stats(df)._jdf.queryExecution().executedPlan().toString()
     assert "percentile" not in plan and "median(" not in plan and "collect" not in plan
+
+
+def brute_bounds(rt, i, want, want_min, want_max):
+    """The definition of suggested bounds, word for word and without any care for steps."""
+    points = [(r, v) for r, v in zip(rt, i) if v > 0 and not math.isnan(r)]
+    n = len(points)
+    if n < 5:
+        return None
+    rt, i = [p[0] for p in points], [p[1] for p in points]
+    weights = [math.exp(-0.5 * (j / 0.8) ** 2) for j in range(-3, 4)]
+    mirrored = i[2::-1] + i + i[:-4:-1]
+    x = []
+    for k in range(n):
+        value = 0.0
+        for j, w in enumerate(weights):
+            value += w / sum(weights) * mirrored[k + j]
+        x.append(value)
+    top = max(x)
+    peaks = []
+    for k in range(n):
+        a, b = k, k
+        while a > 0 and x[a - 1] == x[k]:
+            a -= 1
+        while b < n - 1 and x[b + 1] == x[k]:
+            b += 1
+        if a > 0 and b < n - 1 and x[a - 1] < x[k] and x[b + 1] < x[k] and k == (a + b) // 2 and x[k] >= 0.1 * top:
+            peaks.append(k)
+    kept = []
+    for k in sorted(peaks, key=lambda k: (-x[k], -k)):
+        if all(abs(k - q) >= 3 for q in kept):
+            kept.append(k)
+
+    def base(k, step):
+        j, at = k, k
+        while 0 <= j < n and x[j] <= x[k]:
+            if x[j] < x[at]:
+                at = j
+            j += step
+        return at
+
+    prominence = {k: x[k] - max(x[base(k, -1)], x[base(k, 1)]) for k in range(n)}
+    shown = {k: prominence[k] for k in sorted(kept) if prominence[k] >= 0.05 * top} or {x.index(top): 0.5 * top}
+    peak = min(shown, key=lambda k: (abs(rt[k] - want), k))
+    level = x[peak] - prominence[peak] / 2
+    sides = []
+    for step in (-1, 1):
+        j = peak
+        while j != base(peak, step) and x[j] > level:
+            j += step
+        sides.append(j - step * (level - x[j]) / (x[j - step] - x[j]) if x[j] < level else j)
+    a, b = max(0, math.floor(sides[0])), min(n - 1, math.ceil(sides[1]))
+    pad = max(0.05, 0.05 * (rt[b] - rt[a]))
+    low, high = max(rt[a] - pad, rt[0]), min(rt[b] + pad, rt[-1])
+    width = high - low
+    if width < 0.08:
+        low, high = rt[peak] - 0.04, rt[peak] + 0.04
+    elif width > 0.6:
+        low, high = rt[peak] - 0.3, rt[peak] + 0.3
+    reach, off, tails = max(abs(want_max - want_min), 0.5), abs(rt[peak] - want), (peak - a, b - peak)
+    even = max(0, 1 - abs(tails[0] - tails[1]) / sum(tails)) if sum(tails) else 0.5
+    sure = 0.3 * min(1, x[peak] / max(top, 1e3)) + 0.2 * min(1, shown[peak] / max(x[peak] / 2, 1e3)) + 0.15 * (1 - min(1, abs(width - 0.3) / 0.3)) + 0.2 * max(0, 1 - off / reach) + 0.15 * even
+    sure = min(1, max(0, sure))
+    if sure < 0.1:
+        return None
+    return low, high, rt[peak], sure * (0.6 if width > 1.5 * (want_max - want_min) else 1) * (0.5 if off > 1.5 * reach else 1)
+
+
+def same_bounds(rt, i, want=(2.0, 1.5, 2.5)):
+    got, wanted = curation.suggested_bounds(np.array(rt, float), np.array(i, float), *want), brute_bounds(list(rt), list(i), *want)
+    assert (got is None) == (wanted is None) and (got is None or got == pytest.approx(wanted, abs=1e-9)), (rt, i)
+    return got
+
+
+def test_bounds_of_plateaus_ties_and_short_traces():
+    rt = np.arange(30) * 0.05 + 1
+    flat = np.ones(30) * 50
+    two = np.exp(-(((rt - 1.4) / 0.1) ** 2)) + np.exp(-(((rt - 2.1) / 0.1) ** 2))
+    plateau = np.minimum(np.exp(-(((rt - 1.8) / 0.2) ** 2)), 0.5)
+    for i in (flat, two * 1e5, plateau * 1e5, np.arange(30.0), np.arange(30.0)[::-1], np.where(np.arange(30) % 2, 5.0, 1.0), np.zeros(30), flat * 1e-9):
+        same_bounds(rt, i)
+    assert same_bounds(rt, two * 1e5, (1.45, 1.0, 2.0))[2] == pytest.approx(1.4) and same_bounds(rt, two * 1e5, (2.0, 1.5, 2.5))[2] == pytest.approx(2.1)
+    for n in range(8):
+        same_bounds(rt[:n], np.full(n, 7.0))
+    assert same_bounds(rt[:4], [1.0, 5.0, 1.0, 2.0]) is None
+    # as near to the atlas on either side: the first
+    same_bounds([1, 1.2, 1.4, 1.6, 1.8, 2.0, 2.2, 2.4, 2.6, 2.8, 3.0], [1, 1, 9, 1, 1, 1, 1, 1, 9, 1, 1])
+
+
+def test_bounds_equal_brute_force():
+    rng = random.Random(8)
+    for _ in range(400):
+        n = rng.randint(1, 60)
+        rt = sorted(rng.sample(range(300), n))
+        levels = rng.choice([[0, 1, 2], [0, 10, 500, 900], range(100_000)])
+        same_bounds([r / 100 for r in rt], [float(rng.choice(levels)) for _ in range(n)], (rng.uniform(0, 3), 1.0, 1.0 + rng.uniform(0, 1)))
+
+
+def test_bounds_take_linear_steps():
+    falling = np.linspace(2, 1, 60_000) + np.tile([0, 1e-9], 30_000)
+    began = time.perf_counter()
+    curation.suggested_bounds(np.arange(60_000) / 1e4, falling, 3.0, 2.0, 4.0)
+    assert time.perf_counter() - began < 20
