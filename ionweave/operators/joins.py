@@ -2,26 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of targets, all columns and both bins counted, up to which they are broadcast; more are shuffled by bin.
 BROADCAST_BYTES = 64 << 20
 #: Parts of each bin where the targets are shuffled: a bin in which a third of all points lie goes to so many tasks at least.
 SALTS = 8
-
-
-def _sizes(targets: DataFrame, low: str, high: str):
-    """One pass over the targets: their bytes about, the widest interval, and the outermost bounds."""
-    texts = [c for c, k in targets.dtypes if k == "string"]
-    length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(24 * len(targets.columns)))
-    wide = F.max(F.col(high).cast("double") - F.col(low).cast("double"))
-    return targets.agg(F.coalesce(2 * F.sum(length), F.lit(0)).alias("bytes"), wide.alias("w"), F.min(low).alias("lo"), F.max(high).alias("hi")).first()
-
-
-def _salt(points: DataFrame, value: str):
-    """The part of its bin that a point belongs to, by its value and times; a point that runs again gets the same."""
-    return F.pmod(F.xxhash64(value, *(c for c in ("rt", "scan_rt") if c in points.columns and c != value)), F.lit(SALTS))
+#: Targets that a bin may hold on average before narrower ones get bins of their own width.
+CROWDED = 8
+
+
+class Bins:
+    """How intervals are dealt to bins: in levels, each of bins as wide as its widest interval. An interval lies in one or two bins
+    of its level, a value in one bin of each level.
+
+    One pass over the targets counts them by power of two of their width. From the widest on, narrower ones join a level while
+    its bins would hold CROWDED targets on average at most; so one careless wide target has a level of its own, and targets of about
+    one width share one."""
+
+    def __init__(self, targets: DataFrame, low: str, high: str):
+        self.low, self.high, self.kind = low, high, dict(targets.dtypes)[low]
+        texts = [c for c, k in targets.dtypes if k == "string"]
+        length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(24 * len(targets.columns)))
+        wide = F.col(high).cast("double") - F.col(low).cast("double")
+        usable = targets.where(F.col(low) <= F.col(high))
+        power = F.when(wide > 0, F.ceil(F.log2(wide))).otherwise(-1074).alias("power")
+        # as many rows as there are powers of two in the widths
+        rows = usable.groupBy(power).agg(F.count("*").alias("n"), F.sum(length).alias("bytes"), F.max(wide).alias("w"), F.min(low).alias("lo"), F.max(high).alias("hi")).orderBy(F.desc("power")).collect()
+        self.lo, self.hi = min((r.lo for r in rows), default=None), max((r.hi for r in rows), default=None)
+        self.small = 2 * sum(r.bytes for r in rows) <= BROADCAST_BYTES
+        reach = max(float(self.hi) - float(self.lo), 1e-9) if rows else 1.0
+        #: (bin width, widest interval, widest interval of the next level) of each level.
+        self.levels: list[tuple[float, float, float]] = []
+        left = sum(r.n for r in rows)
+        for r in rows:
+            if not self.levels or left * self.levels[-1][0] / reach > CROWDED:
+                self.levels.append((max(r.w, 1e-9), r.w, -math.inf))
+                if len(self.levels) > 1:
+                    self.levels[-2] = (*self.levels[-2][:2], r.w)
+            left -= r.n
+
+    def _at(self, column: str, width: float) -> Column:
+        return F.floor(F.col(column).cast("double") / width)
+
+    def of_targets(self, targets: DataFrame, level: int | None = None) -> DataFrame:
+        """targets once for each of their bins, as __level and __bin; broadcast while they are small, else with a copy for each __salt."""
+        wide = F.col(self.high).cast("double") - F.col(self.low).cast("double")
+        parts = []
+        for k, (width, most, below) in enumerate(self.levels):
+            if level in (None, k):
+                bins = F.sequence(self._at(self.low, width), self._at(self.high, width))
+                parts.append(F.when((wide <= most) & (wide > below), F.arrays_zip(F.array_repeat(F.lit(k), F.size(bins)).alias("__level"), bins.alias("__bin"))))
+        binned = targets.where(F.col(self.low) <= F.col(self.high)).select("*", F.inline(F.coalesce(*parts))) if parts else targets.where("false").withColumns({"__level": F.lit(0), "__bin": F.lit(0).cast("long")})
+        return F.broadcast(binned) if self.small else binned.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+    def of_points(self, points: DataFrame, value: str, level: int | None = None) -> DataFrame:
+        """points once for each level, as __own_level and __own_bin, without null, NaN and what lies beyond all targets.
+
+        A bound that the points' type can't hold would cut too much, so the outermost bounds go to the scan only where types agree."""
+        usable = points.where(F.col(value).isNotNull() & ~F.isnan(value))
+        if self.lo is not None and dict(points.dtypes)[value] == self.kind:
+            usable = usable.where(F.col(value).between(F.lit(self.lo).cast(self.kind), F.lit(self.hi).cast(self.kind)))
+        at = [F.struct(F.lit(k).alias("__own_level"), self._at(value, w).alias("__own_bin")) for k, (w, _, _) in enumerate(self.levels) if level in (None, k)]
+        if len(at) > 1:
+            usable = usable.select("*", F.inline(F.array(*at)))
+        else:
+            usable = usable.withColumns({"__own_level": F.lit(level or 0), "__own_bin": at[0]["__own_bin"] if at else F.lit(0).cast("long")})
+        return usable if self.small else usable.withColumn("__part", F.pmod(F.xxhash64(value, *(c for c in ("rt", "scan_rt") if c in points.columns and c != value)), F.lit(SALTS)))
+
+    def met(self, value: str) -> Column:
+        hit = (F.col("__own_level") == F.col("__level")) & (F.col("__own_bin") == F.col("__bin")) & (F.col(value) >= F.col(self.low)) & (F.col(value) <= F.col(self.high))
+        return hit if self.small else hit & (F.col("__part") == F.col("__salt"))
+
+
+_DEALT = ("__level", "__bin", "__own_level", "__own_bin", "__part", "__salt")
 
 
 def expand_atlas_windows(atlas: DataFrame, ppm: float = 5.0, extra_time: float = 0.0) -> DataFrame:
@@ -38,27 +96,23 @@ def expand_atlas_windows(atlas: DataFrame, ppm: float = 5.0, extra_time: float =
 def interval_join(points: DataFrame, targets: DataFrame, value: str, low: str, high: str, how: str = "inner") -> DataFrame:
     """All (point, target) with low <= value <= high; NULL and NaN never match. how: inner or left_semi.
 
-    Both sides are dealt to bins as wide as the widest interval, so a target has two bins at most and a point one: an
-    equi-join with a residual predicate. The targets' size is taken first: they are broadcast while they are small, else
-    shuffled, each to all SALTS parts of its bins, so that a bin with very many points is no single key. Their outermost
+    An equi-join on the bins of Bins with a residual predicate. The targets' size is taken first: they are broadcast while they are
+    small, else shuffled, each to all SALTS parts of its bins, so that a bin with very many points is no single key. Their outermost
     bounds go to the points as literals, which reach a Parquet scan."""
-    size = _sizes(targets, low, high)
-    width = max(size.w or 0.0, 1e-9)
-    at = lambda c: F.floor(F.col(c).cast("double") / width)
-    binned = targets.where(F.col(low) <= F.col(high)).withColumn("__bin", F.explode(F.sequence(at(low), at(high))))
-    small = size.bytes <= BROADCAST_BYTES
-    binned = F.broadcast(binned) if small else binned.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    usable = points.where(F.col(value).isNotNull() & ~F.isnan(value))
-    if size.lo is not None:
-        kind = dict(points.dtypes)[value]
-        # a bound that this type can't hold would cut too much, so only a bound of the same type is used
-        usable = usable.where(F.col(value).between(F.lit(size.lo).cast(kind), F.lit(size.hi).cast(kind))) if dict(targets.dtypes)[low] == kind else usable
-    usable = usable.withColumn("__bin", at(value))
-    hit = (usable["__bin"] == binned["__bin"]) & (F.col(value) >= F.col(low)) & (F.col(value) <= F.col(high))
-    if not small:
-        usable = usable.withColumn("__part", _salt(points, value))
-        hit = hit & (F.col("__part") == F.col("__salt"))
-    return usable.join(binned, hit, how).drop("__bin", "__part", "__salt")
+    bins = Bins(targets, low, high)
+    if how == "left_semi":
+        return _semi(points, targets, bins, value, F.lit(True))
+    return bins.of_points(points, value).join(bins.of_targets(targets), bins.met(value)).drop(*_DEALT)
+
+
+def _semi(points: DataFrame, targets: DataFrame, bins: Bins, value: str, more: Column) -> DataFrame:
+    """Points with a target in any level; a level asks for those alone that no level before has found, so a point comes once."""
+    found, left = [], points
+    for k in range(max(1, len(bins.levels))):
+        dealt, of = bins.of_points(left, value, k), bins.of_targets(targets, k)
+        found.append(dealt.join(of, bins.met(value) & more, "left_semi").drop(*_DEALT))
+        left = dealt.join(of, bins.met(value) & more, "left_anti").drop(*_DEALT)
+    return reduce(DataFrame.unionByName, found)
 
 
 def mz_bounds(targets: DataFrame) -> tuple[float, float] | None:
@@ -88,16 +142,8 @@ def join_ms2_to_atlas(points: DataFrame, targets: DataFrame, only_in_feature: bo
 
 def subset_points_to_windows(points: DataFrame, targets: DataFrame) -> DataFrame:
     """Points in at least one (m/z, rt) window."""
-    size = _sizes(targets.select("mz_min", "mz_max", "rt_min_pad", "rt_max_pad"), "mz_min", "mz_max")
-    width = max(size.w or 0.0, 1e-9)
-    at = lambda c: F.floor(F.col(c).cast("double") / width)
-    windows = targets.select("mz_min", "mz_max", "rt_min_pad", "rt_max_pad", F.explode(F.sequence(at("mz_min"), at("mz_max"))).alias("__target_bin"))
-    small = size.bytes <= BROADCAST_BYTES
-    windows = F.broadcast(windows) if small else windows.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    inside = (at("mz") == F.col("__target_bin")) & F.col("mz").between(F.col("mz_min"), F.col("mz_max")) & F.col("rt").between(F.col("rt_min_pad"), F.col("rt_max_pad"))
-    if not small:
-        inside = inside & (_salt(points, "mz") == F.col("__salt"))
-    return points.where(~F.isnan("mz")).join(windows, inside, "left_semi")
+    windows = targets.select("mz_min", "mz_max", "rt_min_pad", "rt_max_pad")
+    return _semi(points, windows, Bins(windows, "mz_min", "mz_max"), "mz", F.col("rt").between(F.col("rt_min_pad"), F.col("rt_max_pad")))
 
 
 def near_pairs(left: DataFrame, right: DataFrame, a: str, b: str, tolerance: float) -> DataFrame:

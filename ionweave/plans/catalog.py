@@ -1335,22 +1335,33 @@ def stream_extract(v):
     p = v("points").select("filename", "mz", "rt", "i", "polarity")
     spark = p.sparkSession
     source, target = scratch(spark, "stream-in"), scratch(spark, "stream-out")
-    p.repartition(4).write.parquet(source)
+    p.repartition("filename").write.parquet(source)
     streams.stream_extract(spark, source, windows(v), target, scratch(spark, "stream-check")).awaitTermination()
-    return spark.read.parquet(target).groupBy("mz_rt_uid").agg(F.count("*").alias("n"), F.count_if("in_feature").alias("inside"))
+    wide = streams.read_extracted(spark, target)
+    return wide.groupBy("mz_rt_uid").agg(F.sum(F.size("points")).alias("n"), F.sum(F.size(F.filter("points", lambda x: x.in_feature))).cast("long").alias("inside"))
 
 
-@query("curation", "select mz_rt_uid, coalesce(e.note, c.ms1_notes) as ms1_notes from curation c left join (select user_id as place, arg_max(event_type, event_id) as note from events group by 1) e on e.place = c.place")
+_LAST_NOTE = "(select 'mzrt-' || user_id as mz_rt_uid, arg_max(event_type, event_id) as note from events where event_id % 3 {} 0 group by 1)"
+
+
+@query("curation", f"select c.mz_rt_uid, coalesce(b.note, a.note, c.ms1_notes) as ms1_notes from curation c left join {_LAST_NOTE.format('<>')} a on a.mz_rt_uid = c.mz_rt_uid left join {_LAST_NOTE.format('=')} b on b.mz_rt_uid = c.mz_rt_uid")
 def stream_curation_updates(v):
+    """Two sessions, one after the other, each with its own numbers, then stale edits of the first, and a compaction in between."""
     spark = v("curation").sparkSession
-    edits, table = scratch(spark, "edits"), scratch(spark, "table")
-    rows = v("events").select(F.concat(F.lit("mzrt-"), F.col("user_id").cast("string")).alias("mz_rt_uid"), F.col("event_type").alias("ms1_notes"), F.col("event_id").cast("long").alias("edit_seq"))
-    rows.repartition(3).write.parquet(edits)
-    v("curation").withColumn("edit_seq", F.lit(-1).cast("long")).write.parquet(f"{table}/v=0")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(edits)
-    streams.stream_curation_updates(stream, table, ("ms1_notes",), scratch(spark, "edits-check")).awaitTermination()
-    last = spark.read.parquet(table)
-    return last.where(F.col("v") == last.agg(F.max("v")).first()[0]).select("mz_rt_uid", "ms1_notes")
+    table = streams.CurationTable(spark, scratch(spark, "table"), ("ms1_notes",))
+    table.create(v("curation"))
+    edit = v("events").select(F.concat(F.lit("mzrt-"), F.col("user_id").cast("string")).alias("mz_rt_uid"), F.col("event_type").alias("ms1_notes"), F.col("event_id").cast("long").alias("e"))
+    first = edit.where("e % 3 <> 0").selectExpr("'first' as session", "mz_rt_uid", "e + 1000000 as edit_seq", "ms1_notes")
+    second = edit.where("e % 3 = 0").selectExpr("'second' as session", "mz_rt_uid", "e div 3 as edit_seq", "ms1_notes")
+    stale = first.withColumns({"edit_seq": F.col("edit_seq") - 1_000_000, "ms1_notes": F.lit("stale")})
+    for name, rows, files in (("first", first, 2), ("second", second, 1), ("stale", stale, 1)):
+        source = scratch(spark, name)
+        rows.repartition(files).write.parquet(source)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        streams.stream_curation_updates(stream, table, scratch(spark, f"{name}-check")).awaitTermination()
+        if name == "first":
+            table.compact()
+    return table.read().select("mz_rt_uid", "ms1_notes")
 
 
 @query("pairs", "select distinct filename, polarity from pairs where filename not like '%QC%'")

@@ -1,4 +1,4 @@
-"""A folder that driver and executors share."""
+"""Folders that driver and executors share."""
 
 from __future__ import annotations
 
@@ -17,3 +17,24 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _found(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, p = _found(spark, path)
+    return files.exists(p)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it isn't there."""
+    files, p = _found(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(p) if s.isDirectory()) if files.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, p = _found(spark, path)
+    files.delete(p, True)

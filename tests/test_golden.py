@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ionweave.functions import names, scores, values
 from ionweave.operators import atlas, curation, extract, joins, results, rtmodel, spectra
 from ionweave.sources import library, runs
-from ionweave.streaming import streams
 
 
 def one(spark, column):
@@ -44,6 +43,28 @@ def test_bin_join_equals_nested_loop(spark, monkeypatch, limit):
     assert sorted(joins.interval_join(p, t, "mz", "lo", "hi").select("mz", "id").collect()) == sorted(nested.select("mz", "id").collect())
 
 
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
+def test_a_wide_target_has_bins_of_its_own(spark, monkeypatch, limit):
+    """One target of 100 Da among narrow ones, and one of no width: rows as in a nested loop, narrow bins stay narrow."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(joins, "CROWDED", 1)
+    p = spark.range(3000).select((100 + F.col("id") * 0.1).cast("float").alias("mz"), (F.col("id") % 7).cast("float").alias("rt"))
+    narrow = spark.range(2000).select(F.col("id"), (100 + F.col("id") * 0.15).cast("float").alias("mz_min"), (100.001 + F.col("id") * 0.15).cast("float").alias("mz_max"))
+    wide = spark.createDataFrame([(9001, 150.0, 250.0), (9002, 130.0, 130.0), (9003, 160.0, 159.0), (9004, 200.0, 205.0)], "id long, mz_min float, mz_max float")
+    t = narrow.union(wide).withColumns({"rt_min_pad": F.lit(1.0).cast("float"), "rt_max_pad": F.lit(4.0).cast("float")})
+    bins = joins.Bins(t, "mz_min", "mz_max")
+    assert len(bins.levels) >= 2 and bins.levels[0][0] == 100 and bins.levels[-1][0] < 0.01
+    nested = p.crossJoin(F.broadcast(t)).where("mz between mz_min and mz_max")
+    columns = ["mz", "rt", "id"]
+    got = joins.interval_join(p, t, "mz", "mz_min", "mz_max")
+    assert got.columns == p.columns + t.columns
+    assert sorted(got.select(columns).collect()) == sorted(nested.select(columns).collect())
+    semi = joins.interval_join(p, t, "mz", "mz_min", "mz_max", "left_semi")
+    assert semi.columns == p.columns and sorted(semi.collect()) == sorted(nested.select("mz", "rt").distinct().collect())
+    kept = joins.subset_points_to_windows(p, t)
+    assert kept.columns == p.columns and sorted(kept.collect()) == sorted(nested.where("rt between rt_min_pad and rt_max_pad").select("mz", "rt").distinct().collect())
+
+
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
 def test_joins_with_a_hot_bin_equal_nested_loops(spark, monkeypatch, limit):
     """A third of all points have one m/z, and some rows are there twice."""
@@ -286,19 +307,6 @@ def test_parametric_query_prunes_partitions_and_row_groups(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "schema_maps" / "v-compound_lfc")).count() == len(found.columns)
 
 
-def test_curation_stream_goes_on_from_the_highest_version(spark, tmp_path):
-    """A second stream with a new checkpoint on a table that has versions already."""
-    table = str(tmp_path / "table")
-    spark.createDataFrame([("a", "old", -1), ("b", "old", -1)], "mz_rt_uid string, ms1_notes string, edit_seq long").write.parquet(f"{table}/v=0")
-    for i, rows in enumerate(([("a", "one", 1)], [("a", "two", 2), ("b", "three", 3)], [("a", "stale", 0)])):
-        source = str(tmp_path / f"edits{i}")
-        spark.createDataFrame(rows, "mz_rt_uid string, ms1_notes string, edit_seq long").write.parquet(source)
-        stream = spark.readStream.schema("mz_rt_uid string, ms1_notes string, edit_seq long").parquet(source)
-        streams.stream_curation_updates(stream, table, ("ms1_notes",), str(tmp_path / f"check{i}")).awaitTermination()
-    last = spark.read.parquet(table)
-    assert {r.mz_rt_uid: r.ms1_notes for r in last.where(F.col("v") == last.agg(F.max("v")).first()[0]).collect()} == {"a": "two", "b": "three"}
-
-
 def test_partition_columns_clash(spark):
     with pytest.raises(ValueError):
         results.with_partition_columns(spark.range(1).withColumn("polarity", F.lit("x")), dict.fromkeys(results.PARTITIONS, "v"))
