@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .joins import join_ms1_to_atlas, join_ms2_to_atlas
+from ..sources.points import scan_ms1_points, scan_ms2_points, stored_runs
+from .joins import interval_join, join_ms2_to_atlas, valid_precursor
 
 GROUP = ("mz_rt_uid", "filename")
 
 
-def extract_all_runs(points: DataFrame, runs: DataFrame, targets: DataFrame, polarity: str = "POS") -> DataFrame:
-    """One job over all points of the runs of a polarity; raises where a run has no points."""
-    wanted = {"POS": ("pos", "fps"), "NEG": ("neg",)}[polarity.upper()]
-    runs = runs.where(F.lower("polarity").isin(*wanted) & (F.col("file_format") == "h5")).select("filename")
-    if missing := [r.filename for r in runs.join(points.select("filename").distinct(), "filename", "left_anti").limit(20).collect()]:
+def extract_all_runs(spark: SparkSession, store: str, runs: DataFrame, targets: DataFrame, polarity: str = "POS", only_in_feature: bool = False) -> DataFrame:
+    """MS1 and MS2 of all h5 runs of a polarity, from a point store, in one job: of_level() takes either out.
+
+    Both levels are one table to the range join, which meets MS1 points by their m/z and MS2 points by their precursor's; an error
+    names runs that the store's list lacks, which reads no points. Runs without MS2 have none."""
+    positive = polarity.upper() == "POS"
+    runs = runs.where(F.lower("polarity").isin(*(("pos", "fps") if positive else ("neg",))) & (F.col("file_format") == "h5")).select("filename").distinct()
+    if missing := [r.filename for r in runs.join(stored_runs(spark, store).select("filename"), "filename", "left_anti").limit(20).collect()]:
         raise FileNotFoundError(f"runs without points: {missing}")
-    return join_ms1_to_atlas(points.join(runs, "filename", "left_semi"), targets)
+    absent = {c: F.lit(None).cast("float") for c in ("precursor_mz", "precursor_intensity", "collision_energy")}
+    ms1 = scan_ms1_points(spark, store, int(positive)).withColumns({"ms_level": F.lit(1), "at": F.col("mz"), **absent})
+    ms2 = valid_precursor(scan_ms2_points(spark, store, int(positive))).withColumns({"ms_level": F.lit(2), "at": F.col("precursor_mz")})
+    points = ms1.unionByName(ms2).join(runs, "filename", "left_semi")
+    met = interval_join(points, targets.withColumnRenamed("mz", "atlas_mz"), "at", "mz_min", "mz_max").drop("at")
+    met = met.withColumn("in_feature", F.col("rt").between(F.col("rt_min_pad"), F.col("rt_max_pad")))
+    return met.where("in_feature") if only_in_feature else met
+
+
+def of_level(extracted: DataFrame, level: int) -> DataFrame:
+    """The rows of one MS level of extract_all_runs(), under the names of that level; the other's points aren't read for it."""
+    rows = extracted.where(F.col("ms_level") == level).drop("ms_level")
+    if level == 1:
+        return rows.drop("precursor_mz", "precursor_intensity", "collision_energy")
+    return rows.withColumnsRenamed({"mz": "frag_mz", "i": "frag_int", "rt": "scan_rt"})
 
 
 def union_files(parts: list[DataFrame]) -> DataFrame:

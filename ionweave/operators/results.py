@@ -8,32 +8,40 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import parse_project_name
 from ..functions.values import spectrum_json
+from ..sources.scratch import exists
 
 LOG = logging.getLogger(__name__)
 
 # Columns of the two datasets and their partitions, in order.
 FILE_TEXT = (
-    "mz_rt_uid compound_name identified_metabolite label inchi_key formula smiles inchi pubchem_cid iupac_name adduct best_ms1_file filename file_group ms1_notes "
-    "ms2_notes msi_level control_filter overlapping_compound overlapping_inchi_keys isomer_details identification_notes analyst_notes other_notes best_ms2_file "
-    "best_ms2_num_ions best_ms2_matching_ions best_ms2_spectrum_rt_mz ms1_spectrum_rt_i msms_file msms_numberofions msms_matchingions"
-).split()
+    "mz_rt_uid", "compound_name", "identified_metabolite", "label", "inchi_key", "formula", "smiles", "inchi", "pubchem_cid", "iupac_name", "adduct",
+    "best_ms1_file", "filename", "file_group", "ms1_notes", "ms2_notes", "msi_level", "control_filter", "overlapping_compound",
+    "overlapping_inchi_keys", "isomer_details", "identification_notes", "analyst_notes", "other_notes", "best_ms2_file", "best_ms2_num_ions",
+    "best_ms2_matching_ions", "best_ms2_spectrum_rt_mz", "ms1_spectrum_rt_i", "msms_file", "msms_numberofions", "msms_matchingions",
+)
 FILE_NUMBERS = (
-    "compound_index atlas_mz atlas_rt_peak atlas_rt_min atlas_rt_max rt_min rt_max exact_mass best_ms1_rt best_ms1_mz best_ms1_intensity best_ms1_ppm_error "
-    "best_ms1_rt_error best_ms2_rt best_ms2_score best_ms2_mz best_ms2_mz_ppm_error best_ms2_mz_error_da best_ms2_rt_error peak_height peak_area rt_peak rt_centroid "
-    "mz_peak mz_centroid measured_rt measured_mz mz_theoretical mz_measured mz_error mz_ppmerror rt_theoretical rt_error msms_rt msms_score mz_quality rt_quality "
-    "msms_quality total_score"
-).split()
+    "compound_index", "atlas_mz", "atlas_rt_peak", "atlas_rt_min", "atlas_rt_max", "rt_min", "rt_max", "exact_mass", "best_ms1_rt", "best_ms1_mz",
+    "best_ms1_intensity", "best_ms1_ppm_error", "best_ms1_rt_error", "best_ms2_rt", "best_ms2_score", "best_ms2_mz", "best_ms2_mz_ppm_error",
+    "best_ms2_mz_error_da", "best_ms2_rt_error", "peak_height", "peak_area", "rt_peak", "rt_centroid", "mz_peak", "mz_centroid", "measured_rt",
+    "measured_mz", "mz_theoretical", "mz_measured", "mz_error", "mz_ppmerror", "rt_theoretical", "rt_error", "msms_rt", "msms_score", "mz_quality",
+    "rt_quality", "msms_quality", "total_score",
+)
 LFC_TEXT = (
-    "mz_rt_uid inchi_key compound_name control_filter condition_1 condition_2 adduct formula smiles inchi pubchem_cid iupac_name ms1_notes ms2_notes msi_level "
-    "identification_notes analyst_notes other_notes best_ms2_file best_ms2_num_ions best_ms2_matching_ions best_ms2_spectrum_rt_mz msms_file msms_numberofions msms_matchingions"
-).split()
+    "mz_rt_uid", "inchi_key", "compound_name", "control_filter", "condition_1", "condition_2", "adduct", "formula", "smiles", "inchi", "pubchem_cid",
+    "iupac_name", "ms1_notes", "ms2_notes", "msi_level", "identification_notes", "analyst_notes", "other_notes", "best_ms2_file", "best_ms2_num_ions",
+    "best_ms2_matching_ions", "best_ms2_spectrum_rt_mz", "msms_file", "msms_numberofions", "msms_matchingions",
+)
 LFC_NUMBERS = (
-    "compound_index log2_fold_change rt_min rt_max best_ms1_rt best_ms1_mz best_ms1_intensity best_ms1_ppm_error best_ms1_rt_error atlas_mz atlas_rt_peak atlas_rt_min "
-    "atlas_rt_max best_ms2_rt best_ms2_score best_ms2_mz best_ms2_mz_ppm_error best_ms2_mz_error_da best_ms2_rt_error msms_score msms_rt mz_theoretical mz_measured "
-    "mz_error mz_ppmerror rt_theoretical rt_error"
-).split()
+    "compound_index", "log2_fold_change", "rt_min", "rt_max", "best_ms1_rt", "best_ms1_mz", "best_ms1_intensity", "best_ms1_ppm_error",
+    "best_ms1_rt_error", "atlas_mz", "atlas_rt_peak", "atlas_rt_min", "atlas_rt_max", "best_ms2_rt", "best_ms2_score", "best_ms2_mz",
+    "best_ms2_mz_ppm_error", "best_ms2_mz_error_da", "best_ms2_rt_error", "msms_score", "msms_rt", "mz_theoretical", "mz_measured", "mz_error",
+    "mz_ppmerror", "rt_theoretical", "rt_error",
+)
 PARTITIONS = ("project_name", "chromatography", "polarity", "analysis_type", "analysis_name")
+#: Rows of a row group, so that filters skip parts of a file.
+ROWS_PER_GROUP = 100_000
 GRAINS = {"compound_file": (FILE_TEXT, FILE_NUMBERS), "compound_lfc": (LFC_TEXT, LFC_NUMBERS)}
 
 
@@ -92,27 +100,37 @@ def with_partition_columns(df: DataFrame, values: dict[str, str]) -> DataFrame:
     return df.withColumns({p: F.lit(values[p]) for p in PARTITIONS})
 
 
+def leaf(base: str, grain: str, values: dict[str, str]) -> str:
+    """The folder of one analysis' rows of a grain."""
+    return "/".join([base, grain, *(f"{p}={values[p]}" for p in PARTITIONS)])
+
+
+def provenance_fields(spark: SparkSession, values: dict[str, str], provenance: dict[str, str]) -> dict[str, str]:
+    """What a file says of its analysis: partition values, the given fields, the time, and the fields of a project name that parses."""
+    row = spark.range(1).select(parse_project_name(F.lit(values["project_name"])).alias("p"), F.date_format(F.current_timestamp(), "yyyy-MM-dd-HH-mm-ss").alias("t")).first()
+    parsed = {k: v for k, v in row.p.asDict().items() if v} if row.p else {}
+    return {k: str(v) for k, v in ({"created_date": row.t} | parsed | values | provenance).items()}
+
+
 def write_result_datasets(tables: dict[str, DataFrame], base: str, values: dict[str, str], overwrite: bool = True, provenance: dict[str, str] | None = None) -> None:
     """Each grain below base in Hive layout; only the partitions of these values are replaced. Empty tables aren't written.
 
-    Beside the data stand schema_maps/ and, if given, provenance/, both by project and grain."""
+    Provenance goes into the footers of the files, as metadata of the first column's schema, so each analysis keeps its own.
+    Schema maps stand beside the data by project and grain, as JSON lines and as CSV."""
     for grain, df in tables.items():
         if df.isEmpty():
             continue
-        leaf = "/".join([base, grain, *(f"{p}={values[p]}" for p in PARTITIONS)])
-        if not overwrite and _exists(df.sparkSession, leaf):
-            continue
-        out = with_partition_columns(df, values).write.mode("overwrite").partitionBy(*PARTITIONS)
-        out.option("compression", "zstd").option("partitionOverwriteMode", "dynamic").parquet(f"{base}/{grain}")
         spark, project = df.sparkSession, values["project_name"]
-        schema_map(spark, {grain: with_partition_columns(df, values)}).coalesce(1).write.mode("overwrite").json(f"{base}/schema_maps/{project}-{grain}")
-        if provenance:
-            result_footer_fields(df, values | provenance).write.mode("overwrite").json(f"{base}/provenance/{project}-{grain}")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        if not overwrite and exists(spark, leaf(base, grain, values)):
+            continue
+        maps = schema_map(spark, {grain: with_partition_columns(df, values)}).coalesce(1).orderBy("name").write.mode("overwrite")
+        maps.json(f"{base}/schema_maps/{project}-{grain}.schema_map.json")
+        maps.option("header", True).csv(f"{base}/schema_maps/{project}-{grain}.schema_map.csv")
+        if provenance is not None:
+            first, *rest = df.columns
+            df = df.select(F.col(first).alias(first, metadata={"provenance": provenance_fields(spark, values, provenance)}), *rest)
+        out = with_partition_columns(df, values).write.mode("overwrite").partitionBy(*PARTITIONS).option("compression", "zstd")
+        out.option("parquet.block.row.count.limit", ROWS_PER_GROUP).option("partitionOverwriteMode", "dynamic").parquet(f"{base}/{grain}")
 
 
 def read_result_dataset(spark: SparkSession, base: str, grain: str) -> DataFrame:
@@ -121,9 +139,14 @@ def read_result_dataset(spark: SparkSession, base: str, grain: str) -> DataFrame
     return spark.read.schema(schema).parquet(f"{base}/{grain}")
 
 
-def result_footer_fields(df: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """Provenance of a table as one row: the fields, and the table's number of rows."""
-    return df.agg(*(F.lit(str(v)).alias(k) for k, v in fields.items()), F.count("*").alias("n_rows"))
+def result_footer_fields(spark: SparkSession, base: str, grain: str, values: dict[str, str]) -> DataFrame:
+    """Provenance of one analysis as its files' footers have it, as one row, and its number of rows; no row where there is none."""
+    path = leaf(base, grain, values)
+    rows = spark.read.parquet(path) if exists(spark, path) else None
+    fields = rows.schema[0].metadata.get("provenance", {}) if rows is not None else {}
+    if not fields:
+        return spark.createDataFrame([], "n_rows long")
+    return rows.agg(*(F.lit(v).alias(k) for k, v in fields.items()), F.count("*").alias("n_rows"))
 
 
 def schema_map(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:

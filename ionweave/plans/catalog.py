@@ -87,22 +87,38 @@ def reused(df: DataFrame) -> DataFrame:
 # Scans and points
 
 
-@query("points", "select filename, count(*) as n, round(sum(cast(i as double)), 2) as total from points where polarity = 1 and mz between cast(100 - 100 * 5e0 * 1e-6 as float) and cast(500 + 500 * 5e0 * 1e-6 as float) group by filename")
+def point_store(v) -> str:
+    """A store of the points of both levels; MS2 scans take turns in polarity."""
+    base = scratch(v.spark, "points")
+    points.write_points(v("points").select("filename", "mz", "rt", "i", "polarity"), base, "ms1")
+    ms2 = v("ms2_peaks").join(v("runs"), "f").select(
+        "filename", F.col("frag_mz").alias("mz"), F.col("frag_int").alias("i"), F.col("scan_rt").alias("rt"), (F.col("scan_id") % 2).cast("short").alias("polarity"), "precursor_mz", "precursor_intensity", "collision_energy"
+    )
+    points.write_points(ms2, base, "ms2")
+    return base
+
+
+@query("points", "select filename, count(*) as n, round(sum(cast(i as double)), 2) as total, round(max(cast(rt as double)), 4) as last_rt from points where polarity = 1 and mz between cast(100 - 100 * 5e0 * 1e-6 as float) and cast(500 + 500 * 5e0 * 1e-6 as float) group by filename")
 def scan_ms1_points(v):
     targets = windows(v).where("mz <= 500")
-    found = points.within(v("points").where("polarity = 1"), joins.mz_bounds(targets))
-    return rounded(found.groupBy("filename").agg(F.count("*").alias("n"), F.sum(F.col("i").cast("double")).alias("total")), 2)
+    found = points.scan_ms1_points(v.spark, point_store(v), 1, joins.mz_bounds(targets))
+    return found.groupBy("filename").agg(F.count("*").alias("n"), F.round(F.sum(F.col("i").cast("double")), 2).alias("total"), F.round(F.max("rt").cast("double"), 4).alias("last_rt"))
 
 
-@query("ms2_peaks", "select f, count(*) as n, round(sum(cast(frag_int as double)), 2) as total from ms2_peaks group by f")
+@query("ms2_peaks runs", "select r.filename, count(*) as n, round(sum(cast(frag_int as double)), 2) as total, round(sum(cast(precursor_mz as double) * collision_energy), 2) as weighted, round(max(cast(precursor_intensity as double)), 2) as top from ms2_peaks p join runs r on r.f = p.f where scan_id % 2 = 0 group by r.filename")
 def scan_ms2_points(v):
-    return rounded(v("ms2_peaks").groupBy("f").agg(F.count("*").alias("n"), F.sum(F.col("frag_int").cast("double")).alias("total")), 2)
+    found = points.scan_ms2_points(v.spark, point_store(v), 0)
+    number = lambda c: F.col(c).cast("double")
+    return rounded(found.groupBy("filename").agg(F.count("*").alias("n"), F.sum(number("i")).alias("total"), F.sum(number("precursor_mz") * number("collision_energy")).alias("weighted"), F.max(number("precursor_intensity")).alias("top")), 2)
 
 
 @query("points", "select filename, polarity, count(*) as n from points where not (abs(cast(mz + 92.0777 as double) - case when polarity = 1 then 202.0777 else 202.0788 end) <= 0.001) group by filename, polarity")
 def normalize_ms_points(v):
-    moved = v("points").withColumn("mz", F.col("mz") + 92.0777)
-    return points.normalize_ms_points(moved).groupBy("filename", "polarity").agg(F.count("*").alias("n"))
+    """As ingest does it: normalized, written to a store, read back by polarity."""
+    base = scratch(v.spark, "normalized")
+    points.write_points(points.normalize_ms_points(v("points").withColumn("mz", F.col("mz") + 92.0777)), base)
+    both = [points.scan_ms1_points(v.spark, base, p).withColumn("polarity", F.lit(p).cast("short")) for p in (0, 1)]
+    return both[0].unionByName(both[1]).groupBy("filename", "polarity").agg(F.count("*").alias("n"))
 
 
 # Range joins
@@ -140,10 +156,12 @@ def subset_points_to_windows(v):
     return joins.subset_points_to_windows(v("points"), windows(v)).groupBy("filename").agg(F.count("*").alias("n"))
 
 
-@query("pairs", "select filename, count(*) as n, count(distinct mz_rt_uid) as compounds from pairs where filename not like '%QC%' group by filename")
+@query("pairs ms2_pairs ms2_peaks", """select filename, 1 as ms_level, count(*) as n, count(*) filter (in_feature) as inside, count(distinct mz_rt_uid) as compounds from pairs where filename not like '%QC%' and polarity = 1 group by filename
+    union all select m.filename, 2, count(*), count(*) filter (in_feature), count(distinct m.mz_rt_uid) from ms2_pairs m join ms2_peaks p on p.scan_id = m.scan_id where m.filename not like '%QC%' and m.scan_id % 2 = 1 group by m.filename""")
 def extract_all_runs(v):
     listed = runs.parsed_runs(v("runs").where("sample_name <> 'QC'").select(F.concat(F.lit("/data/"), "filename").alias("path"), "filename"))
-    return ex.extract_all_runs(v("points"), listed, windows(v)).groupBy("filename").agg(F.count("*").alias("n"), F.count_distinct("mz_rt_uid").alias("compounds"))
+    found = ex.extract_all_runs(v.spark, point_store(v), listed, windows(v))
+    return found.groupBy("filename", "ms_level").agg(F.count("*").alias("n"), F.count_if("in_feature").alias("inside"), F.count_distinct("mz_rt_uid").alias("compounds"))
 
 
 @query("pairs", "select mz_rt_uid, inchi_key, adduct, count(*) as n from pairs group by mz_rt_uid, inchi_key, adduct")
@@ -1240,13 +1258,15 @@ def schema_map(v):
     return listed.join(filled.unpivot([], filled.columns, "name", "filled"), "name")
 
 
-@query("metrics", f"select '{VALUES['polarity']}' as polarity, '7' as analysis_number, count(*) as n_rows from metrics")
+@query("metrics", "select p.polarity, p.analysis_number, '505162' as project_id, count(*) filter (m.peak_height > p.least) as n_rows from metrics m cross join (values ('POS', '7', 0), ('NEG', '8', 50000)) p(polarity, analysis_number, least) group by all")
 def result_footer_fields(v):
-    """Provenance as it stands beside the written data."""
-    base = scratch(v.spark, "footers")
-    table = results.conform(metrics(v), "compound_file")
-    results.write_result_datasets({"compound_file": table}, base, VALUES, provenance={"analysis_number": "7"})
-    return v.spark.read.json(f"{base}/provenance/{VALUES['project_name']}-compound_file").select("polarity", "analysis_number", "n_rows")
+    """Two analyses of one project, the first written anew after the second; each keeps the provenance in its files."""
+    base, table = scratch(v.spark, "footers"), reused(results.conform(metrics(v), "compound_file"))
+    analyses = [("POS", "6", 90_000), ("NEG", "8", 50_000), ("POS", "7", 0)]
+    for polarity, number, least in analyses:
+        results.write_result_datasets({"compound_file": table.where(F.col("peak_height") > least)}, base, VALUES | {"polarity": polarity}, provenance={"analysis_number": number})
+    found = [results.result_footer_fields(v.spark, base, "compound_file", VALUES | {"polarity": p}) for p in ("POS", "NEG")]
+    return found[0].unionByName(found[1]).select("polarity", "analysis_number", "project_id", "n_rows")
 
 
 @query("pairs", "select filename, count(*) as n from pairs group by 1")
@@ -1366,5 +1386,7 @@ def stream_curation_updates(v):
 
 @query("pairs", "select distinct filename, polarity from pairs where filename not like '%QC%'")
 def skip_done(v):
-    wanted = pairs(v).select("filename", "polarity").distinct()
-    return points.skip_done(wanted, wanted.where(F.contains("filename", F.lit("QC"))), ["filename", "polarity"])
+    """All QC runs are stored, in a table partitioned by run and polarity; what its folders don't show is still to do."""
+    wanted, base = reused(pairs(v).select("filename", "polarity").distinct()), scratch(v.spark, "done")
+    pairs(v).where(F.contains("filename", F.lit("QC"))).select("filename", "polarity", "rt", "i").write.partitionBy("filename", "polarity").parquet(base)
+    return points.skip_done(wanted, base, ["filename", "polarity"])

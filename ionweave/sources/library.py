@@ -18,9 +18,13 @@ def _polarity(c):
 def scan_reference_spectra(spark: SparkSession, path: str, database: str | None = None, polarity: str | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Spectra of a JSON-lines library by database, polarity and inchi_key, peaks in order of m/z.
 
-    Bad lines, spectra without peaks or with lists of unequal length, and peaks far above the precursor are dropped."""
+    Bad lines, spectra without peaks or with lists of unequal length, and peaks far above the precursor are dropped; where none is
+    left, an error says what was asked for."""
     raw = spark.read.schema(SPECTRUM_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return clean_spectra(raw.where("_corrupt is null").drop("_corrupt"), database, polarity, keys)
+    found = clean_spectra(raw.where("_corrupt is null").drop("_corrupt"), database, polarity, keys)
+    if found.isEmpty():
+        raise ValueError(f"no spectra are left of {path} (database {database!r}, polarity {polarity!r}, {'some' if keys is not None else 'all'} keys)")
+    return found
 
 
 def clean_spectra(raw: DataFrame, database: str | None = None, polarity: str | None = None, keys: DataFrame | None = None) -> DataFrame:

@@ -35,6 +35,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(p) if s.isDirectory()) if files.exists(p) else []
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a file whose name doesn't mark it as hidden."""
+    files, p = _found(spark, path)
+    return any(s.isFile() and s.getPath().getName()[0] not in "._" for s in files.listStatus(p))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, p = _found(spark, path)
     files.delete(p, True)
