@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +17,20 @@ PAIR = ("scan_id", "ref_id")
 TOP, MIN_SCORE, MIN_FRAGMENTS, PRECURSOR_PPM, FRAGMENT_TOLERANCE = 20, 0.25, 1, 20.0, 0.05
 
 
+#: Scans of one key that are one group; a key of more is dealt to several, each with a copy of the key's references.
+SCANS_PER_GROUP = 10_000
+
+
 def ms2_candidates(scans: DataFrame, refs: DataFrame, ppm: float | None = PRECURSOR_PPM) -> DataFrame:
     """(scan, ref) of one inchi_key whose precursors are near enough; ppm None takes all. A NULL reference precursor is never near.
 
-    scans: scan_id, inchi_key, precursor_mz. refs: ref_id, inchi_key, ref_precursor_mz."""
-    both = scans.join(refs, "inchi_key")
+    scans: scan_id, inchi_key, precursor_mz. refs: ref_id, inchi_key, ref_precursor_mz. Scans are counted by key first: there is at
+    most one key of over SCANS_PER_GROUP scans for so many scans, so the list of these keys is short and broadcast."""
+    hot = scans.groupBy("inchi_key").agg(F.ceil(F.count("*") / SCANS_PER_GROUP).alias("__groups")).where("__groups > 1")
+    hot, groups = F.broadcast(hot), F.coalesce("__groups", F.lit(1))
+    dealt = scans.join(hot, "inchi_key", "left").withColumn("__group", F.pmod(F.xxhash64("scan_id"), groups)).drop("__groups")
+    copied = refs.join(hot, "inchi_key", "left").withColumn("__group", F.explode(F.sequence(F.lit(0).cast("long"), groups - 1))).drop("__groups")
+    both = dealt.join(copied, ["inchi_key", "__group"]).drop("__group")
     if ppm is None:
         return both
     q, r = F.col("precursor_mz").cast("double"), F.col("ref_precursor_mz").cast("double")
@@ -70,38 +82,103 @@ def best_assignment(w: np.ndarray) -> list[tuple[int, int]]:
     return [(i, j) for i, j in pairs if i < w.shape[0] and j < w.shape[1] and w[i, j] > 0]
 
 
-def assigned_pairs(pairs: DataFrame) -> DataFrame:
-    """The one-to-one pairs of each (scan, ref) with the highest sum of products.
-
-    A pair of which both peaks have no other partner is final as it stands; only the rest of a (scan, ref) is solved, in pandas."""
-    degree = {"q_degree": Window.partitionBy(*PAIR, "frag_mz"), "r_degree": Window.partitionBy(*PAIR, "ref_mz")}
-    pairs = pairs.withColumns({k: F.count("*").over(w) for k, w in degree.items()})
-    columns = [c for c in pairs.columns if c not in degree]
-    clear = (F.col("q_degree") == 1) & (F.col("r_degree") == 1)
-
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["frag_mz", "ref_mz", "w"], ignore_index=True)
-        q, qs = pd.factorize(group["frag_mz"])
-        r, rs = pd.factorize(group["ref_mz"])
-        w = np.zeros((len(qs), len(rs)))
-        np.maximum.at(w, (q, r), group["w"].to_numpy())
-        chosen = set(best_assignment(w))
-        keep = [(a, b) in chosen for a, b in zip(q, r)]
-        return group[keep].drop_duplicates(["frag_mz", "ref_mz"], keep="last")
-
-    rest = pairs.where(~clear).select(columns)
-    solved = rest.groupBy(*PAIR).applyInPandas(solve, rest.schema)
-    return pairs.where(clear).select(columns).unionByName(solved)
-
-
-def cosine_match(assigned: DataFrame, scan_peaks: DataFrame, ref_peaks: DataFrame) -> DataFrame:
-    """(scan, ref, score, num_matches): sum of assigned products over the norms of both whole spectra.
+_MATCHED = [("frag_mz", pa.float32()), ("frag_int", pa.float32()), ("ref_mz", pa.float32()), ("ref_int", pa.float32()), ("w", pa.float64())]
+
+
+def _spectra(peaks: DataFrame, key: str, mz: str, intensity: str, name: str) -> DataFrame:
+    """One row for each spectrum: its peaks by m/z."""
+    pair = F.struct(F.col(mz).cast("float").alias("mz"), F.col(intensity).cast("float").alias("i"))
+    return peaks.groupBy(key).agg(F.array_sort(F.collect_list(pair)).alias(name))
+
+
+class _Side:
+    """The peaks of one side of a batch of candidates, end to end."""
+
+    def __init__(self, column: pa.Array):
+        flat = column.flatten()
+        self.of = np.repeat(np.arange(len(column)), pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(int))
+        self.mz, self.i = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        # peaks of one m/z in a spectrum are one node
+        new = np.append(True, (self.of[1:] != self.of[:-1]) | (self.mz[1:] != self.mz[:-1]))[: len(self.of)]
+        self.node = np.cumsum(new) - 1
+
+    def norms(self, n: int) -> np.ndarray:
+        return np.sqrt(np.bincount(self.of, self.i.astype(float) ** 2, n))
+
+
+def _near(q: _Side, r: _Side, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """(peak of q, peak of r) of the same candidate, no more than the tolerance apart and with a positive product."""
+    # m/z shifted by candidate: a power of two, so that sums stay exact
+    step = 2.0 ** np.ceil(np.log2(max(1.0, *(float(s.mz.max(initial=0)) for s in (q, r))) + 4 * tolerance + 1) + 1)
+    at, there = q.of * step + q.mz, r.of * step + r.mz
+    low = np.searchsorted(there, at - tolerance * 1.001 - 1e-6)
+    n = np.searchsorted(there, at + tolerance * 1.001 + 1e-6, "right") - low
+    a = np.repeat(np.arange(len(at)), n)
+    b = np.arange(int(n.sum())) + np.repeat(low - np.cumsum(n) + n, n)
+    ok = (np.abs(q.mz[a] - r.mz[b]).astype(float) <= tolerance) & (q.i[a].astype(float) * r.i[b] > 0) & (q.of[a] == r.of[b])
+    return a[ok], b[ok]
+
+
+def _assigned(q: _Side, r: _Side, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Places of the one-to-one pairs with the highest sum of each candidate.
+
+    A pair of which both peaks have no other partner is final as it stands; only the rest of a candidate is solved."""
+    qn, rn = q.node[a], r.node[b]
+    clear = (np.bincount(qn)[qn] == 1) & (np.bincount(rn)[rn] == 1) if len(a) else np.zeros(0, bool)
+    kept = [np.flatnonzero(clear)]
+    rest = np.flatnonzero(~clear)
+    rest = rest[np.lexsort((w[rest], rn[rest], qn[rest], q.of[a[rest]]))]
+    for group in np.split(rest, np.flatnonzero(np.diff(q.of[a[rest]])) + 1) if len(rest) else ():
+        qs, x = np.unique(qn[group], return_inverse=True)
+        rs, y = np.unique(rn[group], return_inverse=True)
+        cost, place = np.zeros((len(qs), len(rs))), np.zeros((len(qs), len(rs)), int)
+        # by weight, so that of peaks with one m/z the strongest stays
+        cost[x, y], place[x, y] = w[group], group
+        kept.append(np.array([place[i, j] for i, j in best_assignment(cost)], int))
+    return np.sort(np.concatenate(kept))
+
+
+def match_spectra(candidates: DataFrame, scan_peaks: DataFrame, ref_peaks: DataFrame, tolerance: float = FRAGMENT_TOLERANCE) -> DataFrame:
+    """(scan_id, ref_id, dot, scan_norm, ref_norm, data_frags, ref_frags, matched) of candidates with a matching peak.
+
+    matched: the one-to-one pairs of peaks with the highest sum of products. A candidate is one row with both spectra as arrays, and
+    is matched where it stands: no pair of peaks is shuffled or sorted by itself."""
+    rows = candidates.select(*PAIR).join(_spectra(scan_peaks, "scan_id", "frag_mz", "frag_int", "q"), "scan_id").join(_spectra(ref_peaks, "ref_id", "ref_mz", "ref_int", "r"), "ref_id")
+    kinds = dict(rows.dtypes)
+    numbers = ("dot", "scan_norm", "ref_norm")
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in PAIR), *(f"{c} double" for c in numbers), "data_frags long, ref_frags long", "matched array<struct<frag_mz:float,frag_int:float,ref_mz:float,ref_int:float,w:double>>"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 2048):
+                batch = whole.slice(begin, 2048)
+                n, q, r = batch.num_rows, _Side(batch.column(2)), _Side(batch.column(3))
+                a, b = _near(q, r, tolerance)
+                w = q.i[a].astype(float) * r.i[b].astype(float)
+                chosen = _assigned(q, r, a, b, w)
+                a, b, w = a[chosen], b[chosen], w[chosen]
+                count = np.bincount(q.of[a], minlength=n)
+                some = np.flatnonzero(count)
+                pairs = pa.StructArray.from_arrays([pa.array(x) for x in (q.mz[a], q.i[a], r.mz[b], r.i[b], w)], fields=[pa.field(*f) for f in _MATCHED])
+                matched = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count[some])), pa.int32()), pairs)
+                columns = [np.bincount(q.of[a], w, n), q.norms(n), r.norms(n), np.bincount(q.of, minlength=n), np.bincount(r.of, minlength=n)]
+                at = pa.array(some)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c[some]) for c in columns), matched], names=[*PAIR, *numbers, "data_frags", "ref_frags", "matched"])
+
+    return rows.select(*PAIR, "q", "r").mapInArrow(run, schema)
+
+
+def assigned_pairs(matches: DataFrame) -> DataFrame:
+    """One row for each matched pair of peaks of match_spectra()."""
+    return matches.select(*PAIR, F.inline("matched"))
+
+
+def cosine_match(matches: DataFrame) -> DataFrame:
+    """(scan, ref, score, num_matches): sum of assigned products over the norms of both whole spectra, of match_spectra().
 
     Nine digits are kept, so that scores which differ by the order of their sums alone are ties."""
-    norm = lambda peaks, key, x, out: peaks.groupBy(key).agg(F.sqrt(F.sum(F.col(x).cast("double") * F.col(x).cast("double"))).alias(out), F.count("*").alias(f"{out}_peaks"))
-    sums = assigned.groupBy(*PAIR).agg(F.sum("w").alias("dot"), F.count("*").alias("num_matches"))
-    sums = sums.join(norm(scan_peaks, "scan_id", "frag_int", "q"), "scan_id").join(norm(ref_peaks, "ref_id", "ref_int", "r"), "ref_id")
-    return sums.select(*PAIR, F.round(F.col("dot") / (F.col("q") * F.col("r")), 9).alias("score"), "num_matches", F.col("q_peaks").alias("data_frags"), F.col("r_peaks").alias("ref_frags"))
+    score = F.round(F.col("dot") / (F.col("scan_norm") * F.col("ref_norm")), 9)
+    return matches.select(*PAIR, score.alias("score"), F.size("matched").cast("long").alias("num_matches"), "data_frags", "ref_frags")
 
 
 def hit_threshold(scored: DataFrame, min_score: float = MIN_SCORE, min_fragments: int = MIN_FRAGMENTS) -> DataFrame:

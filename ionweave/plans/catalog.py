@@ -585,12 +585,12 @@ def scan_peaks(v) -> DataFrame:
     return ms2(v).select("scan_id", "own").join(p, "own").drop("own")
 
 
-def assigned(v) -> DataFrame:
-    return v.stored("assigned", lambda: spectra.assigned_pairs(reused_pairs(v)))
+def matches(v) -> DataFrame:
+    return v.stored("matches", lambda: spectra.match_spectra(candidates(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int")))
 
 
-def reused_pairs(v) -> DataFrame:
-    return reused(spectra.peak_pair_join(candidates(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int")))
+def assigned(v) -> DataFrame:
+    return spectra.assigned_pairs(matches(v))
 
 
 def candidates(v) -> DataFrame:
@@ -598,7 +598,7 @@ def candidates(v) -> DataFrame:
 
 
 def scored(v) -> DataFrame:
-    return spectra.cosine_match(assigned(v), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int"))
+    return spectra.cosine_match(matches(v))
 
 
 _CANDIDATES = """(select concat(s.scan_id, '/', s.mz_rt_uid) as scan_id, s.scan_id as own, s.mz_rt_uid, s.filename, s.scan_rt, s.in_feature, s.collision_energy, r.ref_id, s.precursor_mz, r.ref_precursor_mz
@@ -1115,7 +1115,7 @@ def best_ms2(v) -> DataFrame:
     def make():
         best = spectra.best_ms2_hit(with_hits(v))
         wanted = best.select("scan_id", F.col("best_ref_id").cast("long").alias("ref_id"))
-        aligned = spectra.align_spectra(assigned(v).join(wanted, ["scan_id", "ref_id"], "left_semi"), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int"))
+        aligned = spectra.align_spectra(spectra.assigned_pairs(matches(v).join(wanted, ["scan_id", "ref_id"], "left_semi")), scan_peaks(v), v("ref_peaks").select("ref_id", "ref_mz", "ref_int"))
         return spectra.best_ms2_summary(best, aligned)
 
     return v.stored("best-ms2", make)

@@ -129,10 +129,10 @@ def spectrum_tables(spark, query, ref):
 def test_cosine_of_equal_and_ambiguous_spectra(spark):
     peaks = [(94.04, 1e4), (119.04, 5e4), (136.06, 2e5)]
     c, q, r = spectrum_tables(spark, peaks, peaks)
-    got = spectra.cosine_match(spectra.assigned_pairs(spectra.peak_pair_join(c, q, r)), q, r).first()
+    got = spectra.cosine_match(spectra.match_spectra(c, q, r)).first()
     assert got.score == pytest.approx(1.0) and got.num_matches == 3
     c, q, r = spectrum_tables(spark, [(100.0, 2), (100.04, 3)], [(100.02, 2), (100.06, 1.9)])
-    pairs = spectra.assigned_pairs(spectra.peak_pair_join(c, q, r))
+    pairs = spectra.assigned_pairs(spectra.match_spectra(c, q, r))
     assert pairs.agg(F.sum("w")).first()[0] == pytest.approx(4 + 5.7, rel=1e-6)
     aligned = spectra.align_spectra(pairs, q, r).first()
     assert aligned.num_matched == 2 and len(aligned.aligned) == 2
