@@ -135,24 +135,45 @@ def query_atlases(atlases: DataFrame, **filters: str | None) -> DataFrame:
     return atlases.orderBy(F.desc("created_date"), "atlas_name")
 
 
-def isomer_pairs(targets: DataFrame, tolerance: float = 0.005, pair_blank_keys: bool = False) -> DataFrame:
-    """(mz_rt_uid, isomers): other targets of equal m/z or mass within the tolerance, or of the same first InChIKey block.
+def _isomer_columns(targets: DataFrame) -> DataFrame:
+    return targets.select("mz_rt_uid", "mz", *(["mono_mass"] if "mono_mass" in targets.columns else []), F.split("inchi_key", "-")[0].alias("block"))
 
-    Blank keys name no structure, and all of them would be one block of all pairs; `pair_blank_keys` asks for that."""
+
+def isomer_blocks(targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The isomers by structure, as classes: (mz_rt_uid, block) of every target, and (block, size) of every block that has a name.
+
+    This is as long as the targets, whatever the blocks' sizes; isomers_of() makes the pairs of the targets that are asked for."""
+    own = _isomer_columns(targets).select("mz_rt_uid", "block")
+    return own, own.where(F.trim("block") != "").groupBy("block").agg(F.count("*").alias("size"))
+
+
+def isomers_of(targets: DataFrame, wanted: DataFrame, tolerance: float = 0.005, pair_blank_keys: bool = False) -> DataFrame:
+    """(mz_rt_uid, o_mz_rt_uid): for each target in `wanted` (mz_rt_uid) those of equal m/z or mass within the tolerance, or of the same
+    first InChIKey block. Only pairs of wanted targets are made, and blank keys pair if `pair_blank_keys` asks for it."""
     from .joins import near_pairs
 
-    own = targets.select("mz_rt_uid", "mz", *(["mono_mass"] if "mono_mass" in targets.columns else []), F.split("inchi_key", "-")[0].alias("block"))
-    other = own.select(*(F.col(c).alias(f"o_{c}") for c in own.columns))
+    other = _isomer_columns(targets)
+    own = other.join(wanted.select("mz_rt_uid"), "mz_rt_uid", "left_semi")
+    other = other.select(*(F.col(c).alias(f"o_{c}") for c in other.columns))
     pairs = near_pairs(own, other, "mz", "o_mz", tolerance).select("mz_rt_uid", "o_mz_rt_uid")
     if "mono_mass" in own.columns:
         pairs = pairs.unionByName(near_pairs(own, other, "mono_mass", "o_mono_mass", tolerance).select("mz_rt_uid", "o_mz_rt_uid"))
     keyed = own if pair_blank_keys else own.where(F.trim("block") != "")
     pairs = pairs.unionByName(keyed.join(other, F.col("block") == F.col("o_block")).select("mz_rt_uid", "o_mz_rt_uid"))
-    pairs = pairs.where("mz_rt_uid <> o_mz_rt_uid").distinct()
+    return pairs.where("mz_rt_uid <> o_mz_rt_uid").distinct()
+
+
+def isomer_pairs(targets: DataFrame, tolerance: float = 0.005, pair_blank_keys: bool = False, wanted: DataFrame | None = None) -> DataFrame:
+    """(mz_rt_uid, isomers): the isomers of all targets, or of those in `wanted`, by isomers_of(); an empty list where there are none.
+
+    Blank keys name no structure, and all of them would be one block of all pairs. Lists of all targets are as long as the blocks are
+    large, for each of their targets; where that is too much, isomer_blocks() is the stored form and `wanted` asks for a few."""
+    wanted = targets.select("mz_rt_uid") if wanted is None else wanted.select("mz_rt_uid")
+    pairs = isomers_of(targets, wanted, tolerance, pair_blank_keys)
     details = targets.select(F.col("mz_rt_uid").alias("o_mz_rt_uid"), F.struct("mz_rt_uid", "compound_name", "inchi_key", "adduct").alias("isomer"))
     lists = pairs.join(details, "o_mz_rt_uid").groupBy("mz_rt_uid").agg(F.array_sort(F.collect_list("isomer")).alias("isomers"))
     empty = F.array().cast("array<struct<mz_rt_uid:string,compound_name:string,inchi_key:string,adduct:string>>")
-    return targets.select("mz_rt_uid").join(lists, "mz_rt_uid", "left").select("mz_rt_uid", F.coalesce("isomers", empty).alias("isomers"))
+    return wanted.join(lists, "mz_rt_uid", "left").select("mz_rt_uid", F.coalesce("isomers", empty).alias("isomers"))
 
 
 def overlapping_compounds(rows: DataFrame, order: str = "mz_rt_uid", tolerance: float = 0.005) -> DataFrame:

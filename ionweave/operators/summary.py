@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..functions.names import parse_run_filename
+from ..sources.scratch import scratch
 from .atlas import dedup_first
 
 # What marks a control file, and groups that the merged fold changes leave out.
@@ -54,8 +55,20 @@ def identification_summary(ms1: DataFrame, scans: DataFrame, atlas: DataFrame) -
 
 
 def compound_index(curation: DataFrame, order: list[Column | str]) -> DataFrame:
-    """1-based place in the order of the (small) curation table."""
-    return curation.withColumn("compound_index", F.row_number().over(Window.orderBy(*order)))
+    """1-based place in this order.
+
+    Rows are dealt to ranges of the order and written; a row's place is that within its range, after the counts of the ranges before.
+    No task sees more than a range."""
+    spark, path = curation.sparkSession, scratch(curation.sparkSession, "ranges")
+    ranged = curation.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    # a row for each range that has rows
+    counts = ranged.groupBy("__range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("__range", F.coalesce(before, F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) + F.col("__before")
+    return ranged.join(F.broadcast(counts), "__range").withColumn("compound_index", place.cast("int")).select(*curation.columns, "compound_index")
 
 
 def pivot_metric(metrics: DataFrame, curation: DataFrame, metric: str, exclude_runs: list[str] | None = None) -> DataFrame:

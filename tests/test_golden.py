@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ionweave.functions import names, scores, values
-from ionweave.operators import atlas, curation, extract, joins, results, rtmodel, spectra
+from ionweave.operators import atlas, curation, extract, joins, results, rtmodel, spectra, summary
 from ionweave.sources import library, runs
 
 
@@ -151,6 +151,25 @@ def test_candidates_need_a_near_precursor(spark):
     assert spectra.ms2_candidates(s, r, None).count() == 3
 
 
+def test_a_large_block_of_isomers_is_linear(spark):
+    """100,000 targets of one structure: a row for each and one for the block; pairs for the target that is asked for."""
+    t = spark.range(100_000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("mz_rt_uid"), (100 + F.col("id").cast("double")).alias("mz"), F.lit("BLOCK-X").alias("inchi_key"), F.lit("n").alias("compound_name"), F.lit("a").alias("adduct"))
+    members, blocks = atlas.isomer_blocks(t)
+    assert [tuple(r) for r in blocks.collect()] == [("BLOCK", 100_000)] and members.count() == 100_000
+    one = spark.createDataFrame([("u5",), ("gone",)], "mz_rt_uid string")
+    assert atlas.isomers_of(t, one).count() == 99_999
+    found = {r.mz_rt_uid: len(r.isomers) for r in atlas.isomer_pairs(t.limit(50), wanted=one).collect()}
+    assert found == {"u5": 49, "gone": 0}
+
+
+def test_compound_index_counts_over_ranges(spark):
+    t = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("place"), F.lit("x").alias("x"))
+    got = {r.place: r.compound_index for r in summary.compound_index(t, [F.desc("place")]).collect()}
+    assert got == {p: 1000 - p for p in range(1000)}
+    assert summary.compound_index(t, ["place"]).columns == ["place", "x", "compound_index"]
+    assert summary.compound_index(t.limit(0), ["place"]).count() == 0
+
+
 def test_rt_model_finds_a_polynomial(spark):
     x = np.linspace(0.5, 12, 40)
     rows = [(f"t{i}", float(v), float(0.3 + 1.01 * v - 0.004 * v * v), 3) for i, v in enumerate(x)]
