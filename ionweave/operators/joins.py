@@ -32,7 +32,8 @@ class Bins:
         usable = targets.where(F.col(low) <= F.col(high))
         power = F.when(wide > 0, F.ceil(F.log2(wide))).otherwise(-1074).alias("power")
         # as many rows as there are powers of two in the widths
-        rows = usable.groupBy(power).agg(F.count("*").alias("n"), F.sum(length).alias("bytes"), F.max(wide).alias("w"), F.min(low).alias("lo"), F.max(high).alias("hi")).orderBy(F.desc("power")).collect()
+        rows = usable.groupBy(power).agg(F.count("*").alias("n"), F.sum(length).alias("bytes"), F.max(wide).alias("w"), F.min(low).alias("lo"), F.max(high).alias("hi")).collect()
+        rows.sort(key=lambda r: -r.power)
         self.lo, self.hi = min((r.lo for r in rows), default=None), max((r.hi for r in rows), default=None)
         self.small = 2 * sum(r.bytes for r in rows) <= BROADCAST_BYTES
         reach = max(float(self.hi) - float(self.lo), 1e-9) if rows else 1.0

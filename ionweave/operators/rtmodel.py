@@ -11,6 +11,8 @@ from ..functions.scores import format_equation, polynomial
 MODEL_SCHEMA = "rt_alignment_number long, atlas_uid string, degree int, coefficients array<double>, r2 double, rmse double, n_compounds long, equation string"
 
 
+#: Rows up to which a sketch of accuracy 10,000 keeps every value: it may merge two from twice as many on, and misplace one from 5,000 on.
+SKETCHED = 4_000
 #: Ranges of values for each doubling in which exact medians are looked for.
 RANGES = 2048
 
@@ -45,16 +47,17 @@ def exact_medians(rows: DataFrame, key: str, values: dict[str, Column]) -> DataF
 def rt_stats(rows: DataFrame, exclude: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """Per target, over the points in the feature of all files: counts, moments and differences from the atlas.
 
-    rows: joined points with atlas_mz, rt_peak and inchi_key; a target has one rt_peak. Medians are exact, by exact_medians(), which
-    reads rows once more; `accuracy` asks for percentile_approx's sketch of that accuracy in the one pass instead (the rank is off by
-    one part in `accuracy` at most)."""
+    rows: joined points with atlas_mz, rt_peak and inchi_key; a target has one rt_peak. Medians are exact. A sketch of bounded size gives
+    the lower middle value, and one of the negative values the upper one; up to SKETCHED rows it drops nothing, and targets of more
+    are counted by exact_medians(). `accuracy` asks for a sketch of that accuracy alone (the rank is off by one part in `accuracy` at most)."""
     inside = rows.where("in_feature")
     if exclude:
         inside = inside.where(~F.col("inchi_key").isin(exclude))
     rt, mz, i = (F.col(c).cast("double") for c in ("rt", "mz", "i"))
     shift, ppm = rt - F.col("rt_peak"), (mz - F.col("atlas_mz")) / F.col("atlas_mz") * 1e6
     medians = {"rt_median": rt, "intensity_median": i}
-    sketches = [] if accuracy is None else [F.percentile_approx(c, 0.5, accuracy).alias(n) for n, c in medians.items()]
+    middle = lambda c: F.percentile_approx(c, 0.5, accuracy or 10_000)
+    sketches = [((middle(c) - middle(-c)) / 2 if accuracy is None else middle(c)).alias(n) for n, c in medians.items()]
     stats = inside.groupBy("mz_rt_uid").agg(
         F.max("rt_peak").alias("atlas_rt_peak"), F.count("*").alias("observation_count"),
         F.avg(rt).alias("rt_mean"), F.stddev_pop(rt).alias("rt_std"), F.avg(mz).alias("mz_mean"), F.stddev_pop(mz).alias("mz_std"),
@@ -62,7 +65,10 @@ def rt_stats(rows: DataFrame, exclude: list[str] | None = None, accuracy: int |
         F.avg(ppm).alias("ppm_mean"), F.stddev_pop(ppm).alias("ppm_std"), *sketches,
     )
     if accuracy is None:
-        stats = stats.join(exact_medians(inside, "mz_rt_uid", medians), "mz_rt_uid", "left")
+        # a list of ids, no longer than the atlas
+        large = F.broadcast(stats.where(F.col("observation_count") > SKETCHED).select("mz_rt_uid"))
+        counted = exact_medians(inside.join(large, "mz_rt_uid", "left_semi"), "mz_rt_uid", {f"__{n}": c for n, c in medians.items()})
+        stats = stats.join(counted, "mz_rt_uid", "left").withColumns({n: F.coalesce(f"__{n}", n) for n in medians}).drop(*(f"__{n}" for n in medians))
     # rt_peak is the same for all points of a target, so the median of the differences needs no counts of its own
     return stats.withColumn("rt_diff_median", F.col("rt_median") - F.col("atlas_rt_peak"))
 

@@ -107,10 +107,17 @@ def test_medians_equal_sorting(spark):
         assert all(a == b or a == pytest.approx(b, rel=1e-15) for a, b in zip(got[g], native[g])), g
 
 
-def test_a_median_holds_no_list(spark):
-    df = spark.createDataFrame([("u", 1.0, 100.0, 1.0, 1.0, 100.0, "k", True)], "mz_rt_uid string, rt double, mz double, i double, rt_peak double, atlas_mz double, inchi_key string, in_feature boolean")
+def test_rt_stats_are_exact_whatever_the_size(spark):
+    """Targets below and beyond what a sketch keeps whole, of odd and even numbers of points, with ties."""
+    sizes = {"a": 1, "b": 2, "c": 77, "d": 3_999, "e": 4_000, "f": 4_001, "g": 9_000}
+    rng = random.Random(11)
+    rows = [(u, rng.choice([rng.random() * 3, rng.randrange(4) * 1.0]), 100.0, rng.lognormvariate(8, 2), 1.0, 100.0, "k", True) for u, n in sizes.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "mz_rt_uid string, rt float, mz double, i float, rt_peak double, atlas_mz double, inchi_key string, in_feature boolean").repartition(9)
+    got = {r.mz_rt_uid: (r.rt_median, r.intensity_median, r.observation_count) for r in rtmodel.rt_stats(df).collect()}
+    want = {r.mz_rt_uid: (r.a, r.b, r.n) for r in df.groupBy("mz_rt_uid").agg(F.median("rt").alias("a"), F.median("i").alias("b"), F.count("*").alias("n")).collect()}
+    assert got == want and {u: n for u, (_, _, n) in got.items()} == sizes
     plan = rtmodel.rt_stats(df)._jdf.queryExecution().executedPlan().toString()
-    assert "percentile" not in plan and "median(" not in plan and "collect" not in plan
+    assert "percentile(" not in plan and "median(" not in plan and "collect" not in plan
 
 
 def brute_bounds(rt, i, want, want_min, want_max):
