@@ -13,14 +13,16 @@ h1 beside it and, where no article or main element says better, headings and par
 
 - what HTML itself marks as no article: nav, aside, footer, form, script, a header outside article and main, some roles;
 - boxes inside it whose whole text is fixed (notices, static adverts), unless these are most of the page's article (a host of copies);
-  a fixed paragraph or heading beside varying text stays;
-- last, boxes that bear a name of HINTS as a whole class or id, unless they hold the article (or the h1 where there is none).
+  a fixed paragraph or heading beside varying text stays, and so does an item, term, cell or caption of a list or table that has any;
+- last, boxes that bear a name of HINTS or of FAMILY as a whole class or id, unless they hold the article (or the h1 where there is none).
+
+A header outside article and main gives its h1 where that is the page's only one, varies over the host's pages and so is a title.
 
 Vectors are compared by two sums of hashed (page, count), which combine on the map side, so a host may hold any share of the
 pages. A word that some instance of its element lacks on a page can't share that element's vector and is left out there.
 
 Null and empty pages have no text. A page without its host's article falls back to the same choice on itself alone, and so
-does a host of fewer than MIN_PAGES pages, whose words can't be told to be fixed. A null or malformed url belongs to the host
+does the only page of a host, whose words can't be told to be fixed. A null or malformed url belongs to the host
 ''. An attribute whose quote is never closed ends at the next `>`. Repeated pages give repeated rows and count as often; other columns
 pass through."""
 
@@ -38,9 +40,8 @@ from pyspark.sql import types as T
 
 from .common import stored
 
-#: Pages from which a host's words can be told to be fixed, tokens that a task holds before it hands them on, and letters of a fixed text that a
-#: template shows.
-MIN_PAGES, HELD, SHOWN = 3, 200_000, 40
+#: Tokens that a task holds before it hands them on, and letters of a fixed text that a template shows.
+HELD, SHOWN = 200_000, 40
 #: A box beside the article belongs to it if it has at least this share of the article's variable text over the host's pages.
 SHARE = 0.25
 _RAW = r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|title)(?=[\s/>]).*?(?:</\1\s*>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -56,6 +57,8 @@ _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset
 _GROUPS = {"p": 0, "li": 1, "dt": 2, "dd": 2, "tr": 3, "td": 4, "th": 4, "option": 5}
 _LIST_EDGE = frozenset("ul ol dl table".split())
 _CONTENT = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+#: Parts of lists, tables and figures, which are fixed only as a whole.
+_PARTS = frozenset("li dt dd tr td th thead tbody tfoot caption colgroup figcaption legend summary".split())
 _OUT_TAGS = frozenset("head nav footer aside button dialog menu".split())
 _OUT_ROLES = frozenset("navigation banner complementary contentinfo search alert dialog".split())
 #: Whole classes or ids that name what is no article: the last resort where neither elements nor classes of tokens tell.
@@ -63,6 +66,11 @@ HINTS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner sidebar navbar breadcrumb breadcrumbs footer comment comments comment-list comments-area reader-comments "
     "respond disqus_thread notice alert cookie-notice cookie-banner consent newsletter newsletter-signup subscribe share-buttons social-links related related-posts pagination".split()
 )
+#: And such names in two parts, of what and how it stands there.
+FAMILY = re.compile(
+    r"(?:ads?|adverts?|advertisement|sponsor|sponsored|promo|comments?|reply|replies|cookies?|consent|newsletter|sidebar|breadcrumbs?|disqus)"
+    r"[-_](?:slot|box|unit|container|wrapper|wrap|banner|block|section|list|area|thread|form|widget|bar|holder|zone|panel|item|notice|signup)s?"
+)
 
 
 class Node:
@@ -81,7 +89,7 @@ class Node:
                 if m[1].lower() == "role":
                     self.out = self.out or value in _OUT_ROLES
                 else:
-                    self.hinted = self.hinted or not HINTS.isdisjoint(value.split())
+                    self.hinted = self.hinted or any(v in HINTS or FAMILY.fullmatch(v) for v in value.split())
                     if tag not in ("html", "body", "article", "main"):
                         self.name += "." + re.sub(r"\d{3,}", "#", value)
         self.main = (above.main if above else False) or tag in ("article", "main")
@@ -178,8 +186,10 @@ def _settle(nodes: list[Node], events: list) -> None:
     for n in holders:
         while n is not None and not n.holds:
             n.holds, n = True, n.above
+    titles = [n for n in nodes if n.tag == "h1"]
+    title = titles[0] if len(titles) == 1 and not titles[0].main and _in_header(titles[0]) else None
     for n in nodes[1:]:
-        n.out = n.above.out or n.out or (not n.holds and (n.hinted or n.tag == "form"))
+        n.out = n is not title and (n.above.out or n.out or (not n.holds and (n.hinted or n.tag == "form")))
     for e in events:
         if e is not None and not e[2] and not e[0].out:
             e[0].mass += len(e[1]) - e[1].count(" ")
@@ -187,6 +197,16 @@ def _settle(nodes: list[Node], events: list) -> None:
         n.above.mass += n.mass
 
 
+def _in_header(n: Node) -> bool:
+    """Whether a header is the only thing around the element that is no article."""
+    seen = False
+    while (n := n.above) is not None:
+        if n.out and n.tag != "header":
+            return False
+        seen = seen or n.tag == "header"
+    return seen
+
+
 def _word(label: int, word: str, nth: int) -> int:
     return _path(label, f"{nth} {word}")
 
@@ -275,8 +295,8 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
     sums = [F.sum(c).alias(c) for c in ("pages", "total", "mass", "v1", "v2")]
     found = pages.mapInArrow(run, _OCCURRENCE).groupBy("host", "token").agg(*(F.min(c).alias(c) for c in ("name", "kind", "around")), *sums)
-    # a word or text of one page is on less than half of any host of MIN_PAGES pages
-    return found.where(f"kind = 'element' or 2 * pages >= {MIN_PAGES}")
+    # a word or text of one page can't be told to be fixed
+    return found.where("kind = 'element' or pages >= 2")
 
 
 def classes(found: DataFrame) -> DataFrame:
@@ -292,7 +312,7 @@ def classes(found: DataFrame) -> DataFrame:
 def choose(rows: list[dict], host_pages: int) -> tuple[list[int], list[dict], list[dict]]:
     """(slots that hold the article, fixed words, nested template) from tokens as classes() has them."""
     elements = {r["token"]: r for r in rows if r["kind"] == "element"}
-    fixed = [r for r in rows if r["kind"] != "element" and r["valid"]] if host_pages >= MIN_PAGES else []
+    fixed = [r for r in rows if r["kind"] != "element" and r["valid"]]
     children = defaultdict(list)
     for t, r in elements.items():
         children[r["around"]].append(t)
@@ -306,6 +326,12 @@ def choose(rows: list[dict], host_pages: int) -> tuple[list[int], list[dict], li
     def tag(label: int) -> str:
         return elements[label]["name"].partition(".")[0]
 
+    def around_all(label: int) -> list[int]:
+        out = []
+        while (label := elements[label]["around"]) in elements:
+            out.append(label)
+        return out
+
     mass = {t: r["mass"] for t, r in elements.items()}
     # letters of fixed words and of fixed texts overlap
     both = {"word": defaultdict(int), "text": defaultdict(int)}
@@ -343,7 +369,8 @@ def choose(rows: list[dict], host_pages: int) -> tuple[list[int], list[dict], li
         if t == main or elements[t]["around"] in inside:
             inside.add(t)
     if not any(tag(t) == "h1" and mass[t] > 0 for t in inside):
-        slots += [t for t in once if tag(t) == "h1" and t not in slots]
+        # the only page of a host can't tell a title in a header from a site's name
+        slots += [t for t in once if tag(t) == "h1" and t not in slots and (host_pages > 1 or not any(tag(a) == "header" for a in around_all(t)))]
     return slots, fixed, template
 
 
@@ -401,8 +428,8 @@ def extract(page: str | None, slots: list[int] | None, fixed: frozenset[int] = f
                 n = n.above
 
     def is_fixed(box: Node) -> bool:
-        """Whether a box with no varying text at all holds the text; headings and paragraphs don't count as boxes."""
-        while box.tag in _CONTENT:
+        """Whether a box with no varying text at all holds the text; headings, paragraphs and parts of lists and tables are no boxes."""
+        while box.tag in _CONTENT or box.tag in _PARTS:
             box = box.above.box
         return box not in varied and box.label not in wanted
 

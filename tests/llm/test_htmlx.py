@@ -116,3 +116,43 @@ def test_deduction_equals_brute_force(spark):
         want += [(host, frozenset(c)) for v, c in by_vector.items() if 2 * sum(x > 0 for x in v) >= filled and len(c) >= 2 and not all(kinds[t] != "element" for t in c)]
     assert sorted((k[0], sorted(c)) for k, c in got.items()) == sorted((h, sorted(c)) for h, c in want)
     assert len(want) >= 6
+
+
+FAMILIES = {
+    # what an article says with the same words on every page stays where anything beside it varies
+    "definitions": ("<article><h1>{t}</h1><dl><dt>Prep</dt><dd>{a}</dd><dt>Salt</dt><dd>{b}</dd></dl></article>", "{t}\nPrep\n{a}\nSalt\n{b}"),
+    "table": ("<article><h1>{t}</h1><table><caption>Sums</caption><tr><th>Part</th><th>Total</th></tr><tr><td>Salt</td><td>{a}</td></tr></table></article>", "{t}\nSums\nPart\nTotal\nSalt\n{a}"),
+    "items": ("<div class=s><h1>{t}</h1><p>{a}</p><ul><li>First of all</li><li>{b}</li><li>Last of all</li></ul></div>", "{t}\n{a}\nFirst of all\n{b}\nLast of all"),
+    "figure": ("<article><h1>{t}</h1><p>{a}</p><figure><p>{b}</p><figcaption>Our picture</figcaption></figure></article>", "{t}\n{a}\n{b}\nOur picture"),
+    "subheads": ("<article><h1>{t}</h1><h2>Background</h2><p>{a}</p><h2>Methods</h2><p>{b}</p></article>", "{t}\nBackground\n{a}\nMethods\n{b}"),
+    # what is not of the article
+    "title in a header": ("<header><div>Site</div><h1>{t}</h1></header><article><p>{a}</p><p>{b}</p></article>", "{t}\n{a}\n{b}"),
+    "site in a header": ("<header><h1>The Site</h1></header><article><h2>{t}</h2><p>{a}</p></article>", "{t}\n{a}"),
+    "named in two parts": ("<article><h1>{t}</h1><p>{a}</p><div class='ad-slot'>{n}</div><div class='comment-thread'><p>{b}</p></div><div id='advert-box'>{n}</div></article>", "{t}\n{a}"),
+    "names that only look so": ("<article class='has-comments'><h1>{t}</h1><div class='ad-hoc'><p>{a}</p></div><section class='comment-culture'><p>{b}</p></section></article>", "{t}\n{a}\n{b}"),
+    "fixed boxes": ("<article><h1>{t}</h1><div>We keep small files here</div><p>{a}</p><ul><li>Send</li><li>Print</li></ul><p>{b}</p></article>", "{t}\n{a}\n{b}"),
+    "plain boxes": ("<div>{n}</div><div class=k><h1>{t}</h1><p>{a}</p><div><p>{b}</p></div></div><div>By {n}</div>", "{t}\n{a}\n{b}"),
+    "several slots": ("<div><p>Menu of ours</p></div><h1>{t}</h1><div class=x><p>{a}</p></div><div class=y><p>{b}</p></div>", "{t}\n{a}\n{b}"),
+}
+
+
+@pytest.mark.parametrize("n", [2, 3, 50])
+def test_families_of_pages(spark, n):
+    """Twelve families, each on hosts of 2, 3 and 50 pages, with the wanted text written out."""
+    rng, rows, want = random.Random(n), [], {}
+    for f, (page, text) in FAMILIES.items():
+        for i in range(n):
+            values = {"t": said(rng, 6), "a": said(rng, 30), "b": said(rng, 25), "n": said(rng, 3)}
+            key = len(rows)
+            rows.append((key, f"http://{f.replace(' ', '-')}.example/{i}", f"<html><body>{page.format(**values)}</body></html>"))
+            want[key] = (f, text.format(**values))
+    got = {r.page_id: r.text for r in htmlx.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {want[k][0] for k in want if got[k] != want[k][1]} == set()
+
+
+def test_a_third_page_does_not_change_the_first_two(spark):
+    rng = random.Random(7)
+    for f, (page, _) in FAMILIES.items():
+        pages = [f"<html><body>{page.format(t=said(rng, 6), a=said(rng, 30), b=said(rng, 25), n=said(rng, 3))}</body></html>" for _ in range(3)]
+        two, three = texts_of(spark, pages[:2]), texts_of(spark, pages)
+        assert all(two[i] == three[i] for i in range(2)), f
