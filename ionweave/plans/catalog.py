@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, scores, values
@@ -827,9 +827,18 @@ def _curated(v) -> DataFrame:
     return summary.compound_index(table, ["place"])
 
 
-@query("pairs atlas", f"select a.mz_rt_uid, w.mz is not null as passed_autoid, round(coalesce(w.rt_peak, a.rt_peak), 4) as rt_peak, round(a.rt_peak, 4) as atlas_rt_peak, round(case when w.mz is null then a.rt_min else greatest(0, w.rt_peak - (w.atlas_rt_peak - lo)) end, 4) as rt_min from atlas a left join {_WINDOW} on a.mz_rt_uid = w.mz_rt_uid")
+@query("pairs atlas", f"""select a.mz_rt_uid, a.compound_name, a.inchi_key, a.adduct, w.mz is not null as passed_autoid, false as passed_curation, round(coalesce(w.mz, a.mz), 4) as mz, round(coalesce(w.rt_peak, a.rt_peak), 4) as rt_peak,
+    round(case when w.mz is null then a.rt_min else greatest(0, w.rt_peak - (w.atlas_rt_peak - lo)) end, 4) as rt_min, round(case when w.mz is null then a.rt_max else w.rt_peak + (hi - w.atlas_rt_peak) end, 4) as rt_max,
+    round(a.mz, 4) as atlas_mz, round(a.rt_peak, 4) as atlas_rt_peak, round(a.rt_min, 4) as atlas_rt_min, round(a.rt_max, 4) as atlas_rt_max, round(w.rt_peak - w.atlas_rt_peak, 4) + 0.0 as rt_error, round((w.mz - a.mz) / a.mz * 1e6, 3) + 0.0 as mz_error,
+    (select count(*) from atlas o where o.mz_rt_uid <> a.mz_rt_uid and (abs(o.mz - a.mz) <= 0.005 or abs(o.mono_mass - a.mono_mass) <= 0.005 or string_split(o.inchi_key, '-')[1] = string_split(a.inchi_key, '-')[1])) as n_isomers
+    from atlas a left join {_WINDOW} on a.mz_rt_uid = w.mz_rt_uid""")
 def curation_table(v):
-    return rounded(curated(v).select("mz_rt_uid", "passed_autoid", "rt_peak", "atlas_rt_peak", "rt_min"))
+    numbers = ("mz", "rt_peak", "rt_min", "rt_max", "atlas_mz", "atlas_rt_peak", "atlas_rt_min", "atlas_rt_max")
+    table = curated(v).select(
+        "mz_rt_uid", "compound_name", "inchi_key", "adduct", "passed_autoid", "passed_curation", *(F.round(c, 4).alias(c) for c in numbers),
+        (F.round("rt_error", 4) + 0.0).alias("rt_error"), (F.round("mz_error", 3) + 0.0).alias("mz_error"), F.size("isomers").cast("long").alias("n_isomers"),
+    )
+    return table
 
 
 # Summaries
@@ -1276,9 +1285,18 @@ def union_files(v):
     return ex.union_files([joins.join_ms1_to_atlas(v("points").where(c), windows(v)) for c in (control, ~control)]).groupBy("filename").agg(F.count("*").alias("n"))
 
 
-@query("metrics atlas", "select mz_rt_uid, filename from metrics")
+@query("metrics atlas", "select m.mz_rt_uid, m.filename, true as in_order from metrics m")
 def sort_for_pruning(v):
-    return results.sort_for_pruning(metrics(v).join(v("atlas").select("mz_rt_uid", F.col("mz").alias("atlas_mz")), "mz_rt_uid"), ["atlas_mz"]).select("mz_rt_uid", "filename")
+    """With whether a row stands in the order of m/z within its file, and its file's m/z lie beyond those of the files before."""
+    rows = metrics(v).join(v("atlas").select("mz_rt_uid", F.col("mz").alias("atlas_mz")), "mz_rt_uid")
+    path = scratch(v.spark, "sorted")
+    results.sort_for_pruning(rows, ["atlas_mz"]).withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    kept = v.spark.read.parquet(path)
+    ends = kept.groupBy("part").agg(F.min("atlas_mz").alias("low"), F.max("atlas_mz").alias("high"))
+    ends = ends.select("part", F.coalesce(F.col("low") > F.max("high").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).alias("beyond"))
+    before = F.lag("atlas_mz").over(Window.partitionBy("part").orderBy("place"))
+    ordered = kept.withColumn("after", F.coalesce(before <= F.col("atlas_mz"), F.lit(True))).join(ends, "part")
+    return ordered.select("mz_rt_uid", "filename", (F.col("after") & F.col("beyond")).alias("in_order"))
 
 
 # Stored tables
@@ -1294,10 +1312,18 @@ def stored_tables(v) -> tuple[dict[str, DataFrame], str]:
     return {t: spark.read.parquet(f"{base}/{t}") for t in ("ms1", "ms2", "curation")}, base
 
 
-@query("ms2_pairs pairs curation", "select 'ms1' as name, count(*) as n from pairs union all select 'ms2', count(*) from ms2_pairs union all select 'curation', count(*) from curation")
+@query(_MS2 + " pairs curation", f"""select 'ms1' as name, count(*) as n, round(sum(cast(i as double)), 1) as total, count(*) filter (in_feature) as marked from pairs
+    union all select 'ms2', count(*), round(coalesce(sum(h.score), 0), 1), count(h.scan_id) from ms2_pairs s left join (select scan_id, sum(score) as score from {_HITS} where rank <= 20 group by 1) h on h.scan_id = s.scan_id || '/' || s.mz_rt_uid
+    union all select 'curation', count(*), round(sum(rt_min), 1), count(*) filter (ms2_notes <> '') from curation""")
 def write_analysis_tables(v):
+    """What the stored tables hold: rows, a total, and marked rows (points in the feature, scans with hits as JSON text, notes)."""
     tables, _ = stored_tables(v)
-    counts = [df.agg(F.lit(t).alias("name"), F.count("*").alias("n")) for t, df in tables.items()]
+    hits = values.hits_json_decode(F.col("hits"))
+    measures = {
+        "ms1": (F.sum(F.col("i").cast("double")), F.count_if("in_feature")), "ms2": (F.sum(F.aggregate(hits, F.lit(0.0), lambda a, h: a + h.score)), F.count_if(F.size(hits) > 0)),
+        "curation": (F.sum("rt_min"), F.count_if(F.col("ms2_notes") != "")),
+    }
+    counts = [tables[t].where(" and ".join(f"{k} = {w!r}" for k, w in _RUN.items())).agg(F.lit(t).alias("name"), F.count("*").alias("n"), F.round(total, 1).alias("total"), marked.alias("marked")) for t, (total, marked) in measures.items()]
     return counts[0].union(counts[1]).union(counts[2])
 
 
@@ -1339,12 +1365,15 @@ def export_curation(v):
     return v("curation").sparkSession.read.csv(path, header=True).where("ms2_notes is not null").select("mz_rt_uid", "ms2_notes")
 
 
-@query("metrics", "select count(distinct mz_rt_uid) as compounds from metrics")
+@query("metrics", "select mz_rt_uid, count(*) as files, round(sum(coalesce(peak_area, 0)), 2) as area, round(max(coalesce(peak_area, 0)), 2) as largest from metrics group by 1")
 def write_data_sheets(v):
+    """The sheet of areas, written as text and read back: its cells by compound."""
     wide = summary.pivot_metric(metrics(v), summary.compound_index(v("atlas"), ["place"]), "peak_area")
     base = scratch(wide.sparkSession, "sheets")
     library.write_data_sheets({"peak_area": wide}, base)
-    return wide.sparkSession.read.csv(f"{base}/peak_area", header=True).agg(F.count("*").alias("compounds"))
+    sheet = wide.sparkSession.read.csv(f"{base}/peak_area", header=True)
+    cells = F.array_compact(F.array(*(F.col(f"`{c}`").cast("double") for c in sheet.columns if c not in ("compound_index", "mz_rt_uid", "compound_name", "inchi_key", "adduct"))))
+    return sheet.select("mz_rt_uid", F.size(cells).cast("long").alias("files"), F.round(F.aggregate(cells, F.lit(0.0), lambda a, x: a + x), 2).alias("area"), F.round(F.array_max(cells), 2).alias("largest"))
 
 
 # Streams
