@@ -14,7 +14,7 @@ from ..operators import curation as cu
 from ..operators import extract as ex
 from ..operators import joins, results, rtmodel, spectra, summary
 from ..sources import library, points, runs
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, stamp
 from ..streaming import streams
 from .views import view, with_views
 
@@ -1146,10 +1146,22 @@ def quality(v) -> DataFrame:
     return summary.final_identifications(table, summary.best_ms1_file(file_metrics(v), v("atlas")), best_msms(v), overlaps, "HILICZ")
 
 
-@query("pairs metrics atlas", f"""select a.mz_rt_uid, round(w.rt_peak, 2) as x, t.filename as max_intensity_file, round(a.mz, 4) as mz_theoretical, round(t.rt_peak, 2) as rt_measured,
-    case a.place % 4 when 1 then 1.0 when 2 then -1.0 else 0.5 end::double as msms_quality from atlas a left join {_WINDOW} on w.mz_rt_uid = a.mz_rt_uid left join (select * from {_TOP} where n = 1) t on t.mz_rt_uid = a.mz_rt_uid""".replace("round(w.rt_peak, 2) as x, ", ""))
+_IDENTIFIED = f"""(select a.*, w.rt_peak as seen, lo, hi, w.atlas_rt_peak as want, t.filename, t.peak_height, t.mz_centroid, t.rt_peak as apex, abs(t.mz_centroid - a.mz) as da, abs((t.mz_centroid - a.mz) / a.mz * 1e6) as ppm, abs(t.rt_peak - a.rt_peak) as off,
+    case a.place % 4 when 1 then '1.0, good match' when 2 then '-1.0, poor match, should remove' else '0.5, single ion match, no evidence' end as ms2_notes, case a.place % 4 when 1 then 1.0 when 2 then -1.0 else 0.5 end::double as q_ms
+    from atlas a left join {_WINDOW} on w.mz_rt_uid = a.mz_rt_uid left join (select * from {_TOP} where n = 1) t on t.mz_rt_uid = a.mz_rt_uid)"""
+_QUALITIES = f"""(select *, case when ppm is null then null when ppm <= 5 or da <= 0.0015 then 1.0 when ppm <= 10 then 0.5 else 0.0 end::double as q_mz, case when off is null then null when off <= 0.5 then 1.0 when off <= 2.0 then 0.5 else 0.0 end::double as q_rt from {_IDENTIFIED} i)"""
+
+
+@query("pairs metrics atlas", f"""select row_number() over (order by place) as compound_index, mz_rt_uid, compound_name as label, inchi_key, adduct, '' as formula, 'positive' as polarity, round(mono_mass, 7) as exact_mass, ms2_notes,
+    filename as max_intensity_file, round(peak_height, 2) as max_intensity, round(mz, 4) as mz_theoretical, round(mz_centroid, 4) as mz_measured, round(da, 4) as mz_error, round(ppm, 4) as mz_ppmerror, round(apex, 2) as rt_measured, round(rt_peak, 2) as rt_theoretical,
+    round(off, 2) as rt_error, round(case when seen is null then rt_min else greatest(0, seen - (want - lo)) end, 2) as rt_min, round(case when seen is null then rt_max else seen + (hi - want) end, 2) as rt_max, q_mz as mz_quality, q_rt as rt_quality, q_ms as msms_quality,
+    q_ms + coalesce(q_mz, 0) + coalesce(q_rt, 0) as total_score, case when q_ms = -1 then 'REMOVE, INVALIDATED BY BAD MSMS MATCH' when list_aggregate(list_filter([q_mz, q_rt, q_ms], lambda x: x is not null), 'median') < 1 then 'putative'
+    when q_mz + q_rt + q_ms = 3 then 'Exceeds Level 1' else 'Level 1' end as msi_level from {_QUALITIES} q""")
 def final_identifications(v):
-    return quality(v).select("mz_rt_uid", "max_intensity_file", "mz_theoretical", "rt_measured", "msms_quality")
+    asked = """compound_index mz_rt_uid label inchi_key adduct formula polarity exact_mass ms2_notes max_intensity_file mz_theoretical mz_measured mz_error mz_ppmerror rt_measured rt_theoretical
+        rt_error rt_min rt_max mz_quality rt_quality msms_quality total_score msi_level""".split()
+    found = quality(v)
+    return found.select(*(F.col(c).cast("long").alias(c) if c == "compound_index" else c for c in asked), F.round("max_intensity", 2).alias("max_intensity"))
 
 
 def file_table(v) -> DataFrame:
@@ -1190,13 +1202,13 @@ def compound_lfc_table(v):
     return lfc_table(v).select(*ms2_columns(), "mz_rt_uid", "condition_1", "condition_2", (F.round("log2_fold_change", 4) + 0.0).alias("log2_fold_change"), "inchi_key", "atlas_mz")
 
 
-#: Written fold-change datasets by application and folder.
-_datasets: dict[tuple[str, str], str] = {}
+#: Written fold-change datasets by application, folder, and the state of the tables that they come from.
+_datasets: dict[tuple, str] = {}
 
 
 def lfc_dataset(v) -> DataFrame:
     """The fold-change table as it lies on disk, written once for a folder; filters prune its partitions and row groups."""
-    key = (v.spark.sparkContext.applicationId, v.sf_dir)
+    key = (v.spark.sparkContext.applicationId, v.sf_dir, *(stamp(v.spark, f"{v.sf_dir}/{t}.parquet") for t in ("lineitem", "part", "embeddings")))
     if key not in _datasets:
         base = scratch(v.spark, "lfc")
         results.write_result_datasets({"compound_lfc": reused(lfc_table(v))}, base, VALUES)

@@ -44,3 +44,9 @@ def holds_files(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     files, p = _found(spark, path)
     files.delete(p, True)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of a file, or of the files in a folder: another stamp means other contents."""
+    files, p = _found(spark, path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.listStatus(p)))

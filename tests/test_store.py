@@ -178,3 +178,13 @@ def test_a_library_with_nothing_left_is_an_error(spark, tmp_path):
     for asked in ({"polarity": "neg"}, {"database": "other"}, {"keys": spark.createDataFrame([("J",)], "inchi_key string")}):
         with pytest.raises(ValueError, match="no spectra are left"):
             library.scan_reference_spectra(spark, path, **asked)
+
+
+def test_a_stamp_changes_with_the_files(spark, tmp_path):
+    from ionweave.sources.scratch import stamp
+
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    first = stamp(spark, str(tmp_path / "t"))
+    assert first == stamp(spark, str(tmp_path / "t"))
+    spark.range(6).write.mode("append").parquet(str(tmp_path / "t"))
+    assert first != stamp(spark, str(tmp_path / "t"))
