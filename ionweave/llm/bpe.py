@@ -47,12 +47,28 @@ def character_kind(c: str) -> int:
     return {"L": 1, "N": 2}.get(unicodedata.category(c)[0], 0)
 
 
+def _unfit(spec: dict) -> list[str]:
+    """What in a vocabulary file asks for another way of encoding than Codec's."""
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = [] if spec.get("normalizer") is None else ["a normalizer"]
+    if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        wrong.append("another pre-tokenizer than ByteLevel with its pattern and without a prefix space")
+    if model.get("type", "BPE") != "BPE":
+        wrong.append("another model than BPE")
+    options = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    wrong += [f"{o} of the model" for o in options if model.get(o)]
+    wrong += [f"{o} of an added token" for o in ("single_word", "lstrip", "rstrip", "normalized") if any(t.get(o) for t in spec.get("added_tokens", ()))]
+    return wrong
+
+
 class Codec:
-    """A vocabulary file's merges, with encode and decode for batches of texts."""
+    """A vocabulary file's merges, with encode and decode for batches of texts. A file that asks for more is an error."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if wrong := _unfit(spec):
+            raise ValueError(f"{path} has {', '.join(wrong)}")
         letters = byte_letters()
         back = {c: b for b, c in letters.items()}
         vocab = spec["model"]["vocab"]

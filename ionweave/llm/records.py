@@ -44,8 +44,12 @@ def frame(payload: bytes) -> bytes:
     return b"".join((size, masked_crc(size), payload, masked_crc(payload)))
 
 
+#: Texts that show whether a vocabulary's pre-tokens hold white space, which must then go to the library as they stand.
+PROBES = ("hello brave new world", " a\tb\n\nc  d ", "It's 12\r\n34 \x0b\x0c - - x", "é è\tça 漢 字")
+
+
 class WordTokenizer:
-    """encode() of the tokenizers library for a vocabulary whose pre-tokens hold no white space.
+    """encode() of the tokenizers library for a vocabulary whose pre-tokens hold no white space; another one is an error.
 
     Such a text's ids are those of its words one after another, so each distinct word goes to the library once."""
 
@@ -55,6 +59,11 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        for text in PROBES:
+            words = [w.decode() for w in text.encode().split()]
+            apart = [i for e in self.library.encode_batch(words, add_special_tokens=False) for i in e.ids]
+            if self.library.encode(text, add_special_tokens=False).ids != apart:
+                raise ValueError(f"{path}: ids of {text!r} aren't those of its words, one after another")
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.cache = IdCache(self._ids, np.dtype(f"<u{self.width}"), CACHE)
 

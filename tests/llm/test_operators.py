@@ -654,3 +654,19 @@ def test_sql_equals_queries(spark):
         columns = sorted(ours.columns)
         key = lambda df: sorted(json.dumps([round(x, 9) if isinstance(x, float) else x for x in map(lambda v: v.item() if hasattr(v, "item") else v, r)]) for r in df[columns].itertuples(index=False))
         assert key(ours) == key(theirs), name
+
+
+def test_unfit_vocabularies_are_errors(tmp_path):
+    byte, word = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("word_bpe_49k.json")
+    bpe.Codec(byte)
+    records.WordTokenizer(word)
+    with pytest.raises(ValueError, match="a normalizer.*pre-tokenizer.*end_of_word_suffix"):
+        bpe.Codec(word)
+    with pytest.raises(ValueError, match="hello brave new world"):
+        records.WordTokenizer(byte)
+    spec = json.load(open(byte))
+    for change in ({"pre_tokenizer": None}, {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}}, {"model": {**spec["model"], "ignore_merges": True}}, {"added_tokens": [{**spec["added_tokens"][0], "lstrip": True}]}):
+        path = tmp_path / "changed.json"
+        path.write_text(json.dumps({**spec, **change}))
+        with pytest.raises(ValueError, match="changed.json has"):
+            bpe.Codec(str(path))
