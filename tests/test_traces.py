@@ -47,10 +47,13 @@ def test_sweep_grows_with_the_files_not_their_square():
         end = np.hstack([rank[:, 1:], rank[:, -1:] + 1])
         slope = np.hstack([np.diff(i) / np.diff(x), np.zeros((files, 1))])
         arguments = (x.ravel()[order], rank.ravel(), end.ravel(), x.ravel(), i.ravel(), slope.ravel())
-        began = time.perf_counter()
-        traces.sweep(*arguments)
-        took.append(time.perf_counter() - began)
-    assert took[1] < 16 * 6 * took[0]  # 256 times as many pairs
+        each = []
+        for _ in range(3):
+            began = time.process_time()
+            traces.sweep(*arguments)
+            each.append(time.process_time() - began)
+        took.append(min(each))
+    assert took[1] < 16 * 6 * max(took[0], 0.004)  # 256 times as many pairs
 
 
 def brute_traces(rows):
