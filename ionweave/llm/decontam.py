@@ -116,6 +116,8 @@ _built: dict[str, list[Machine]] = {}
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs with n_words, spans (start and end word of each hit stretch, flattened) and items (ids found, sorted as strings).
 
+    Items whose id or text is null are left out, and so are their windows: they couldn't be named.
+
     A benchmark within BROADCAST_BYTES is broadcast. A larger one is cut into blocks that fit; one block after the other
     is fetched, scans the stored documents, has its hits stored and is released, and the hits of a document are merged by
     its row number. An item longer than a block goes in overlapping pieces that have the same windows."""

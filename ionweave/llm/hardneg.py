@@ -1,9 +1,9 @@
 """Hard negatives by segment summaries.
 
-A vector is cut into segments, and of each the mean and the deviation are stored, at several levels from the whole vector to
-sixteenths. Over a segment of L components the inner product of two vectors is L * mean * mean' plus the product of what is left
+A vector is cut into segments, and of each the mean and the deviation are stored, at several levels of ever shorter segments. Over a segment of L components the inner product of two vectors is L * mean * mean' plus the product of what is left
 around the means, which lies within L * deviation * deviation' (Cauchy and Schwarz). Summed over segments this bounds a score.
-Rows whose bounds put them outside what is asked for are left out, level by level from the coarsest; only what remains is scored.
+The rows of the highest middles are scored first, which gives a score that is surely reached; rows whose bounds put them below it,
+or outside what is asked for, are left out, level by level from the coarsest, and only what remains is scored.
 
 Scores are inner products of whole numbers, floor(256 * x) of each component, and exact: in doubles where no sum can pass 2^53,
 else in Python's whole numbers. A score beyond 64 bits ranks by its true value and is given as the nearest 64-bit number.
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from .cells import in_cells, matrix, merged, usable_vectors, vector
 from .common import stored
 
-#: Segments of each level.
-LEVELS = (1, 4, 16)
+#: Segments of each level, and rows that are scored first, by the middles of the last level.
+LEVELS, FIRST = (4, 16, 32), 64
 SCALE = 256
 POSITIVES, NEGATIVES = 5, 10
 #: A negative's score is at least and at most so many tenths of its positive's.
@@ -88,6 +88,14 @@ class Rows:
         reach = self.deviations[at, segments] @ (deviation[segments] * size) + 1e-9 * norm * self.norms[at]
         return middle - reach, middle + reach
 
+    def promising(self, at: np.ndarray, mean: np.ndarray) -> np.ndarray:
+        """Those of the rows `at` that the finest means alone put first."""
+        if len(at) <= FIRST or not self.levels:
+            return at
+        segments, size = self.levels[-1]
+        middle = self.means[at, segments] @ (mean[segments] * size)
+        return at[np.argpartition(-middle, FIRST)[:FIRST]]
+
     def scores(self, at: np.ndarray, v: np.ndarray, norm: float) -> np.ndarray:
         if not len(at) or norm * self.norms[at].max() < 2.0**53:
             return (self.vecs[at] @ v).astype(np.int64)
@@ -102,8 +110,9 @@ def _ranked(score: np.ndarray, ids: np.ndarray, k: int) -> list[int]:
     return sorted(range(len(score)), key=lambda i: (-score[i], ids[i]))[:k]
 
 
-def _kth(values: np.ndarray, k: int) -> float:
-    return float(np.partition(values, len(values) - k)[len(values) - k]) if len(values) >= k else -np.inf
+def _kth(scores: np.ndarray, k: int) -> float:
+    """The k-th highest score, or what is below all if there are fewer."""
+    return float(np.sort(scores)[len(scores) - k]) if len(scores) >= k else -np.inf
 
 
 def _long(score) -> int:
@@ -113,11 +122,12 @@ def _long(score) -> int:
 def positives(rows: Rows, label: int, own: int, v: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> list[dict]:
     """The rows of the same label with the highest scores, without the anchor itself."""
     at, norm = np.flatnonzero((rows.labels == label) & (rows.ids != own)), float(np.sqrt(v @ v))
+    reached = _kth(rows.scores(rows.promising(at, mean), v, norm), POSITIVES)
     for level in range(len(rows.levels)):
         if len(at) <= POSITIVES:
             break
-        low, high = rows.bounds(level, at, mean, deviation, norm)
-        at = at[high >= _kth(low, POSITIVES)]
+        _, high = rows.bounds(level, at, mean, deviation, norm)
+        at = at[high >= reached]
     score = rows.scores(at, v, norm)
     return [{"minus": -_long(score[i]), "other": int(rows.ids[at[i]])} for i in _ranked(score, rows.ids[at], POSITIVES)]
 
@@ -125,12 +135,13 @@ def positives(rows: Rows, label: int, own: int, v: np.ndarray, mean: np.ndarray,
 def negatives(rows: Rows, label: int, windows: list[tuple[int, int, int]], v: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> list[list[dict]]:
     """For each window (positive, lowest, highest score) the rows of other labels with the highest scores within."""
     at, norm = np.flatnonzero(rows.labels != label), float(np.sqrt(v @ v))
+    first = rows.scores(rows.promising(at, mean), v, norm)
+    reached = [max(least, _kth(first[(first >= least) & (first <= most)], NEGATIVES)) for _, least, most in windows]
     for level in range(len(rows.levels)):
         low, high = rows.bounds(level, at, mean, deviation, norm)
         needed = np.zeros(len(at), bool)
-        for _, least, most in windows:
-            surely = low[(low >= least) & (high <= most)]
-            needed |= (high >= max(least, _kth(surely, NEGATIVES))) & (low <= most)
+        for (_, _, most), score in zip(windows, reached):
+            needed |= (high >= score) & (low <= most)
         at = at[needed]
     score, out = rows.scores(at, v, norm), []
     for _, least, most in windows:

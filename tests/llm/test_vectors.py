@@ -151,6 +151,23 @@ def test_bounds_hold_and_leave_out_rows():
     assert width[0] > width[1] > width[2]
 
 
+def test_clustered_vectors_are_mostly_left_out():
+    """The bounds, not the scores, decide on most rows where vectors have a few directions."""
+    rng = np.random.default_rng(3)
+    centres = np.repeat(rng.normal(size=(12, 16)), 8, axis=1)
+    vecs = np.floor(256 * (centres[np.arange(1200) % 12] + 0.1 * rng.normal(size=(1200, 128))))
+    means, deviations = hardneg.summaries(vecs)
+    labels = np.arange(1200) % 5
+    rows = hardneg.Rows(pa.table({"id": np.arange(1200), "label": labels, "vec": pa.array(vecs.tolist()), "means": pa.array(means.tolist()), "deviations": pa.array(deviations.tolist())}))
+    scored, scores = [], rows.scores
+    rows.scores = lambda at, v, norm: scored.append(len(at)) or scores(at, v, norm)
+    for a in range(0, 1200, 100):
+        found = hardneg.positives(rows, labels[a], a, vecs[a], means[a], deviations[a])
+        exact = sorted((-int(vecs[a] @ vecs[i]), i) for i in range(1200) if i != a and labels[i] == labels[a])[:5]
+        assert [(f["minus"], f["other"]) for f in found] == exact
+    assert sum(scored) < 0.6 * 12 * 240
+
+
 def test_every_pair_meets_once(spark, monkeypatch):
     monkeypatch.setattr(cells, "ROWS", 10)
     monkeypatch.setattr(cells, "ASKING", 7)
