@@ -1,7 +1,9 @@
 """The point store, extraction of both levels from it, stored partitions, and what result files say of themselves."""
 
 import random
+from pathlib import Path
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -43,7 +45,7 @@ def test_bounds_skip_files_and_row_groups(spark, store, tmp_path):
     want = sorted(r[0] for r in rows if r[4] == 1 and 300 <= r[1] <= 310)
     assert sorted(r.filename for r in found.collect()) == want and len(want) > 50
     assert scanned(found) < 2500  # of 10,000 of this polarity
-    groups = [pq.ParquetFile(f).metadata for f in files_of(__import__("pathlib").Path(base) / "ms1")]
+    groups = [pq.ParquetFile(f).metadata for f in files_of(Path(base) / "ms1")]
     assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 500
     assert found.columns == ["filename", "mz", "rt", "i"]
 
@@ -81,8 +83,7 @@ def test_extraction_of_both_levels(spark, store, targets):
     found = extract.extract_all_runs(spark, base, runs, targets)
     ms1, ms2 = extract.of_level(found, 1), extract.of_level(found, 2)
     windows = [(r.mz_rt_uid, r.mz_min, r.mz_max) for r in targets.collect()]
-    f32 = lambda x: __import__("numpy").float32(x)
-    hits = lambda mz: [u for u, lo, hi in windows if lo <= f32(mz) <= hi]
+    hits = lambda mz: [u for u, lo, hi in windows if lo <= np.float32(mz) <= hi]
     want1 = sorted((u, r[0], r[3]) for r in rows if r[0] in ("run0", "run1") and r[4] == 1 for u in hits(r[1]))
     want2 = sorted((u, s[0], s[1], s[2]) for s in scans if s[0] in ("run0", "run1") and s[4] == 1 and s[5] == s[5] for u in hits(s[5]))
     assert sorted((r.mz_rt_uid, r.filename, r.i) for r in ms1.collect()) == want1 and len(want1) > 30
