@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -645,14 +646,17 @@ def test_sql_equals_queries(spark):
     if not os.path.isdir(SF):
         pytest.skip("no test data")
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         path = f"{SF}/{t}.parquet"
         con.execute(f"create view {t} as select * from read_parquet('{path}{'/*.parquet' if os.path.isdir(path) else ''}')")
     for name, sql in q.ORACLE_SQL.items():
         ours, theirs = q.QUERIES[name](spark, SF).toPandas(), con.execute(sql).df()
         assert sorted(ours.columns) == sorted(theirs.columns), name
         columns = sorted(ours.columns)
-        key = lambda df: sorted(json.dumps([round(x, 9) if isinstance(x, float) else x for x in map(lambda v: v.item() if hasattr(v, "item") else v, r)]) for r in df[columns].itertuples(index=False))
+        # a column with nulls is one of doubles on one side and of whole numbers on the other
+        plain = lambda v: v.item() if hasattr(v, "item") else v
+        cell = lambda x: None if pd.isna(x) else x if isinstance(x, (bool, str)) else round(float(x), 9)
+        key = lambda df: sorted(json.dumps([cell(plain(x)) for x in r]) for r in df[columns].itertuples(index=False))
         assert key(ours) == key(theirs), name
 
 
