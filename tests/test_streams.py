@@ -123,3 +123,9 @@ def test_last_edits(spark):
     df = spark.createDataFrame([("x", "u", 1, "a"), ("x", "u", 3, "c"), ("y", "u", 2, "b")], EDIT)
     assert {(r.session, r.ms1_notes) for r in streams.last_edits(df).collect()} == {("x", "c"), ("y", "b")}
     assert streams.last_edits(df).where(F.col("session") == "x").count() == 1
+
+
+def test_edits_are_chosen_without_a_call_for_each_key(spark, tmp_path):
+    edits = spark.readStream.schema(EDIT).parquet(str(tmp_path))
+    fresh = streams.newest_edits(edits, spark.createDataFrame([], "session string, mz_rt_uid string, edit_seq long"), ("ms1_notes",))
+    assert "Python" not in fresh._jdf.queryExecution().analyzed().toString() and fresh.isStreaming
