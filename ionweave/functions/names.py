@@ -38,11 +38,22 @@ def normalize_chromatography(c: Column) -> Column:
     return F.coalesce(_lookup(CHROMATOGRAPHY_ALIASES, F.lower(c)), F.lower(c))
 
 
+def run_name_parts(name: Column) -> Column:
+    """The parts of a run name between its underscores; NULL where the name doesn't follow the convention."""
+    return F.when(name.rlike(RUN_PATTERN), F.split(name, "_"))
+
+
+def run_fields(parts: Column) -> dict[str, Column]:
+    """The 17 fields of a run name from its parts: no field holds an underscore, and the last part has the format too."""
+    out = {f: F.get(parts, F.lit(i)) for i, f in enumerate(RUN_FIELDS)}
+    last = out["run_number"]
+    out |= {"run_number": F.substring_index(last, ".", 1), "ext": F.regexp_extract(last, rf"\.({'|'.join(RUN_FORMATS)})", 1)}
+    return out | {"chromatography": normalize_chromatography(out["chromatography"])}
+
+
 def parse_run_filename(name: Column) -> Column:
     """Struct of the 17 fields of a run name; NULL where the name doesn't follow the convention."""
-    parts = [F.regexp_extract(name, RUN_PATTERN, i).alias(f) for i, f in enumerate([*RUN_FIELDS, "ext"], 1)]
-    parts[7] = normalize_chromatography(F.regexp_extract(name, RUN_PATTERN, 8)).alias("chromatography")
-    return F.when(name.rlike(RUN_PATTERN), F.struct(*parts))
+    return F.when(name.rlike(RUN_PATTERN), F.struct(*(c.alias(f) for f, c in run_fields(F.split(name, "_")).items())))
 
 
 def parse_project_name(name: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import RUN_FORMATS, classify_file_type, normalize_chromatography, parse_run_filename
+from ..functions.names import RUN_FORMATS, RUN_PATTERN, classify_file_type, normalize_chromatography, run_fields, run_name_parts
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -17,24 +17,33 @@ def scan_runs(paths: DataFrame) -> DataFrame:
     """One row per run of a table of paths; raises where a conversion failed, a name doesn't parse or no run is found."""
     name = F.element_at(F.split("path", "/"), -1)
     named = paths.withColumn("filename", name)
-    if failed := [r.filename for r in named.where(F.endswith("filename", F.lit(".failed"))).limit(20).collect()]:
-        raise ValueError(f"failed conversions: {failed}")
-    runs = parsed_runs(named.where(F.regexp_extract("filename", r"\.([^.]*)$", 1).isin(*RUN_FORMATS)))
-    if bad := [r.filename for r in runs.where("file_type is null").limit(20).collect()]:
-        raise ValueError(f"names that don't follow the convention: {bad}")
-    if runs.isEmpty():
+    failed = named.where(F.endswith("filename", F.lit(".failed")))
+    kind = F.regexp_extract("filename", r"\.([^.]*)$", 1)
+    runs = parsed_runs(named.where(kind.isin(*RUN_FORMATS)))
+    bad = runs.where("file_type is null")
+    # counted in one pass; names are looked for only where there are some to show
+    n = named.agg(
+        F.count_if(F.endswith("filename", F.lit(".failed"))).alias("failed"), F.count_if(kind.isin(*RUN_FORMATS)).alias("runs"),
+        F.count_if(kind.isin(*RUN_FORMATS) & ~F.col("filename").rlike(RUN_PATTERN)).alias("bad"),
+    ).first()
+    if n.failed:
+        raise ValueError(f"failed conversions: {[r.filename for r in failed.limit(20).collect()]}")
+    if n.bad:
+        raise ValueError(f"names that don't follow the convention: {[r.filename for r in bad.limit(20).collect()]}")
+    if not n.runs:
         raise ValueError("no runs found")
     return runs
 
 
 def parsed_runs(named: DataFrame) -> DataFrame:
-    """(path, filename) with format, file type, chromatography, MS level and polarity; all NULL where the name doesn't parse."""
-    f = named.withColumn("f", parse_run_filename(F.col("filename")))
-    kind = F.when(F.col("f").isNotNull(), classify_file_type(F.col("f.sample_name"), F.col("f.run_metadata")))
-    return f.select(
-        F.col("path").alias("file_path"), "filename", F.col("f.ext").alias("file_format"), kind.alias("file_type"), "f.chromatography",
-        F.lower("f.ms_level").alias("ms_level"), F.lower("f.polarity").alias("polarity"),
-    )
+    """(path, filename) with format, file type, chromatography, MS level and polarity; all NULL where the name doesn't parse.
+
+    A name is taken apart once: as columns of a generator, its fields are not put once more into each filter above."""
+    f = run_fields(F.col("__parts"))
+    kind = F.when(F.col("__parts").isNotNull(), classify_file_type(f["sample_name"], f["run_metadata"]))
+    fields = F.struct(f["ext"].alias("file_format"), kind.alias("file_type"), f["chromatography"].alias("chromatography"), F.lower(f["ms_level"]).alias("ms_level"), F.lower(f["polarity"]).alias("polarity"))
+    parts = named.withColumn("__parts", run_name_parts(F.col("filename")))
+    return parts.select(F.col("path").alias("file_path"), "filename", F.inline(F.array(fields)))
 
 
 # Another spelling of a file type in older include lists.
