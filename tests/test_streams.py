@@ -129,3 +129,12 @@ def test_edits_are_chosen_without_a_call_for_each_key(spark, tmp_path):
     edits = spark.readStream.schema(EDIT).parquet(str(tmp_path))
     fresh = streams.newest_edits(edits, spark.createDataFrame([], "session string, mz_rt_uid string, edit_seq long"), ("ms1_notes",))
     assert "Python" not in fresh._jdf.queryExecution().analyzed().toString() and fresh.isStreaming
+
+
+def test_a_single_batch_is_read_without_a_shuffle(spark, tmp_path):
+    for batch in range(2):
+        spark.createDataFrame([("a", "f", [(1.0 + batch, 100.0, 1.0, True)])], "mz_rt_uid string, filename string, points array<struct<rt float, mz float, i float, in_feature boolean>>").write.parquet(str(tmp_path / f"ms1/batch={batch}"))
+        read = streams.read_extracted(spark, str(tmp_path))
+        assert ("Exchange" in read._jdf.queryExecution().executedPlan().toString()) == (batch == 1)
+        (r,) = read.collect()
+        assert read.columns == ["mz_rt_uid", "filename", "points"] and [p.rt for p in r.points] == [1.0, 2.0][: batch + 1]
