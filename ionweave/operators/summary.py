@@ -58,7 +58,7 @@ def compound_index(curation: DataFrame, order: list[Column | str]) -> DataFrame:
     """1-based place in this order.
 
     Rows are dealt to ranges of the order and written; a row's place is that within its range, after the counts of the ranges before.
-    No task sees more than a range."""
+    No task sees more than a range. The result carries a merge hint, as the files just written are far smaller than their rows."""
     spark, path = curation.sparkSession, scratch(curation.sparkSession, "ranges")
     ranged = curation.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
     ranged.write.parquet(path)
@@ -68,7 +68,7 @@ def compound_index(curation: DataFrame, order: list[Column | str]) -> DataFrame:
     before = F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select("__range", F.coalesce(before, F.lit(0)).alias("__before"))
     place = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) + F.col("__before")
-    return ranged.join(F.broadcast(counts), "__range").withColumn("compound_index", place.cast("int")).select(*curation.columns, "compound_index")
+    return ranged.join(F.broadcast(counts), "__range").withColumn("compound_index", place.cast("int")).select(*curation.columns, "compound_index").hint("merge")
 
 
 def pivot_metric(metrics: DataFrame, curation: DataFrame, metric: str, exclude_runs: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ionweave.operators import joins
+from ionweave.operators import joins, summary
+from ionweave.plans import catalog
 from ionweave.plans.views import view
 
 SF = "/root/testdata/sf0.001"
@@ -38,3 +39,17 @@ def test_views_of_many_targets_are_not_broadcast_by_estimate(spark):
     assert "Broadcast" not in plan(some.repartition(4).join(atlas.select("mz_rt_uid", "mz"), "mz_rt_uid"))
     # a hint of their own goes before
     assert "BroadcastHashJoin" in plan(some.join(F.broadcast(atlas.select("mz_rt_uid", "mz")), "mz_rt_uid"))
+
+
+def test_written_tables_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(summary, "scratch", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(catalog, "scratch", lambda _, name: str(tmp_path / name))
+    rows = spark.range(500).select(F.concat(F.lit("mzrt-"), "id").alias("mz_rt_uid"), "id")
+    index = summary.compound_index(rows, ["id"])
+    stored = catalog.Views(spark, str(tmp_path)).stored("rows", lambda: rows)
+    other = spark.range(400).select(F.concat(F.lit("mzrt-"), "id").alias("mz_rt_uid")).repartition(4)
+    for table in (index.select("mz_rt_uid", "compound_index"), stored):
+        met = other.join(table, "mz_rt_uid")
+        assert "SortMergeJoin" in plan(met) and met.count() == 400
+    assert "mz_rt_uid" not in "".join(line for line in plan(other.join(stored, "mz_rt_uid")).splitlines() if "Broadcast" in line)
+    assert sorted(index.select("id", "compound_index").collect()) == [(i, i + 1) for i in range(500)]
