@@ -13,6 +13,8 @@ MODEL_SCHEMA = "rt_alignment_number long, atlas_uid string, degree int, coeffici
 
 #: Rows up to which a sketch of accuracy 10,000 keeps every value: it may merge two from twice as many on, and misplace one from 5,000 on.
 SKETCHED = 4_000
+#: Different hashes of targets' ids: so many numbers at most are broadcast to find the points of large targets.
+HASHES = 1 << 16
 #: Ranges of values for each doubling in which exact medians are looked for.
 RANGES = 2048
 
@@ -65,9 +67,11 @@ def rt_stats(rows: DataFrame, exclude: list[str] | None = None, accuracy: int |
         F.avg(ppm).alias("ppm_mean"), F.stddev_pop(ppm).alias("ppm_std"), *sketches,
     )
     if accuracy is None:
-        # a list of ids, no longer than the atlas
-        large = F.broadcast(stats.where(F.col("observation_count") > SKETCHED).select("mz_rt_uid"))
-        counted = exact_medians(inside.join(large, "mz_rt_uid", "left_semi"), "mz_rt_uid", {f"__{n}": c for n, c in medians.items()})
+        # a list of ids may be as long as the atlas, so only hashes of them are broadcast; what these let through meets the ids in a shuffle
+        large = stats.where(F.col("observation_count") > SKETCHED).select("mz_rt_uid")
+        hashed = F.pmod(F.xxhash64("mz_rt_uid"), F.lit(HASHES)).alias("__hash")
+        near = inside.withColumn("__hash", hashed).join(F.broadcast(large.select(hashed).distinct()), "__hash", "left_semi").drop("__hash")
+        counted = exact_medians(near.join(large.hint("merge"), "mz_rt_uid", "left_semi"), "mz_rt_uid", {f"__{n}": c for n, c in medians.items()})
         stats = stats.join(counted, "mz_rt_uid", "left").withColumns({n: F.coalesce(f"__{n}", n) for n in medians}).drop(*(f"__{n}" for n in medians))
     # rt_peak is the same for all points of a target, so the median of the differences needs no counts of its own
     return stats.withColumn("rt_diff_median", F.col("rt_median") - F.col("atlas_rt_peak"))

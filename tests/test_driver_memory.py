@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ionweave.operators import joins, summary
+from ionweave.operators import joins, rtmodel, summary
 from ionweave.plans import catalog
 from ionweave.plans.views import view
 
@@ -53,3 +53,19 @@ def test_written_tables_are_not_broadcast_by_the_size_of_their_files(spark, monk
         assert "SortMergeJoin" in plan(met) and met.count() == 400
     assert "mz_rt_uid" not in "".join(line for line in plan(other.join(stored, "mz_rt_uid")).splitlines() if "Broadcast" in line)
     assert sorted(index.select("id", "compound_index").collect()) == [(i, i + 1) for i in range(500)]
+
+
+def test_ids_of_large_targets_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(rtmodel, "SKETCHED", 3)
+    monkeypatch.setattr(rtmodel, "HASHES", 16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.range(3000).selectExpr("concat('u', id % 100 + if(id % 7 = 0, 1000, 0)) as mz_rt_uid", "cast(id * 37 % 101 as float) as rt", "100f as mz", "cast(id as float) as i", "true as in_feature", "1.0D as rt_peak", "100.0D as atlas_mz")
+        rows = rows.union(spark.range(3).selectExpr("'small' as mz_rt_uid", "cast(id as float)", "100f", "1f", "true", "1.0D", "100.0D")).repartition(4)
+        stats = rtmodel.rt_stats(rows)
+        # hashes of a text are numbers
+        assert "BroadcastMode(List(input[0, string" not in plan(stats)
+        want = rows.groupBy("mz_rt_uid").agg(F.median(F.col("rt").cast("double")), F.median(F.col("i").cast("double")))
+        assert sorted(stats.select("mz_rt_uid", "rt_median", "intensity_median").collect()) == sorted(want.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
