@@ -69,3 +69,19 @@ def test_ids_of_large_targets_are_not_broadcast(spark, monkeypatch):
         assert sorted(stats.select("mz_rt_uid", "rt_median", "intensity_median").collect()) == sorted(want.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+#: Queries on the range join of points or scans to targets.
+SHUFFLED = (
+    "extract_all_runs",
+)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_large_targets_of_a_query_are_shuffled(spark, monkeypatch, name):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(catalog.Views, "stored", lambda self, _, make: make())
+    text = plan(catalog.QUERIES[name](spark, SF))
+    met = [line for line in text.splitlines() if "Join" in line and "__bin" in line]
+    assert met and all("SortMergeJoin" in line for line in met)
