@@ -74,6 +74,7 @@ def test_ids_of_large_targets_are_not_broadcast(spark, monkeypatch):
 #: Queries on the range join of points or scans to targets.
 SHUFFLED = (
     "extract_all_runs",
+    "filter_ms1_groups",
 )
 
 
