@@ -75,6 +75,7 @@ def test_ids_of_large_targets_are_not_broadcast(spark, monkeypatch):
 SHUFFLED = (
     "extract_all_runs",
     "filter_ms1_groups",
+    "filter_ms2_groups",
 )
 
 
