@@ -76,6 +76,7 @@ SHUFFLED = (
     "extract_all_runs",
     "filter_ms1_groups",
     "filter_ms2_groups",
+    "group_means",
 )
 
 
