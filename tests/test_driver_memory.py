@@ -77,6 +77,7 @@ SHUFFLED = (
     "filter_ms1_groups",
     "filter_ms2_groups",
     "group_means",
+    "hit_threshold",
 )
 
 
