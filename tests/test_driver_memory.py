@@ -78,6 +78,7 @@ SHUFFLED = (
     "filter_ms2_groups",
     "group_means",
     "hit_threshold",
+    "join_ms1_to_atlas",
 )
 
 
