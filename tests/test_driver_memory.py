@@ -79,6 +79,7 @@ SHUFFLED = (
     "group_means",
     "hit_threshold",
     "join_ms1_to_atlas",
+    "join_ms2_to_atlas",
 )
 
 
