@@ -80,6 +80,7 @@ SHUFFLED = (
     "hit_threshold",
     "join_ms1_to_atlas",
     "join_ms2_to_atlas",
+    "keys_without_refs",
 )
 
 
