@@ -81,6 +81,7 @@ SHUFFLED = (
     "join_ms1_to_atlas",
     "join_ms2_to_atlas",
     "keys_without_refs",
+    "log_fold_change",
 )
 
 
