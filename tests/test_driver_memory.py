@@ -82,6 +82,7 @@ SHUFFLED = (
     "join_ms2_to_atlas",
     "keys_without_refs",
     "log_fold_change",
+    "lookup_ms2",
 )
 
 
