@@ -84,6 +84,7 @@ SHUFFLED = (
     "log_fold_change",
     "lookup_ms2",
     "ms1_window_metrics",
+    "ms2_candidates",
 )
 
 
