@@ -85,6 +85,7 @@ SHUFFLED = (
     "lookup_ms2",
     "ms1_window_metrics",
     "ms2_candidates",
+    "mz_quality",
 )
 
 
