@@ -83,6 +83,7 @@ SHUFFLED = (
     "keys_without_refs",
     "log_fold_change",
     "lookup_ms2",
+    "melt_lfc",
     "ms1_window_metrics",
     "ms2_candidates",
     "mz_quality",
