@@ -78,6 +78,7 @@ SHUFFLED = (
     "filter_ms2_groups",
     "group_means",
     "hit_threshold",
+    "impute_global_min",
     "join_ms1_to_atlas",
     "join_ms2_to_atlas",
     "keys_without_refs",
