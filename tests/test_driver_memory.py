@@ -81,6 +81,7 @@ SHUFFLED = (
     "impute_global_min",
     "join_ms1_to_atlas",
     "join_ms2_to_atlas",
+    "keep_in_feature",
     "keys_without_refs",
     "log_fold_change",
     "lookup_ms2",
