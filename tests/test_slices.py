@@ -43,7 +43,7 @@ def test_slices_of_nothing(spark):
     assert extract.extract_wide_ms1(points, targets.where("false")).count() == 0 == extract.extract_wide_ms1(points.where("false"), targets).count()
 
 
-SLICED = ("widen_ms1",)
+SLICED = ("widen_ms1", "keep_in_feature")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
