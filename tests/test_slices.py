@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ionweave.operators import extract, joins, slices
+from ionweave.operators import curation, extract, joins, slices, traces
 from ionweave.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -43,7 +43,36 @@ def test_slices_of_nothing(spark):
     assert extract.extract_wide_ms1(points, targets.where("false")).count() == 0 == extract.extract_wide_ms1(points.where("false"), targets).count()
 
 
-SLICED = ("widen_ms1", "keep_in_feature")
+@pytest.mark.parametrize("shape", ["plain", "wide", "twice", "crowded", "odd"])
+def test_traces_of_cells_are_those_of_the_pairs(spark, monkeypatch, shape):
+    points, targets = tables(spark, 4, shape == "wide", shape == "twice")
+    points = points.where("rt is not null and not isnan(rt) and i is not null and not isnan(i)")
+    # some points of one rt
+    points = points.withColumn("rt", F.round("rt", 1).cast("float"))
+    targets = targets.withColumns({"rt_peak": F.lit(2.0), "rt_min": F.lit(0.5), "rt_max": F.lit(4.0)}).repartition(3)
+    if shape == "crowded":
+        monkeypatch.setattr(curation, "CELL_POINTS", 60)
+    if shape == "odd":
+        points = points.union(spark.createDataFrame([("a.h5", 100.0, 1.0, None)], points.schema))
+    monkeypatch.setattr(traces, "POINTS", 30)
+    of = ("rt_peak", "rt_min", "rt_max")
+    first, rest = curation.extract_traces(points, targets, of)
+    assert (rest is None) == (shape in ("plain", "wide"))
+    # a target's rows stand together by rt
+    stood = first.withColumn("at", F.monotonically_increasing_id()).orderBy("at").select("mz_rt_uid", "rt").collect()
+    starts = [r.mz_rt_uid for k, r in enumerate(stood) if not k or stood[k - 1].mz_rt_uid != r.mz_rt_uid]
+    assert len(starts) == len(set(starts)) > 3 and all(a.rt < b.rt for a, b in zip(stood, stood[1:]) if a.mz_rt_uid == b.mz_rt_uid)
+    text = lambda df: sorted((r.mz_rt_uid, r.rt, round(r.max_i, 6), round(r.mean_i, 6)) for r in df.select("mz_rt_uid", "rt", "max_i", "mean_i").collect())
+    whole = curation.eic_traces(joins.join_ms1_to_atlas(points, targets))
+    both = first.drop(*of) if rest is None else first.drop(*of).unionByName(rest)
+    assert text(both) == text(whole)
+    bounds = lambda df: sorted((r.mz_rt_uid, *(round(x, 6) for x in r[1:])) for r in df.collect())
+    if rest is None:
+        want = bounds(curation.suggest_rt_bounds(whole, targets))
+        assert bounds(curation.suggest_rt_bounds(first, None)) == want and want
+
+
+SLICED = ("widen_ms1", "keep_in_feature", "eic_traces")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
