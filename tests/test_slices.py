@@ -72,7 +72,7 @@ def test_traces_of_cells_are_those_of_the_pairs(spark, monkeypatch, shape):
         assert bounds(curation.suggest_rt_bounds(first, None)) == want and want
 
 
-SLICED = ("widen_ms1", "keep_in_feature", "eic_traces")
+SLICED = ("widen_ms1", "keep_in_feature", "eic_traces", "suggest_rt_bounds")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
